@@ -116,14 +116,24 @@ def event_json_lines(spark: SparkSession, sf_dir: str, faults: bool = True) -> D
     return base.select(line.alias("value"))
 
 
-def transaction_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Purchases rendered as CSV text lines (no header), column ``value``."""
-    t = app_transactions(spark, sf_dir)
-    return t.select(F.concat_ws(
+def transaction_csv_lines(spark: SparkSession, sf_dir: str, faults: bool = True) -> DataFrame:
+    """Purchases rendered as CSV text lines (no header), column ``value``;
+    timestamps to the second, currency padded with blanks. With ``faults``
+    every DUPLICATE_EVERY-th purchase is delivered again 1 s later with
+    amount + 1."""
+    p = (table(spark, sf_dir, "events").filter(F.col("event_type") == "purchase")
+         .select("event_id", "user_id", "ts", "value"))
+    if faults:
+        retry = (p.filter(F.col("event_id") % DUPLICATE_EVERY == 0)
+                 .withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 SECOND"))
+                 .withColumn("value", F.col("value") + F.lit(1.0)))
+        p = p.unionByName(retry)
+    ts = F.col("ts").cast("timestamp")
+    return p.select(F.concat_ws(
         ",",
-        F.col("transaction_id").cast("string"), "session_id", F.col("user_id").cast("string"),
-        F.format_string("%.2f", "amount"), F.concat(F.lit(" "), "currency", F.lit(" ")),
-        F.date_format("transaction_timestamp", "yyyy-MM-dd HH:mm:ss"),
+        F.col("event_id").cast("string"), session_key(F.col("user_id"), ts),
+        F.col("user_id").cast("string"), F.format_string("%.2f", "value"),
+        F.lit(f" {CURRENCY} "), F.date_format("ts", "yyyy-MM-dd HH:mm:ss"),
     ).alias("value"))
 
 
