@@ -26,4 +26,4 @@ def register(name: str, sql: str | None = None):
 
 
 # Importing the modules fills the registries.
-from strata.plans import catalog_gold, catalog_quality, catalog_silver  # noqa: E402,F401
+from strata.plans import catalog_features, catalog_gold, catalog_quality, catalog_silver  # noqa: E402,F401
