@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from strata.plans import features
 from strata.plans.catalog_gold import SQL_SILVER, silver_inputs
-from strata.queries import register
+from strata.registry import register
 from strata.sources import landing
 
 

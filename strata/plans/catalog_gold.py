@@ -9,7 +9,7 @@ from strata.operators import metrics
 from strata.operators.joins import orphans
 from strata.operators.sessions import SESSION_KEYS, session_aggregate, session_min_max_count
 from strata.plans import gold, silver
-from strata.queries import register
+from strata.registry import register
 from strata.sources import landing
 
 # ------------------------------------------------------------ shared inputs

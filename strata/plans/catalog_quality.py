@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from strata.operators import quality as dq
 from strata.plans import gold
 from strata.plans.catalog_gold import SQL_GOLD_SELECT, SQL_SILVER, silver_inputs
-from strata.queries import register
+from strata.registry import register
 from strata.sources import landing
 
 # The event vocabulary of the given events table.

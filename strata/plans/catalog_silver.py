@@ -14,7 +14,7 @@ from strata.functions.scalar import to_ntz
 from strata.operators.cleaning import require_not_null
 from strata.operators.quality import corrupt_threshold
 from strata.plans import silver
-from strata.queries import register
+from strata.registry import register
 from strata.sources import landing
 from strata.sources.readers import parse_csv_lines
 from strata.sources.schemas import CORRUPT_COL, RAW_TRANSACTION, RAW_USER

@@ -3,27 +3,10 @@
 ``QUERIES[name](spark, sf_dir) -> DataFrame`` and ``ORACLE_SQL[name]`` (DuckDB
 SQL over the same tables, registered as views). Output columns carry the
 same names on both sides; timestamps are compared without zone, money as
-DECIMAL, averages as a quotient of exact integers, paths as joined text.
+DECIMAL or as a quotient of exact integers, paths as joined text.
 """
 
-from __future__ import annotations
-
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLE_SQL[name] = sql
-        return fn
-    return deco
-
-
-# Importing the modules fills the registries.
-from strata.plans import catalog_features, catalog_gold, catalog_quality, catalog_silver  # noqa: E402,F401
+from strata.plans import (  # noqa: F401
+    catalog_features, catalog_gold, catalog_quality, catalog_silver, catalog_tables,
+)
+from strata.registry import ORACLE_SQL, QUERIES  # noqa: F401

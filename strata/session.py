@@ -72,12 +72,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-path of the shared folder for a written table."""
+    """A fresh, not yet existing sub-path of the shared folder for a table."""
     base = shared_dir(spark)
     local = base.startswith("/") or base.startswith("file:")
     if local:
         root = base[5:] if base.startswith("file:") else base
         os.makedirs(root, exist_ok=True)
-        return tempfile.mkdtemp(prefix=f"{name}-", dir=root)
+        return os.path.join(tempfile.mkdtemp(prefix=f"{name}-", dir=root), "t")
     import uuid
     return f"{base}/{name}-{uuid.uuid4().hex}"
