@@ -61,24 +61,50 @@ def running(df: DataFrame, key: str, ts: str, tiebreak: str, sums: dict,
     """Add running totals (this row and all earlier rows of the key, by
     (ts, tiebreak)) for each name -> Column in ``sums``, plus
     ``running_count``."""
-    sums = dict(sums)
-    rows = (df.withColumn("_t_us", _micros(ts))
-            .withColumn("_b", F.floor(F.col("_t_us") / F.lit(bucket_seconds * _US))))
-    inside = Window.partitionBy(key, "_b").orderBy("_t_us", tiebreak).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    bucketed = rows
-    rows = rows.withColumns({f"_in_{n}": F.sum(c).over(inside) for n, c in sums.items()})
-    rows = rows.withColumn("_in_count", F.count(F.lit(1)).over(inside))
-    # cumulative totals of the key's earlier buckets (one row per key and bucket)
-    totals = bucketed.groupBy(key, "_b").agg(*[F.sum(c).alias(f"_bt_{n}") for n, c in sums.items()],
-                                         F.count(F.lit(1)).alias("_bt_count"))
+    aggs = {n: ("sum", c) for n, c in sums.items()}
+    aggs["running_count"] = ("count", F.lit(1))
+    return prefix(df, key, _micros(ts), tiebreak, aggs, bucket_seconds * _US)
+
+
+_INNER = {"sum": F.sum, "max": F.max, "min": F.min, "count": F.count}
+_OUTER = {"sum": F.sum, "max": F.max, "min": F.min, "count": F.sum}
+
+
+def _combine(kind: str, pre: Column, inner: Column) -> Column:
+    if kind == "max":
+        return F.greatest(pre, inner)
+    if kind == "min":
+        return F.least(pre, inner)
+    if kind == "count":
+        return F.coalesce(pre, F.lit(0)) + F.coalesce(inner, F.lit(0))
+    return F.when(pre.isNull() & inner.isNull(), F.lit(None)).otherwise(
+        F.coalesce(pre, F.lit(0)) + F.coalesce(inner, F.lit(0)))
+
+
+def prefix(df: DataFrame, key: str, order: Column, tiebreak: str, aggs: dict,
+           bucket_width: int, include_current: bool = True) -> DataFrame:
+    """Prefix aggregates per key along a numeric ``order`` (then
+    ``tiebreak``): name -> (kind, Column) with kind in sum/max/min/count.
+    With ``include_current=False`` only strictly earlier rows count (NULL,
+    or 0 for count, when there are none).
+
+    Rows are bucketed by ``floor(order / bucket_width)``; the window runs
+    per (key, bucket), and each bucket adds the combined result of the
+    key's earlier buckets (a small per-(key, bucket) table).
+    """
+    rows = (df.withColumn("_o", order)
+            .withColumn("_b", F.floor(F.col("_o") / F.lit(bucket_width))))
+    upper = Window.currentRow if include_current else -1
+    inside = Window.partitionBy(key, "_b").orderBy("_o", tiebreak).rowsBetween(
+        Window.unboundedPreceding, upper)
+    totals = rows.groupBy(key, "_b").agg(
+        *[_INNER[k](c).alias(f"_bt_{n}") for n, (k, c) in aggs.items()])
     before = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select(key, "_b",
-                           *[F.coalesce(F.sum(f"_bt_{n}").over(before), F.lit(0)).alias(f"_pre_{n}")
-                             for n in sums],
-                           F.coalesce(F.sum("_bt_count").over(before), F.lit(0)).alias("_pre_count"))
-    out = rows.join(totals, [key, "_b"], "inner")
-    out = out.withColumns({n: F.col(f"_pre_{n}") + F.col(f"_in_{n}") for n in sums})
-    out = out.withColumn("running_count", F.col("_pre_count") + F.col("_in_count"))
-    drop = ["_t_us", "_b", "_in_count", "_pre_count"] + [f"_in_{n}" for n in sums] + [f"_pre_{n}" for n in sums]
+    totals = totals.select(key, "_b", *[_OUTER[k](f"_bt_{n}").over(before).alias(f"_pre_{n}")
+                                        for n, (k, _) in aggs.items()])
+    inner = rows.withColumns({f"_in_{n}": _INNER[k](c).over(inside) for n, (k, c) in aggs.items()})
+    out = inner.join(totals, [key, "_b"], "inner")
+    out = out.withColumns({n: _combine(k, F.col(f"_pre_{n}"), F.col(f"_in_{n}"))
+                           for n, (k, _) in aggs.items()})
+    drop = ["_o", "_b"] + [f"_in_{n}" for n in aggs] + [f"_pre_{n}" for n in aggs]
     return out.drop(*drop)

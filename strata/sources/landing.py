@@ -84,7 +84,8 @@ def app_users(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("n_name").alias("country")))
 
 
-def event_json_lines(spark: SparkSession, sf_dir: str, faults: bool = True) -> DataFrame:
+def event_json_lines(spark: SparkSession, sf_dir: str, faults: bool = True,
+                     numeric_ids: bool = False) -> DataFrame:
     """One JSON text line per delivered event (column ``value``).
 
     With ``faults``: every DUPLICATE_EVERY-th event is delivered twice (the
@@ -102,10 +103,11 @@ def event_json_lines(spark: SparkSession, sf_dir: str, faults: bool = True) -> D
     sid = session_key(F.col("user_id"), ts)
     if faults:
         sid = F.when(F.col("event_id") % NULL_SESSION_EVERY != 0, sid)
+    id_type = "bigint" if numeric_ids else "string"
     line = F.to_json(F.struct(
-        F.col("event_id").cast("string").alias("event_id"),
+        F.col("event_id").cast(id_type).alias("event_id"),
         sid.alias("session_id"),
-        F.col("user_id").cast("string").alias("user_id"),
+        F.col("user_id").cast(id_type).alias("user_id"),
         "event_type",
         F.date_format(F.col("ts"), TS_TEXT).alias("event_timestamp"),
         F.struct(F.col("value").alias("price")).alias("event_details"),
@@ -116,6 +118,22 @@ def event_json_lines(spark: SparkSession, sf_dir: str, faults: bool = True) -> D
     return base.select(line.alias("value"))
 
 
+def land_event_files(spark: SparkSession, sf_dir: str, dest: str, files: int = 6,
+                     faults: bool = True) -> str:
+    """Write the event JSON lines as ``files`` arrivals, each a contiguous
+    range of event ids, written one after the other so that file
+    modification times follow arrival order (a file stream takes files in
+    that order)."""
+    lines = event_json_lines(spark, sf_dir, faults=faults, numeric_ids=True)
+    with_id = lines.withColumn("_id", F.get_json_object("value", "$.event_id").cast("bigint"))
+    top = table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0] or 0
+    arrival = F.coalesce(F.floor(F.col("_id") * files / F.lit(top + 1)), F.lit(0))
+    for i in range(files):
+        (with_id.filter(arrival == i).drop("_id").coalesce(1)
+         .write.mode("append").text(dest))
+    return dest
+
+
 def transaction_csv_lines(spark: SparkSession, sf_dir: str, faults: bool = True) -> DataFrame:
     """Purchases rendered as CSV text lines (no header), column ``value``;
     timestamps to the second, currency padded with blanks. With ``faults``

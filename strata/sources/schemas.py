@@ -33,6 +33,17 @@ RAW_EVENT = T.StructType([
     T.StructField(CORRUPT_COL, T.StringType()),
 ])
 
+# Raw JSON line of an event landed from the given events table (numeric ids).
+LANDED_EVENT = T.StructType([
+    T.StructField("event_id", T.LongType()),
+    T.StructField("session_id", T.StringType()),
+    T.StructField("user_id", T.LongType()),
+    T.StructField("event_type", T.StringType()),
+    T.StructField("event_timestamp", T.StringType()),
+    T.StructField("event_details", T.StructType([T.StructField("price", T.DoubleType())])),
+    T.StructField(CORRUPT_COL, T.StringType()),
+])
+
 RAW_TRANSACTION = T.StructType([
     T.StructField("transaction_id", T.StringType()),
     T.StructField("session_id", T.StringType()),

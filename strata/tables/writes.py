@@ -93,13 +93,15 @@ def check_merge_cardinality(target: DataFrame, updates: DataFrame, keys) -> None
 
 
 def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, keys, partition_col: str,
-                      check_cardinality: bool = True) -> list:
+                      check_cardinality: bool = True, order_col: str | None = None) -> list:
     """Idempotent partition-scoped upsert into a live partitioned table.
 
     Touched partitions are those of the updates plus those where a matched
     target row lives now (a late event can move a session to another date,
     leaving its old partition to be rewritten or emptied). Only touched
     partitions are read (partition pruning), merged, staged and swapped in.
+    ``order_col`` as in ``merge_upsert``. Re-running the same upsert gives
+    the same table (idempotent), so a retried micro-batch is harmless.
     Returns the touched partition values (one per partition, bounded by the
     number of partitions, not rows).
     """
@@ -120,7 +122,7 @@ def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, keys,
     moved = target.join(upd_keys, keys, "left_semi").select(partition_col)
     touched = [r[0] for r in updates.select(partition_col).union(moved).distinct().collect()]
     affected = target.filter(F.col(partition_col).isin(touched))
-    merged = merge_upsert(affected, updates, keys)
+    merged = merge_upsert(affected, updates, keys, order_col)
     staging = new_path(spark, "staging")
     write_partitioned(merged, staging, partition_col, keys)
     staged = spark.read.parquet(staging)
