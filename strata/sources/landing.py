@@ -31,8 +31,18 @@ TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 CURRENCY = "USD"          # the given events carry no currency
 
 
+_READERS: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A given (read-only) table. The reader is reused within a session, so
+    the file listing and footer schema are resolved once per table."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _READERS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _READERS[key] = spark.read.parquet(path)
+    return df
 
 
 def app_events(spark: SparkSession, sf_dir: str) -> DataFrame:

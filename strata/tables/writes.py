@@ -16,28 +16,22 @@ from pyspark.sql import functions as F
 
 from strata.session import new_path
 
-# Fixed default: files per partition value (spreads a hot date over tasks).
-FILES_PER_PARTITION = 4
-
-
 def write_replace(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
-def _spread(df: DataFrame, partition_col: str, keys, files_per_partition: int) -> DataFrame:
-    """Repartition so each partition value goes to at most
-    ``files_per_partition`` tasks. The salt is a hash of the row keys, so a
-    retried task sees the same rows (a random salt would not)."""
-    salt = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(files_per_partition))
-    return df.repartition(partition_col, salt)
-
-
 def write_partitioned(df: DataFrame, path: str, partition_col: str, keys=None,
-                      files_per_partition: int = FILES_PER_PARTITION, mode: str = "overwrite") -> None:
-    """Write identity-partitioned by ``partition_col``. With dynamic
-    partition overwrite only the partitions present in ``df`` are replaced."""
-    keys = list(keys or [c for c in df.columns if c != partition_col][:2])
-    (_spread(df, partition_col, keys, files_per_partition)
+                      mode: str = "overwrite") -> None:
+    """Write identity-partitioned by ``partition_col``; with dynamic
+    partition overwrite only the partitions present in ``df`` are replaced.
+
+    The ``rebalance`` hint hashes rows by the partition column and lets AQE
+    split an oversized (hot) partition value into advisory-size tasks and
+    merge small ones: no single task holds a hot date, and small dates do
+    not produce one tiny file per task. ``keys`` is accepted for callers
+    that name the row key; the split does not need it.
+    """
+    (df.hint("rebalance", partition_col)
      .write.mode(mode).option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
 
