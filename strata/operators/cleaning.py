@@ -43,8 +43,9 @@ def latest_per_key(df: DataFrame, keys, order_col: str, tiebreak=None) -> DataFr
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if tiebreak is None:
-        tiebreak = [c for c in df.columns if c not in keys and c != order_col
-                    and _orderable(df.schema[c].dataType)]
+        fields = df.schema.fields
+        tiebreak = [f.name for f in fields if f.name not in keys and f.name != order_col
+                    and _orderable(f.dataType)]
     order = [F.col(order_col).desc_nulls_last()] + [F.col(c).desc_nulls_last() for c in tiebreak]
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")

@@ -38,6 +38,18 @@ def row_width(df: DataFrame) -> int:
     return 16 + sum(_type_width(f.dataType) for f in df.schema.fields)
 
 
+_COUNTS: dict = {}
+
+
+def _row_count(df: DataFrame) -> int:
+    """Row count, remembered per DataFrame object: a reader's file listing is
+    fixed when it is created, so its count does not change afterwards."""
+    key = (id(df.sparkSession), id(df), df.semanticHash())
+    if key not in _COUNTS:
+        _COUNTS[key] = df.count()
+    return _COUNTS[key]
+
+
 def broadcast_if_small(dim: DataFrame, row_bound: DataFrame | None = None,
                        max_rows: int = MAX_BROADCAST_ROWS,
                        max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
@@ -47,7 +59,7 @@ def broadcast_if_small(dim: DataFrame, row_bound: DataFrame | None = None,
     (e.g. the source table a one-row-per-key dimension is built from);
     counting a parquet table reads only footers.
     """
-    n = (row_bound if row_bound is not None else dim).count()
+    n = _row_count(row_bound if row_bound is not None else dim)
     if n <= max_rows and n * row_width(dim) <= max_bytes:
         return F.broadcast(dim)
     return dim
@@ -60,8 +72,9 @@ def left_join_fanout(left: DataFrame, right: DataFrame, keys) -> DataFrame:
     extra = [c for c in right.columns if c not in keys]
     matched = left.join(right, keys, "inner")
     right_keys = right.select(*keys).distinct()
+    types = {f.name: f.dataType for f in right.schema.fields}
     unmatched = left.join(right_keys, keys, "left_anti").select(
-        *left.columns, *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in extra])
+        *left.columns, *[F.lit(None).cast(types[c]).alias(c) for c in extra])
     return matched.select(*left.columns, *extra).unionByName(unmatched)
 
 

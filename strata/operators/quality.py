@@ -185,8 +185,9 @@ def column_profile(df: DataFrame, cols=None, exact: bool = False) -> DataFrame:
     cols = list(cols or df.columns)
     dist = F.count_distinct if exact else F.approx_count_distinct
     aggs = [F.count(F.lit(1)).alias("_n")]
+    types = {f.name: f.dataType for f in df.schema.fields}
     for i, c in enumerate(cols):
-        orderable = not isinstance(df.schema[c].dataType, (T.MapType, T.ArrayType, T.StructType))
+        orderable = not isinstance(types[c], (T.MapType, T.ArrayType, T.StructType))
         aggs += [F.count_if(F.col(c).isNull()).alias(f"_nulls_{i}"),
                  dist(F.col(c)).cast("bigint").alias(f"_distinct_{i}"),
                  (F.min(c).cast("string") if orderable else F.lit(None).cast("string")).alias(f"_min_{i}"),

@@ -92,6 +92,12 @@ FROM sess s
 LEFT JOIN first_tx t ON s.session_id = t.session_id AND s.user_id = t.user_id
 LEFT JOIN users u ON s.user_id = u.user_id"""
 
+# the gold table as a CTE named g
+SQL_G = f"""WITH {SQL_SILVER}, g AS ({SQL_GOLD_SELECT}
+FROM sess s
+LEFT JOIN first_tx t ON s.session_id = t.session_id AND s.user_id = t.user_id
+LEFT JOIN users u ON s.user_id = u.user_id)"""
+
 SQL_FANOUT = f"""WITH {SQL_SILVER}
 {SQL_GOLD_SELECT}
 FROM sess s

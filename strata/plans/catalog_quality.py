@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import quality as dq
 from strata.plans import gold
-from strata.plans.catalog_gold import SQL_GOLD_SELECT, SQL_SILVER, silver_inputs
+from strata.plans.catalog_gold import SQL_G, silver_inputs
 from strata.registry import register
 from strata.sources import landing
 
@@ -34,10 +34,7 @@ def gold_rules(users):
     ]
 
 
-_G = f"""WITH {SQL_SILVER}, g AS ({SQL_GOLD_SELECT}
-FROM sess s
-LEFT JOIN first_tx t ON s.session_id = t.session_id AND s.user_id = t.user_id
-LEFT JOIN users u ON s.user_id = u.user_id)"""
+_G = SQL_G
 _IN = ", ".join(f"'{v}'" for v in ALLOWED_EVENT_TYPES)
 
 _RULE_SQL = {
