@@ -86,6 +86,9 @@ def check_merge_cardinality(target: DataFrame, updates: DataFrame, keys) -> None
         raise MergeCardinalityError(f"update keys match more than one source row, e.g. {bad}")
 
 
+_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
 def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, keys, partition_col: str,
                       check_cardinality: bool = True, order_col: str | None = None) -> list:
     """Idempotent partition-scoped upsert into a live partitioned table.
@@ -96,39 +99,64 @@ def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, keys,
     partitions are read (partition pruning), merged, staged and swapped in.
     ``order_col`` as in ``merge_upsert``. Re-running the same upsert gives
     the same table (idempotent), so a retried micro-batch is harmless.
-    Returns the touched partition values (one per partition, bounded by the
-    number of partitions, not rows).
+
+    Jobs: stage the updates (partitioned, so their partition values are a
+    folder listing); one join of the target's keys with per-key update
+    counts gives both the cardinality check and the partitions of matched
+    rows (one row per partition comes back to the driver); stage the merged
+    partitions; swap them in. Returns the touched partition values (text).
     """
     from strata.sources.readers import table_exists
 
     keys = list(keys)
     if not table_exists(spark, path):
         write_partitioned(updates, path, partition_col, keys)
-        return [r[0] for r in updates.select(partition_col).distinct().collect()]
-    # materialise the updates once: the steps below read them several times
+        return list_partitions(spark, path, partition_col)
     staged_updates = new_path(spark, "updates")
-    updates.write.parquet(staged_updates)
+    updates.write.partitionBy(partition_col).parquet(staged_updates)
     updates = spark.read.parquet(staged_updates)
     target = spark.read.parquet(path)
-    if check_cardinality:
-        check_merge_cardinality(target, updates, keys)
-    upd_keys = updates.select(*keys).filter(_all_present(keys)).distinct()
-    moved = target.join(upd_keys, keys, "left_semi").select(partition_col)
-    touched = [r[0] for r in updates.select(partition_col).union(moved).distinct().collect()]
-    affected = target.filter(F.col(partition_col).isin(touched))
-    merged = merge_upsert(affected, updates, keys, order_col)
+
+    per_key = updates.filter(_all_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    matched = target.select(*keys, partition_col).join(per_key, keys, "inner")
+    stats = matched.groupBy(F.col(partition_col).cast("string").alias("_p")).agg(
+        F.max("_n").alias("_max_n")).collect()
+    if check_cardinality and any(r["_max_n"] > 1 for r in stats):
+        raise MergeCardinalityError("update keys match a target row more than once")
+    moved = {r["_p"] if r["_p"] is not None else _NULL_PARTITION for r in stats}
+    touched = sorted(moved | set(list_partitions(spark, staged_updates, partition_col)))
+
+    part = F.col(partition_col)
+    in_touched = part.cast("string").isin([t for t in touched if t != _NULL_PARTITION])
+    if _NULL_PARTITION in touched:
+        in_touched = in_touched | part.isNull()
+    merged = merge_upsert(target.filter(in_touched), updates, keys, order_col)
     staging = new_path(spark, "staging")
     write_partitioned(merged, staging, partition_col, keys)
-    staged = spark.read.parquet(staging)
-    write_partitioned(staged, path, partition_col, keys)
-    # partitions that are now empty: nothing was staged for them
-    present = {r[0] for r in staged.select(partition_col).distinct().collect()}
+    write_partitioned(spark.read.parquet(staging), path, partition_col, keys)
+    present = set(list_partitions(spark, staging, partition_col))
     for value in touched:
         if value not in present:
             _delete(spark, f"{path.rstrip('/')}/{partition_col}={value}")
     return touched
 
 
+def list_partitions(spark: SparkSession, path: str, partition_col: str) -> list:
+    """Partition values of a table folder, from the folder listing (no job)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    prefix = f"{partition_col}="
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(prefix):
+            out.append(jvm.java.net.URLDecoder.decode(name[len(prefix):], "UTF-8"))
+    return sorted(out)
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

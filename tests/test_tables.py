@@ -47,7 +47,7 @@ def test_upsert_moves_row_to_earlier_partition(spark, tmp_table):
     writes.upsert_partitions(spark, tmp_table, first, ["id"], "d")
     late = spark.createDataFrame([(1, "a*", T1, D1)], S)     # late event: row 1 now belongs to D1
     touched = writes.upsert_partitions(spark, tmp_table, late, ["id"], "d")
-    assert set(touched) == {D1, D2}
+    assert set(touched) == {str(D1), str(D2)}
     out = spark.read.parquet(tmp_table)
     assert _rows(out) == [(1, "a*", D1), (2, "b", D1)]
     import os
