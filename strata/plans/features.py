@@ -21,17 +21,21 @@ from strata.operators.joins import broadcast_if_small
 from strata.operators.windows import DAY, HOUR, running, trailing
 
 
-def behaviour(events: DataFrame, transactions: DataFrame) -> DataFrame:
+def behaviour(events: DataFrame, transactions: DataFrame, keep=()) -> DataFrame:
     """Trailing-window features for every transaction, from one replicated
-    (user, day) partitioning of events and transactions together."""
+    (user, day) partitioning of events and transactions together. Columns
+    in ``keep`` are carried through from the transactions."""
+    keep = [c for c in keep if c not in ("transaction_id", "user_id")]
+    types = {f.name: f.dataType for f in transactions.schema.fields}
     ev = events.select(
         "user_id", F.col("event_timestamp").alias("ts"), "session_id", "event_type",
-        F.lit(None).cast("bigint").alias("cents"), F.lit(None).cast(transactions.schema["transaction_id"].dataType)
-        .alias("transaction_id"), F.lit(False).alias("_tx"))
+        F.lit(None).cast("bigint").alias("cents"),
+        F.lit(None).cast(types["transaction_id"]).alias("transaction_id"),
+        *[F.lit(None).cast(types[c]).alias(c) for c in keep], F.lit(False).alias("_tx"))
     tx = transactions.select(
         "user_id", F.col("transaction_timestamp").alias("ts"), F.lit(None).cast("string").alias("session_id"),
         F.lit(None).cast("string").alias("event_type"), cents("amount").alias("cents"),
-        "transaction_id", F.lit(True).alias("_tx"))
+        "transaction_id", *keep, F.lit(True).alias("_tx"))
     # count(distinct) is not allowed over a window frame: size of the set instead
     frames = {
         "_sessions": (DAY, F.collect_set("session_id")),
@@ -40,27 +44,31 @@ def behaviour(events: DataFrame, transactions: DataFrame) -> DataFrame:
         "transactions_last_hour": (HOUR, F.count("transaction_id")),
     }
     out = trailing(ev.unionByName(tx), "user_id", "ts", frames, bucket_seconds=DAY, target=F.col("_tx"))
-    return out.select("transaction_id", "user_id",
+    return out.select("transaction_id", "user_id", *keep,
                       F.size("_sessions").alias("sessions_24h"),
                       F.size("_types").alias("distinct_event_types_24h"),
                       (F.coalesce(F.col("_cents"), F.lit(0)) / 100.0).alias("spent_24h"),
                       "transactions_last_hour")
 
 
-def velocity(transactions: DataFrame) -> DataFrame:
-    """Running totals per user: lifetime_value (this and earlier
-    transactions) and the deviation of the amount from the mean of earlier
-    amounts (NULL for a user's first transaction)."""
-    tx = transactions.select("transaction_id", "user_id", "transaction_timestamp",
-                             cents("amount").alias("cents"))
-    r = running(tx, "user_id", "transaction_timestamp", "transaction_id", {"cum_cents": F.col("cents")})
+def add_velocity(tx: DataFrame) -> DataFrame:
+    """Add running totals per user to transaction rows (needs
+    transaction_id, user_id, transaction_timestamp, amount): lifetime_value
+    (this and earlier transactions) and the deviation of the amount from the
+    mean of earlier amounts (NULL for a user's first transaction)."""
+    r = running(tx.withColumn("_cents", cents("amount")), "user_id", "transaction_timestamp",
+                "transaction_id", {"_cum": F.col("_cents")})
     prev_n = F.col("running_count") - 1
-    prev_cents = F.col("cum_cents") - F.col("cents")
-    return r.select(
-        "transaction_id", "user_id",
-        (F.col("cum_cents") / 100.0).alias("lifetime_value"),
-        F.when(prev_n > 0, (F.col("cents") * prev_n - prev_cents) / (prev_n * 100.0))
-        .alias("amount_deviation_from_avg"))
+    prev_cents = F.col("_cum") - F.col("_cents")
+    return (r.withColumn("lifetime_value", F.col("_cum") / 100.0)
+            .withColumn("amount_deviation_from_avg",
+                        F.when(prev_n > 0, (F.col("_cents") * prev_n - prev_cents) / (prev_n * 100.0)))
+            .drop("_cents", "_cum", "running_count"))
+
+
+def velocity(transactions: DataFrame) -> DataFrame:
+    tx = transactions.select("transaction_id", "user_id", "transaction_timestamp", "amount")
+    return add_velocity(tx).select("transaction_id", "user_id", "lifetime_value", "amount_deviation_from_avg")
 
 
 def chargeback_rate(orders: DataFrame, lineitem: DataFrame, flag_col: str = "l_returnflag",
@@ -78,32 +86,43 @@ def chargeback_rate(orders: DataFrame, lineitem: DataFrame, flag_col: str = "l_r
     ).withColumn("chargeback_rate", F.col("flagged_orders") / F.col("orders"))
 
 
-def account(transactions: DataFrame, users: DataFrame, chargeback: DataFrame,
-            users_bound: DataFrame | None = None) -> DataFrame:
-    """days_since_signup and chargeback_rate for every transaction. Both
-    per-user tables are joined once into one dimension, broadcast only when
-    its size check passes."""
+def _account_dim(users: DataFrame, chargeback: DataFrame, users_bound: DataFrame | None) -> DataFrame:
     dim = users.select("user_id", "signup_date").join(
         chargeback.select("user_id", "chargeback_rate"), "user_id", "full")
-    dim = broadcast_if_small(dim, users_bound)
+    return broadcast_if_small(dim, users_bound)
+
+
+def add_account(tx: DataFrame, users: DataFrame, chargeback: DataFrame,
+                users_bound: DataFrame | None = None) -> DataFrame:
+    """Add days_since_signup and chargeback_rate. Both per-user tables are
+    joined once into one dimension, broadcast only when its size check
+    passes (else a shuffle join on user_id, skew split by AQE)."""
+    dim = _account_dim(users, chargeback, users_bound)
+    return tx.join(dim, "user_id", "left").withColumn(
+        "days_since_signup", F.datediff(F.to_date("transaction_timestamp"), F.col("signup_date"))
+    ).withColumn("chargeback_rate", F.coalesce(F.col("chargeback_rate"), F.lit(0.0))).drop("signup_date")
+
+
+def account(transactions: DataFrame, users: DataFrame, chargeback: DataFrame,
+            users_bound: DataFrame | None = None) -> DataFrame:
     t = transactions.select("transaction_id", "user_id", "transaction_timestamp")
-    return t.join(dim, "user_id", "left").select(
-        "transaction_id", "user_id",
-        F.datediff(F.to_date("transaction_timestamp"), F.col("signup_date")).alias("days_since_signup"),
-        F.coalesce(F.col("chargeback_rate"), F.lit(0.0)).alias("chargeback_rate"))
+    return add_account(t, users, chargeback, users_bound).select(
+        "transaction_id", "user_id", "days_since_signup", "chargeback_rate")
 
 
 def fraud_features(events: DataFrame, transactions: DataFrame, users: DataFrame,
                    chargeback: DataFrame, users_bound: DataFrame | None = None) -> DataFrame:
-    """All features, one row per transaction. The three parts are keyed by
-    transaction_id and joined back on it."""
+    """All features, one row per transaction. The parts are chained on the
+    same rows (no join back on transaction_id): trailing windows per
+    (user, day), then running totals per (user, day), then the per-user
+    dimension."""
     base = transactions.select("transaction_id", "user_id", "transaction_timestamp", "amount")
-    parts = [behaviour(events, transactions), velocity(transactions),
-             account(transactions, users, chargeback, users_bound)]
-    out = base
-    for p in parts:
-        out = out.join(p.drop("user_id"), "transaction_id", "left")
-    return out
+    out = behaviour(events, base, keep=["transaction_timestamp", "amount"])
+    out = add_velocity(out)
+    out = add_account(out, users, chargeback, users_bound)
+    return out.select("transaction_id", "user_id", "transaction_timestamp", "amount",
+                      "sessions_24h", "distinct_event_types_24h", "spent_24h", "transactions_last_hour",
+                      "lifetime_value", "amount_deviation_from_avg", "days_since_signup", "chargeback_rate")
 
 
 def decide(features: DataFrame, score_col: str = "fraud_score") -> DataFrame:
