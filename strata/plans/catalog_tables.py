@@ -243,3 +243,43 @@ def q_read_table(spark, sf_dir):
                              ["session_id", "user_id"])
     assert readers.table_exists(spark, path)
     return readers.read_table(spark, path).groupBy("session_date").agg(F.count(F.lit(1)).alias("sessions"))
+
+
+# ------------------------------------------------------------ end to end
+
+def _medallion_sql():
+    from strata.plans.catalog_silver import SQL_TX, SQL_USERS
+    return f"""WITH {SQL_LINES}, {SQL_TX}, {SQL_USERS},
+udim AS (
+  SELECT * FROM ud QUALIFY row_number() OVER (PARTITION BY user_id
+         ORDER BY signup_date DESC NULLS LAST, device_type DESC, country DESC) = 1
+),
+sessm AS (
+  SELECT session_id, user_id,
+         min(event_timestamp) AS session_start_time, max(event_timestamp) AS session_end_time,
+         count(event_id) AS total_events,
+         string_agg(event_type, ',' ORDER BY event_timestamp, event_id) AS event_path,
+         first(event_type ORDER BY event_timestamp, event_id) AS first_event_type,
+         last(event_type ORDER BY event_timestamp, event_id) AS last_event_type
+  FROM dedup GROUP BY session_id, user_id
+),
+ftx AS (
+  SELECT * FROM txclean QUALIFY row_number() OVER (PARTITION BY session_id, user_id
+         ORDER BY transaction_timestamp, transaction_id) = 1
+)
+{SQL_GOLD_SELECT}
+FROM sessm s
+LEFT JOIN ftx t ON s.session_id = t.session_id AND s.user_id = t.user_id
+LEFT JOIN udim u ON s.user_id = u.user_id"""
+
+
+@register("medallion_run", _medallion_sql())
+def q_medallion_run(spark, sf_dir):
+    """Raw JSON / CSV text -> silver tables (written) -> quality gate ->
+    gold table (partition-scoped upsert), read back."""
+    from strata.plans.catalog_quality import gold_rules
+    from strata.plans.medallion import run_medallion
+    res = run_medallion(spark, landing.event_json_lines(spark, sf_dir),
+                        landing.transaction_csv_lines(spark, sf_dir), landing.user_csv_lines(spark, sf_dir),
+                        new_path(spark, "lake"), gold_rules=gold_rules)
+    return gold.comparable(spark.read.parquet(res.paths["user_session_analysis"]))
