@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from strata.operators import quality as dq
 from strata.plans import gold, silver
-from strata.sources.readers import parse_csv_lines
-from strata.sources.schemas import RAW_TRANSACTION, RAW_USER
+from strata.operators.cleaning import split_corrupt
+from strata.sources.readers import parse_csv_lines, parse_json_lines
+from strata.sources.schemas import CORRUPT_COL, RAW_EVENT, RAW_TRANSACTION, RAW_USER
 from strata.tables import writes
 
 
@@ -43,10 +44,15 @@ def run_medallion(spark: SparkSession, event_lines: DataFrame, transaction_lines
     """Load raw event JSON lines, transaction CSV lines and user CSV lines
     (column ``value``) into silver and gold tables under ``base``."""
     paths = {k: f"{base.rstrip('/')}/{k}" for k in
-             ("events_clean", "quarantine", "transactions_clean", "users_dim", "user_session_analysis")}
+             ("events_bronze", "events_clean", "quarantine", "transactions_clean", "users_dim",
+              "user_session_analysis")}
     res = LoadResult(paths)
 
-    valid, bad = silver.events_from_json(event_lines)
+    # parse once, land as parquet: quarantine and silver then read it with a
+    # pushed-down filter on the corrupt column instead of parsing again
+    res.counts["events_bronze"] = _write_observed(
+        parse_json_lines(event_lines, "value", RAW_EVENT, CORRUPT_COL), paths["events_bronze"], "bronze")
+    valid, bad = split_corrupt(spark.read.parquet(paths["events_bronze"]), CORRUPT_COL)
     writes.quarantine_write(bad, paths["quarantine"])
     events = silver.events_clean(valid, stamp=True, extra_cols=()).withColumn(
         "event_date", F.to_date("event_timestamp"))
