@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.ordered import ordered_path
-
 
 def conversion_by(gold: DataFrame, dims, month_col: str | None = None,
                   flag: str = "has_transaction") -> DataFrame:
@@ -42,11 +40,30 @@ def funnel_from_paths(sessions: DataFrame, steps, path_col: str = "event_types")
     return row.select(F.explode(F.array(*items)).alias("_r")).select("_r.*")
 
 
-def funnel(events: DataFrame, steps, keys, type_col: str, ts_col: str,
-           id_col: str = "event_id") -> DataFrame:
-    """Funnel straight from events: ordered path per session, then
-    ``funnel_from_paths``. Only events of the funnel's types enter the
-    path, which keeps each session's array small."""
-    relevant = events.filter(F.col(type_col).isin(list(steps)))
-    paths = relevant.groupBy(*keys).agg(ordered_path(type_col, ts_col, id_col).alias("_path"))
-    return funnel_from_paths(paths, steps, "_path")
+def funnel(events: DataFrame, steps, keys, type_col: str, ts_col: str) -> DataFrame:
+    """(step, event_type, sessions): sessions reaching each step in order,
+    each step strictly after the previous one (earliest match).
+
+    Computed step by step with bounded state: the earliest time of step 1
+    per session (partial aggregate), then for each next step the events of
+    that type joined to the previous step's time (one row per session, so a
+    hot session only makes the event side skewed, which AQE splits) and
+    reduced to the earliest later time. No per-session list is built.
+    """
+    keys = list(keys)
+    reached = (events.filter(F.col(type_col) == steps[0])
+               .groupBy(*keys).agg(F.min(ts_col).alias("_t")))
+    counts = [reached.agg(F.count(F.lit(1)).alias("sessions")).select(
+        F.lit(1).alias("step"), F.lit(steps[0]).alias("event_type"), "sessions")]
+    for i, step in enumerate(steps[1:], start=2):
+        nxt = (events.filter(F.col(type_col) == step).select(*keys, F.col(ts_col).alias("_ts"))
+               .join(reached, keys, "inner")
+               .filter(F.col("_ts") > F.col("_t"))
+               .groupBy(*keys).agg(F.min("_ts").alias("_t")))
+        counts.append(nxt.agg(F.count(F.lit(1)).alias("sessions")).select(
+            F.lit(i).alias("step"), F.lit(step).alias("event_type"), "sessions"))
+        reached = nxt
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.unionByName(c)
+    return out

@@ -244,3 +244,23 @@ UNION ALL SELECT 3, 'purchase', (SELECT count(*) FROM f2)""")
 def q_funnel(spark, sf_dir):
     e, _, _, _ = silver_inputs(spark, sf_dir)
     return metrics.funnel(e, FUNNEL_STEPS, SESSION_KEYS, "event_type", "event_timestamp")
+
+
+@register("funnel_from_paths", f"""WITH {SQL_SILVER},
+f0 AS (SELECT session_id, user_id, min(ts) AS t0 FROM ev WHERE event_type = 'view'
+       GROUP BY session_id, user_id),
+f1 AS (SELECT e.session_id, e.user_id, min(e.ts) AS t1
+       FROM ev e JOIN f0 ON e.session_id = f0.session_id AND e.user_id = f0.user_id
+       WHERE e.event_type = 'click' AND e.ts > f0.t0 GROUP BY e.session_id, e.user_id),
+f2 AS (SELECT e.session_id, e.user_id, min(e.ts) AS t2
+       FROM ev e JOIN f1 ON e.session_id = f1.session_id AND e.user_id = f1.user_id
+       WHERE e.event_type = 'purchase' AND e.ts > f1.t1 GROUP BY e.session_id, e.user_id)
+SELECT 1 AS step, 'view' AS event_type, (SELECT count(*) FROM f0) AS sessions
+UNION ALL SELECT 2, 'click', (SELECT count(*) FROM f1)
+UNION ALL SELECT 3, 'purchase', (SELECT count(*) FROM f2)""")
+def q_funnel_from_paths(spark, sf_dir):
+    """The same funnel read from the gold table's stored ordered path
+    (one pass over gold, no shuffle)."""
+    e, t, u, bound = silver_inputs(spark, sf_dir)
+    g = gold.user_session_analysis(e, t, u, bound, stamp=False)
+    return metrics.funnel_from_paths(g, FUNNEL_STEPS, "event_types")
