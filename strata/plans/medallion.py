@@ -19,6 +19,7 @@ from strata.plans import gold, silver
 from strata.operators.cleaning import split_corrupt
 from strata.sources.readers import parse_csv_lines, parse_json_lines
 from strata.sources.schemas import CORRUPT_COL, RAW_EVENT, RAW_TRANSACTION, RAW_USER
+from strata.session import new_path
 from strata.tables import writes
 
 
@@ -67,9 +68,14 @@ def run_medallion(spark: SparkSession, event_lines: DataFrame, transaction_lines
     e = spark.read.parquet(paths["events_clean"])
     t = spark.read.parquet(paths["transactions_clean"])
     u = spark.read.parquet(paths["users_dim"])
+    # compute gold once: stage it, gate the staged table, upsert from it
+    staged = new_path(spark, "gold_staged")
     g = gold.user_session_analysis(e, t, u, users_bound=u)
+    res.counts["gold_staged"] = _write_observed(g, staged, "gold", "session_date")
+    g = spark.read.parquet(staged)
     if gold_rules is not None:
         dq.fail_fast(dq.run_rules(g, gold_rules(u)))
     res.touched_dates = writes.upsert_partitions(spark, paths["user_session_analysis"], g,
-                                                 ["session_id", "user_id"], "session_date")
+                                                 ["session_id", "user_id"], "session_date",
+                                                 staged_path=staged)
     return res

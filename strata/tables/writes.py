@@ -90,7 +90,8 @@ _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, keys, partition_col: str,
-                      check_cardinality: bool = True, order_col: str | None = None) -> list:
+                      check_cardinality: bool = True, order_col: str | None = None,
+                      staged_path: str | None = None) -> list:
     """Idempotent partition-scoped upsert into a live partitioned table.
 
     Touched partitions are those of the updates plus those where a matched
@@ -99,6 +100,8 @@ def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, keys,
     partitions are read (partition pruning), merged, staged and swapped in.
     ``order_col`` as in ``merge_upsert``. Re-running the same upsert gives
     the same table (idempotent), so a retried micro-batch is harmless.
+    ``staged_path``: ``updates`` is already a table written there,
+    partitioned by ``partition_col`` (it is then not written again).
 
     Jobs: stage the updates (partitioned, so their partition values are a
     folder listing); one join of the target's keys with per-key update
@@ -112,9 +115,13 @@ def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, keys,
     if not table_exists(spark, path):
         write_partitioned(updates, path, partition_col, keys)
         return list_partitions(spark, path, partition_col)
-    staged_updates = new_path(spark, "updates")
-    updates.write.partitionBy(partition_col).parquet(staged_updates)
-    updates = spark.read.parquet(staged_updates)
+    if staged_path is None:
+        staged_updates = new_path(spark, "updates")
+        updates.write.partitionBy(partition_col).parquet(staged_updates)
+        updates = spark.read.parquet(staged_updates)
+    else:
+        # the caller already wrote ``updates`` partitioned by partition_col here
+        staged_updates = staged_path
     target = spark.read.parquet(path)
 
     per_key = updates.filter(_all_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
