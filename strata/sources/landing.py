@@ -79,11 +79,12 @@ def app_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def app_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw users: user_id, signup_date (timestamp), device_type, country.
 
-    nation is a fixed 25-row dimension; the planner broadcasts it by size.
+    nation (25 rows) is broadcast after its size check.
     The first order date per customer is a partial (map-side) aggregate.
     """
+    from strata.operators.joins import broadcast_if_small
     c = table(spark, sf_dir, "customer")
-    n = table(spark, sf_dir, "nation")
+    n = broadcast_if_small(table(spark, sf_dir, "nation"))
     first_order = (table(spark, sf_dir, "orders")
                    .groupBy("o_custkey").agg(F.min("o_orderdate").alias("first_order")))
     return (c.join(n, c.c_nationkey == n.n_nationkey, "left")
