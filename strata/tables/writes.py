@@ -107,13 +107,21 @@ def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, keys,
     folder listing); one join of the target's keys with per-key update
     counts gives both the cardinality check and the partitions of matched
     rows (one row per partition comes back to the driver); stage the merged
-    partitions; swap them in. Returns the touched partition values (text).
+    partitions; swap the staged partition folders in by rename (no second
+    copy of the data). Returns the touched partition values (text).
+
+    On a first load with ``staged_path`` the staged partition folders are
+    moved into the new table, so that folder is consumed.
     """
     from strata.sources.readers import table_exists
 
     keys = list(keys)
     if not table_exists(spark, path):
-        write_partitioned(updates, path, partition_col, keys)
+        if staged_path is None:
+            write_partitioned(updates, path, partition_col, keys)
+        else:
+            swap_partitions(spark, staged_path, path, partition_col,
+                            list_partitions(spark, staged_path, partition_col))
         return list_partitions(spark, path, partition_col)
     if staged_path is None:
         staged_updates = new_path(spark, "updates")
@@ -140,36 +148,66 @@ def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, keys,
     merged = merge_upsert(target.filter(in_touched), updates, keys, order_col)
     staging = new_path(spark, "staging")
     write_partitioned(merged, staging, partition_col, keys)
-    write_partitioned(spark.read.parquet(staging), path, partition_col, keys)
-    present = set(list_partitions(spark, staging, partition_col))
-    for value in touched:
-        if value not in present:
-            _delete(spark, f"{path.rstrip('/')}/{partition_col}={value}")
+    swap_partitions(spark, staging, path, partition_col, touched)
+    _, staging_root, fs = _fs(spark, staging)
+    fs.delete(staging_root, True)
     return touched
 
 
-def list_partitions(spark: SparkSession, path: str, partition_col: str) -> list:
-    """Partition values of a table folder, from the folder listing (no job)."""
+def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return jvm, p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _partition_dirs(spark: SparkSession, path: str, partition_col: str) -> dict:
+    """Partition value (text) -> folder name, from the folder listing."""
+    jvm, p, fs = _fs(spark, path)
     if not fs.exists(p):
-        return []
+        return {}
     prefix = f"{partition_col}="
-    out = []
+    out = {}
     for st in fs.listStatus(p):
         name = st.getPath().getName()
         if st.isDirectory() and name.startswith(prefix):
-            out.append(jvm.java.net.URLDecoder.decode(name[len(prefix):], "UTF-8"))
-    return sorted(out)
+            out[jvm.java.net.URLDecoder.decode(name[len(prefix):], "UTF-8")] = name
+    return out
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(p):
-        fs.delete(p, True)
+def swap_partitions(spark: SparkSession, staging: str, path: str, partition_col: str, values) -> None:
+    """Make partitions ``values`` of the table at ``path`` those staged at
+    ``staging``, by folder renames (file-system metadata only; no data is
+    read or written). A value with no staged folder is removed from the
+    table (its rows all moved elsewhere).
+
+    Each live folder is first moved aside into the shared folder, then the
+    staged one moved in, then the old one deleted: at no point is a
+    partition's only copy deleted (the same delete-and-rename a dynamic
+    partition overwrite commit performs, with the old copy kept until the
+    new one is in place).
+    """
+    jvm, live_root, fs = _fs(spark, path)
+    Path = jvm.org.apache.hadoop.fs.Path
+    fs.mkdirs(live_root)
+    live = _partition_dirs(spark, path, partition_col)
+    staged = _partition_dirs(spark, staging, partition_col)
+    aside = Path(new_path(spark, "replaced"))
+    fs.mkdirs(aside)
+    for value in values:
+        if value in live:
+            src = Path(live_root, live[value])
+            if not fs.rename(src, Path(aside, live[value])):
+                raise OSError(f"could not move {src} aside")
+        if value in staged:
+            src = Path(Path(staging), staged[value])
+            if not fs.rename(src, Path(live_root, staged[value])):
+                raise OSError(f"could not move {src} into {path}")
+    fs.delete(aside, True)
+
+
+def list_partitions(spark: SparkSession, path: str, partition_col: str) -> list:
+    """Partition values of a table folder, from the folder listing (no job)."""
+    return sorted(_partition_dirs(spark, path, partition_col))
 
 
 def merge_into_catalog(updates: DataFrame, table: str, keys) -> None:
