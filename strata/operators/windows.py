@@ -1,59 +1,148 @@
-"""Per-key time-window features that stay parallel under a hot key.
+"""Per-key time-window features that stay parallel and linear under a hot
+key.
 
 A plain ``Window.partitionBy(user)`` puts every row of one user in one
-task. Both operators here partition by (key, time bucket) instead:
+task, and a sliding RANGE frame re-aggregates its whole buffer whenever a
+row leaves it: O(n^2) for a key with n rows in a frame. Both operators here
+are prefix sums instead, distributed over (key, time bucket):
 
 * ``trailing`` — RANGE frames [ts - width, ts] (peers included, as SQL
-  RANGE). Each row is copied into its own bucket and the next
-  ``ceil(width / bucket)`` buckets as context; frames are evaluated per
-  (key, bucket) and only the native, target rows are kept. Work per task is
-  bounded by (1 + k) buckets of one key; data is replicated (1 + k) times.
+  RANGE) as a sweep: every row adds its value at its time and takes it
+  back at time + width + 1 us; a distinct count adds 1 at each occurrence
+  of a value and takes it back at the value's next occurrence or at
+  time + width + 1 us, whichever comes first. The frame aggregate of a
+  row is the prefix sum of all changes at or before its time.
 * ``running`` — ROWS UNBOUNDED PRECEDING totals as a distributed prefix
   sum: a running sum inside each (key, bucket) plus the cumulative total of
   the key's earlier buckets (a small per-(key, bucket) table).
 
 Exact: no row is dropped or sampled; results equal the single-partition
-window.
+window (sums need an exact type: integer or decimal).
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DAY = 86_400
 HOUR = 3_600
 _US = 1_000_000
+_NEVER = 2**62  # later than any timestamp in microseconds
 
 
 def _micros(ts: str) -> Column:
     return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
-def trailing(df: DataFrame, key: str, ts: str, frames: dict, bucket_seconds: int = DAY,
+def _next_occurrence(occ: DataFrame, keys: list, bucket_us: int) -> DataFrame:
+    """For (keys..., _v, _t_us) rows add ``_next``: the time of the next row
+    of the same (keys, value) in time order, or NULL. Found inside the row's time
+    bucket with ``lead``, else as the first time of the value's next
+    non-empty bucket (from a small per-(keys, value, bucket) table), so a
+    hot key is spread over its buckets."""
+    part = [*keys, "_v"]
+    occ = occ.withColumn("_nb", F.floor(F.col("_t_us") / F.lit(bucket_us)))
+    inside = occ.withColumn("_in", F.lead("_t_us").over(
+        Window.partitionBy(*part, "_nb").orderBy("_t_us")))
+    later = (occ.groupBy(*part, "_nb").agg(F.min("_t_us").alias("_bmin"))
+             .select(*part, "_nb", F.min("_bmin").over(
+                 Window.partitionBy(*part).orderBy("_nb").rowsBetween(1, Window.unboundedFollowing)
+             ).alias("_after")))
+    return (inside.join(later, [*part, "_nb"], "inner")
+            .withColumn("_next", F.coalesce("_in", "_after")).drop("_in", "_after", "_nb"))
+
+
+def trailing(df: DataFrame, key: str, ts: str, frames: dict, bucket_seconds: int = HOUR,
              target: Column | None = None) -> DataFrame:
     """Add trailing-window aggregates to the target rows of ``df``.
 
-    ``frames``: name -> (width_seconds, aggregate Column), e.g.
-    ``{"spent_24h": (DAY, F.sum("cents"))}``. ``target`` marks the rows that
-    get output (default: all); other rows only feed the frames.
+    ``frames``: name -> (width_seconds, kind, Column) with kind ``sum``
+    (NULL when the frame holds no value), ``count`` (non-NULL values) or
+    ``distinct`` (distinct non-NULL values; compared as text when the
+    distinct columns differ in type), e.g.
+    ``{"spent_24h": (DAY, "sum", F.col("cents"))}``. ``target`` marks the
+    rows that get output (default: all); other rows only feed the frames.
+    ``bucket_seconds``: time bucket of the distributed prefix sum.
+
+    Three branches feed one prefix sum per key: the target rows; one
+    ``explode`` per row giving its additions and its removals (one per
+    frame width) for all sum / count frames; and, for all distinct frames
+    together, each distinct (value, time) with its removal at the next
+    occurrence of the value or at time + width + 1 us.
     """
-    widest = max(w for w, _ in frames.values())
-    k = max(1, math.ceil(widest / bucket_seconds))
     tgt = F.lit(True) if target is None else F.coalesce(target, F.lit(False))
-    rows = (df.withColumn("_t_us", _micros(ts))
-            .withColumn("_is_target", tgt)
-            .withColumn("_b0", F.floor(F.col("_t_us") / F.lit(bucket_seconds * _US)))
-            .withColumn("_j", F.explode(F.sequence(F.lit(0), F.lit(k))))
-            .withColumn("_b", F.col("_b0") + F.col("_j")))
-    base = Window.partitionBy(key, "_b").orderBy("_t_us")
-    out = rows.withColumns({
-        name: agg.over(base.rangeBetween(-width * _US, 0)) for name, (width, agg) in frames.items()
-    })
-    return (out.filter((F.col("_j") == 0) & F.col("_is_target"))
-            .drop("_t_us", "_is_target", "_b0", "_j", "_b"))
+    rows = df.withColumn("_t_us", _micros(ts))
+    types = {n: rows.select(c.alias("_v")).schema["_v"].dataType for n, (_, _, c) in frames.items()}
+    zero = {}
+    for name, (_, kind, _) in frames.items():
+        if kind == "sum":
+            if not isinstance(types[name], (T.IntegralType, T.DecimalType)):
+                raise ValueError(f"trailing sum {name}: needs an exact type (integer or decimal), "
+                                 f"got {types[name]}")
+            zero[f"_d_{name}"] = F.lit(0).cast(types[name])
+            zero[f"_n_{name}"] = F.lit(0).cast("long")
+        elif kind in ("count", "distinct"):
+            zero[f"_d_{name}"] = F.lit(0).cast("long")
+        else:
+            raise ValueError(f"unknown trailing kind {kind!r}")
+    changes = []
+
+    def entry(at: Column, deltas: dict) -> Column:
+        return F.struct(at.alias("_time"), *[deltas.get(n, z).alias(n) for n, z in zero.items()])
+
+    simple = {n: f for n, f in frames.items() if f[1] != "distinct"}
+    if simple:
+        add, widths = {}, {}
+        for name, (width, kind, col) in simple.items():
+            present = col.isNotNull().cast("long")
+            if kind == "sum":
+                add[f"_d_{name}"] = F.coalesce(col, zero[f"_d_{name}"])
+                add[f"_n_{name}"] = present
+                widths.setdefault(width, []).extend([f"_d_{name}", f"_n_{name}"])
+            else:
+                add[f"_d_{name}"] = present
+                widths.setdefault(width, []).append(f"_d_{name}")
+        entries = [entry(F.col("_t_us"), add)]
+        for width, names in sorted(widths.items()):
+            entries.append(entry(F.col("_t_us") + F.lit(width * _US + 1), {n: -add[n] for n in names}))
+        any_value = F.lit(False)
+        for _, _, col in simple.values():
+            any_value = any_value | col.isNotNull()
+        changes.append(rows.filter(any_value).select(key, F.explode(F.array(*entries)).alias("_c"))
+                       .select(key, "_c.*"))
+
+    distinct = {n: f for n, f in frames.items() if f[1] == "distinct"}
+    if distinct:
+        as_text = len({types[n] for n in distinct}) > 1
+        options = [F.struct(F.lit(i).alias("_f"), (c.cast("string") if as_text else c).alias("_v"),
+                            F.lit(w * _US + 1).cast("long").alias("_w"))
+                   for i, (w, _, c) in enumerate(distinct.values())]
+        src = (rows.select(key, "_t_us", F.explode(F.array(*options)).alias("_o"))
+               .select(key, "_t_us", "_o.*").filter(F.col("_v").isNotNull()))
+        # no distinct needed: of equal (value, time) copies all but the last
+        # in lead order end at their own time, so they add nothing
+        occ = _next_occurrence(src, [key, "_f", "_w"], bucket_seconds * _US)
+        until = F.least(F.coalesce(F.col("_next"), F.lit(_NEVER)), F.col("_t_us") + F.col("_w"))
+        plus = {f"_d_{n}": F.when(F.col("_f") == i, 1).otherwise(0).cast("long")
+                for i, n in enumerate(distinct)}
+        changes.append(occ.select(key, F.explode(F.array(
+            entry(F.col("_t_us"), plus), entry(until, {n: -v for n, v in plus.items()}))).alias("_c"))
+            .select(key, "_c.*"))
+
+    # query rows sort after the changes at the same time: peers are included
+    sweep = (rows.filter(tgt).withColumn("_time", F.col("_t_us")).drop("_t_us")
+             .withColumns(zero).withColumn("_q", F.lit(1)))
+    for c in changes:
+        sweep = sweep.unionByName(c.withColumn("_q", F.lit(0)), allowMissingColumns=True)
+    out = prefix(sweep, key, F.col("_time"), "_q", {n: ("sum", F.col(n)) for n in zero},
+                 bucket_seconds * _US).filter(F.col("_q") == 1)
+    result = {}
+    for name, (_, kind, _) in frames.items():
+        v = F.col(f"_d_{name}")
+        result[name] = F.when(F.col(f"_n_{name}") > 0, v) if kind == "sum" else v
+    return out.withColumns(result).drop("_time", "_q", *zero)
 
 
 def running(df: DataFrame, key: str, ts: str, tiebreak: str, sums: dict,

@@ -22,9 +22,9 @@ from strata.operators.windows import DAY, HOUR, running, trailing
 
 
 def behaviour(events: DataFrame, transactions: DataFrame, keep=()) -> DataFrame:
-    """Trailing-window features for every transaction, from one replicated
-    (user, day) partitioning of events and transactions together. Columns
-    in ``keep`` are carried through from the transactions."""
+    """Trailing-window features for every transaction, from one sweep over
+    the events and transactions of each user. Columns in ``keep`` are
+    carried through from the transactions."""
     keep = [c for c in keep if c not in ("transaction_id", "user_id")]
     types = {f.name: f.dataType for f in transactions.schema.fields}
     ev = events.select(
@@ -36,17 +36,18 @@ def behaviour(events: DataFrame, transactions: DataFrame, keep=()) -> DataFrame:
         "user_id", F.col("transaction_timestamp").alias("ts"), F.lit(None).cast("string").alias("session_id"),
         F.lit(None).cast("string").alias("event_type"), cents("amount").alias("cents"),
         "transaction_id", *keep, F.lit(True).alias("_tx"))
-    # count(distinct) is not allowed over a window frame: size of the set instead
+    # trailing frames as one linear sweep per (user, hour bucket): no sliding
+    # frame re-aggregation, no replicated rows (see operators.windows)
     frames = {
-        "_sessions": (DAY, F.collect_set("session_id")),
-        "_types": (DAY, F.collect_set("event_type")),
-        "_cents": (DAY, F.sum("cents")),
-        "transactions_last_hour": (HOUR, F.count("transaction_id")),
+        "_sessions": (DAY, "distinct", F.col("session_id")),
+        "_types": (DAY, "distinct", F.col("event_type")),
+        "_cents": (DAY, "sum", F.col("cents")),
+        "transactions_last_hour": (HOUR, "count", F.col("transaction_id")),
     }
-    out = trailing(ev.unionByName(tx), "user_id", "ts", frames, bucket_seconds=DAY, target=F.col("_tx"))
+    out = trailing(ev.unionByName(tx), "user_id", "ts", frames, bucket_seconds=HOUR, target=F.col("_tx"))
     return out.select("transaction_id", "user_id", *keep,
-                      F.size("_sessions").alias("sessions_24h"),
-                      F.size("_types").alias("distinct_event_types_24h"),
+                      F.col("_sessions").cast("int").alias("sessions_24h"),
+                      F.col("_types").cast("int").alias("distinct_event_types_24h"),
                       (F.coalesce(F.col("_cents"), F.lit(0)) / 100.0).alias("spent_24h"),
                       "transactions_last_hour")
 

@@ -25,14 +25,14 @@ def _fixture(spark, n=600, seed=7):
 
 def test_trailing_equals_range_window(spark):
     df = _fixture(spark)
-    frames = {"s24": (DAY, F.sum("cents")), "c1": (HOUR, F.count("id")), "set24": (DAY, F.collect_set("cents"))}
-    got = trailing(df, "user", "ts", frames, bucket_seconds=6 * HOUR).select(
-        "id", "s24", "c1", F.size("set24").alias("d24"))
+    frames = {"s24": (DAY, "sum", F.col("cents")), "c1": (HOUR, "count", F.col("id")),
+              "d24": (DAY, "distinct", F.col("cents") % 7)}
+    got = trailing(df, "user", "ts", frames, bucket_seconds=6 * HOUR).select("id", "s24", "c1", "d24")
     w = Window.partitionBy("user").orderBy(F.unix_micros("ts"))
     exp = df.select("id",
                     F.sum("cents").over(w.rangeBetween(-DAY * 10**6, 0)).alias("s24"),
                     F.count("id").over(w.rangeBetween(-HOUR * 10**6, 0)).alias("c1"),
-                    F.size(F.collect_set("cents").over(w.rangeBetween(-DAY * 10**6, 0))).alias("d24"))
+                    F.size(F.collect_set(F.col("cents") % 7).over(w.rangeBetween(-DAY * 10**6, 0))).alias("d24"))
     assert sorted(got.collect()) == sorted(exp.collect())
 
 
@@ -48,3 +48,32 @@ def test_running_and_prefix_equal_rows_window(spark):
     w2 = Window.partitionBy("user").orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
     exp_max = df.select("id", F.max("cents").over(w2).alias("m"))
     assert sorted(got_max.select("id", "m").collect()) == sorted(exp_max.collect())
+
+
+def test_trailing_targets_nulls_and_small_buckets(spark):
+    """Only target rows are output; NULL values feed no frame; a sum over a
+    frame without values is NULL; buckets narrower than the frame."""
+    df = _fixture(spark).withColumn("v", F.when(F.col("id") % 4 == 0, F.lit(None)).otherwise(F.col("cents")))
+    frames = {"s": (2 * HOUR, "sum", F.col("v")), "n": (2 * HOUR, "count", F.col("v")),
+              "d": (3 * HOUR, "distinct", F.col("v") % 3)}
+    got = trailing(df, "user", "ts", frames, bucket_seconds=600, target=F.col("id") % 5 == 0).select(
+        "id", "s", "n", "d")
+    w = Window.partitionBy("user").orderBy(F.unix_micros("ts"))
+    exp = df.select("id",
+                    F.sum("v").over(w.rangeBetween(-2 * HOUR * 10**6, 0)).alias("s"),
+                    F.count("v").over(w.rangeBetween(-2 * HOUR * 10**6, 0)).alias("n"),
+                    F.size(F.collect_set(F.col("v") % 3).over(w.rangeBetween(-3 * HOUR * 10**6, 0))).alias("d"),
+                    ).filter(F.col("id") % 5 == 0)
+    assert sorted(got.collect()) == sorted(exp.collect())
+
+
+def test_trailing_distinct_with_duplicate_rows(spark):
+    """Repeated (key, value, time) rows: the distinct count is unchanged."""
+    df = _fixture(spark)
+    dup = df.unionByName(df.filter(F.col("id") % 3 == 0).withColumn("id", F.col("id") + 100_000))
+    frames = {"d": (DAY, "distinct", F.col("cents") % 5), "n": (HOUR, "count", F.col("cents"))}
+    got = trailing(dup, "user", "ts", frames, bucket_seconds=2 * HOUR).select("id", "d", "n")
+    w = Window.partitionBy("user").orderBy(F.unix_micros("ts"))
+    exp = dup.select("id", F.size(F.collect_set(F.col("cents") % 5).over(w.rangeBetween(-DAY * 10**6, 0))).alias("d"),
+                     F.count("cents").over(w.rangeBetween(-HOUR * 10**6, 0)).alias("n"))
+    assert sorted(got.collect()) == sorted(exp.collect())
