@@ -1,6 +1,7 @@
 """One end-to-end load: raw text -> silver tables -> gold table.
 
-A plain function, no scheduler: each layer is written (so the next layer
+A plain function, no scheduler: the three silver loads run as concurrent
+Spark jobs, each layer is written (so the next layer
 reads a table, not a lineage), row counts come from ``observe`` during the
 writes (no extra pass), data quality gates the gold write, and gold is kept
 with the idempotent partition-scoped upsert, so a re-run (e.g. with late
@@ -9,6 +10,7 @@ events) rewrites only touched dates.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -49,21 +51,30 @@ def run_medallion(spark: SparkSession, event_lines: DataFrame, transaction_lines
               "user_session_analysis")}
     res = LoadResult(paths)
 
-    # parse once, land as parquet: quarantine and silver then read it with a
-    # pushed-down filter on the corrupt column instead of parsing again
-    res.counts["events_bronze"] = _write_observed(
-        parse_json_lines(event_lines, "value", RAW_EVENT, CORRUPT_COL), paths["events_bronze"], "bronze")
-    valid, bad = split_corrupt(spark.read.parquet(paths["events_bronze"]), CORRUPT_COL)
-    writes.quarantine_write(bad, paths["quarantine"])
-    events = silver.events_clean(valid, stamp=True, extra_cols=()).withColumn(
-        "event_date", F.to_date("event_timestamp"))
-    res.counts["events_clean"] = _write_observed(events, paths["events_clean"], "events", "event_date")
-
-    tx = silver.transactions_clean(parse_csv_lines(transaction_lines, "value", RAW_TRANSACTION), stamp=True)
-    res.counts["transactions_clean"] = _write_observed(tx, paths["transactions_clean"], "tx")
-
-    users = silver.users_dim(parse_csv_lines(user_lines, "value", RAW_USER), stamp=True)
-    res.counts["users_dim"] = _write_observed(users, paths["users_dim"], "users")
+    def load_events() -> None:
+        # parse once, land as parquet: quarantine and silver then read it with a
+        # pushed-down filter on the corrupt column instead of parsing again
+        res.counts["events_bronze"] = _write_observed(
+            parse_json_lines(event_lines, "value", RAW_EVENT, CORRUPT_COL), paths["events_bronze"], "bronze")
+        valid, bad = split_corrupt(spark.read.parquet(paths["events_bronze"]), CORRUPT_COL)
+        writes.quarantine_write(bad, paths["quarantine"])
+        events = silver.events_clean(valid, stamp=True, extra_cols=()).withColumn(
+            "event_date", F.to_date("event_timestamp"))
+        res.counts["events_clean"] = _write_observed(events, paths["events_clean"], "events", "event_date")
+
+    def load_transactions() -> None:
+        tx = silver.transactions_clean(parse_csv_lines(transaction_lines, "value", RAW_TRANSACTION), stamp=True)
+        res.counts["transactions_clean"] = _write_observed(tx, paths["transactions_clean"], "tx")
+
+    def load_users() -> None:
+        users = silver.users_dim(parse_csv_lines(user_lines, "value", RAW_USER), stamp=True)
+        res.counts["users_dim"] = _write_observed(users, paths["users_dim"], "users")
+
+    # the three silver loads are independent: submit them as concurrent
+    # Spark jobs (one driver thread each); gold starts when all are written
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        for f in [pool.submit(load_events), pool.submit(load_transactions), pool.submit(load_users)]:
+            f.result()
 
     e = spark.read.parquet(paths["events_clean"])
     t = spark.read.parquet(paths["transactions_clean"])
