@@ -300,3 +300,14 @@ def q_row_counts(spark, sf_dir):
         c = df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(stage).alias("stage"), "row_count")
         out = c if out is None else out.unionByName(c)
     return out
+
+
+@register("stamp_processing_time", f"""WITH {SQL_LINES}
+SELECT count(*) AS rows, 1 AS distinct_stamps, true AS all_stamped FROM dedup""")
+def q_stamp_processing_time(spark, sf_dir):
+    """Audit column: one processing time per load, on every silver row (the
+    stamp itself differs per run, so only its shape is compared)."""
+    df = silver.events_clean(valid_events(spark, sf_dir), stamp=True, extra_cols=())
+    return df.agg(F.count(F.lit(1)).alias("rows"),
+                  F.count_distinct("processing_timestamp").alias("distinct_stamps"),
+                  F.bool_and(F.col("processing_timestamp").isNotNull()).alias("all_stamped"))
