@@ -113,3 +113,11 @@ def test_medallion_counts_and_rerun(spark, tmp_path):
     again = run_medallion(spark, *lines, base)
     assert again.touched_dates == res.touched_dates
     assert sorted(spark.read.parquet(gold_path).drop("processing_timestamp").collect()) == first_rows
+
+
+def test_table_exists_paths(spark, tmp_table):
+    from strata.sources.readers import table_exists
+    assert not table_exists(spark, tmp_table)
+    spark.range(3).write.parquet(tmp_table)
+    assert table_exists(spark, tmp_table)
+    assert not table_exists(spark, "strata_no_such_table")
