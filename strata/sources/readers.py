@@ -25,7 +25,10 @@ def parse_json_lines(df: DataFrame, text_col: str = "value", schema: T.StructTyp
     """Parse a column of JSON text; a malformed line keeps its raw text in
     ``corrupt_col`` and NULL in every field."""
     parsed = F.from_json(F.col(text_col), schema, json_options(corrupt_col))
-    return df.select(*(keep or []), parsed.alias("_j")).select(*(keep or []), "_j.*")
+    # ``inline`` (a generator) stops filters on the fields from being pushed
+    # below the parse, where each would carry its own copy of from_json
+    # (pruned to one field, so not shared): one parse per line
+    return df.select(*(keep or []), F.inline(F.array(parsed)))
 
 
 def read_events_json(spark: SparkSession, path: str, schema: T.StructType = RAW_EVENT,
@@ -46,7 +49,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool
 
 def parse_csv_lines(df: DataFrame, text_col: str, schema: T.StructType) -> DataFrame:
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    return df.select(F.from_csv(F.col(text_col), ddl).alias("_c")).select("_c.*")
+    # one parse per line: see parse_json_lines
+    return df.select(F.inline(F.array(F.from_csv(F.col(text_col), ddl))))
 
 
 def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
