@@ -55,7 +55,8 @@ def _next_occurrence(occ: DataFrame, keys: list, bucket_us: int) -> DataFrame:
 
 
 def trailing(df: DataFrame, key: str, ts: str, frames: dict, bucket_seconds: int = HOUR,
-             target: Column | None = None) -> DataFrame:
+             target: Column | None = None, running: dict | None = None,
+             tiebreak: str | None = None) -> DataFrame:
     """Add trailing-window aggregates to the target rows of ``df``.
 
     ``frames``: name -> (width_seconds, kind, Column) with kind ``sum``
@@ -65,6 +66,11 @@ def trailing(df: DataFrame, key: str, ts: str, frames: dict, bucket_seconds: int
     ``{"spent_24h": (DAY, "sum", F.col("cents"))}``. ``target`` marks the
     rows that get output (default: all); other rows only feed the frames.
     ``bucket_seconds``: time bucket of the distributed prefix sum.
+    ``running``: name -> Column (exact type; NULL counts as 0) summed over
+    the target rows of the key up to and including this one in
+    (ts, ``tiebreak``) order, as ROWS UNBOUNDED PRECEDING over the target
+    rows: carried by the same sweep, so running totals need no second
+    prefix pass.
 
     Three branches feed one prefix sum per key: the target rows; one
     ``explode`` per row giving its additions and its removals (one per
@@ -87,6 +93,14 @@ def trailing(df: DataFrame, key: str, ts: str, frames: dict, bucket_seconds: int
             zero[f"_d_{name}"] = F.lit(0).cast("long")
         else:
             raise ValueError(f"unknown trailing kind {kind!r}")
+    running = running or {}
+    carried = {}
+    for name, col in running.items():
+        rt = rows.select(col.alias("_v")).schema["_v"].dataType
+        if not isinstance(rt, (T.IntegralType, T.DecimalType)):
+            raise ValueError(f"running sum {name}: needs an exact type (integer or decimal), got {rt}")
+        zero[f"_r_{name}"] = F.lit(0).cast(rt)
+        carried[f"_r_{name}"] = F.coalesce(col, F.lit(0).cast(rt))
     changes = []
 
     def entry(at: Column, deltas: dict) -> Column:
@@ -131,18 +145,24 @@ def trailing(df: DataFrame, key: str, ts: str, frames: dict, bucket_seconds: int
             entry(F.col("_t_us"), plus), entry(until, {n: -v for n, v in plus.items()}))).alias("_c"))
             .select(key, "_c.*"))
 
-    # query rows sort after the changes at the same time: peers are included
+    # query rows sort after the changes at the same time (peers are
+    # included), and among themselves by ``tiebreak`` (running totals)
+    tb = F.col(tiebreak) if tiebreak else F.lit(0)
     sweep = (rows.filter(tgt).withColumn("_time", F.col("_t_us")).drop("_t_us")
-             .withColumns(zero).withColumn("_q", F.lit(1)))
+             .withColumns(zero).withColumns(carried)
+             .withColumn("_qt", F.struct(F.lit(1).alias("q"), tb.alias("t"))))
     for c in changes:
-        sweep = sweep.unionByName(c.withColumn("_q", F.lit(0)), allowMissingColumns=True)
-    out = prefix(sweep, key, F.col("_time"), "_q", {n: ("sum", F.col(n)) for n in zero},
-                 bucket_seconds * _US).filter(F.col("_q") == 1)
-    result = {}
+        sweep = sweep.unionByName(c.withColumns({n: zero[n] for n in carried})
+                                  .withColumn("_qt", F.struct(F.lit(0).alias("q"), F.lit(None).cast(
+                                      sweep.schema["_qt"].dataType["t"].dataType).alias("t"))),
+                                  allowMissingColumns=True)
+    out = prefix(sweep, key, F.col("_time"), "_qt", {n: ("sum", F.col(n)) for n in zero},
+                 bucket_seconds * _US).filter(F.col("_qt.q") == 1)
+    result = {name: F.col(f"_r_{name}") for name in running}
     for name, (_, kind, _) in frames.items():
         v = F.col(f"_d_{name}")
         result[name] = F.when(F.col(f"_n_{name}") > 0, v) if kind == "sum" else v
-    return out.withColumns(result).drop("_time", "_q", *zero)
+    return out.withColumns(result).drop("_time", "_qt", *zero)
 
 
 def running(df: DataFrame, key: str, ts: str, tiebreak: str, sums: dict,

@@ -21,10 +21,12 @@ from strata.operators.joins import broadcast_if_small
 from strata.operators.windows import DAY, HOUR, running, trailing
 
 
-def behaviour(events: DataFrame, transactions: DataFrame, keep=()) -> DataFrame:
+def behaviour(events: DataFrame, transactions: DataFrame, keep=(), with_running: bool = False) -> DataFrame:
     """Trailing-window features for every transaction, from one sweep over
     the events and transactions of each user. Columns in ``keep`` are
-    carried through from the transactions."""
+    carried through from the transactions. ``with_running``: the same sweep
+    also adds the running cents total ``_cum`` and ``running_count`` of the
+    user's transactions in (timestamp, transaction_id) order."""
     keep = [c for c in keep if c not in ("transaction_id", "user_id")]
     types = {f.name: f.dataType for f in transactions.schema.fields}
     ev = events.select(
@@ -44,8 +46,10 @@ def behaviour(events: DataFrame, transactions: DataFrame, keep=()) -> DataFrame:
         "_cents": (DAY, "sum", F.col("cents")),
         "transactions_last_hour": (HOUR, "count", F.col("transaction_id")),
     }
-    out = trailing(ev.unionByName(tx), "user_id", "ts", frames, bucket_seconds=HOUR, target=F.col("_tx"))
-    return out.select("transaction_id", "user_id", *keep,
+    running = {"_cum": F.col("cents"), "running_count": F.lit(1).cast("long")} if with_running else None
+    out = trailing(ev.unionByName(tx), "user_id", "ts", frames, bucket_seconds=HOUR, target=F.col("_tx"),
+                   running=running, tiebreak="transaction_id")
+    return out.select("transaction_id", "user_id", *keep, *(["_cum", "running_count"] if with_running else []),
                       F.col("_sessions").cast("int").alias("sessions_24h"),
                       F.col("_types").cast("int").alias("distinct_event_types_24h"),
                       (F.coalesce(F.col("_cents"), F.lit(0)) / 100.0).alias("spent_24h"),
@@ -57,14 +61,19 @@ def add_velocity(tx: DataFrame) -> DataFrame:
     transaction_id, user_id, transaction_timestamp, amount): lifetime_value
     (this and earlier transactions) and the deviation of the amount from the
     mean of earlier amounts (NULL for a user's first transaction)."""
-    r = running(tx.withColumn("_cents", cents("amount")), "user_id", "transaction_timestamp",
-                "transaction_id", {"_cum": F.col("_cents")})
+    r = running(tx, "user_id", "transaction_timestamp", "transaction_id", {"_cum": cents("amount")})
+    return _velocity_columns(r)
+
+
+def _velocity_columns(r: DataFrame) -> DataFrame:
+    """lifetime_value and amount_deviation_from_avg from the running cents
+    total ``_cum`` and ``running_count`` (this and earlier transactions)."""
     prev_n = F.col("running_count") - 1
-    prev_cents = F.col("_cum") - F.col("_cents")
+    prev_cents = F.col("_cum") - cents("amount")
     return (r.withColumn("lifetime_value", F.col("_cum") / 100.0)
             .withColumn("amount_deviation_from_avg",
-                        F.when(prev_n > 0, (F.col("_cents") * prev_n - prev_cents) / (prev_n * 100.0)))
-            .drop("_cents", "_cum", "running_count"))
+                        F.when(prev_n > 0, (cents("amount") * prev_n - prev_cents) / (prev_n * 100.0)))
+            .drop("_cum", "running_count"))
 
 
 def velocity(transactions: DataFrame) -> DataFrame:
@@ -113,13 +122,13 @@ def account(transactions: DataFrame, users: DataFrame, chargeback: DataFrame,
 
 def fraud_features(events: DataFrame, transactions: DataFrame, users: DataFrame,
                    chargeback: DataFrame, users_bound: DataFrame | None = None) -> DataFrame:
-    """All features, one row per transaction. The parts are chained on the
-    same rows (no join back on transaction_id): trailing windows per
-    (user, day), then running totals per (user, day), then the per-user
-    dimension."""
+    """All features, one row per transaction. Trailing windows and running
+    totals come from one sweep per user (one distributed prefix sum), then
+    the per-user dimension is joined on the same rows (no join back on
+    transaction_id)."""
     base = transactions.select("transaction_id", "user_id", "transaction_timestamp", "amount")
-    out = behaviour(events, base, keep=["transaction_timestamp", "amount"])
-    out = add_velocity(out)
+    out = behaviour(events, base, keep=["transaction_timestamp", "amount"], with_running=True)
+    out = _velocity_columns(out)
     out = add_account(out, users, chargeback, users_bound)
     return out.select("transaction_id", "user_id", "transaction_timestamp", "amount",
                       "sessions_24h", "distinct_event_types_24h", "spent_24h", "transactions_last_hour",

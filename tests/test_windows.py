@@ -77,3 +77,18 @@ def test_trailing_distinct_with_duplicate_rows(spark):
     exp = dup.select("id", F.size(F.collect_set(F.col("cents") % 5).over(w.rangeBetween(-DAY * 10**6, 0))).alias("d"),
                      F.count("cents").over(w.rangeBetween(-HOUR * 10**6, 0)).alias("n"))
     assert sorted(got.collect()) == sorted(exp.collect())
+
+
+def test_trailing_with_running_totals(spark):
+    """Running totals carried by the sweep equal ROWS UNBOUNDED PRECEDING over
+    the target rows in (ts, id) order; frames still see every row."""
+    df = _fixture(spark)
+    tgt = F.col("id") % 3 == 0
+    got = trailing(df, "user", "ts", {"c1": (HOUR, "count", F.col("id"))}, bucket_seconds=3 * HOUR,
+                   target=tgt, running={"cum": F.col("cents"), "k": F.lit(1).cast("long")}, tiebreak="id")
+    w = Window.partitionBy("user").orderBy(F.unix_micros("ts"))
+    frames = df.select("id", F.count("id").over(w.rangeBetween(-HOUR * 10**6, 0)).alias("c1"))
+    wr = Window.partitionBy("user").orderBy("ts", "id").rowsBetween(Window.unboundedPreceding, 0)
+    run = df.filter(tgt).select("id", F.sum("cents").over(wr).alias("cum"), F.count("id").over(wr).alias("k"))
+    exp = frames.join(run, "id")
+    assert sorted(got.select("id", "c1", "cum", "k").collect()) == sorted(exp.select("id", "c1", "cum", "k").collect())
