@@ -115,6 +115,27 @@ def session_stream(events: DataFrame, user: str = "user_id", ts: str = "event_ti
 # ------------------------------------------------------------- gold upsert
 
 
+def _session_dates(spark: SparkSession, rows: DataFrame, touched: DataFrame, gold_path: str,
+                   keys: list) -> list:
+    """Silver partitions (event dates) that hold events of the touched
+    sessions: the dates of the batch rows, plus every date between start and
+    end of the touched sessions' current gold rows. After each completed
+    batch a session's gold row spans all its silver events with a time
+    (rows without one live in the NULL partition, always read), so these
+    dates are exact. A short list (distinct dates) comes to the driver and
+    becomes a partition filter, so a micro-batch reads only those dates of
+    silver instead of all of it."""
+    from strata.sources.readers import table_exists
+    dates = rows.select("event_date")
+    if table_exists(spark, gold_path):
+        span = (spark.read.parquet(gold_path).select(*keys, "session_start_time", "session_end_time")
+                .join(touched, keys, "left_semi")
+                .select(F.explode(F.sequence(F.to_date("session_start_time"),
+                                             F.to_date("session_end_time"))).alias("event_date")))
+        dates = dates.unionByName(span)
+    return [r[0] for r in dates.filter(F.col("event_date").isNotNull()).distinct().collect()]
+
+
 def gold_upsert(lines: DataFrame, silver_path: str, gold_path: str, checkpoint: str,
                 transactions: DataFrame, users: DataFrame, users_bound: DataFrame | None = None,
                 available_now: bool = True):
@@ -123,8 +144,9 @@ def gold_upsert(lines: DataFrame, silver_path: str, gold_path: str, checkpoint:
 
     Per micro-batch: parse, drop corrupt and null-key rows, keep the newest
     copy per event id; upsert into silver (newest timestamp wins, partition
-    scoped); recompute only the sessions the batch touched, from silver;
-    upsert those into gold by (session_id, user_id). Both upserts are
+    scoped); recompute only the sessions the batch touched, from the silver
+    dates that can hold their events (see ``_session_dates``); upsert those
+    into gold by (session_id, user_id). Both upserts are
     idempotent, so a replayed batch changes nothing.
     """
     keys = ["session_id", "user_id"]
@@ -147,9 +169,12 @@ def gold_upsert(lines: DataFrame, silver_path: str, gold_path: str, checkpoint:
             # must not be recomputed from silver once silver is rewritten
             shared_dir(spark)
             touched = touched.distinct().checkpoint(eager=True)
+            dates = _session_dates(spark, rows, touched, gold_path, keys)
             upsert_partitions(spark, silver_path, rows, ["event_id"], "event_date",
                               order_col="event_timestamp")
-            silver = spark.read.parquet(silver_path).join(touched, keys, "left_semi")
+            silver = spark.read.parquet(silver_path)
+            silver = silver.filter(F.col("event_date").isin(dates) | F.col("event_date").isNull())
+            silver = silver.join(touched, keys, "left_semi")
             sessions = gold.user_session_analysis(silver, transactions, users, users_bound)
             upsert_partitions(spark, gold_path, sessions, keys, "session_date")
         finally:
