@@ -21,7 +21,6 @@ from strata.plans import gold, silver
 from strata.operators.cleaning import split_corrupt
 from strata.sources.readers import parse_csv_lines, parse_json_lines
 from strata.sources.schemas import CORRUPT_COL, RAW_EVENT, RAW_TRANSACTION, RAW_USER
-from strata.session import new_path
 from strata.tables import writes
 
 
@@ -80,7 +79,9 @@ def run_medallion(spark: SparkSession, event_lines: DataFrame, transaction_lines
     t = spark.read.parquet(paths["transactions_clean"])
     u = spark.read.parquet(paths["users_dim"])
     # compute gold once: stage it, gate the staged table, upsert from it
-    staged = new_path(spark, "gold_staged")
+    # a ``_`` sibling of the gold table: same file system, so a first load
+    # moves its folders in by rename
+    staged = writes.hidden_path(base, "gold_staged")
     g = gold.user_session_analysis(e, t, u, users_bound=u)
     res.counts["gold_staged"] = _write_observed(g, staged, "gold", "session_date")
     g = spark.read.parquet(staged)

@@ -101,7 +101,9 @@ def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, keys,
     ``order_col`` as in ``merge_upsert``. Re-running the same upsert gives
     the same table (idempotent), so a retried micro-batch is harmless.
     ``staged_path``: ``updates`` is already a table written there,
-    partitioned by ``partition_col`` (it is then not written again).
+    partitioned by ``partition_col`` (it is then not written again); on a
+    first load its folders are renamed into the table, so it must be on the
+    table's file system.
 
     Jobs: stage the updates (partitioned, so their partition values are a
     folder listing); one join of the target's keys with per-key update
@@ -146,7 +148,9 @@ def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, keys,
     if _NULL_PARTITION in touched:
         in_touched = in_touched | part.isNull()
     merged = merge_upsert(target.filter(in_touched), updates, keys, order_col)
-    staging = new_path(spark, "staging")
+    # staged inside the table root (a ``_`` folder, which Spark's listing
+    # skips), so the swap's renames never cross file systems
+    staging = hidden_path(path, "staging")
     write_partitioned(merged, staging, partition_col, keys)
     swap_partitions(spark, staging, path, partition_col, touched)
     _, staging_root, fs = _fs(spark, staging)
@@ -154,6 +158,14 @@ def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, keys,
     return touched
 
 
+def hidden_path(table_path: str, name: str) -> str:
+    """A fresh folder inside ``table_path`` whose name starts with ``_``:
+    Spark's file listing skips it, and a rename from it into the table stays
+    on the table's file system."""
+    import uuid
+    return f"{table_path.rstrip('/')}/_{name}-{uuid.uuid4().hex}"
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -180,8 +192,8 @@ def swap_partitions(spark: SparkSession, staging: str, path: str, partition_col:
     read or written). A value with no staged folder is removed from the
     table (its rows all moved elsewhere).
 
-    Each live folder is first moved aside into the shared folder, then the
-    staged one moved in, then the old one deleted: at no point is a
+    Each live folder is first moved aside (a ``_`` folder in the table
+    root), then the staged one moved in, then the old one deleted: at no point is a
     partition's only copy deleted (the same delete-and-rename a dynamic
     partition overwrite commit performs, with the old copy kept until the
     new one is in place).
@@ -191,7 +203,7 @@ def swap_partitions(spark: SparkSession, staging: str, path: str, partition_col:
     fs.mkdirs(live_root)
     live = _partition_dirs(spark, path, partition_col)
     staged = _partition_dirs(spark, staging, partition_col)
-    aside = Path(new_path(spark, "replaced"))
+    aside = Path(hidden_path(path, "replaced"))
     fs.mkdirs(aside)
     for value in values:
         if value in live:
