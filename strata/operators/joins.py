@@ -50,16 +50,18 @@ def _row_count(df: DataFrame) -> int:
     return _COUNTS[key]
 
 
-def broadcast_if_small(dim: DataFrame, row_bound: DataFrame | None = None,
+def broadcast_if_small(dim: DataFrame, row_bound=None,
                        max_rows: int = MAX_BROADCAST_ROWS,
                        max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """``broadcast(dim)`` if its size is proven under the limits, else ``dim``.
 
     ``row_bound`` is a cheaper frame with at least as many rows as ``dim``
-    (e.g. the source table a one-row-per-key dimension is built from);
-    counting a parquet table reads only footers.
+    (e.g. the source table a one-row-per-key dimension is built from), or a
+    list of frames whose row counts together bound it (e.g. both sides of a
+    full outer join); counting a parquet table reads only footers.
     """
-    n = _row_count(row_bound if row_bound is not None else dim)
+    bounds = row_bound if isinstance(row_bound, (list, tuple)) else [row_bound if row_bound is not None else dim]
+    n = sum(_row_count(b) for b in bounds)
     if n <= max_rows and n * row_width(dim) <= max_bytes:
         return F.broadcast(dim)
     return dim

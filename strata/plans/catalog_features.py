@@ -16,10 +16,13 @@ from strata.sources import landing
 
 
 def _inputs(spark, sf_dir):
+    """(events, transactions, users, chargeback, row bounds): the row bounds
+    of users and of the chargeback table (one row per ordering customer,
+    so at most the orders table's rows) for the broadcast check."""
     e, t, u, bound = silver_inputs(spark, sf_dir)
-    cb = features.chargeback_rate(landing.table(spark, sf_dir, "orders"),
-                                  landing.table(spark, sf_dir, "lineitem"))
-    return e, t, u, cb, bound
+    orders = landing.table(spark, sf_dir, "orders")
+    cb = features.chargeback_rate(orders, landing.table(spark, sf_dir, "lineitem"))
+    return e, t, u, cb, (bound, orders)
 
 
 SQL_FEATURES = f"""WITH {SQL_SILVER},
@@ -91,21 +94,21 @@ def _ntz(df):
 
 @register("fraud_features", f"{SQL_FEATURES}\nSELECT * FROM ff")
 def q_fraud_features(spark, sf_dir):
-    e, t, u, cb, bound = _inputs(spark, sf_dir)
-    return _ntz(features.fraud_features(e, t, u, cb, bound))
+    e, t, u, cb, (bound, cb_bound) = _inputs(spark, sf_dir)
+    return _ntz(features.fraud_features(e, t, u, cb, bound, cb_bound))
 
 
 def _single(name, cols, part):
     sql = f"{SQL_FEATURES}\nSELECT transaction_id, {', '.join(cols)} FROM ff"
 
     def q(spark, sf_dir):
-        e, t, u, cb, bound = _inputs(spark, sf_dir)
+        e, t, u, cb, (bound, cb_bound) = _inputs(spark, sf_dir)
         if part == "behaviour":
             df = features.behaviour(e, t)
         elif part == "velocity":
             df = features.velocity(t)
         else:
-            df = features.account(t, u, cb, bound)
+            df = features.account(t, u, cb, bound, cb_bound)
         return df.select("transaction_id", *cols)
     q.__name__ = f"q_{name}"
     register(name, sql)(q)
@@ -134,7 +137,7 @@ FROM ff""")
 def q_score_band(spark, sf_dir):
     """Decision bands, with the user's chargeback rate standing in for the
     model score."""
-    e, t, u, cb, bound = _inputs(spark, sf_dir)
-    f = features.account(t, u, cb, bound).select(
+    e, t, u, cb, (bound, cb_bound) = _inputs(spark, sf_dir)
+    f = features.account(t, u, cb, bound, cb_bound).select(
         "transaction_id", F.col("chargeback_rate").alias("fraud_score"))
     return features.decide(f)

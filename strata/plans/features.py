@@ -96,32 +96,39 @@ def chargeback_rate(orders: DataFrame, lineitem: DataFrame, flag_col: str = "l_r
     ).withColumn("chargeback_rate", F.col("flagged_orders") / F.col("orders"))
 
 
-def _account_dim(users: DataFrame, chargeback: DataFrame, users_bound: DataFrame | None) -> DataFrame:
+def _account_dim(users: DataFrame, chargeback: DataFrame, users_bound: DataFrame | None,
+                 chargeback_bound: DataFrame | None) -> DataFrame:
+    """Users full-joined with their chargeback rate: at most one row per user
+    of either side, so its row count is bounded by the two sides' bounds
+    together (the chargeback table has at most one row per order's
+    customer, so the orders table bounds it)."""
     dim = users.select("user_id", "signup_date").join(
         chargeback.select("user_id", "chargeback_rate"), "user_id", "full")
-    return broadcast_if_small(dim, users_bound)
+    return broadcast_if_small(dim, [users_bound if users_bound is not None else users,
+                                    chargeback_bound if chargeback_bound is not None else chargeback])
 
 
 def add_account(tx: DataFrame, users: DataFrame, chargeback: DataFrame,
-                users_bound: DataFrame | None = None) -> DataFrame:
+                users_bound: DataFrame | None = None, chargeback_bound: DataFrame | None = None) -> DataFrame:
     """Add days_since_signup and chargeback_rate. Both per-user tables are
     joined once into one dimension, broadcast only when its size check
     passes (else a shuffle join on user_id, skew split by AQE)."""
-    dim = _account_dim(users, chargeback, users_bound)
+    dim = _account_dim(users, chargeback, users_bound, chargeback_bound)
     return tx.join(dim, "user_id", "left").withColumn(
         "days_since_signup", F.datediff(F.to_date("transaction_timestamp"), F.col("signup_date"))
     ).withColumn("chargeback_rate", F.coalesce(F.col("chargeback_rate"), F.lit(0.0))).drop("signup_date")
 
 
 def account(transactions: DataFrame, users: DataFrame, chargeback: DataFrame,
-            users_bound: DataFrame | None = None) -> DataFrame:
+            users_bound: DataFrame | None = None, chargeback_bound: DataFrame | None = None) -> DataFrame:
     t = transactions.select("transaction_id", "user_id", "transaction_timestamp")
-    return add_account(t, users, chargeback, users_bound).select(
+    return add_account(t, users, chargeback, users_bound, chargeback_bound).select(
         "transaction_id", "user_id", "days_since_signup", "chargeback_rate")
 
 
 def fraud_features(events: DataFrame, transactions: DataFrame, users: DataFrame,
-                   chargeback: DataFrame, users_bound: DataFrame | None = None) -> DataFrame:
+                   chargeback: DataFrame, users_bound: DataFrame | None = None,
+                   chargeback_bound: DataFrame | None = None) -> DataFrame:
     """All features, one row per transaction. Trailing windows and running
     totals come from one sweep per user (one distributed prefix sum), then
     the per-user dimension is joined on the same rows (no join back on
@@ -129,7 +136,7 @@ def fraud_features(events: DataFrame, transactions: DataFrame, users: DataFrame,
     base = transactions.select("transaction_id", "user_id", "transaction_timestamp", "amount")
     out = behaviour(events, base, keep=["transaction_timestamp", "amount"], with_running=True)
     out = _velocity_columns(out)
-    out = add_account(out, users, chargeback, users_bound)
+    out = add_account(out, users, chargeback, users_bound, chargeback_bound)
     return out.select("transaction_id", "user_id", "transaction_timestamp", "amount",
                       "sessions_24h", "distinct_event_types_24h", "spent_24h", "transactions_last_hour",
                       "lifetime_value", "amount_deviation_from_avg", "days_since_signup", "chargeback_rate")

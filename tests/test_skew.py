@@ -74,3 +74,17 @@ def test_gold_with_hot_user(skewed):
     assert hot["first_event_type"] == "click" and hot["country"] == "PE"
     assert len(hot["event_types"]) == 2000
     assert len(rows) == 51
+
+
+def test_broadcast_only_under_summed_bounds(spark):
+    """A dimension is broadcast only when the row counts of all its bounds
+    together stay under the limit."""
+    from strata.operators.joins import broadcast_if_small
+    dim = spark.range(10).withColumnRenamed("id", "k")
+    a, b = spark.range(60), spark.range(50)
+
+    def hinted(df):
+        return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
+    assert hinted(broadcast_if_small(dim, [a, b], max_rows=110))
+    assert not hinted(broadcast_if_small(dim, [a, b], max_rows=100))
+    assert not hinted(broadcast_if_small(dim, a, max_rows=10, max_bytes=10**9))
