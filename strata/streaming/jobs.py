@@ -161,17 +161,20 @@ def gold_upsert(lines: DataFrame, silver_path: str, gold_path: str, checkpoint:
         try:
             touched = rows.select(*keys)
             from strata.sources.readers import table_exists
+            # cut lineage (reliable checkpoints in the shared folder): these
+            # sets must not be recomputed from silver once silver is rewritten
+            shared_dir(spark)
+            old = None
             if table_exists(spark, silver_path):
-                # sessions of older copies that this batch replaces
-                old = spark.read.parquet(silver_path).join(rows.select("event_id"), "event_id", "left_semi")
+                # older copies that this batch replaces (one scan of silver's
+                # keys, shared with the upsert): their sessions are touched
+                old = (spark.read.parquet(silver_path).select("event_id", "event_date", *keys)
+                       .join(rows.select("event_id"), "event_id", "left_semi").checkpoint(eager=True))
                 touched = touched.unionByName(old.select(*keys))
-            # cut lineage (reliable checkpoint in the shared folder): the set
-            # must not be recomputed from silver once silver is rewritten
-            shared_dir(spark)
             touched = touched.distinct().checkpoint(eager=True)
             dates = _session_dates(spark, rows, touched, gold_path, keys)
             upsert_partitions(spark, silver_path, rows, ["event_id"], "event_date",
-                              order_col="event_timestamp")
+                              order_col="event_timestamp", matched=old)
             silver = spark.read.parquet(silver_path)
             silver = silver.filter(F.col("event_date").isin(dates) | F.col("event_date").isNull())
             silver = silver.join(touched, keys, "left_semi")

@@ -91,7 +91,7 @@ _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, keys, partition_col: str,
                       check_cardinality: bool = True, order_col: str | None = None,
-                      staged_path: str | None = None) -> list:
+                      staged_path: str | None = None, matched: DataFrame | None = None) -> list:
     """Idempotent partition-scoped upsert into a live partitioned table.
 
     Touched partitions are those of the updates plus those where a matched
@@ -114,6 +114,10 @@ def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, keys,
 
     On a first load with ``staged_path`` the staged partition folders are
     moved into the new table, so that folder is consumed.
+
+    ``matched``: the caller already found the target rows whose keys occur
+    in ``updates`` (keys and ``partition_col``, from the current table, with
+    lineage cut); they replace the scan of all target keys.
     """
     from strata.sources.readers import table_exists
 
@@ -135,7 +139,8 @@ def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, keys,
     target = spark.read.parquet(path)
 
     per_key = updates.filter(_all_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    matched = target.select(*keys, partition_col).join(per_key, keys, "inner")
+    src = matched.select(*keys, partition_col) if matched is not None else target.select(*keys, partition_col)
+    matched = src.join(per_key, keys, "inner")
     stats = matched.groupBy(F.col(partition_col).cast("string").alias("_p")).agg(
         F.max("_n").alias("_max_n")).collect()
     if check_cardinality and any(r["_max_n"] > 1 for r in stats):
