@@ -1,4 +1,4 @@
-"""Bucketed window operators against a brute-force single-partition
+"""Window operators (sweep and prefix sums) against a brute-force single-partition
 window on a fixture where one key holds most of the rows."""
 
 import datetime as dt
