@@ -122,6 +122,7 @@ def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, keys,
     from strata.sources.readers import table_exists
 
     keys = list(keys)
+    _restore_interrupted_swap(spark, path)
     if not table_exists(spark, path):
         if staged_path is None:
             write_partitioned(updates, path, partition_col, keys)
@@ -191,6 +192,26 @@ def _partition_dirs(spark: SparkSession, path: str, partition_col: str) -> dict:
     return out
 
 
+def _restore_interrupted_swap(spark: SparkSession, path: str) -> None:
+    """Undo what an interrupted swap left behind: a partition moved aside
+    whose replacement never arrived is moved back (else its rows would be
+    missing from the next merge), then the aside folders are dropped. An
+    upsert re-run after this converges to the intended table (it is
+    idempotent). Assumes one writer per table, as the upsert does."""
+    jvm, root, fs = _fs(spark, path)
+    if not fs.exists(root):
+        return
+    Path = jvm.org.apache.hadoop.fs.Path
+    for st in fs.listStatus(root):
+        if not (st.isDirectory() and st.getPath().getName().startswith("_replaced-")):
+            continue
+        for part in fs.listStatus(st.getPath()):
+            live = Path(root, part.getPath().getName())
+            if part.isDirectory() and not fs.exists(live) and not fs.rename(part.getPath(), live):
+                raise OSError(f"could not restore {part.getPath()}")
+        fs.delete(st.getPath(), True)
+
+
 def swap_partitions(spark: SparkSession, staging: str, path: str, partition_col: str, values) -> None:
     """Make partitions ``values`` of the table at ``path`` those staged at
     ``staging``, by folder renames (file-system metadata only; no data is

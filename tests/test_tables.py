@@ -121,3 +121,19 @@ def test_table_exists_paths(spark, tmp_table):
     spark.range(3).write.parquet(tmp_table)
     assert table_exists(spark, tmp_table)
     assert not table_exists(spark, "strata_no_such_table")
+
+
+def test_upsert_restores_partition_left_aside_by_interrupted_swap(spark, tmp_table):
+    """A partition moved aside by a swap that died before moving its
+    replacement in is put back before the next upsert merges."""
+    import os
+    import shutil
+    rows = spark.createDataFrame([(1, "a", T1, D1), (2, "b", T2, D2)], S)
+    writes.write_partitioned(rows, tmp_table, "d")
+    aside = os.path.join(tmp_table, "_replaced-crashed")
+    os.makedirs(aside)
+    shutil.move(os.path.join(tmp_table, "d=2024-01-02"), os.path.join(aside, "d=2024-01-02"))
+    upd = spark.createDataFrame([(3, "c", T1, D1)], S)
+    writes.upsert_partitions(spark, tmp_table, upd, ["id"], "d")
+    assert _rows(spark.read.parquet(tmp_table)) == [(1, "a", D1), (2, "b", D2), (3, "c", D1)]
+    assert not os.path.exists(aside)
