@@ -7,8 +7,8 @@ submits the job; ``get_session`` only fills what is unset.
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -63,7 +63,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         d = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
@@ -72,12 +72,19 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh, not yet existing sub-path of the shared folder for a table."""
-    base = shared_dir(spark)
-    local = base.startswith("/") or base.startswith("file:")
-    if local:
-        root = base[5:] if base.startswith("file:") else base
-        os.makedirs(root, exist_ok=True)
-        return os.path.join(tempfile.mkdtemp(prefix=f"{name}-", dir=root), "t")
-    import uuid
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+    """A fresh, not yet existing sub-path of the shared folder for a table.
+
+    Only the name is made here; the writer creates the folder through the
+    file system of the path, so nothing is made on the driver's own disk.
+    """
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}/t"
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a table made under ``new_path`` (with its folder), through the
+    file system of the path."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    if p.getName() == "t":
+        p = p.getParent()
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
