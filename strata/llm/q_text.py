@@ -1,17 +1,26 @@
-"""Queries over document texts: op3 (byte-level BPE), op4 (toxicity)."""
+"""Queries over document texts: op2 (quality), op3 (byte-level BPE), op4 (toxicity)."""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from strata.llm import bpe_bitmap, toxic_segments
+from strata.llm import bpe_bitmap, toxic_segments, weak_quality
 from strata.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 TOXIC_FROM = 0.3
 
 
+def op2_weak_quality(spark, sf_dir):
+    """Quality score of every document, and whether the filter keeps it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = weak_quality.fit(docs)
+    scored = docs.select("doc_id", weak_quality.score(spark, F.col("text"), model).alias("s"))
+    return scored.select("doc_id", F.col("s.score").alias("score"),
+                         (F.col("s.score") >= weak_quality.KEEP_FROM).cast("int").alias("kept"), F.col("s.weak").alias("weak"))
+
+
 def op3_bpe_round_trip(spark, sf_dir):
     """Token count and digests of every document's ids and decoded bytes."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -40,5 +49,5 @@ def op4_toxicity(spark, sf_dir):
         F.col("s.n_words").alias("n_words"), F.col("s.n_passages").alias("n_passages"))
 
 
-QUERIES = {"op3_bpe_round_trip": op3_bpe_round_trip, "op4_toxicity": op4_toxicity}
+QUERIES = {"op2_weak_quality": op2_weak_quality, "op3_bpe_round_trip": op3_bpe_round_trip, "op4_toxicity": op4_toxicity}
 ORACLE_SQL: dict[str, str] = {}
