@@ -1,11 +1,12 @@
-"""Queries over document texts: op2 (quality), op3 (byte-level BPE), op4 (toxicity)."""
+"""Queries over document texts: op2 (quality), op3 (byte-level BPE),
+op4 (toxicity), op5 (SimHash near-dedup)."""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from strata.llm import bpe_bitmap, toxic_segments, weak_quality
+from strata.llm import bpe_bitmap, simhash_tiles, toxic_segments, weak_quality
 from strata.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -49,5 +50,13 @@ def op4_toxicity(spark, sf_dir):
         F.col("s.n_words").alias("n_words"), F.col("s.n_passages").alias("n_passages"))
 
 
-QUERIES = {"op2_weak_quality": op2_weak_quality, "op3_bpe_round_trip": op3_bpe_round_trip, "op4_toxicity": op4_toxicity}
+def op5_simhash_dedup(spark, sf_dir):
+    """Fingerprint and component of every document: 3-word shingles, radius 2."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    classes = simhash_tiles.dedup_classes(docs, shingle=3, radius=2)
+    return classes.select("doc_id", simhash_tiles.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+QUERIES = {"op2_weak_quality": op2_weak_quality, "op3_bpe_round_trip": op3_bpe_round_trip, "op4_toxicity": op4_toxicity,
+           "op5_simhash_dedup": op5_simhash_dedup}
 ORACLE_SQL: dict[str, str] = {}
