@@ -1,12 +1,12 @@
 """Queries over document texts: op2 (quality), op3 (byte-level BPE),
-op4 (toxicity), op5 (SimHash near-dedup)."""
+op4 (toxicity), op5 (SimHash near-dedup), op7 (fingerprints)."""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from strata.llm import bpe_bitmap, simhash_tiles, toxic_segments, weak_quality
+from strata.llm import bpe_bitmap, simhash_tiles, spotsigs, toxic_segments, weak_quality
 from strata.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -57,6 +57,11 @@ def op5_simhash_dedup(spark, sf_dir):
     return classes.select("doc_id", simhash_tiles.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op7_spotsigs(spark, sf_dir):
+    """Fingerprints of every document and its edited text."""
+    return spotsigs.fingerprint_edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {"op2_weak_quality": op2_weak_quality, "op3_bpe_round_trip": op3_bpe_round_trip, "op4_toxicity": op4_toxicity,
-           "op5_simhash_dedup": op5_simhash_dedup}
+           "op5_simhash_dedup": op5_simhash_dedup, "op7_spotsigs": op7_spotsigs}
 ORACLE_SQL: dict[str, str] = {}

@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import stage
+from strata.llm.common import FUNCTION_WORDS, stage
 
 SAMPLE = 2500              # training documents of each side
 HASH_BITS = 15
@@ -47,13 +47,6 @@ MAX_FALSE = 0.02           # bound on a labeller's bad votes on good documents
 MIN_TRUE = 0.7             # and its bad votes on its own kind of fault
 MEMO = 400_000             # words a worker remembers
 
-# Frequent function words of the corpus languages.
-FUNCTION_WORDS = frozenset(
-    "the of and to in is that it for was on are as with he be by at or this from an a "
-    "der die das und in den von zu mit ist des auf für im dem nicht ein eine als auch "
-    "de la le et les des en un une du que est pour dans qui par sur au avec pas "
-    "el los las del y se por con para al lo su como más no si o".split())
-
 LABELLERS = ("repeats", "symbols", "capitals", "variety", "lines", "sentences", "word_length", "function_words")
 
 _CLASS = np.zeros(256, np.uint8)            # byte classes: 1 lower, 2 upper, 3 symbol
