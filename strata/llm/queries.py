@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strata.llm import q_native, q_pages, q_text
+from strata.llm import q_native, q_pages, q_text, q_vectors
 
-QUERIES = {**q_native.QUERIES, **q_text.QUERIES, **q_pages.QUERIES}
-ORACLE_SQL = {**q_native.ORACLE_SQL, **q_text.ORACLE_SQL, **q_pages.ORACLE_SQL}
+QUERIES = {**q_native.QUERIES, **q_text.QUERIES, **q_pages.QUERIES, **q_vectors.QUERIES}
+ORACLE_SQL = {**q_native.ORACLE_SQL, **q_text.ORACLE_SQL, **q_pages.ORACLE_SQL, **q_vectors.ORACLE_SQL}
