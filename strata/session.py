@@ -59,15 +59,14 @@ def shared_dir(spark: SparkSession) -> str:
     a fresh temp folder, as in tests.
     """
     sc = spark.sparkContext
-    d = sc.getCheckpointDir()
-    if not d:
-        d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
         if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         d = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    sc.setCheckpointDir(d)
+    if not sc.getCheckpointDir():       # each call would make a folder of its own below d
+        sc.setCheckpointDir(d)
     return d.rstrip("/")
 
 
