@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from strata.llm import q_native, q_pages, q_text, q_vectors
 
-QUERIES = {**q_native.QUERIES, **q_text.QUERIES, **q_pages.QUERIES, **q_vectors.QUERIES}
-ORACLE_SQL = {**q_native.ORACLE_SQL, **q_text.ORACLE_SQL, **q_pages.ORACLE_SQL, **q_vectors.ORACLE_SQL}
+_PARTS = (q_pages, q_text, q_vectors, q_native)
+
+QUERIES = {k: v for part in _PARTS for k, v in part.QUERIES.items()} | {"pipeline": corpus_pipeline.run}
+ORACLE_SQL = {k: v for part in _PARTS for k, v in part.ORACLE_SQL.items()}
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -214,7 +214,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def dedup_classes(docs: DataFrame, *, id_col="doc_id", text_col="text", shingle=SHINGLE, radius=RADIUS, tile=TILE) -> DataFrame:
-    """(doc_id, text_hash, fp, component_id), one row per input row."""
+    """(doc_id, text_hash, fp, root, component_id), one row per input row;
+    root is a fingerprint that names the component."""
     prints, _ = stage(docs.select(
         F.col(id_col).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"),
         fingerprint_column(F.col(text_col), shingle).alias("fp")), "simhash-prints")
@@ -224,8 +225,8 @@ def dedup_classes(docs: DataFrame, *, id_col="doc_id", text_col="text", shingle=
         "fp", "least_id", F.coalesce("root", "fp").alias("root"))
     rooted, _ = stage(rooted, "simhash-rooted")
     smallest, _ = stage(rooted.groupBy("root").agg(F.min("least_id").alias("component_id")), "simhash-least")
-    classes, _ = stage(rooted.join(smallest, "root").select("fp", "component_id"), "simhash-classes")
-    return prints.join(classes, "fp").select("doc_id", "text_hash", "fp", "component_id")
+    classes, _ = stage(rooted.join(smallest, "root").select("fp", "root", "component_id"), "simhash-classes")
+    return prints.join(classes, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
 def hex_of(fp: Column) -> Column:

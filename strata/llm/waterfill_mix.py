@@ -9,20 +9,22 @@ of target / size of its source), and a seeded selection of documents once
 more, so that the words taken land within half a document of the target.
 
 The selection is a prefix of the source's documents in a seeded order (md5
-of id and seed). The prefix ends in one of 4096 hash buckets, found from
-(source, bucket) sums; only the rows of that bucket are ordered, so a source
-that holds a third of all rows is never sorted in one task.
+of id and seed, then id), so the whole mix is a plan of one row per source:
+whole repetitions and the last document of the prefix. The prefix ends in one
+of 4096 hash buckets, found from (source, bucket) sums; only the rows of that
+bucket are ordered, so a source that holds a third of all rows is never
+sorted in one task.
 
 Defined cases: a null or empty text has size 0; null sources are one source,
 ordered last; a null id is replaced by the text's md5 in the seeded order;
-rows that repeat id and text are rows of their own, tied in the order; an
-empty table gives an empty result; a source of size 0 has target 0. Input
-columns other than id, text and source are not read.
+rows that repeat id (or a null id and text) are sized one by one and taken
+alike; an empty table gives an empty result; a source of size 0 has target 0.
+Input columns other than id, text and source are not read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import hint_if_small, stage
@@ -32,16 +34,19 @@ BUCKET_BITS = 12           # 4096 hash buckets per source
 _HASH_BITS = 60
 
 
+def seeded_order(id_col="doc_id", text_col="text", seed: str = "mix") -> Column:
+    """A 60-bit number that orders the documents."""
+    key = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("null:"), F.md5(F.coalesce(F.col(text_col), F.lit("")))))
+    return F.conv(F.substring(F.md5(F.concat(key, F.lit("|" + seed))), 1, _HASH_BITS // 4), 16, 10).cast("long")
+
+
 def document_sizes(docs: DataFrame, *, id_col="doc_id", text_col="text", source_col="source",
                    seed: str = "mix") -> DataFrame:
-    """(doc_id, source, size, u): words of the text and a seeded 60-bit
-    number that orders the documents."""
-    key = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("null:"), F.md5(F.coalesce(F.col(text_col), F.lit("")))))
-    u = F.conv(F.substring(F.md5(F.concat(key, F.lit("|" + seed))), 1, _HASH_BITS // 4), 16, 10).cast("long")
+    """(doc_id, source, size, u): words of the text and the seeded order."""
     return docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
         F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        u.alias("u"))
+        seeded_order(id_col, text_col, seed).alias("u"))
 
 
 def rank_sources(sources: DataFrame) -> DataFrame:
@@ -83,45 +88,70 @@ def fill_targets(sources: DataFrame, *, total: float | None = None, max_epochs:
     return sources.withColumn("target", F.when(clamped, cap.cast("double")).otherwise(share))
 
 
-def mix_copies(docs: DataFrame, *, id_col="doc_id", text_col="text", source_col="source",
-               weight_cycle=(1, 2, 3), total: float | None = None, max_epochs: int = 3,
-               seed: str = "mix") -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target,
-    ``copies`` (times the mix takes it), u."""
-    sized, _ = stage(document_sizes(docs, id_col=id_col, text_col=text_col, source_col=source_col, seed=seed), "mix-sizes")
+_LEAST = -(1 << 63)
+
+
+def mix_plan(sized: DataFrame, *, weight_cycle=(1, 2, 3), total: float | None = None, max_epochs: int = 3) -> tuple[DataFrame, int]:
+    """One row per source of ``sized`` (a written table of document_sizes):
+    plan_source, source_size, target, whole, last_u, last_id (the last
+    document taken once more); and the number of sources."""
     sources, _ = stage(sized.groupBy("source").agg(F.sum("size").alias("source_size")), "mix-sources")
     cycle = F.array(*[F.lit(w) for w in weight_cycle])
-    ranked = rank_sources(sources)
-    weighted, _ = stage(
-        ranked.withColumn("weight", F.element_at(cycle, (F.col("rank") % len(weight_cycle) + 1).cast("int"))), "mix-weights")
+    weighted, _ = stage(rank_sources(sources).withColumn(
+        "weight", F.element_at(cycle, (F.col("rank") % len(weight_cycle) + 1).cast("int"))), "mix-weights")
     targets = fill_targets(weighted, total=total, max_epochs=max_epochs)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    targets = targets.select("source", "source_size", "target", F.floor(ratio).alias("whole"))
+    targets = targets.select("source", "source_size", "target", F.floor(ratio).cast("long").alias("whole"))
     targets = targets.withColumn("extra", F.col("target") - F.col("whole") * F.col("source_size"))
 
-    bucket = F.shiftright(F.col("u"), _HASH_BITS - BUCKET_BITS)
-    sized = sized.withColumn("bucket", bucket)
-    per_bucket = sized.groupBy("source", "bucket").agg(F.sum("size").alias("n"))
+    sized = sized.withColumn("bucket", F.shiftright("u", _HASH_BITS - BUCKET_BITS))
+    sums, _ = stage(sized.groupBy("source", "bucket").agg(F.sum("size").alias("n")), "mix-buckets")
     upto = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    edges = (per_bucket.withColumn("end", F.sum("n").over(upto))
-             .withColumnRenamed("source", "s")
-             .join(targets.select(F.col("source").alias("s2"), "extra"), F.col("s").eqNullSafe(F.col("s2")))
-             .filter((F.col("end") > F.col("extra")))
-             .groupBy("s").agg(F.min(F.struct("bucket", (F.col("end") - F.col("n")).alias("base"))).alias("cut")))
+    cuts = (sums.withColumn("end", F.sum("n").over(upto)).withColumnRenamed("source", "s")
+            .join(targets.select("source", "extra"), F.col("s").eqNullSafe(F.col("source"))).filter(F.col("end") > F.col("extra"))
+            .groupBy("source").agg(F.min(F.struct("bucket", (F.col("end") - F.col("n")).alias("base"))).alias("cut"), F.first("extra").alias("extra")))
+    cuts, _ = stage(cuts.select(F.col("source").alias("cut_source"), F.col("cut.bucket").alias("cut"), F.col("cut.base").alias("base"), "extra"), "mix-cuts")
+    n_sources = cuts.count()
+    inside = sized.join(hint_if_small(cuts, n_sources), F.col("source").eqNullSafe(F.col("cut_source")) & (F.col("bucket") == F.col("cut")))
+    order = Window.partitionBy("cut_source").orderBy("u", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    taken = (inside.withColumn("end", F.col("base") + F.sum("size").over(order))
+             .filter((F.col("end") - F.col("size") / 2 <= F.col("extra")) & (F.col("extra") > 0))
+             .groupBy("cut_source").agg(F.max(F.struct("u", F.coalesce("doc_id", F.lit(_LEAST)).alias("id"))).alias("last")))
+    ends = cuts.join(taken.withColumnRenamed("cut_source", "t"), F.col("cut_source").eqNullSafe(F.col("t")), "left").select(
+        "cut_source", F.coalesce("last.u", F.when(F.col("extra") > 0, F.shiftleft("cut", _HASH_BITS - BUCKET_BITS) - 1).otherwise(F.lit(-1))).alias("last_u"),
+        F.coalesce("last.id", F.lit((1 << 63) - 1)).alias("last_id"))
     plan, _ = stage(
-        targets.join(edges, F.col("source").eqNullSafe(F.col("s")), "left")
-        .select(F.col("source").alias("plan_source"), "source_size", "target", "whole", "extra",
-                F.coalesce(F.col("cut.bucket"), F.lit(1 << BUCKET_BITS)).alias("cut"),
-                F.coalesce(F.col("cut.base"), F.lit(0)).alias("base")), "mix-plan")
-    n_sources = plan.count()
-    rows = sized.join(hint_if_small(plan, n_sources), F.col("source").eqNullSafe(F.col("plan_source")), "left").drop("plan_source")
-    whole_buckets = (rows.filter(F.col("bucket") != F.col("cut"))
-                     .withColumn("more", (F.col("bucket") < F.col("cut")).cast("long")))
-    order = Window.partitionBy("source").orderBy("u", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cut_bucket = (rows.filter(F.col("bucket") == F.col("cut"))
-                  .withColumn("end", F.col("base") + F.sum("size").over(order))
-                  .withColumn("more", ((F.col("end") - F.col("size") / 2) <= F.col("extra")).cast("long"))
-                  .drop("end"))
-    return (whole_buckets.unionByName(cut_bucket)
-            .withColumn("copies", F.col("whole").cast("long") + F.when(F.col("extra") > 0, F.col("more")).otherwise(F.lit(0)))
-            .select("doc_id", "source", "size", "source_size", "target", "copies", "u"))
+        targets.join(ends, F.col("source").eqNullSafe(F.col("cut_source")), "left")
+        .select(F.col("source").alias("plan_source"), "source_size", "target", "whole",
+                F.coalesce("last_u", F.lit(-1)).alias("last_u"), F.coalesce("last_id", F.lit(_LEAST)).alias("last_id")), "mix-plan")
+    return plan, plan.count()
+
+
+def times_taken(u: Column, doc_id: Column) -> Column:
+    """How often a document is taken, beside its source's plan row."""
+    more = (u < F.col("last_u")) | ((u == F.col("last_u")) & (F.coalesce(doc_id, F.lit(_LEAST)) <= F.col("last_id")))
+    return F.col("whole") + more.cast("long")
+
+
+def mix_copies(docs: DataFrame, *, id_col="doc_id", text_col="text", source_col="source",
+               weight_cycle=(1, 2, 3), total: float | None = None, max_epochs: int = 3,
+               seed: str = "mix") -> DataFrame:
+    """One row per document: doc_id, source, size, source_size, target,
+    ``copies`` (times the mix takes it)."""
+    sized, _ = stage(document_sizes(docs, id_col=id_col, text_col=text_col, source_col=source_col, seed=seed), "mix-sizes")
+    plan, n = mix_plan(sized, weight_cycle=weight_cycle, total=total, max_epochs=max_epochs)
+    return (sized.join(hint_if_small(plan, n), F.col("source").eqNullSafe(F.col("plan_source")))
+            .withColumn("copies", times_taken(F.col("u"), F.col("doc_id")))
+            .select("doc_id", "source", "size", "source_size", "target", "copies"))
+
+
+def repeat_by_mix(docs: DataFrame, *, id_col="doc_id", text_col="text", source_col="source",
+                  weight_cycle=(1, 2, 3), total: float | None = None, max_epochs: int = 3, seed: str = "mix") -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it."""
+    sized, _ = stage(document_sizes(docs, id_col=id_col, text_col=text_col, source_col=source_col, seed=seed), "mix-sizes")
+    plan, n = mix_plan(sized, weight_cycle=weight_cycle, total=total, max_epochs=max_epochs)
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("row")       # one column: nothing of docs can clash
+    rows = docs.select(row, seeded_order(id_col, text_col, seed).alias("u"), docs[id_col].alias("id"), docs[source_col].alias("src"))
+    return (rows.join(hint_if_small(plan, n), F.col("src").eqNullSafe(F.col("plan_source")))
+            .withColumn("again", F.explode(F.array_repeat(F.lit(0), times_taken(F.col("u"), F.col("id")).cast("int"))))
+            .select("row.*"))
