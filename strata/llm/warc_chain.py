@@ -34,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import drop, stage
+from strata.llm.common import drop, hint_if_small, stage
 from strata.session import new_path
 
 # Fixed values of the format.
@@ -58,8 +58,9 @@ def records_of(pages: DataFrame, *, id_col="page_id", url_col="url", html_col="h
     payload = F.coalesce(F.col(html_col), F.lit(""))
     rows = pages.select(F.col(id_col).alias("page_id"), F.coalesce(F.col(url_col), F.lit("")).alias("url"), payload.alias("payload"),
                         sha1_base32(payload.cast("binary")).alias("digest"), F.octet_length(payload).cast("long").alias("bytes"))
-    firsts, _ = stage(rows.filter(F.col("bytes") >= min_bytes).groupBy("digest", "bytes").agg(F.min("page_id").alias("first")), "warc-firsts")
-    return (rows.join(firsts, ["digest", "bytes"], "left")
+    firsts, _ = stage(rows.filter(F.col("bytes") >= min_bytes).groupBy("digest", "bytes")
+                      .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "warc-firsts")
+    return (rows.join(hint_if_small(firsts, firsts.count()), ["digest", "bytes"], "left")
             .withColumn("refers_to", F.when(F.col("page_id").isNull() | (F.col("page_id") != F.col("first")), F.col("first")))
             .drop("first"))
 
@@ -103,20 +104,24 @@ def _payload(block: Column) -> Column:
     return F.when(head < F.octet_length(block), F.substring(block, head + len(GAP) + 1, 2147483647)).otherwise(F.lit(b""))
 
 
-def _candidates(pieces: DataFrame) -> DataFrame:
-    """(file, block, at, start, succ, run): offsets of magics; runs of
-    candidates without a gap inside one byte range."""
+def _offsets(pieces: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep`` and ``body``, the offset behind a piece's magic: what its byte
+    range holds before it, and the ranges of its file before that."""
     in_block = Window.partitionBy("file", "block").orderBy("at")
     size = F.col("bytes") + len(MAGIC)
-    placed = pieces.select("file", "block", "at", "bytes", "skip", "length",
-                           (F.sum(size).over(in_block) - size).alias("inside"))
     blocks = pieces.groupBy("file", "block").agg(F.sum(size).alias("n"))
     before = blocks.select("file", "block", (F.sum("n").over(Window.partitionBy("file").orderBy("block")) - F.col("n")).alias("before"))
-    body = F.col("before") + F.col("inside")          # offset behind the magic; the first piece of a file has none
-    rows = (placed.join(before, ["file", "block"])
-            .select("file", "block", "at", (body - len(MAGIC)).alias("start"),
-                    (body + F.col("skip") + F.col("length") + len(GAP)).alias("succ"))
-            .filter("start >= 0"))
+    placed = pieces.withColumn("inside", F.sum(size).over(in_block) - size)
+    return placed.join(before, ["file", "block"]).select(*keep, (F.col("before") + F.col("inside")).alias("body"))
+
+
+def _candidates(pieces: DataFrame) -> DataFrame:
+    """(file, block, at, start, succ, run): offsets of magics; runs of
+    candidates without a gap inside one byte range."""
+    rows = (_offsets(pieces, ["file", "block", "at", "skip", "length"])
+            .select("file", "block", "at", (F.col("body") - len(MAGIC)).alias("start"),
+                    (F.col("body") + F.col("skip") + F.col("length") + len(GAP)).alias("succ"))
+            .filter("start >= 0"))                    # the first piece of a file is before its magic
     ordered = Window.partitionBy("file", "block").orderBy("start")
     gap = F.coalesce((F.lag("succ").over(ordered) != F.col("start")).cast("int"), F.lit(1))
     return rows.withColumn("gap", gap).withColumn("run", F.sum("gap").over(ordered)).drop("gap")
@@ -150,7 +155,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """One row per record: file, start, record_type, page_id, url,
     payload_bytes, payload_digest, refers_to. Digest and length of a response
     are those of its payload as read; a revisit's are those it names."""
-    pieces, _ = stage(_pieces(spark, path), "warc-pieces")
+    pieces, _ = stage(_pieces(spark, path).drop("value"), "warc-pieces")
     candidates, _ = stage(_candidates(pieces), "warc-candidates")
     marked = reachable(candidates)
     is_record = F.coalesce(F.col("start") >= F.col("entry"), F.lit(False))
@@ -164,19 +169,13 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     info = pieces.select(*place, "head", "length", "own_digest", "own_bytes")
     parted, _ = stage(owned.filter("start != owner").select("file", "owner").distinct(), "warc-parted")
     heads = owned.filter("start = owner").join(info, place)
-    single = heads.join(parted, ["file", "owner"], "left_anti").select("file", "start", "head", "own_digest", "own_bytes")
-    whole = (owned.join(parted, ["file", "owner"]).join(pieces.select(*place, "value", "head", "skip", "length"), place)
-             .groupBy("file", "owner")
-             .agg(F.array_sort(F.collect_list(F.struct("start", "value"))).alias("parts"), F.min_by("head", "start").alias("head"),
-                  F.min_by("skip", "start").alias("skip"), F.min_by("length", "start").alias("length")))
-    joined = F.array_join(F.transform("parts", lambda p: p["value"]), MAGIC).cast("binary")
-    block = F.substring(joined, (F.col("skip") + 1).cast("int"), F.col("length").cast("int"))
-    many = whole.select("file", F.col("owner").alias("start"), "head", _payload(block).alias("payload")).select(
-        "file", "start", "head", sha1_base32(F.col("payload")).alias("own_digest"), F.octet_length("payload").cast("long").alias("own_bytes"))
+    records = heads.join(parted, ["file", "owner"], "left_anti").select("file", "start", "head", "own_digest", "own_bytes")
+    if parted.limit(1).count():
+        records = records.unionByName(_from_parts(spark, path, owned.join(parted, ["file", "owner"]).select("file", "start", "owner")))
     field = lambda name, pattern: F.regexp_extract(F.concat(F.lit("\r\n"), "head", F.lit("\r\n")), rf"(?i)\r\n{name}: *{pattern}\r\n", 1)
     kind = field("WARC-Type", r"(\w+)")
     revisit = kind == "revisit"
-    return single.unionByName(many).select(
+    return records.select(
         "file", "start", kind.alias("record_type"), field("WARC-Record-ID", "<urn:page:(-?[0-9]+)>").try_cast("long").alias("page_id"),
         field("WARC-Target-URI", "([^\r\n]*)").alias("url"),
         F.when(revisit, field("WARC-Payload-Length", "([0-9]+)").try_cast("long")).otherwise(F.col("own_bytes")).alias("payload_bytes"),
@@ -184,6 +183,22 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         F.when(revisit, field("WARC-Refers-To", "<urn:page:(-?[0-9]+)>").try_cast("long")).alias("refers_to"))
 
 
+def _from_parts(spark: SparkSession, path: str, parts: DataFrame) -> DataFrame:
+    """Records whose payload holds magics, put together from ``parts`` (file,
+    start, owner): only the files that have some are read again."""
+    parts, _ = stage(parts, "warc-parts")
+    files, _ = stage(parts.select("file").distinct(), "warc-files")
+    again = _pieces(spark, path).drop("own_digest", "own_bytes").join(hint_if_small(files, files.count()), "file", "left_semi")
+    rows = _offsets(again, ["file", "value", "head", "skip", "length"]).withColumn("start", F.col("body") - len(MAGIC))
+    whole = (rows.join(hint_if_small(parts, parts.count()), ["file", "start"]).groupBy("file", "owner")
+             .agg(F.array_sort(F.collect_list(F.struct("start", "value"))).alias("parts"), F.min_by("head", "start").alias("head"),
+                  F.min_by("skip", "start").alias("skip"), F.min_by("length", "start").alias("length")))
+    joined = F.array_join(F.transform("parts", lambda p: p["value"]), MAGIC).cast("binary")
+    payload = _payload(F.substring(joined, (F.col("skip") + 1).cast("int"), F.col("length").cast("int")))
+    return whole.select("file", F.col("owner").alias("start"), "head", payload.alias("payload")).select(
+        "file", "start", "head", sha1_base32(F.col("payload")).alias("own_digest"), F.octet_length("payload").cast("long").alias("own_bytes"))
+
+
 def archive_and_read(pages: DataFrame, *, min_bytes: int = 0) -> DataFrame:
     """Write all pages to archives in the shared folder and read them back."""
     spark = pages.sparkSession
