@@ -43,8 +43,9 @@ def to_money(c, precision: int = 10, scale: int = 2) -> Column:
 
 
 def cents(c) -> Column:
-    """Money as an exact integer number of cents (sums stay exact)."""
-    return F.round(_c(c) * 100).cast("bigint")
+    """Money as an exact integer number of cents (sums stay exact), rounded
+    once, as ``to_money`` rounds it."""
+    return (to_money(c, 18, 2) * 100).cast("bigint")
 
 
 def to_int(c) -> Column:

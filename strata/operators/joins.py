@@ -38,18 +38,6 @@ def row_width(df: DataFrame) -> int:
     return 16 + sum(_type_width(f.dataType) for f in df.schema.fields)
 
 
-_COUNTS: dict = {}
-
-
-def _row_count(df: DataFrame) -> int:
-    """Row count, remembered per DataFrame object: a reader's file listing is
-    fixed when it is created, so its count does not change afterwards."""
-    key = (id(df.sparkSession), id(df), df.semanticHash())
-    if key not in _COUNTS:
-        _COUNTS[key] = df.count()
-    return _COUNTS[key]
-
-
 def broadcast_if_small(dim: DataFrame, row_bound=None,
                        max_rows: int = MAX_BROADCAST_ROWS,
                        max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
@@ -61,7 +49,7 @@ def broadcast_if_small(dim: DataFrame, row_bound=None,
     full outer join); counting a parquet table reads only footers.
     """
     bounds = row_bound if isinstance(row_bound, (list, tuple)) else [row_bound if row_bound is not None else dim]
-    n = sum(_row_count(b) for b in bounds)
+    n = sum(b.count() for b in bounds)
     if n <= max_rows and n * row_width(dim) <= max_bytes:
         return F.broadcast(dim)
     return dim

@@ -158,13 +158,14 @@ class QualityError(ValueError):
 
 
 def fail_fast(results: DataFrame) -> DataFrame:
-    """Raise if any rule failed; the result table has one row per rule, so
-    bringing it to the driver is bounded."""
-    failed = results.filter(~F.col("passed")).collect()
+    """Raise if any rule failed, else the results as a small frame (one row
+    per rule, computed once)."""
+    rows = results.collect()
+    failed = [r for r in rows if not r["passed"]]
     if failed:
         raise QualityError("quality rules failed: " + "; ".join(
             f"{r['rule']}({r['column']}): {r['violations']} of {r['checked']}" for r in failed))
-    return results
+    return results.sparkSession.createDataFrame(rows, results.schema)
 
 
 def corrupt_threshold(total_rows: Column, corrupt_rows: Column, max_ratio: float) -> list[Column]:

@@ -17,7 +17,9 @@ are prefix sums instead, distributed over (key, time bucket):
   the key's earlier buckets (a small per-(key, bucket) table).
 
 Exact: no row is dropped or sampled; results equal the single-partition
-window (sums need an exact type: integer or decimal).
+window (sums need an exact type: integer or decimal). A NULL key is a key
+like any other. A row without a time is in no frame: it keeps its place in
+the output with empty aggregates (NULL, counts 0) and adds nothing to others.
 """
 
 from __future__ import annotations
@@ -36,6 +38,12 @@ def _micros(ts: str) -> Column:
     return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: list) -> DataFrame:
+    """Inner join on ``keys`` in which NULL equals NULL."""
+    named = right.withColumnsRenamed({k: f"_j_{k}" for k in keys})
+    return left.join(named, [left[k].eqNullSafe(named[f"_j_{k}"]) for k in keys]).drop(*[f"_j_{k}" for k in keys])
+
+
 def _next_occurrence(occ: DataFrame, keys: list, bucket_us: int) -> DataFrame:
     """For (keys..., _v, _t_us) rows add ``_next``: the time of the next row
     of the same (keys, value) in time order, or NULL. Found inside the row's time
@@ -50,7 +58,7 @@ def _next_occurrence(occ: DataFrame, keys: list, bucket_us: int) -> DataFrame:
              .select(*part, "_nb", F.min("_bmin").over(
                  Window.partitionBy(*part).orderBy("_nb").rowsBetween(1, Window.unboundedFollowing)
              ).alias("_after")))
-    return (inside.join(later, [*part, "_nb"], "inner")
+    return (_join_null_safe(inside, later, [*part, "_nb"])
             .withColumn("_next", F.coalesce("_in", "_after")).drop("_in", "_after", "_nb"))
 
 
@@ -79,7 +87,8 @@ def trailing(df: DataFrame, key: str, ts: str, frames: dict, bucket_seconds: int
     occurrence of the value or at time + width + 1 us.
     """
     tgt = F.lit(True) if target is None else F.coalesce(target, F.lit(False))
-    rows = df.withColumn("_t_us", _micros(ts))
+    timeless = df.filter(F.col(ts).isNull() & tgt)
+    rows = df.filter(F.col(ts).isNotNull()).withColumn("_t_us", _micros(ts))
     types = {n: rows.select(c.alias("_v")).schema["_v"].dataType for n, (_, _, c) in frames.items()}
     zero = {}
     for name, (_, kind, _) in frames.items():
@@ -162,7 +171,9 @@ def trailing(df: DataFrame, key: str, ts: str, frames: dict, bucket_seconds: int
     for name, (_, kind, _) in frames.items():
         v = F.col(f"_d_{name}")
         result[name] = F.when(F.col(f"_n_{name}") > 0, v) if kind == "sum" else v
-    return out.withColumns(result).drop("_time", "_qt", *zero)
+    out = out.withColumns(result).drop("_time", "_qt", *zero)
+    empty = {n: F.lit(None if n in running or frames[n][1] == "sum" else 0).cast(out.schema[n].dataType) for n in result}
+    return out.unionByName(timeless.withColumns(empty).select(*out.columns))
 
 
 def running(df: DataFrame, key: str, ts: str, tiebreak: str, sums: dict,
@@ -195,14 +206,16 @@ def prefix(df: DataFrame, key: str, order: Column, tiebreak: str, aggs: dict,
     """Prefix aggregates per key along a numeric ``order`` (then
     ``tiebreak``): name -> (kind, Column) with kind in sum/max/min/count.
     With ``include_current=False`` only strictly earlier rows count (NULL,
-    or 0 for count, when there are none).
+    or 0 for count, when there are none). Rows without an ``order`` stay,
+    with empty aggregates.
 
     Rows are bucketed by ``floor(order / bucket_width)``; the window runs
     per (key, bucket), and each bucket adds the combined result of the
     key's earlier buckets (a small per-(key, bucket) table).
     """
-    rows = (df.withColumn("_o", order)
-            .withColumn("_b", F.floor(F.col("_o") / F.lit(bucket_width))))
+    ordered = df.withColumn("_o", order)
+    unplaced = ordered.filter("_o IS NULL")
+    rows = ordered.filter("_o IS NOT NULL").withColumn("_b", F.floor(F.col("_o") / F.lit(bucket_width)))
     upper = Window.currentRow if include_current else -1
     inside = Window.partitionBy(key, "_b").orderBy("_o", tiebreak).rowsBetween(
         Window.unboundedPreceding, upper)
@@ -212,8 +225,9 @@ def prefix(df: DataFrame, key: str, order: Column, tiebreak: str, aggs: dict,
     totals = totals.select(key, "_b", *[_OUTER[k](f"_bt_{n}").over(before).alias(f"_pre_{n}")
                                         for n, (k, _) in aggs.items()])
     inner = rows.withColumns({f"_in_{n}": _INNER[k](c).over(inside) for n, (k, c) in aggs.items()})
-    out = inner.join(totals, [key, "_b"], "inner")
+    out = _join_null_safe(inner, totals, [key, "_b"])
     out = out.withColumns({n: _combine(k, F.col(f"_pre_{n}"), F.col(f"_in_{n}"))
                            for n, (k, _) in aggs.items()})
-    drop = ["_o", "_b"] + [f"_in_{n}" for n in aggs] + [f"_pre_{n}" for n in aggs]
-    return out.drop(*drop)
+    out = out.drop("_o", "_b", *[f"_in_{n}" for n in aggs], *[f"_pre_{n}" for n in aggs])
+    empty = {n: F.lit(0 if k == "count" else None).cast(out.schema[n].dataType) for n, (k, _) in aggs.items()}
+    return out.unionByName(unplaced.withColumns(empty).select(*out.columns))

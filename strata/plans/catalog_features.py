@@ -15,11 +15,19 @@ from strata.registry import register
 from strata.sources import landing
 
 
+# Purchases that arrive without a time, and without a user.
+NO_TIME_EVERY, NO_USER_EVERY = 29, 31
+
+
 def _inputs(spark, sf_dir):
     """(events, transactions, users, chargeback, row bounds): the row bounds
     of users and of the chargeback table (one row per ordering customer,
     so at most the orders table's rows) for the broadcast check."""
     e, t, u, bound = silver_inputs(spark, sf_dir)
+    at = F.col("transaction_id")
+    t = t.withColumns({
+        "transaction_timestamp": F.when(at % NO_TIME_EVERY != 0, F.col("transaction_timestamp")),
+        "user_id": F.when(at % NO_USER_EVERY != 0, F.col("user_id"))})
     orders = landing.table(spark, sf_dir, "orders")
     cb = features.chargeback_rate(orders, landing.table(spark, sf_dir, "lineitem"))
     return e, t, u, cb, (bound, orders)
@@ -27,29 +35,30 @@ def _inputs(spark, sf_dir):
 
 SQL_FEATURES = f"""WITH {SQL_SILVER},
 txc AS (
-  SELECT transaction_id, user_id, transaction_timestamp AS ts, amount,
-         CAST(round(amount * 100) AS BIGINT) AS cents
+  SELECT transaction_id, CASE WHEN transaction_id % {NO_USER_EVERY} <> 0 THEN user_id END AS user_id,
+         CASE WHEN transaction_id % {NO_TIME_EVERY} <> 0 THEN transaction_timestamp END AS ts, amount,
+         CAST(CAST(amount AS DECIMAL(18, 2)) * 100 AS BIGINT) AS cents
   FROM tx
 ),
 beh AS (
   SELECT t.transaction_id,
     (SELECT count(DISTINCT e.session_id) FROM ev e
-      WHERE e.user_id = t.user_id AND e.ts >= t.ts - INTERVAL 24 HOURS AND e.ts <= t.ts) AS sessions_24h,
+      WHERE e.user_id IS NOT DISTINCT FROM t.user_id AND e.ts >= t.ts - INTERVAL 24 HOURS AND e.ts <= t.ts) AS sessions_24h,
     (SELECT count(DISTINCT e.event_type) FROM ev e
-      WHERE e.user_id = t.user_id AND e.ts >= t.ts - INTERVAL 24 HOURS AND e.ts <= t.ts)
+      WHERE e.user_id IS NOT DISTINCT FROM t.user_id AND e.ts >= t.ts - INTERVAL 24 HOURS AND e.ts <= t.ts)
       AS distinct_event_types_24h,
     CAST((SELECT coalesce(sum(x.cents), 0) FROM txc x
-      WHERE x.user_id = t.user_id AND x.ts >= t.ts - INTERVAL 24 HOURS AND x.ts <= t.ts) AS DOUBLE) / 100.0
+      WHERE x.user_id IS NOT DISTINCT FROM t.user_id AND x.ts >= t.ts - INTERVAL 24 HOURS AND x.ts <= t.ts) AS DOUBLE) / 100.0
       AS spent_24h,
     (SELECT count(*) FROM txc x
-      WHERE x.user_id = t.user_id AND x.ts >= t.ts - INTERVAL 1 HOUR AND x.ts <= t.ts)
+      WHERE x.user_id IS NOT DISTINCT FROM t.user_id AND x.ts >= t.ts - INTERVAL 1 HOUR AND x.ts <= t.ts)
       AS transactions_last_hour
   FROM txc t
 ),
 run AS (
   SELECT transaction_id, cents,
          sum(cents) OVER w AS cum_cents, count(*) OVER w AS n
-  FROM txc
+  FROM txc WHERE ts IS NOT NULL
   WINDOW w AS (PARTITION BY user_id ORDER BY ts, transaction_id
                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
 ),
@@ -83,7 +92,7 @@ ff AS (
          acc.days_since_signup, acc.chargeback_rate
   FROM txc t
   JOIN beh ON t.transaction_id = beh.transaction_id
-  JOIN vel ON t.transaction_id = vel.transaction_id
+  LEFT JOIN vel ON t.transaction_id = vel.transaction_id
   JOIN acc ON t.transaction_id = acc.transaction_id
 )"""
 

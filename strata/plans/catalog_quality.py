@@ -76,6 +76,20 @@ def q_fail_fast(spark, sf_dir):
     return dq.fail_fast(dq.run_rules(g, gold_rules(u)))
 
 
+@register("validate_schema", """SELECT * FROM (VALUES ('amount', 'double'), ('currency', 'missing'))
+  AS t("column", problem), (SELECT count(*) AS checked FROM events WHERE event_type = 'purchase')""")
+def q_validate_schema(spark, sf_dir):
+    """Columns of the purchases that a declared schema finds missing or of
+    another type, beside the rows they concern."""
+    from pyspark.sql import types as T
+    t = landing.app_transactions(spark, sf_dir).drop("currency")
+    expected = T.StructType([T.StructField("transaction_id", T.LongType()), T.StructField("amount", T.DecimalType(10, 2)),
+                             T.StructField("currency", T.StringType())])
+    bad = dq.validate_schema(t, expected)
+    problems = [F.struct(F.lit(c).alias("column"), F.lit(dict(t.dtypes).get(c, "missing")).alias("problem")) for c in sorted(bad)]
+    return t.agg(F.count(F.lit(1)).alias("checked")).select(F.inline(F.array(*problems)), "checked")
+
+
 def _one_rule(kind: str, idx: int):
     def q(spark, sf_dir):
         g, u = _gold(spark, sf_dir)

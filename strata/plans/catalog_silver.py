@@ -95,6 +95,43 @@ def q_read_events_json(spark, sf_dir):
                     F.col(CORRUPT_COL).isNotNull().alias("is_corrupt"))
 
 
+@register("scan_json_files", f"""WITH {SQL_LINES}
+SELECT is_corrupt, event_type, count(*) AS lines, sum(price) IS NOT NULL AS priced FROM parsed GROUP BY ALL""")
+def q_scan_json_files(spark, sf_dir):
+    """The raw JSON lines written as text files and read by the file reader."""
+    from strata.session import new_path
+    from strata.sources.readers import read_events_json
+    path = new_path(spark, "json_files")
+    landing.event_json_lines(spark, sf_dir).write.text(path)
+    p = read_events_json(spark, path)
+    return p.groupBy(F.col(CORRUPT_COL).isNotNull().alias("is_corrupt"), "event_type").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("event_details.price").isNotNull().alias("priced"))
+
+
+BAD_AMOUNT_EVERY = 23      # fixed value: purchases written with an amount that is no number
+
+
+@register("scan_csv_files", f"""SELECT event_id AS transaction_id, user_id,
+  CASE WHEN event_id % {BAD_AMOUNT_EVERY} <> 0 THEN CAST(value AS DECIMAL(12, 2)) END AS amount,
+  event_id % {BAD_AMOUNT_EVERY} = 0 AS is_corrupt
+FROM events WHERE event_type = 'purchase'""")
+def q_scan_csv_files(spark, sf_dir):
+    """Purchases written as CSV files with a header line and read by the file
+    reader; a bad amount keeps its line as corrupt text."""
+    from pyspark.sql import types as T
+
+    from strata.session import new_path
+    from strata.sources.readers import read_csv
+    path = new_path(spark, "csv_files")
+    t = landing.app_transactions(spark, sf_dir)
+    amount = F.when(F.col("transaction_id") % BAD_AMOUNT_EVERY == 0, "n/a").otherwise(F.format_string("%.2f", "amount"))
+    t.select("transaction_id", "user_id", amount.alias("amount")).write.option("header", True).csv(path)
+    schema = T.StructType([T.StructField("transaction_id", T.LongType()), T.StructField("user_id", T.LongType()),
+                           T.StructField("amount", T.DecimalType(12, 2))])
+    back = read_csv(spark, path, schema, header=True, corrupt_col=CORRUPT_COL)
+    return back.select("transaction_id", "user_id", "amount", F.col(CORRUPT_COL).isNotNull().alias("is_corrupt"))
+
+
 @register("corrupt_split", f"""WITH {SQL_LINES}
 SELECT count(*) AS total_count,
        count(*) FILTER (WHERE is_corrupt) AS corrupt_count,

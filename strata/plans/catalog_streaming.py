@@ -166,6 +166,38 @@ def q_stream_session_agg(spark, sf_dir):
         "first_event_type", "last_event_type")
 
 
+SESSION_GAP = "6 hours"
+
+
+@register("stream_session_window", f"""WITH m AS (
+  SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) < INTERVAL {SESSION_GAP}
+            THEN 0 ELSE 1 END AS starts FROM events
+),
+n AS (SELECT *, sum(starts) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS k FROM m),
+s AS (
+  SELECT user_id, min(ts) AS session_start_time, max(ts) AS session_end_time, count(event_id) AS total_events,
+         first(event_type ORDER BY ts, event_id) AS first_event_type,
+         last(event_type ORDER BY ts, event_id) AS last_event_type,
+         max(ts) + INTERVAL {SESSION_GAP} AS window_end
+  FROM n GROUP BY user_id, k
+)
+SELECT user_id, session_start_time, session_end_time, window_end, total_events, first_event_type, last_event_type
+FROM s WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL {SESSION_DELAY}""")
+def q_stream_session_window(spark, sf_dir):
+    """Sessions by inactivity gap (``session_window``), emitted in append mode
+    once the watermark has passed their end."""
+    ev = jobs.parquet_stream(spark, sf_dir.rstrip("/"), "events.parquet").select(
+        "event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("event_timestamp"))
+    out, ck = new_path(spark, "gap_sessions"), new_path(spark, "ck")
+    _run(jobs.session_stream(ev, delay=SESSION_DELAY, gap=SESSION_GAP)
+         .writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+         .outputMode("append").trigger(availableNow=True).start())
+    return spark.read.parquet(out).select(
+        "user_id", to_ntz("session_start_time").alias("session_start_time"),
+        to_ntz("session_end_time").alias("session_end_time"), to_ntz("window_end").alias("window_end"),
+        "total_events", "first_event_type", "last_event_type")
+
+
 @register("stream_upsert_gold", f"""WITH {SQL_LANDED}, {SQL_SILVER},
 sessj AS (
   SELECT session_id, user_id,
@@ -185,10 +217,10 @@ def q_stream_upsert_gold(spark, sf_dir):
     continue in a later batch, re-deliveries and corrections update rows
     already published."""
     src = _landed(spark, sf_dir)
-    _, t, u, bound = silver_inputs(spark, sf_dir)
     silver_path, gold_path, ck = new_path(spark, "silver"), new_path(spark, "gold"), new_path(spark, "ck")
     _run(jobs.gold_upsert(jobs.json_line_stream(spark, src, max_files_per_trigger=1),
-                          silver_path, gold_path, ck, t, u, bound))
+                          silver_path, gold_path, ck,
+                          lambda: silver_inputs(spark, sf_dir)[1], lambda: silver_inputs(spark, sf_dir)[2]))
     return gold.comparable(spark.read.parquet(gold_path))
 
 

@@ -1,28 +1,59 @@
-"""One end-to-end load: raw text -> silver tables -> gold table.
-
-A plain function, no scheduler: the three silver loads run as concurrent
-Spark jobs, each layer is written (so the next layer
-reads a table, not a lineage), row counts come from ``observe`` during the
-writes (no extra pass), data quality gates the gold write, and gold is kept
-with the idempotent partition-scoped upsert, so a re-run (e.g. with late
-events) rewrites only touched dates.
+"""Loads into the layered tables: raw text -> silver -> gold.
+
+``run_medallion`` takes one load of raw text, ``merge_load`` one load of
+cleaned rows (a batch load and a stream's micro-batch use the same code).
+A load may come again, hold corrections, or be late:
+
+* silver is merged by key (newest copy of an event or purchase, latest
+  signup of a user), never replaced;
+* rules are checked on the cleaned rows before any silver table changes, on
+  the recomputed sessions before gold changes;
+* gold is recomputed only for the sessions that the load touches: those of
+  its events, purchases and users, and those that older copies of its events
+  and purchases belong to. Silver is read at the dates that can hold them;
+  purchases and users are semi-joined to them first. A touched session that
+  has no event left is deleted from gold.
+
+A plain function, no scheduler: the three cleaned inputs are written as
+concurrent Spark jobs; what is written for one load only is deleted at its end.
 """
 
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import quality as dq
-from strata.plans import gold, silver
 from strata.operators.cleaning import split_corrupt
-from strata.sources.readers import parse_csv_lines, parse_json_lines
+from strata.operators.sessions import SESSION_KEYS
+from strata.plans import gold, silver
+from strata.session import delete_path, new_path
+from strata.sources.readers import parse_csv_lines, parse_json_lines, table_exists
 from strata.sources.schemas import CORRUPT_COL, RAW_EVENT, RAW_TRANSACTION, RAW_USER
 from strata.tables import writes
 
+AUDIT = "processing_timestamp"
+
+
+@dataclass(frozen=True)
+class Spec:
+    """How a silver table is keyed and laid out."""
+    keys: tuple
+    order_col: str
+    partition_col: str | None = None
+
+
+SILVER = {
+    "events_clean": Spec(("event_id",), "event_timestamp", "event_date"),
+    "transactions_clean": Spec(("transaction_id",), "transaction_timestamp", "transaction_date"),
+    "users_dim": Spec(("user_id",), "signup_date"),
+}
+GOLD = "user_session_analysis"
+
 
 @dataclass
 class LoadResult:
@@ -31,63 +62,170 @@ class LoadResult:
     touched_dates: list = field(default_factory=list)
 
 
-def _write_observed(df: DataFrame, path: str, name: str, partition_col: str | None = None) -> int:
+def table_paths(base: str) -> dict:
+    return {k: f"{base.rstrip('/')}/{k}" for k in (*SILVER, GOLD, "quarantine")}
+
+
+def silver_rules(name: str, allowed_event_types=None) -> list:
+    """Checked on a load's cleaned rows before silver changes."""
+    rules = {
+        "events_clean": [dq.is_unique("event_id"), dq.is_complete("user_id"), dq.is_complete("session_id")],
+        "transactions_clean": [dq.is_unique("transaction_id"), dq.is_complete("user_id"), dq.min_value("amount", 0)],
+        "users_dim": [dq.is_unique("user_id"), dq.is_complete("user_id")],
+    }[name]
+    if name == "events_clean" and allowed_event_types is not None:
+        rules.append(dq.values_in("event_type", allowed_event_types))
+    return rules
+
+
+def _observed_write(df: DataFrame, path: str, name: str) -> int:
     obs = Observation(name)
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    if partition_col:
-        writes.write_partitioned(observed, path, partition_col)
-    else:
-        writes.write_replace(observed, path)
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(path)
     return int(obs.get["rows"])
 
 
-def run_medallion(spark: SparkSession, event_lines: DataFrame, transaction_lines: DataFrame,
-                  user_lines: DataFrame, base: str, gold_rules=None) -> LoadResult:
-    """Load raw event JSON lines, transaction CSV lines and user CSV lines
-    (column ``value``) into silver and gold tables under ``base``."""
-    paths = {k: f"{base.rstrip('/')}/{k}" for k in
-             ("events_bronze", "events_clean", "quarantine", "transactions_clean", "users_dim",
-              "user_session_analysis")}
+def _dated(name: str, df: DataFrame) -> DataFrame:
+    spec = SILVER[name]
+    return df.withColumn(spec.partition_col, F.to_date(spec.order_col)) if spec.partition_col else df
+
+
+def _read(spark: SparkSession, paths: dict, name: str) -> DataFrame | None:
+    """A table, or None before its first row."""
+    part = "session_date" if name == GOLD else SILVER[name].partition_col
+    path = paths.get(name)
+    if path is None or not table_exists(spark, path) or part and not writes.list_partitions(spark, path, part):
+        return None
+    return spark.read.parquet(path)
+
+
+def _touched_sessions(spark: SparkSession, paths: dict, rows: dict) -> DataFrame:
+    """Session keys whose gold row may change; see the module's text."""
+    found = []
+    for name in ("events_clean", "transactions_clean"):
+        if name in rows:
+            found.append(rows[name].select(*SESSION_KEYS))
+            old = _read(spark, paths, name)
+            if old is not None:
+                key = list(SILVER[name].keys)
+                found.append(old.select(*key, *SESSION_KEYS).join(rows[name].select(*key), key, "left_semi").select(*SESSION_KEYS))
+    sessions = _read(spark, paths, GOLD)
+    if "users_dim" in rows and sessions is not None:
+        found.append(sessions.select(*SESSION_KEYS).join(rows["users_dim"].select("user_id"), "user_id", "left_semi"))
+    if not found:
+        return spark.createDataFrame([], "session_id string, user_id string")
+    return reduce(DataFrame.unionByName, found).distinct()
+
+
+def _event_dates(spark: SparkSession, paths: dict, rows: dict, touched: DataFrame) -> list:
+    """Silver's event dates that can hold events of the touched sessions: the
+    load's own, and those inside the spans of the sessions' current gold rows
+    (after a completed load a gold row spans all its session's events that
+    have a time). Spans are reduced to the last end per start date and held
+    against silver's list of partitions, so a stray date costs nothing."""
+    part = SILVER["events_clean"].partition_col
+    own = rows["events_clean"].select(part) if "events_clean" in rows else None
+    dates = {str(r[0]) for r in own.filter(F.col(part).isNotNull()).distinct().collect()} if own is not None else set()
+    sessions = _read(spark, paths, GOLD)
+    if sessions is not None:
+        spans = (sessions.select(*SESSION_KEYS, F.to_date("session_start_time").alias("a"), F.to_date("session_end_time").alias("z"))
+                 .join(touched, SESSION_KEYS, "left_semi").groupBy("a").agg(F.max("z").alias("z"))
+                 .filter("a IS NOT NULL").collect())                     # a row per date
+        held = writes.list_partitions(spark, paths["events_clean"], part)
+        dates |= {d for d in held if any(str(r["a"]) <= d <= str(r["z"]) for r in spans)}
+    return sorted(dates | {writes._NULL_PARTITION})
+
+
+def merge_load(spark: SparkSession, paths: dict, events: DataFrame | None = None, transactions: DataFrame | None = None,
+               users: DataFrame | None = None, gold_rules=None, allowed_event_types=None,
+               sources: dict | None = None) -> LoadResult:
+    """Merge one load of cleaned rows (one row per key; see ``plans.silver``)
+    into the tables under ``paths``. Any of the three may be missing.
+
+    ``sources``: name -> function returning a frame, for silver tables that
+    are kept elsewhere; called once per load, so rows that arrived since the
+    last one are seen."""
     res = LoadResult(paths)
+    given = {n: _dated(n, df) for n, df in zip(SILVER, (events, transactions, users), strict=True) if df is not None}
+    scratch = {n: new_path(spark, n) for n in (*given, "touched", "sessions")}
+    try:
+        with ThreadPoolExecutor(max_workers=3) as pool:
+            jobs = {n: pool.submit(_observed_write, df, scratch[n], n) for n, df in given.items()}
+            res.counts = {n: j.result() for n, j in jobs.items()}
+        rows = {n: spark.read.schema(df.schema).parquet(scratch[n]) for n, df in given.items()}
+        for n, df in rows.items():
+            dq.fail_fast(dq.run_rules(df, silver_rules(n, allowed_event_types)))
+
+        _touched_sessions(spark, paths, rows).write.parquet(scratch["touched"])
+        touched = spark.read.parquet(scratch["touched"])
+        dates = _event_dates(spark, paths, rows, touched)
+
+        for n, df in rows.items():
+            spec = SILVER[n]
+            if spec.partition_col:
+                writes.upsert_partitions(spark, paths[n], df, list(spec.keys), spec.partition_col,
+                                         order_col=spec.order_col, ignore_changes_in=[AUDIT])
+            else:
+                writes.upsert_table(spark, paths[n], df, list(spec.keys), spec.order_col)
+
+        e, t, u = ((sources or {})[n]() if n in (sources or {}) else _read(spark, paths, n) for n in SILVER)
+        if e is None:
+            return res                       # purchases or users before the first event
+        e = e.filter(writes.in_partitions(SILVER["events_clean"].partition_col, dates)).join(touched, SESSION_KEYS, "left_semi")
+        t = (t if t is not None else spark.createDataFrame([], silver.TRANSACTION_SCHEMA)).join(touched, SESSION_KEYS, "left_semi")
+        u = u if u is not None else spark.createDataFrame([], silver.USER_SCHEMA)
+        res.counts["gold_staged"] = _observed_write(
+            gold.user_session_analysis(e, t, u.join(touched.select("user_id").distinct(), "user_id", "left_semi"), users_bound=u),
+            scratch["sessions"], "sessions")
+        sessions = spark.read.parquet(scratch["sessions"])
+        if gold_rules is not None:
+            dq.fail_fast(dq.run_rules(sessions, gold_rules(u)))
+        gone = touched.join(sessions, SESSION_KEYS, "left_anti") if _read(spark, paths, GOLD) is not None else None
+        res.touched_dates = writes.upsert_partitions(spark, paths[GOLD], sessions, SESSION_KEYS, "session_date",
+                                                     remove=gone, ignore_changes_in=[AUDIT])
+        return res
+    finally:
+        for p in scratch.values():
+            delete_path(spark, p)
+
 
-    def load_events() -> None:
-        # parse once, land as parquet: quarantine and silver then read it with a
-        # pushed-down filter on the corrupt column instead of parsing again
-        res.counts["events_bronze"] = _write_observed(
-            parse_json_lines(event_lines, "value", RAW_EVENT, CORRUPT_COL), paths["events_bronze"], "bronze")
-        valid, bad = split_corrupt(spark.read.parquet(paths["events_bronze"]), CORRUPT_COL)
-        writes.quarantine_write(bad, paths["quarantine"])
-        events = silver.events_clean(valid, stamp=True, extra_cols=()).withColumn(
-            "event_date", F.to_date("event_timestamp"))
-        res.counts["events_clean"] = _write_observed(events, paths["events_clean"], "events", "event_date")
-
-    def load_transactions() -> None:
-        tx = silver.transactions_clean(parse_csv_lines(transaction_lines, "value", RAW_TRANSACTION), stamp=True)
-        res.counts["transactions_clean"] = _write_observed(tx, paths["transactions_clean"], "tx")
-
-    def load_users() -> None:
-        users = silver.users_dim(parse_csv_lines(user_lines, "value", RAW_USER), stamp=True)
-        res.counts["users_dim"] = _write_observed(users, paths["users_dim"], "users")
-
-    # the three silver loads are independent: submit them as concurrent
-    # Spark jobs (one driver thread each); gold starts when all are written
-    with ThreadPoolExecutor(max_workers=3) as pool:
-        for f in [pool.submit(load_events), pool.submit(load_transactions), pool.submit(load_users)]:
-            f.result()
-
-    e = spark.read.parquet(paths["events_clean"])
-    t = spark.read.parquet(paths["transactions_clean"])
-    u = spark.read.parquet(paths["users_dim"])
-    # compute gold once: stage it, gate the staged table, upsert from it
-    # a ``_`` sibling of the gold table: same file system, so a first load
-    # moves its folders in by rename
-    staged = writes.hidden_path(base, "gold_staged")
-    g = gold.user_session_analysis(e, t, u, users_bound=u)
-    res.counts["gold_staged"] = _write_observed(g, staged, "gold", "session_date")
-    g = spark.read.parquet(staged)
-    if gold_rules is not None:
-        dq.fail_fast(dq.run_rules(g, gold_rules(u)))
-    res.touched_dates = writes.upsert_partitions(spark, paths["user_session_analysis"], g,
-                                                 ["session_id", "user_id"], "session_date",
-                                                 staged_path=staged)
-    return res
+def run_medallion(spark: SparkSession, event_lines: DataFrame, transaction_lines: DataFrame,
+                  user_lines: DataFrame, base: str, gold_rules=None, allowed_event_types=None,
+                  max_corrupt_ratio: float | None = None, load: int = 1) -> LoadResult:
+    """Load raw event JSON lines, transaction CSV lines and user CSV lines
+    (column ``value``) into the tables under ``base``. Malformed lines of all
+    three go to ``quarantine/load=<load>`` (a re-run replaces them); a share
+    of malformed event lines above ``max_corrupt_ratio`` stops the load
+    before silver changes."""
+    paths = table_paths(base)
+    scratch = {n: new_path(spark, f"{n}_bronze") for n in SILVER}
+    try:
+        parsed = {
+            "events_clean": parse_json_lines(event_lines, "value", RAW_EVENT, CORRUPT_COL),
+            "transactions_clean": parse_csv_lines(transaction_lines, "value", RAW_TRANSACTION, CORRUPT_COL),
+            "users_dim": parse_csv_lines(user_lines, "value", RAW_USER, CORRUPT_COL),
+        }
+        # parsed once and landed: quarantine and silver read it with a pushed
+        # filter on the corrupt column instead of parsing again
+        with ThreadPoolExecutor(max_workers=3) as pool:
+            jobs = {n: pool.submit(_observed_write, df, scratch[n], n) for n, df in parsed.items()}
+            read = {n: j.result() for n, j in jobs.items()}
+        valid, bad = {}, None
+        for n in SILVER:
+            valid[n], rejected = split_corrupt(spark.read.parquet(scratch[n]), CORRUPT_COL)
+            rejected = rejected.select(F.col(CORRUPT_COL).alias("value"), F.lit(n).alias("source"))
+            bad = rejected if bad is None else bad.unionByName(rejected)
+        bad.write.mode("overwrite").partitionBy("source").text(f"{paths['quarantine']}/load={load}")
+        if max_corrupt_ratio is not None:
+            corrupt = spark.read.parquet(scratch["events_clean"]).filter(F.col(CORRUPT_COL).isNotNull()).count()
+            if corrupt > max_corrupt_ratio * max(1, read["events_clean"]):
+                raise dq.QualityError(f"{corrupt} of {read['events_clean']} event lines are malformed")
+        res = merge_load(spark, paths,
+                         silver.events_clean(valid["events_clean"], stamp=True, extra_cols=()),
+                         silver.transactions_clean(valid["transactions_clean"], stamp=True),
+                         silver.users_dim(valid["users_dim"], stamp=True), gold_rules, allowed_event_types)
+        res.counts.update(events_bronze=read["events_clean"], transactions_bronze=read["transactions_clean"],
+                          users_bronze=read["users_dim"])
+        return res
+    finally:
+        for p in scratch.values():
+            delete_path(spark, p)

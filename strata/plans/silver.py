@@ -1,7 +1,7 @@
 """Bronze -> silver: cleaned, typed, one row per business key.
 
-Each function is ``DataFrame -> DataFrame`` and lazy; counts and quality
-results are taken in the same pass as the write (see ``plans.pipeline``).
+Each function is ``DataFrame -> DataFrame`` and lazy; counts are taken in the
+same pass as the write (see ``plans.medallion``).
 """
 
 from __future__ import annotations
@@ -19,6 +19,9 @@ from strata.sources.readers import parse_json_lines
 from strata.sources.schemas import CORRUPT_COL, EVENTS_CLEAN_COLUMNS, RAW_EVENT
 
 EVENT_KEYS = ["event_id", "user_id", "session_id", "event_type"]
+TRANSACTION_SCHEMA = ("transaction_id string, session_id string, user_id string, amount double, currency string, "
+                      "transaction_timestamp timestamp")
+USER_SCHEMA = "user_id string, signup_date date, device_type string, country string"
 TRANSACTION_KEYS = ["transaction_id", "session_id", "user_id", "amount"]
 
 

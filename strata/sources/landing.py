@@ -129,19 +129,27 @@ def event_json_lines(spark: SparkSession, sf_dir: str, faults: bool = True,
     return base.select(line.alias("value"))
 
 
+ARRIVAL_ROWS = 500_000     # at most so many lines (about 128 MB) in one landed file
+
+
 def land_event_files(spark: SparkSession, sf_dir: str, dest: str, files: int = 6,
                      faults: bool = True) -> str:
-    """Write the event JSON lines as ``files`` arrivals, each a contiguous
-    range of event ids, written one after the other so that file
-    modification times follow arrival order (a file stream takes files in
-    that order)."""
+    """Write the event JSON lines as arrivals, each a contiguous range of
+    event ids: one range-partitioned pass over all events, at least ``files``
+    files and as many more as their size asks for."""
     lines = event_json_lines(spark, sf_dir, faults=faults, numeric_ids=True)
-    with_id = lines.withColumn("_id", F.get_json_object("value", "$.event_id").cast("bigint"))
-    top = table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0] or 0
-    arrival = F.coalesce(F.floor(F.col("_id") * files / F.lit(top + 1)), F.lit(0))
-    for i in range(files):
-        (with_id.filter(arrival == i).drop("_id").coalesce(1)
-         .write.mode("append").text(dest))
+    n = table(spark, sf_dir, "events").count()           # parquet footers
+    arrival = F.coalesce(F.get_json_object("value", "$.event_id").cast("bigint"), F.lit(0))
+    (lines.repartitionByRange(max(files, -(-n // ARRIVAL_ROWS)), arrival)
+     .write.mode("append").text(dest))
+    # a file stream takes files by modification time: theirs follow the ids
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(dest)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    parts = sorted(st.getPath().toString() for st in fs.listStatus(folder) if st.getPath().getName().startswith("part-"))
+    start = fs.getFileStatus(folder).getModificationTime() - 1000 * len(parts)
+    for i, part in enumerate(parts):
+        fs.setTimes(jvm.org.apache.hadoop.fs.Path(part), start + 1000 * i, -1)
     return dest
 
 

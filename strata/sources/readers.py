@@ -22,15 +22,21 @@ def json_options(corrupt_col: str = CORRUPT_COL) -> dict:
 
 def parse_json_lines(df: DataFrame, text_col: str = "value", schema: T.StructType = RAW_EVENT,
                      corrupt_col: str = CORRUPT_COL, keep: list[str] | None = None) -> DataFrame:
-    """Parse a column of JSON text; a malformed line keeps its raw text in
-    ``corrupt_col`` and NULL in every field."""
+    """Parse a column of JSON text; a malformed line (a blank one, too) keeps
+    its raw text in ``corrupt_col`` and NULL in every field."""
     parsed = F.from_json(F.col(text_col), schema, json_options(corrupt_col))
+    if corrupt_col in schema.fieldNames():      # from_json gives no row at all for a blank line
+        parsed = F.coalesce(parsed, _only_corrupt(F.col(text_col), schema, corrupt_col))
     # ``inline`` (a generator) stops filters on the fields from being pushed
     # below the parse, where each would carry its own copy of from_json
     # (pruned to one field, so not shared): one parse per line
     return df.select(*(keep or []), F.inline(F.array(parsed)))
 
 
+def _only_corrupt(text: F.Column, schema: T.StructType, corrupt_col: str) -> F.Column:
+    return F.struct(*[(text if f.name == corrupt_col else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def read_events_json(spark: SparkSession, path: str, schema: T.StructType = RAW_EVENT,
                      corrupt_col: str = CORRUPT_COL) -> DataFrame:
     """JSON lines in PERMISSIVE mode with malformed lines kept.
@@ -42,15 +48,32 @@ def read_events_json(spark: SparkSession, path: str, schema: T.StructType = RAW_
     return parse_json_lines(spark.read.text(path), "value", schema, corrupt_col)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool = True) -> DataFrame:
-    return (spark.read.schema(schema).option("header", header)
-            .option("mode", "PERMISSIVE").csv(path))
+def _with_corrupt(schema: T.StructType, corrupt_col: str | None) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(corrupt_col, T.StringType())]) if corrupt_col else schema
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool = True,
+             corrupt_col: str | None = None) -> DataFrame:
+    """CSV files (a header line names the columns, it is no row). With
+    ``corrupt_col`` a line that does not parse keeps its text there."""
+    r = spark.read.schema(_with_corrupt(schema, corrupt_col)).option("header", header).option("mode", "PERMISSIVE")
+    if corrupt_col:
+        r = r.option("columnNameOfCorruptRecord", corrupt_col)
+    return r.csv(path)
 
 
-def parse_csv_lines(df: DataFrame, text_col: str, schema: T.StructType) -> DataFrame:
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+def parse_csv_lines(df: DataFrame, text_col: str, schema: T.StructType, corrupt_col: str | None = None) -> DataFrame:
+    """Parse a column of CSV text. With ``corrupt_col`` a line that does not
+    parse (a bad number, a missing field, a blank line) keeps its text there."""
+    full = _with_corrupt(schema, corrupt_col)
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in full.fields)
+    options = {"mode": "PERMISSIVE"} | ({"columnNameOfCorruptRecord": corrupt_col} if corrupt_col else {})
+    parsed = F.from_csv(F.col(text_col), ddl, options)
+    if corrupt_col:
+        corrupt = _only_corrupt(F.col(text_col), full, corrupt_col)
+        parsed = F.when(F.trim(F.col(text_col)) == "", corrupt).otherwise(F.coalesce(parsed, corrupt))
     # one parse per line: see parse_json_lines
-    return df.select(F.inline(F.array(F.from_csv(F.col(text_col), ddl))))
+    return df.select(F.inline(F.array(parsed)))
 
 
 def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:

@@ -9,6 +9,9 @@ so a batch replayed after a failure does not duplicate rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,11 +19,9 @@ from pyspark.sql import functions as F
 from strata.functions.ordered import first_by_time, last_by_time
 from strata.functions.scalar import parse_timestamp
 from strata.operators.cleaning import latest_per_key, require_not_null, split_corrupt
-from strata.plans import gold
-from strata.session import shared_dir
-from strata.sources.readers import parse_json_lines
+from strata.plans import silver
+from strata.sources.readers import parse_csv_lines, parse_json_lines
 from strata.sources.schemas import CORRUPT_COL, LANDED_EVENT
-from strata.tables.writes import upsert_partitions
 
 EVENT_KEYS = ["event_id", "user_id", "session_id", "event_type"]
 
@@ -57,16 +58,22 @@ def clean_events(parsed: DataFrame) -> DataFrame:
 
 def ingest(lines: DataFrame, sink: str, quarantine: str, checkpoint: str,
            date_col: str = "event_date", available_now: bool = True):
-    """JSON lines -> parquet partitioned by event date, malformed lines ->
-    quarantine text. Each micro-batch writes under ``batch=<id>`` with
-    overwrite, so a replayed batch replaces its own output."""
+    """JSON lines -> parquet partitioned by event date, malformed and blank
+    lines -> quarantine text, well-formed lines without a key ->
+    ``<quarantine>_null_keys``. Each micro-batch writes under ``batch=<id>``
+    with overwrite, so a replayed batch replaces its own output; ``rebalance``
+    keeps one date's rows together, so a batch writes few files."""
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         parsed = parse_json_lines(batch, "value", LANDED_EVENT, CORRUPT_COL)
         parsed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             valid, bad = split_corrupt(parsed)
             rows = clean_events(valid).withColumn(date_col, F.to_date("event_timestamp"))
-            rows.write.mode("overwrite").partitionBy(date_col).parquet(f"{sink}/batch={batch_id}")
+            (rows.hint("rebalance", date_col).write.mode("overwrite").partitionBy(date_col)
+             .parquet(f"{sink}/batch={batch_id}"))
+            keyless = valid.filter(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in EVENT_KEYS]))
+            keyless.select(F.to_json(F.struct("*")).alias("value")).write.mode("overwrite").text(
+                f"{quarantine}_null_keys/batch={batch_id}")
             bad.write.mode("overwrite").text(f"{quarantine}/batch={batch_id}")
         finally:
             parsed.unpersist()
@@ -115,74 +122,48 @@ def session_stream(events: DataFrame, user: str = "user_id", ts: str = "event_ti
 # ------------------------------------------------------------- gold upsert
 
 
-def _session_dates(spark: SparkSession, rows: DataFrame, touched: DataFrame, gold_path: str,
-                   keys: list) -> list:
-    """Silver partitions (event dates) that hold events of the touched
-    sessions: the dates of the batch rows, plus every date between start and
-    end of the touched sessions' current gold rows. After each completed
-    batch a session's gold row spans all its silver events with a time
-    (rows without one live in the NULL partition, always read), so these
-    dates are exact. A short list (distinct dates) comes to the driver and
-    becomes a partition filter, so a micro-batch reads only those dates of
-    silver instead of all of it."""
-    from strata.sources.readers import table_exists
-    dates = rows.select("event_date")
-    if table_exists(spark, gold_path):
-        span = (spark.read.parquet(gold_path).select(*keys, "session_start_time", "session_end_time")
-                .join(touched, keys, "left_semi")
-                .select(F.explode(F.sequence(F.to_date("session_start_time"),
-                                             F.to_date("session_end_time"))).alias("event_date")))
-        dates = dates.unionByName(span)
-    return [r[0] for r in dates.filter(F.col("event_date").isNotNull()).distinct().collect()]
-
-
-def gold_upsert(lines: DataFrame, silver_path: str, gold_path: str, checkpoint: str,
-                transactions: DataFrame, users: DataFrame, users_bound: DataFrame | None = None,
+def load_stream(lines: DataFrame, name: str, paths: dict, checkpoint: str, clean, sources: dict | None = None,
                 available_now: bool = True):
-    """Keep silver events and the gold session table current as events
-    arrive, late ones included.
-
-    Per micro-batch: parse, drop corrupt and null-key rows, keep the newest
-    copy per event id; upsert into silver (newest timestamp wins, partition
-    scoped); recompute only the sessions the batch touched, from the silver
-    dates that can hold their events (see ``_session_dates``); upsert those
-    into gold by (session_id, user_id). Both upserts are
-    idempotent, so a replayed batch changes nothing.
-    """
-    keys = ["session_id", "user_id"]
+    """Each micro-batch of ``lines`` is one load of silver table ``name``
+    (``plans.medallion.merge_load``): merged by key, then the sessions it
+    touches are recomputed from silver and upserted into gold. ``clean``
+    turns the batch's lines into rows, one per key. Streams of events,
+    purchases and users can keep the same tables one after the other; a
+    replayed batch changes nothing."""
+    from strata.plans import medallion
+    argument = {"events_clean": "events", "transactions_clean": "transactions", "users_dim": "users"}[name]
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        parsed = parse_json_lines(batch, "value", LANDED_EVENT, CORRUPT_COL)
-        valid, _ = split_corrupt(parsed)
-        rows = latest_per_key(clean_events(valid), "event_id", "event_timestamp")
-        rows = rows.withColumn("event_date", F.to_date("event_timestamp"))
-        rows.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            touched = rows.select(*keys)
-            from strata.sources.readers import table_exists
-            # cut lineage (reliable checkpoints in the shared folder): these
-            # sets must not be recomputed from silver once silver is rewritten
-            shared_dir(spark)
-            old = None
-            if table_exists(spark, silver_path):
-                # older copies that this batch replaces (one scan of silver's
-                # keys, shared with the upsert): their sessions are touched
-                old = (spark.read.parquet(silver_path).select("event_id", "event_date", *keys)
-                       .join(rows.select("event_id"), "event_id", "left_semi").checkpoint(eager=True))
-                touched = touched.unionByName(old.select(*keys))
-            touched = touched.distinct().checkpoint(eager=True)
-            dates = _session_dates(spark, rows, touched, gold_path, keys)
-            upsert_partitions(spark, silver_path, rows, ["event_id"], "event_date",
-                              order_col="event_timestamp", matched=old)
-            silver = spark.read.parquet(silver_path)
-            silver = silver.filter(F.col("event_date").isin(dates) | F.col("event_date").isNull())
-            silver = silver.join(touched, keys, "left_semi")
-            sessions = gold.user_session_analysis(silver, transactions, users, users_bound)
-            upsert_partitions(spark, gold_path, sessions, keys, "session_date")
-        finally:
-            rows.unpersist()
+        medallion.merge_load(batch.sparkSession, paths, **{argument: clean(batch)}, sources=sources)
 
     w = lines.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
+
+
+def newest_landed_events(batch: DataFrame) -> DataFrame:
+    """Rows of landed event lines: no corrupt or null-key lines, the newest
+    copy per event id."""
+    valid, _ = split_corrupt(parse_json_lines(batch, "value", LANDED_EVENT, CORRUPT_COL))
+    return latest_per_key(clean_events(valid), "event_id", "event_timestamp")
+
+
+def newest_purchases(schema) -> Callable[[DataFrame], DataFrame]:
+    """Rows of purchase CSV lines of ``schema``, newest copy per id."""
+    def clean(batch: DataFrame) -> DataFrame:
+        valid, _ = split_corrupt(parse_csv_lines(batch, "value", schema, CORRUPT_COL))
+        return silver.transactions_clean(valid)
+    return clean
+
+
+def gold_upsert(lines: DataFrame, silver_path: str, gold_path: str, checkpoint: str,
+                transactions, users, available_now: bool = True):
+    """Keep silver events and the gold session table current as events
+    arrive, late ones included. ``transactions`` and ``users`` are tables
+    kept elsewhere: frames, or functions that read them anew for each
+    micro-batch. Purchases that arrive after their session's events are
+    taken in by a ``load_stream`` of purchases."""
+    read = lambda x: x if callable(x) else lambda: x
+    paths = {"events_clean": silver_path, "user_session_analysis": gold_path}
+    return load_stream(lines, "events_clean", paths, checkpoint, newest_landed_events,
+                       {"transactions_clean": read(transactions), "users_dim": read(users)}, available_now)

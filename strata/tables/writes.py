@@ -2,8 +2,8 @@
 
 Parquet has no row-level MERGE, and a path must never be overwritten by a
 plan that reads it. An upsert therefore computes the merged rows of the
-touched partitions, writes them to a staging folder, and only then swaps
-those partitions into the live table with dynamic partition overwrite.
+touched partitions, writes them to a staging table in the shared folder, and
+writes that table into the live one with Spark's dynamic partition overwrite.
 
 Catalogs with row-level operations (Delta, Iceberg) can take the same
 upsert natively through ``merge_into_catalog``.
@@ -11,59 +11,63 @@ upsert natively through ``merge_into_catalog``.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.session import new_path
+from strata.session import delete_path, new_path
+
 
 def write_replace(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, partition_col: str, keys=None,
-                      mode: str = "overwrite") -> None:
+def write_partitioned(df: DataFrame, path: str, partition_col: str, mode: str = "overwrite") -> None:
     """Write identity-partitioned by ``partition_col``; with dynamic
     partition overwrite only the partitions present in ``df`` are replaced.
 
     The ``rebalance`` hint hashes rows by the partition column and lets AQE
     split an oversized (hot) partition value into advisory-size tasks and
     merge small ones: no single task holds a hot date, and small dates do
-    not produce one tiny file per task. ``keys`` is accepted for callers
-    that name the row key; the split does not need it.
+    not produce one tiny file per task.
     """
     (df.hint("rebalance", partition_col)
      .write.mode(mode).option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
 
 
-def merge_upsert(target: DataFrame, updates: DataFrame, keys, order_col: str | None = None) -> DataFrame:
-    """MERGE semantics as a DataFrame: rows of ``updates`` replace target
-    rows with the same key; other updates are inserted. NULL keys never
-    match, so such rows are kept / inserted as they are (as in SQL MERGE).
+def _all_present(keys):
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
-    ``order_col``: an update replaces a target row only when it is not
-    older (a late re-delivery of an old version does not win).
 
-    One shuffle on the keys; each key holds at most one target and (after
-    ``check_merge_cardinality``) one update row, so no key is hot.
+def merge_upsert(target: DataFrame, updates: DataFrame, keys, order_col: str | None = None) -> DataFrame:
+    """MERGE semantics as a DataFrame: target rows whose key occurs in
+    ``updates`` are replaced by the update, all other target rows stay, all
+    other updates are inserted. NULL keys never match: such rows stay and are
+    inserted, on every run (as in SQL MERGE).
+
+    Rows are never picked by position: several untouched target rows of one
+    key all stay, several new rows of one key are all inserted (a first load
+    and a later load treat them alike). More than one update row for a key
+    that the target holds is an error of the input; see
+    ``check_merge_cardinality``.
+
+    ``order_col``: a key whose newest update is older than its newest target
+    row is left as it is (a late re-delivery of an old version does not win).
     """
-    from pyspark.sql import Window
-
     keys = list(keys)
-    both = (target.withColumn("_src", F.lit(0))
-            .unionByName(updates.withColumn("_src", F.lit(1)), allowMissingColumns=True))
-    has_key = _all_present(keys)
-    order = ([F.col(order_col).desc_nulls_last()] if order_col else []) + [F.col("_src").desc()]
-    w = Window.partitionBy(*keys).orderBy(*order)
-    won = both.filter(has_key).withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
-    return won.unionByName(both.filter(~has_key)).drop("_src")
-
-
-def _all_present(keys):
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).isNotNull()
-    return cond
+    present = updates.filter(_all_present(keys))
+    if order_col is None:
+        kept, new = target.join(present.select(*keys), keys, "left_anti"), updates
+    else:
+        newest = present.groupBy(*keys).agg(F.max(order_col).alias("_newest"))
+        held = target.filter(_all_present(keys)).groupBy(*keys).agg(F.max(order_col).alias("_held"))
+        lost = newest.join(held, keys).filter(
+            F.col("_held").isNotNull() & (F.col("_newest").isNull() | (F.col("_newest") < F.col("_held")))).select(*keys)
+        won = newest.select(*keys).join(lost, keys, "left_anti")
+        kept, new = target.join(won, keys, "left_anti"), updates.join(lost, keys, "left_anti")
+    return kept.unionByName(new, allowMissingColumns=True)
 
 
 def merge_cardinality_violations(target: DataFrame, updates: DataFrame, keys) -> DataFrame:
@@ -89,98 +93,114 @@ def check_merge_cardinality(target: DataFrame, updates: DataFrame, keys) -> None
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
+def in_partitions(partition_col: str, values) -> F.Column:
+    """Filter on listed partition values (text), the NULL partition included."""
+    part = F.col(partition_col)
+    cond = part.cast("string").isin([v for v in values if v != _NULL_PARTITION])
+    return cond | part.isNull() if _NULL_PARTITION in values else cond
+
+
+def _values(df: DataFrame, partition_col: str) -> set:
+    """Partition values (text) of a frame: a row per partition comes back."""
+    rows = df.select(F.col(partition_col).cast("string").alias("p")).distinct().collect()
+    return {r["p"] if r["p"] is not None else _NULL_PARTITION for r in rows}
+
+
 def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, keys, partition_col: str,
-                      check_cardinality: bool = True, order_col: str | None = None,
-                      staged_path: str | None = None, matched: DataFrame | None = None) -> list:
-    """Idempotent partition-scoped upsert into a live partitioned table.
+                      order_col: str | None = None, check_cardinality: bool = True,
+                      remove: DataFrame | None = None, ignore_changes_in=None) -> list:
+    """Partition-scoped ``merge_upsert`` into a live partitioned table.
 
     Touched partitions are those of the updates plus those where a matched
     target row lives now (a late event can move a session to another date,
     leaving its old partition to be rewritten or emptied). Only touched
-    partitions are read (partition pruning), merged, staged and swapped in.
-    ``order_col`` as in ``merge_upsert``. Re-running the same upsert gives
-    the same table (idempotent), so a retried micro-batch is harmless.
-    ``staged_path``: ``updates`` is already a table written there,
-    partitioned by ``partition_col`` (it is then not written again); on a
-    first load its folders are renamed into the table, so it must be on the
-    table's file system.
-
-    Jobs: stage the updates (partitioned, so their partition values are a
-    folder listing); one join of the target's keys with per-key update
-    counts gives both the cardinality check and the partitions of matched
-    rows (one row per partition comes back to the driver); stage the merged
-    partitions; swap the staged partition folders in by rename (no second
-    copy of the data). Returns the touched partition values (text).
-
-    On a first load with ``staged_path`` the staged partition folders are
-    moved into the new table, so that folder is consumed.
-
-    ``matched``: the caller already found the target rows whose keys occur
-    in ``updates`` (keys and ``partition_col``, from the current table, with
-    lineage cut); they replace the scan of all target keys.
+    partitions are read (partition pruning), merged, staged, and written by
+    dynamic partition overwrite; partitions left empty are deleted. Re-running
+    an upsert whose keys are all set gives the same table.
+
+    ``remove``: keys whose rows are deleted. ``ignore_changes_in``: columns
+    (an audit time) that alone make no change; when given, updates equal to
+    their target row in all other columns are dropped first, so a re-run with
+    nothing new rewrites nothing. Returns the touched partition values (text).
     """
     from strata.sources.readers import table_exists
 
     keys = list(keys)
-    _restore_interrupted_swap(spark, path)
-    if not table_exists(spark, path):
-        if staged_path is None:
-            write_partitioned(updates, path, partition_col, keys)
-        else:
-            swap_partitions(spark, staged_path, path, partition_col,
-                            list_partitions(spark, staged_path, partition_col))
-        return list_partitions(spark, path, partition_col)
-    if staged_path is None:
-        staged_updates = new_path(spark, "updates")
-        updates.write.partitionBy(partition_col).parquet(staged_updates)
-        updates = spark.read.parquet(staged_updates)
-    else:
-        # the caller already wrote ``updates`` partitioned by partition_col here
-        staged_updates = staged_path
-    target = spark.read.parquet(path)
-
-    per_key = updates.filter(_all_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    src = matched.select(*keys, partition_col) if matched is not None else target.select(*keys, partition_col)
-    matched = src.join(per_key, keys, "inner")
-    stats = matched.groupBy(F.col(partition_col).cast("string").alias("_p")).agg(
-        F.max("_n").alias("_max_n")).collect()
-    if check_cardinality and any(r["_max_n"] > 1 for r in stats):
-        raise MergeCardinalityError("update keys match a target row more than once")
-    moved = {r["_p"] if r["_p"] is not None else _NULL_PARTITION for r in stats}
-    touched = sorted(moved | set(list_partitions(spark, staged_updates, partition_col)))
+    scratch = []
+
+    def staged(df: DataFrame, name: str) -> DataFrame:
+        scratch.append(new_path(spark, name))
+        df.write.parquet(scratch[-1])
+        return spark.read.schema(df.schema).parquet(scratch[-1])
+
+    try:
+        updates = staged(updates, "updates")
+        if not table_exists(spark, path) or not list_partitions(spark, path, partition_col):
+            write_partitioned(updates, path, partition_col)
+            return list_partitions(spark, path, partition_col)
+        target = spark.read.parquet(path)
+        if ignore_changes_in is not None:
+            same = [c for c in updates.columns if c not in ignore_changes_in]
+            if set(same) <= set(target.columns):
+                row = F.struct(*[F.col(c).cast(updates.schema[c].dataType) for c in same])
+                held = target.filter(in_partitions(partition_col, _values(updates, partition_col))).select(
+                    *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], row.alias("_held"))
+                match = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)]
+                updates = staged(updates.withColumn("_row", F.struct(*same)).join(
+                    held, [*match, F.col("_row").eqNullSafe(F.col("_held"))], "left_anti").drop("_row"), "updates")
+
+        per_key = updates.filter(_all_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        stats = (target.select(*keys, partition_col).join(per_key, keys)
+                 .groupBy(F.col(partition_col).cast("string").alias("p")).agg(F.max("_n").alias("n")).collect())
+        if check_cardinality and any(r["n"] > 1 for r in stats):
+            raise MergeCardinalityError("update keys match a target row more than once")
+        touched = {r["p"] if r["p"] is not None else _NULL_PARTITION for r in stats} | _values(updates, partition_col)
+        if remove is not None:
+            remove = staged(remove.select(*keys).distinct(), "remove")
+            touched |= _values(target.select(*keys, partition_col).join(remove, keys, "left_semi"), partition_col)
+        if not touched:
+            return []
+
+        old = target.filter(in_partitions(partition_col, touched))
+        if remove is not None:
+            old = old.join(remove, keys, "left_anti")
+        merged = merge_upsert(old, updates, keys, order_col)
+        scratch.append(new_path(spark, "merged"))
+        write_partitioned(merged, scratch[-1], partition_col)
+        left = set(list_partitions(spark, scratch[-1], partition_col))
+        if left:
+            write_partitioned(spark.read.schema(merged.schema).parquet(scratch[-1]), path, partition_col)
+        for value in touched - left:
+            _delete_partition(spark, path, partition_col, value)
+        return sorted(touched)
+    finally:
+        for p in scratch:
+            delete_path(spark, p)
+
+
+def upsert_table(spark: SparkSession, path: str, updates: DataFrame, keys, order_col: str | None = None) -> None:
+    """``merge_upsert`` into an unpartitioned table (a dimension): the merged
+    rows are staged, then written over the table."""
+    from strata.sources.readers import table_exists
 
-    part = F.col(partition_col)
-    in_touched = part.cast("string").isin([t for t in touched if t != _NULL_PARTITION])
-    if _NULL_PARTITION in touched:
-        in_touched = in_touched | part.isNull()
-    merged = merge_upsert(target.filter(in_touched), updates, keys, order_col)
-    # staged inside the table root (a ``_`` folder, which Spark's listing
-    # skips), so the swap's renames never cross file systems
-    staging = hidden_path(path, "staging")
-    write_partitioned(merged, staging, partition_col, keys)
-    swap_partitions(spark, staging, path, partition_col, touched)
-    _, staging_root, fs = _fs(spark, staging)
-    fs.delete(staging_root, True)
-    return touched
-
-
-def hidden_path(table_path: str, name: str) -> str:
-    """A fresh folder inside ``table_path`` whose name starts with ``_``:
-    Spark's file listing skips it, and a rename from it into the table stays
-    on the table's file system."""
-    import uuid
-    return f"{table_path.rstrip('/')}/_{name}-{uuid.uuid4().hex}"
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return jvm, p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    scratch = new_path(spark, "merged")
+    merged = updates
+    if table_exists(spark, path):
+        target = spark.read.parquet(path)
+        check_merge_cardinality(target, updates, keys)
+        merged = merge_upsert(target, updates, keys, order_col)
+    try:
+        merged.write.parquet(scratch)
+        write_replace(spark.read.schema(merged.schema).parquet(scratch), path)
+    finally:
+        delete_path(spark, scratch)
 
 
 def _partition_dirs(spark: SparkSession, path: str, partition_col: str) -> dict:
-    """Partition value (text) -> folder name, from the folder listing."""
-    jvm, p, fs = _fs(spark, path)
+    """Partition value (text) -> folder, from the folder listing."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(p):
         return {}
     prefix = f"{partition_col}="
@@ -188,59 +208,15 @@ def _partition_dirs(spark: SparkSession, path: str, partition_col: str) -> dict:
     for st in fs.listStatus(p):
         name = st.getPath().getName()
         if st.isDirectory() and name.startswith(prefix):
-            out[jvm.java.net.URLDecoder.decode(name[len(prefix):], "UTF-8")] = name
+            out[jvm.java.net.URLDecoder.decode(name[len(prefix):], "UTF-8")] = st.getPath().toString()
     return out
 
 
-def _restore_interrupted_swap(spark: SparkSession, path: str) -> None:
-    """Undo what an interrupted swap left behind: a partition moved aside
-    whose replacement never arrived is moved back (else its rows would be
-    missing from the next merge), then the aside folders are dropped. An
-    upsert re-run after this converges to the intended table (it is
-    idempotent). Assumes one writer per table, as the upsert does."""
-    jvm, root, fs = _fs(spark, path)
-    if not fs.exists(root):
-        return
-    Path = jvm.org.apache.hadoop.fs.Path
-    for st in fs.listStatus(root):
-        if not (st.isDirectory() and st.getPath().getName().startswith("_replaced-")):
-            continue
-        for part in fs.listStatus(st.getPath()):
-            live = Path(root, part.getPath().getName())
-            if part.isDirectory() and not fs.exists(live) and not fs.rename(part.getPath(), live):
-                raise OSError(f"could not restore {part.getPath()}")
-        fs.delete(st.getPath(), True)
-
-
-def swap_partitions(spark: SparkSession, staging: str, path: str, partition_col: str, values) -> None:
-    """Make partitions ``values`` of the table at ``path`` those staged at
-    ``staging``, by folder renames (file-system metadata only; no data is
-    read or written). A value with no staged folder is removed from the
-    table (its rows all moved elsewhere).
-
-    Each live folder is first moved aside (a ``_`` folder in the table
-    root), then the staged one moved in, then the old one deleted: at no point is a
-    partition's only copy deleted (the same delete-and-rename a dynamic
-    partition overwrite commit performs, with the old copy kept until the
-    new one is in place).
-    """
-    jvm, live_root, fs = _fs(spark, path)
-    Path = jvm.org.apache.hadoop.fs.Path
-    fs.mkdirs(live_root)
-    live = _partition_dirs(spark, path, partition_col)
-    staged = _partition_dirs(spark, staging, partition_col)
-    aside = Path(hidden_path(path, "replaced"))
-    fs.mkdirs(aside)
-    for value in values:
-        if value in live:
-            src = Path(live_root, live[value])
-            if not fs.rename(src, Path(aside, live[value])):
-                raise OSError(f"could not move {src} aside")
-        if value in staged:
-            src = Path(Path(staging), staged[value])
-            if not fs.rename(src, Path(live_root, staged[value])):
-                raise OSError(f"could not move {src} into {path}")
-    fs.delete(aside, True)
+def _delete_partition(spark: SparkSession, path: str, partition_col: str, value: str) -> None:
+    folder = _partition_dirs(spark, path, partition_col).get(value)
+    if folder:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def list_partitions(spark: SparkSession, path: str, partition_col: str) -> list:

@@ -58,3 +58,39 @@ def test_stream_gold_upsert_matches_batch(spark, tmp_path):
     assert rows["s2"]["has_transaction"]
     # s1 left 2024-01-02, which then held no session: that partition is gone
     assert list_partitions(spark, gold_path, "session_date") == ["2024-01-01", "2024-01-03", "2024-01-05"]
+
+
+def test_streams_of_events_and_purchases_match_batch(spark, tmp_path):
+    """A purchase that arrives after its session, and an event that moves to
+    another session: the streams' gold equals the batch gold."""
+    from strata.plans import medallion
+    from strata.sources.schemas import RAW_TRANSACTION
+    paths = medallion.table_paths(str(tmp_path / "lake"))
+    users = spark.createDataFrame([(7, dt.date(2023, 5, 1), "ios", "PE"), (8, dt.date(2023, 6, 1), "web", "MX")], USS)
+    medallion.merge_load(spark, paths, users=users)
+    schema = type(RAW_TRANSACTION)([f if f.name != "user_id" else type(f)("user_id", LANDED_EVENT["user_id"].dataType)
+                                    for f in RAW_TRANSACTION.fields])
+
+    def arrive(name, number, text, clean):
+        folder = tmp_path / name
+        folder.mkdir(exist_ok=True)
+        (folder / f"part-{number}").write_text("\n".join(text) + "\n")
+        q = jobs.load_stream(jobs.json_line_stream(spark, str(folder)), name, paths, str(tmp_path / f"ck-{name}"), clean)
+        q.awaitTermination()
+        assert q.exception() is None
+
+    purchases = jobs.newest_purchases(schema)
+    e1 = [_line(1, "s1", 7, "view", "2024-01-02 10:00:00"), _line(2, "s2", 8, "view", "2024-01-03 09:00:00"),
+          _line(3, "s9", 8, "view", "2024-01-04 09:00:00")]
+    e2 = [_line(3, "s2", 8, "click", "2024-01-04 09:00:01"), _line(4, "s1", 7, "click", "2024-01-02 10:30:00")]
+    t1, t2 = ["t1,s1,7,12.50,USD,2024-01-02 10:20:00"], ["t2,s2,8,1.00,USD,2024-01-03 09:05:00", "t1,s1,7,13.50,USD,2024-01-02 10:21:00"]
+    arrive("events_clean", 0, e1, jobs.newest_landed_events)
+    arrive("transactions_clean", 0, t1, purchases)
+    arrive("events_clean", 1, e2, jobs.newest_landed_events)
+    arrive("transactions_clean", 1, t2, purchases)
+
+    lines = lambda rows: spark.createDataFrame([(r,) for r in rows], "value string")
+    want = gold.comparable(gold.user_session_analysis(jobs.newest_landed_events(lines(e1 + e2)), purchases(lines(t1 + t2)), users))
+    got = gold.comparable(spark.read.parquet(paths["user_session_analysis"]))
+    assert sorted(got.collect()) == sorted(want.collect())
+    assert {r["session_id"] for r in got.collect()} == {"s1", "s2"}           # s9 lost its only event

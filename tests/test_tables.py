@@ -3,8 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from strata.tables import writes
-from strata.tables.versions import VersionedTable
+from strata.tables import loads, writes
 
 S = "id long, v string, ts timestamp, d date"
 D1, D2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
@@ -56,16 +55,82 @@ def test_upsert_moves_row_to_earlier_partition(spark, tmp_table):
     assert _rows(spark.read.parquet(tmp_table)) == [(1, "a*", D1), (2, "b", D1)]
 
 
-def test_versions_history_rollback(spark, tmp_table):
-    t = VersionedTable(spark, tmp_table)
-    t.commit(spark.createDataFrame([(1, "a", T1, D1)], S), "create")
-    t.upsert(spark.createDataFrame([(1, "b", T2, D2), (2, "c", T2, D2)], S), ["id"])
-    assert [(r["version"], r["row_count"]) for r in t.history().orderBy("version").collect()] == [(1, 1), (2, 2)]
-    assert _rows(t.read(1)) == [(1, "a", D1)]
-    t.rollback_to(1)
-    assert t.current_version() == 1 and _rows(t.read()) == [(1, "a", D1)]
-    with pytest.raises(ValueError):
-        t.rollback_to(9)
+def test_merge_keeps_duplicates_on_both_sides(spark):
+    """Untouched duplicate target rows and duplicate new rows survive."""
+    target = spark.createDataFrame([(1, "a", T1, D1), (1, "b", T1, D1), (2, "c", T1, D1)], S)
+    upd = spark.createDataFrame([(9, "x", T2, D2), (9, "y", T2, D2), (2, "z", T2, D2)], S)
+    want = [(1, "a", D1), (1, "b", D1), (2, "z", D2), (9, "x", D2), (9, "y", D2)]
+    assert _rows(writes.merge_upsert(target, upd, ["id"])) == want
+    assert _rows(writes.merge_upsert(target, upd, ["id"], order_col="ts")) == want
+
+
+def test_upsert_same_on_first_and_later_loads(spark, tmp_path):
+    """Duplicate keys of a first load survive a later load that does not
+    mention them; a first load and a later one insert them alike."""
+    new = spark.createDataFrame([(9, "x", T2, D2), (9, "y", T2, D2)], S)
+    other = spark.createDataFrame([(5, "p", T2, D2), (6, "q", T2, D2), (6, "r", T2, D2)], S)
+    results = []
+    for order in ([new, other], [other, new]):
+        path = str(tmp_path / f"t{len(results)}")
+        for load in order:
+            writes.upsert_partitions(spark, path, load, ["id"], "d")
+        results.append(_rows(spark.read.parquet(path)))
+    assert results[0] == results[1] == [(5, "p", D2), (6, "q", D2), (6, "r", D2), (9, "x", D2), (9, "y", D2)]
+
+
+def test_upsert_removes_keys_and_skips_unchanged(spark, tmp_table):
+    rows = [(1, "a", T1, D1), (2, "b", T1, D1), (3, "c", T2, D2)]
+    writes.upsert_partitions(spark, tmp_table, spark.createDataFrame(rows, S), ["id"], "d")
+    again = spark.createDataFrame([(1, "a", T2, D1), (3, "c", T2, D2)], S)       # only the ignored column differs
+    assert writes.upsert_partitions(spark, tmp_table, again, ["id"], "d", ignore_changes_in=["ts"]) == []
+    gone = spark.createDataFrame([(3,), (77,)], "id long")
+    assert writes.upsert_partitions(spark, tmp_table, again.limit(0), ["id"], "d", remove=gone) == [str(D2)]
+    assert _rows(spark.read.parquet(tmp_table)) == [(1, "a", D1), (2, "b", D1)]
+
+
+def test_upsert_leaves_no_scratch_tables(spark, tmp_table):
+    import os
+
+    from strata.session import shared_dir
+    before = set(os.listdir(shared_dir(spark).removeprefix("file:")))
+    for _ in range(2):
+        writes.upsert_partitions(spark, tmp_table, spark.createDataFrame([(1, "a", T1, D1)], S), ["id"], "d")
+    assert set(os.listdir(shared_dir(spark).removeprefix("file:"))) == before
+
+
+def test_load_history(spark, tmp_table):
+    loads.append_load(spark.createDataFrame([(1, "a", T1, D1), (4, "d", T1, D1), (None, "n", T1, D1)], S), tmp_table, 1)
+    loads.append_load(spark.createDataFrame([(1, "b", T2, D2), (2, "c", T2, D2), (2, "c2", T2, D2)], S), tmp_table, 2)
+    history = sorted(tuple(r) for r in loads.load_history(spark, tmp_table, ["id"]).collect())
+    assert history == [(1, 3), (2, 5)]
+    assert _rows(loads.as_of(spark, tmp_table, ["id"], 1)) == [(None, "n", D1), (1, "a", D1), (4, "d", D1)]
+    assert loads.as_of(spark, tmp_table, ["id"]).count() == 5
+    loads.append_load(spark.createDataFrame([(1, "b", T2, D2)], S), tmp_table, 2)      # a re-run replaces the load
+    assert _rows(loads.as_of(spark, tmp_table, ["id"])) == [(None, "n", D1), (1, "b", D2), (4, "d", D1)]
+
+
+def test_stored_high_water_mark(spark, tmp_path):
+    """An empty increment keeps the mark; ties are taken exactly once."""
+    from strata.sources import marks
+    mark, schema = str(tmp_path / "mark"), "id long, ts timestamp"
+    taken = []
+    for rows in ([(1, T1), (2, T1)], [(1, T1), (2, T1)], [(1, T1), (2, T1), (3, T1), (4, T2)], [], [(4, T2), (5, T2)], [(4, T2), (5, T2)]):
+        inc = marks.increment(spark, spark.createDataFrame(rows, schema), mark, "id", "ts")
+        taken.append(sorted(r["id"] for r in inc.collect()))
+        marks.advance(spark, inc, mark, "id", "ts")
+    assert taken == [[1, 2], [], [3, 4], [], [5], []]
+
+
+def test_blank_and_bad_lines_are_corrupt(spark):
+    from strata.sources.readers import parse_csv_lines, parse_json_lines
+    from strata.sources.schemas import CORRUPT_COL, RAW_TRANSACTION
+    lines = spark.createDataFrame([("",), ('{"event_id": "1"}',), ("{bad",), ("  ",)], "value string")
+    got = [(r["event_id"], r[CORRUPT_COL]) for r in parse_json_lines(lines).collect()]
+    assert got == [(None, ""), ("1", None), (None, "{bad"), (None, "  ")]
+    csv = spark.createDataFrame([("t1,s,u,1.5,USD,x",), ("t2,s,u,oops,USD,x",), ("",), ("t3,s",)], "value string")
+    got = parse_csv_lines(csv, "value", RAW_TRANSACTION, CORRUPT_COL).collect()
+    assert [r["amount"] for r in got] == [1.5, None, None, None]
+    assert [r[CORRUPT_COL] is not None for r in got] == [False, True, True, True]
 
 
 def test_evolve_schema(spark):
@@ -91,8 +156,8 @@ def test_write_partitioned_splits_hot_partition(spark, tmp_table):
 
 
 def test_medallion_counts_and_rerun(spark, tmp_path):
-    """Concurrent silver loads report their row counts; a re-run of the same
-    input touches every gold date again and leaves the gold table unchanged."""
+    """The silver loads report their row counts; a re-run of the same input
+    changes nothing and rewrites nothing; no scratch table is left."""
     from strata.plans.medallion import run_medallion
     from strata.sources import landing
     sf = "/root/testdata/sf0.001"
@@ -111,29 +176,51 @@ def test_medallion_counts_and_rerun(spark, tmp_path):
     assert c["gold_staged"] == len(first_rows)
     assert res.touched_dates == writes.list_partitions(spark, gold_path, "session_date")
     again = run_medallion(spark, *lines, base)
-    assert again.touched_dates == res.touched_dates
+    assert again.touched_dates == []
     assert sorted(spark.read.parquet(gold_path).drop("processing_timestamp").collect()) == first_rows
 
 
+def _event(eid, sid, uid, typ, ts):
+    import json
+    return json.dumps({"event_id": eid, "session_id": sid, "user_id": uid, "event_type": typ, "event_timestamp": ts,
+                       "event_details": {"price": None}})
+
+
+def test_second_load_merges(spark, tmp_path):
+    """A later load adds to silver and gold, and replaces only what it holds;
+    a failing rule or too many malformed lines stop it before silver."""
+    from strata.operators.quality import QualityError
+    from strata.plans.medallion import run_medallion
+    text = lambda rows: spark.createDataFrame([(r,) for r in rows], "value string")
+    base = str(tmp_path / "lake")
+    run_medallion(spark, text([_event("e1", "s1", "u1", "view", "2024-01-01 10:00:00"), _event("e2", "s1", "u1", "purchase", "2024-01-01 10:05:00"),
+                               _event("e4", "s4", "u2", "view", "2024-01-03 08:00:00"), "", "{bad"]),
+                  text(["t1,s1,u1,9.50,USD,2024-01-01 10:05:00"]),
+                  text(["u1,2023-01-01 00:00:00,ios,PE", "u2,2023-02-01 00:00:00,web,MX"]), base)
+    res = run_medallion(spark, text([_event("e3", "s1", "u1", "late", "2024-01-01 09:00:00"),
+                                     _event("e4", "s5", "u2", "view", "2024-01-03 09:00:00")]),     # e4 moves to another session
+                        text(["t2,s5,u2,3.00,USD,2024-01-03 09:30:00"]), text(["u2,2023-03-01 00:00:00,tv,CL"]), base, load=2)
+    ids = lambda name, col: sorted(r[0] for r in spark.read.parquet(res.paths[name]).select(col).collect())
+    assert ids("events_clean", "event_id") == ["e1", "e2", "e3", "e4"]
+    assert ids("transactions_clean", "transaction_id") == ["t1", "t2"] and ids("users_dim", "user_id") == ["u1", "u2"]
+    gold = {r["session_id"]: r for r in spark.read.parquet(res.paths["user_session_analysis"]).collect()}
+    assert set(gold) == {"s1", "s5"}                                  # s4 has no event left
+    assert gold["s1"]["total_events"] == 3 and gold["s1"]["has_transaction"] and gold["s1"]["country"] == "PE"
+    assert gold["s5"]["has_transaction"] and gold["s5"]["country"] == "CL"
+    assert spark.read.text(res.paths["quarantine"]).count() == 2
+    before = [spark.read.parquet(res.paths[n]).count() for n in ("events_clean", "user_session_analysis")]
+    with pytest.raises(QualityError):
+        run_medallion(spark, text([_event("e9", "s9", "u9", "odd", "2024-02-01 00:00:00")]), text([]), text([]), base,
+                      allowed_event_types=["view"], load=3)
+    with pytest.raises(QualityError):
+        run_medallion(spark, text([_event("e9", "s9", "u9", "view", "2024-02-01 00:00:00"), "{bad"]), text([]), text([]), base,
+                      max_corrupt_ratio=0.1, load=4)
+    assert [spark.read.parquet(res.paths[n]).count() for n in ("events_clean", "user_session_analysis")] == before
+
+
 def test_table_exists_paths(spark, tmp_table):
     from strata.sources.readers import table_exists
     assert not table_exists(spark, tmp_table)
     spark.range(3).write.parquet(tmp_table)
     assert table_exists(spark, tmp_table)
     assert not table_exists(spark, "strata_no_such_table")
-
-
-def test_upsert_restores_partition_left_aside_by_interrupted_swap(spark, tmp_table):
-    """A partition moved aside by a swap that died before moving its
-    replacement in is put back before the next upsert merges."""
-    import os
-    import shutil
-    rows = spark.createDataFrame([(1, "a", T1, D1), (2, "b", T2, D2)], S)
-    writes.write_partitioned(rows, tmp_table, "d")
-    aside = os.path.join(tmp_table, "_replaced-crashed")
-    os.makedirs(aside)
-    shutil.move(os.path.join(tmp_table, "d=2024-01-02"), os.path.join(aside, "d=2024-01-02"))
-    upd = spark.createDataFrame([(3, "c", T1, D1)], S)
-    writes.upsert_partitions(spark, tmp_table, upd, ["id"], "d")
-    assert _rows(spark.read.parquet(tmp_table)) == [(1, "a", D1), (2, "b", D2), (3, "c", D1)]
-    assert not os.path.exists(aside)

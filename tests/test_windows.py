@@ -92,3 +92,30 @@ def test_trailing_with_running_totals(spark):
     run = df.filter(tgt).select("id", F.sum("cents").over(wr).alias("cum"), F.count("id").over(wr).alias("k"))
     exp = frames.join(run, "id")
     assert sorted(got.select("id", "c1", "cum", "k").collect()) == sorted(exp.select("id", "c1", "cum", "k").collect())
+
+
+def test_rows_without_time_or_key_stay(spark):
+    """A row without a time keeps its place with empty aggregates and adds
+    nothing to others; rows without a key are one key."""
+    import datetime as dt
+    at = lambda h: dt.datetime(2024, 1, 1, h)
+    rows = [(1, "u", at(1), 1000), (2, "u", None, 500), (3, "u", at(2), 250), (4, None, at(3), 7), (5, None, at(4), 8), (6, None, None, 9)]
+    df = spark.createDataFrame(rows, "id int, user string, ts timestamp, cents long")
+    frames = {"s": (DAY, "sum", F.col("cents")), "n": (HOUR, "count", F.col("id")), "d": (DAY, "distinct", F.col("cents"))}
+    got = {r["id"]: (r["s"], r["n"], r["d"]) for r in trailing(df, "user", "ts", frames).collect()}
+    assert got == {1: (1000, 1, 1), 2: (None, 0, 0), 3: (1250, 2, 2), 4: (7, 1, 1), 5: (15, 2, 2), 6: (None, 0, 0)}
+    got = {r["id"]: (r["cum"], r["running_count"]) for r in running(df, "user", "ts", "id", {"cum": F.col("cents")}).collect()}
+    assert got == {1: (1000, 1), 2: (None, 0), 3: (1250, 2), 4: (7, 1), 5: (15, 2), 6: (None, 0)}
+
+
+def test_features_keep_every_transaction(spark):
+    import datetime as dt
+
+    from strata.plans import features
+    t = spark.createDataFrame([(1, "u", dt.datetime(2024, 1, 1), 10.0), (2, "u", None, 5.0), (3, None, dt.datetime(2024, 1, 2), 1.005),
+                               (4, "u", dt.datetime(2024, 1, 3), 2.0)],
+                              "transaction_id int, user_id string, transaction_timestamp timestamp, amount double")
+    got = {r["transaction_id"]: r["lifetime_value"] for r in features.velocity(t).collect()}
+    assert got == {1: 10.0, 2: None, 3: 1.01, 4: 12.0}               # cents as DECIMAL rounds them
+    e = spark.createDataFrame([("s", "u", dt.datetime(2024, 1, 1), "view")], "session_id string, user_id string, event_timestamp timestamp, event_type string")
+    assert features.behaviour(e, t).count() == 4
