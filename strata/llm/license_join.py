@@ -32,7 +32,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import ascii_lower
+from strata.llm.common import LOWER, UPPER
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 THRESHOLD = 0.9
@@ -62,8 +62,16 @@ TEMPLATES = [
 ]
 
 
+# ASCII characters that WORD excludes, lower-case letters being left: each one
+# becomes a blank, upper-case letters their lower case, in one translation;
+# the words are then what a split at blanks leaves.
+_SEPARATORS = "".join(c for c in map(chr, range(128)) if not c.isalnum())
+
+
 def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit("(" + WORD + ")"), 1)
+    """Matches of WORD in the text with A-Z lower-cased."""
+    spaced = F.translate(F.coalesce(text, F.lit("")), _SEPARATORS + UPPER, " " * len(_SEPARATORS) + LOWER)
+    return F.array_remove(F.split(spaced, " ", -1), "")
 
 
 def _strings(values) -> Column:
