@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fixed defaults for the broadcast check.
-MAX_BROADCAST_ROWS = 20_000_000
-MAX_BROADCAST_BYTES = 512 * 1024 * 1024
+MAX_BROADCAST_ROWS = 2_000_000
+MAX_BROADCAST_BYTES = 128 * 1024 * 1024
 
 
 def _type_width(t) -> int:

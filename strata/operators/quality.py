@@ -7,6 +7,7 @@ write them next to the table, or ``fail_fast`` on them before the write.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -176,23 +177,44 @@ def corrupt_threshold(total_rows: Column, corrupt_rows: Column, max_ratio: float
             ratio.alias("corrupt_ratio"), (ratio > F.lit(max_ratio)).alias("alarm")]
 
 
-def column_profile(df: DataFrame, cols=None, exact: bool = False) -> DataFrame:
-    """(column, row_count, null_count, distinct_count, min_value, max_value),
-    one aggregate over all columns; min/max rendered as strings.
+def column_profile(df: DataFrame, cols=None, exact: bool = False, samples: int = 0) -> DataFrame:
+    """(column, row_count, null_count, distinct_count, min_value, max_value);
+    min/max rendered as strings.
 
-    ``exact=False`` uses HyperLogLog++ distinct counts (bounded memory per
-    column); ``exact=True`` counts distinct values exactly.
+    ``exact=False`` is one aggregate over all columns with HyperLogLog++
+    distinct counts (bounded memory per column). ``exact=True`` counts each
+    column's values (one column read, summed on the map side first), which
+    gives the exact distinct count; ``samples`` then adds ``sample_values``,
+    the most frequent values as text.
     """
     cols = list(cols or df.columns)
-    dist = F.count_distinct if exact else F.approx_count_distinct
-    aggs = [F.count(F.lit(1)).alias("_n")]
     types = {f.name: f.dataType for f in df.schema.fields}
+    orderable = {c: not isinstance(types[c], (T.MapType, T.ArrayType, T.StructType)) for c in cols}
+    text = lambda f, c: (f(c).cast("string") if orderable[c] else F.lit(None).cast("string"))
+    if exact:
+        parts = []
+        for c in cols:
+            counted = df.groupBy(F.col(c).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+            part = counted.agg(
+                F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("row_count"),
+                F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).cast("bigint").alias("null_count"),
+                F.count("v").alias("distinct_count"),
+                (F.min("v").cast("string") if orderable[c] else F.lit(None).cast("string")).alias("min_value"),
+                (F.max("v").cast("string") if orderable[c] else F.lit(None).cast("string")).alias("max_value"))
+            part = part.select(F.lit(c).alias("column"), "*")
+            if samples:
+                top = (counted.filter("v IS NOT NULL").select(F.col("v").cast("string").alias("v"), "n")
+                       .orderBy(F.col("n").desc(), "v").limit(samples))
+                top = top.agg(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "v"))),
+                                          lambda x: x["v"]).alias("sample_values"))
+                part = part.join(top.select(F.lit(c).alias("column"), "sample_values"), "column", "left")
+            parts.append(part)
+        return reduce(DataFrame.unionByName, parts)
+    aggs = [F.count(F.lit(1)).alias("_n")]
     for i, c in enumerate(cols):
-        orderable = not isinstance(types[c], (T.MapType, T.ArrayType, T.StructType))
         aggs += [F.count_if(F.col(c).isNull()).alias(f"_nulls_{i}"),
-                 dist(F.col(c)).cast("bigint").alias(f"_distinct_{i}"),
-                 (F.min(c).cast("string") if orderable else F.lit(None).cast("string")).alias(f"_min_{i}"),
-                 (F.max(c).cast("string") if orderable else F.lit(None).cast("string")).alias(f"_max_{i}")]
+                 F.approx_count_distinct(F.col(c)).cast("bigint").alias(f"_distinct_{i}"),
+                 text(F.min, c).alias(f"_min_{i}"), text(F.max, c).alias(f"_max_{i}")]
     row = df.agg(*aggs)
     items = [F.struct(F.lit(c).alias("column"), F.col("_n").alias("row_count"),
                       F.col(f"_nulls_{i}").alias("null_count"),

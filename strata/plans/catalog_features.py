@@ -113,7 +113,7 @@ def _single(name, cols, part):
     def q(spark, sf_dir):
         e, t, u, cb, (bound, cb_bound) = _inputs(spark, sf_dir)
         if part == "behaviour":
-            df = features.behaviour(e, t)
+            df = features.behaviour(e, t, only=cols)
         elif part == "velocity":
             df = features.velocity(t)
         else:

@@ -129,6 +129,17 @@ def q_summary_stats(spark, sf_dir):
     return dq.summary_stats(landing.table(spark, sf_dir, "events"))
 
 
+@register("column_samples", "\nUNION ALL ".join(
+    f"""SELECT '{c}' AS column, (SELECT count(DISTINCT {c}) FROM events) AS distinct_count,
+       (SELECT string_agg(v, '|' ORDER BY n DESC, v) FROM (
+          SELECT CAST({c} AS VARCHAR) AS v, count(*) AS n FROM events WHERE {c} IS NOT NULL
+          GROUP BY {c} ORDER BY n DESC, v LIMIT 3)) AS samples""" for c in ("event_type", "user_id", "event_id")))
+def q_column_samples(spark, sf_dir):
+    """Distinct counts and the three most frequent values of columns."""
+    p = dq.column_profile(landing.table(spark, sf_dir, "events"), ["event_type", "user_id", "event_id"], exact=True, samples=3)
+    return p.select("column", "distinct_count", F.array_join("sample_values", "|").alias("samples"))
+
+
 _PROFILE_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
 

@@ -21,12 +21,23 @@ from strata.operators.joins import broadcast_if_small
 from strata.operators.windows import DAY, HOUR, running, trailing
 
 
-def behaviour(events: DataFrame, transactions: DataFrame, keep=(), with_running: bool = False) -> DataFrame:
+# output column -> (frame, width, kind, input)
+_FRAMES = {
+    "sessions_24h": ("_sessions", DAY, "distinct", "session_id"),
+    "distinct_event_types_24h": ("_types", DAY, "distinct", "event_type"),
+    "spent_24h": ("_cents", DAY, "sum", "cents"),
+    "transactions_last_hour": ("transactions_last_hour", HOUR, "count", "transaction_id"),
+}
+
+
+def behaviour(events: DataFrame, transactions: DataFrame, keep=(), with_running: bool = False,
+              only=tuple(_FRAMES)) -> DataFrame:
     """Trailing-window features for every transaction, from one sweep over
     the events and transactions of each user. Columns in ``keep`` are
     carried through from the transactions. ``with_running``: the same sweep
     also adds the running cents total ``_cum`` and ``running_count`` of the
-    user's transactions in (timestamp, transaction_id) order."""
+    user's transactions in (timestamp, transaction_id) order. ``only``: the
+    features to compute; frames that are not asked for cost nothing."""
     keep = [c for c in keep if c not in ("transaction_id", "user_id")]
     types = {f.name: f.dataType for f in transactions.schema.fields}
     ev = events.select(
@@ -40,20 +51,16 @@ def behaviour(events: DataFrame, transactions: DataFrame, keep=(), with_running:
         "transaction_id", *keep, F.lit(True).alias("_tx"))
     # trailing frames as one linear sweep per (user, hour bucket): no sliding
     # frame re-aggregation, no replicated rows (see operators.windows)
-    frames = {
-        "_sessions": (DAY, "distinct", F.col("session_id")),
-        "_types": (DAY, "distinct", F.col("event_type")),
-        "_cents": (DAY, "sum", F.col("cents")),
-        "transactions_last_hour": (HOUR, "count", F.col("transaction_id")),
-    }
+    frames = {name: (width, kind, F.col(col)) for name, width, kind, col in (_FRAMES[c] for c in only)}
+    values = {"sessions_24h": F.col("_sessions").cast("int"), "distinct_event_types_24h": F.col("_types").cast("int"),
+              "spent_24h": F.coalesce(F.col("_cents"), F.lit(0)) / 100.0,
+              "transactions_last_hour": F.col("transactions_last_hour")} if only else {}
+    uses_events = any(c in ("sessions_24h", "distinct_event_types_24h") for c in only)
     running = {"_cum": F.col("cents"), "running_count": F.lit(1).cast("long")} if with_running else None
-    out = trailing(ev.unionByName(tx), "user_id", "ts", frames, bucket_seconds=HOUR, target=F.col("_tx"),
+    out = trailing(ev.unionByName(tx) if uses_events else tx, "user_id", "ts", frames, bucket_seconds=HOUR, target=F.col("_tx"),
                    running=running, tiebreak="transaction_id")
     return out.select("transaction_id", "user_id", *keep, *(["_cum", "running_count"] if with_running else []),
-                      F.col("_sessions").cast("int").alias("sessions_24h"),
-                      F.col("_types").cast("int").alias("distinct_event_types_24h"),
-                      (F.coalesce(F.col("_cents"), F.lit(0)) / 100.0).alias("spent_24h"),
-                      "transactions_last_hour")
+                      *[values[c].alias(c) for c in only])
 
 
 def add_velocity(tx: DataFrame) -> DataFrame:

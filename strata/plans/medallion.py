@@ -37,6 +37,7 @@ from strata.sources.schemas import CORRUPT_COL, RAW_EVENT, RAW_TRANSACTION, RAW_
 from strata.tables import writes
 
 AUDIT = "processing_timestamp"
+MAX_SESSION_EVENTS = 2_000_000     # events of one session, whose ordered path is one array
 
 
 @dataclass(frozen=True)
@@ -137,7 +138,7 @@ def _event_dates(spark: SparkSession, paths: dict, rows: dict, touched: DataFram
 
 def merge_load(spark: SparkSession, paths: dict, events: DataFrame | None = None, transactions: DataFrame | None = None,
                users: DataFrame | None = None, gold_rules=None, allowed_event_types=None,
-               sources: dict | None = None) -> LoadResult:
+               sources: dict | None = None, max_session_events: int = MAX_SESSION_EVENTS) -> LoadResult:
     """Merge one load of cleaned rows (one row per key; see ``plans.silver``)
     into the tables under ``paths``. Any of the three may be missing.
 
@@ -173,6 +174,10 @@ def merge_load(spark: SparkSession, paths: dict, events: DataFrame | None = None
         e = e.filter(writes.in_partitions(SILVER["events_clean"].partition_col, dates)).join(touched, SESSION_KEYS, "left_semi")
         t = (t if t is not None else spark.createDataFrame([], silver.TRANSACTION_SCHEMA)).join(touched, SESSION_KEYS, "left_semi")
         u = u if u is not None else spark.createDataFrame([], silver.USER_SCHEMA)
+        # the path is one array per session: a session too long for a row stops
+        # the load here, before gold changes; nothing is cut
+        longest = e.groupBy(*SESSION_KEYS).agg(F.count(F.lit(1)).alias("total_events"))
+        dq.fail_fast(dq.run_rules(longest, [dq.max_value("total_events", max_session_events)]))
         res.counts["gold_staged"] = _observed_write(
             gold.user_session_analysis(e, t, u.join(touched.select("user_id").distinct(), "user_id", "left_semi"), users_bound=u),
             scratch["sessions"], "sessions")

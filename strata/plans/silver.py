@@ -53,7 +53,10 @@ def events_clean(raw: DataFrame, stamp: bool = False, extra_cols=("value",)) ->
     df = require_not_null(raw, EVENT_KEYS)
     df = df.withColumn("event_timestamp", _as_timestamp(df, "event_timestamp"))
     keep = EVENTS_CLEAN_COLUMNS + [c for c in extra_cols if c in df.columns]
-    df = latest_per_key(df.select(*keep), "event_id", "event_timestamp")
+    # ties are broken on the scalar columns: the payload stays out of the
+    # order, so a reader that does not ask for it never parses it
+    scalars = [c for c in keep if c not in ("event_id", "event_timestamp", "event_details")]
+    df = latest_per_key(df.select(*keep), "event_id", "event_timestamp", tiebreak=scalars)
     return _stamp(df, stamp)
 
 

@@ -218,6 +218,23 @@ def test_second_load_merges(spark, tmp_path):
     assert [spark.read.parquet(res.paths[n]).count() for n in ("events_clean", "user_session_analysis")] == before
 
 
+def test_session_too_long_for_a_row_stops_the_load(spark, tmp_path):
+    from strata.operators.quality import QualityError
+    from strata.plans import medallion
+    from strata.sources.readers import table_exists
+    from strata.streaming.jobs import newest_landed_events
+    import json
+    lines = [json.dumps({"event_id": i, "session_id": "s", "user_id": 1, "event_type": "view", "event_timestamp": f"2024-01-01 10:00:0{i}"})
+             for i in range(5)]
+    events = newest_landed_events(spark.createDataFrame([(x,) for x in lines], "value string"))
+    paths = medallion.table_paths(str(tmp_path / "lake"))
+    with pytest.raises(QualityError, match="total_events"):
+        medallion.merge_load(spark, paths, events=events, max_session_events=4)
+    assert not table_exists(spark, paths["user_session_analysis"])
+    medallion.merge_load(spark, paths, events=events)
+    assert spark.read.parquet(paths["user_session_analysis"]).first()["total_events"] == 5
+
+
 def test_table_exists_paths(spark, tmp_table):
     from strata.sources.readers import table_exists
     assert not table_exists(spark, tmp_table)
