@@ -27,12 +27,13 @@ import base64
 import hashlib
 from collections.abc import Iterator
 from heapq import heappop, heappush
+from itertools import chain
 
 import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-CACHE = 400_000            # remembered pre-tokens of a worker, in each of two generations
+CACHE = 700_000            # remembered pre-tokens of a worker, in each of two generations
 CACHED_CHARS = 40          # longer ones are not remembered
 WORD_BITS = 8              # 256-bit words in the lower level
 
@@ -52,7 +53,7 @@ def merge_pretoken(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     part: list = [piece[i:i + 1] for i in range(n)]     # None: merged into its left neighbour
     after = list(range(1, n + 1))
     before = list(range(-1, n - 1))
-    rank_of = [-1] * n                                  # rank of the pair that starts here
+    rank_of: list = [None] * n                          # rank of the pair that starts here
     buckets: dict[int, list[int]] = {}
     words: dict[int, int] = {}                          # lower level: 256 ranks a word
     top = 0                                             # upper level: a bit per non-empty word
@@ -67,48 +68,63 @@ def merge_pretoken(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
             else:
                 buckets[r] = [i]
                 w = r >> WORD_BITS
-                words[w] = words.get(w, 0) | 1 << (r & 255)
-                top |= 1 << w
+                if w in words:
+                    words[w] |= 1 << (r & 255)
+                else:
+                    words[w] = 1 << (r & 255)
+                    top |= 1 << w
     while top:
         w = (top & -top).bit_length() - 1
         bits = words[w]
-        b = (bits & -bits).bit_length() - 1
-        r = w << WORD_BITS | b
+        low = bits & -bits
+        r = w << WORD_BITS | low.bit_length() - 1
         bucket = buckets[r]
-        i = heappop(bucket)
-        if not bucket:
+        if len(bucket) == 1:
+            i = bucket[0]
             del buckets[r]
-            bits ^= 1 << b
-            if bits:
-                words[w] = bits
-            else:
+            if bits == low:
                 del words[w]
                 top ^= 1 << w
+            else:
+                words[w] = bits ^ low
+        else:
+            i = heappop(bucket)
         if rank_of[i] != r:
             continue                                    # stale
         j = after[i]
-        merged = part[i] + part[j]
-        part[i], part[j], rank_of[j] = merged, None, -1
+        merged = part[i] = part[i] + part[j]
+        part[j] = rank_of[j] = None
         k = after[i] = after[j]
-        for left, right in ((before[i], i), (i, k)):
-            if left < 0 or right >= n:
-                if left >= 0:
-                    rank_of[left] = -1
-                continue
-            new = rank_get(part[left] + part[right])
-            if new is None:
-                rank_of[left] = -1
-                continue
-            rank_of[left] = new
-            if new in buckets:
-                heappush(buckets[new], left)
-            else:
-                buckets[new] = [left]
-                w = new >> WORD_BITS
-                words[w] = words.get(w, 0) | 1 << (new & 255)
-                top |= 1 << w
+        h = before[i]
         if k < n:
             before[k] = i
+            new = rank_of[i] = rank_get(merged + part[k])
+            if new is not None:
+                if new in buckets:
+                    heappush(buckets[new], i)
+                else:
+                    buckets[new] = [i]
+                    w = new >> WORD_BITS
+                    if w in words:
+                        words[w] |= 1 << (new & 255)
+                    else:
+                        words[w] = 1 << (new & 255)
+                        top |= 1 << w
+        else:
+            rank_of[i] = None
+        if h >= 0:
+            new = rank_of[h] = rank_get(part[h] + merged)
+            if new is not None:
+                if new in buckets:
+                    heappush(buckets[new], h)
+                else:
+                    buckets[new] = [h]
+                    w = new >> WORD_BITS
+                    if w in words:
+                        words[w] |= 1 << (new & 255)
+                    else:
+                        words[w] = 1 << (new & 255)
+                        top |= 1 << w
     return [ranks[p] for p in part if p is not None]
 
 
@@ -135,6 +151,27 @@ def narrow_pattern(pattern: str) -> str:
     return "".join(out)
 
 
+class Pieces(dict):
+    """Pre-token -> ids, filled as met. When full, all move to an older
+    generation, from which those met again come back."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        super().__init__()
+        self.ranks = ranks
+        self.older: dict[str, tuple[int, ...]] = {}
+
+    def __missing__(self, piece: str) -> tuple[int, ...]:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = tuple(merge_pretoken(piece.encode(), self.ranks))     # a tuple of numbers is no burden to the garbage collector
+        if len(piece) <= CACHED_CHARS:
+            if len(self) >= CACHE:
+                self.older = dict(self)
+                self.clear()
+            self[piece] = ids
+        return ids
+
+
 class Codec:
     """Encoder and decoder of one rank file and split pattern."""
 
@@ -142,14 +179,12 @@ class Codec:
         import re
 
         import regex
-        self.ranks = ranks
         self.split_any = regex.compile(pattern).findall
         self.split_low = re.compile(narrow_pattern(pattern)).findall
         self.tokens = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.tokens[rank] = token
-        self.new: dict[str, list[int]] = {}     # two generations: what is met again moves on
-        self.old: dict[str, list[int]] = {}
+        self.known = Pieces(ranks)
 
     def pieces(self, text: str) -> list[str]:
         try:
@@ -158,22 +193,8 @@ class Codec:
             return self.split_any(text)
         return self.split_low(text)
 
-    def _meet(self, piece: str) -> list[int]:
-        ids = self.old.get(piece)
-        if ids is None:
-            ids = merge_pretoken(piece.encode(), self.ranks)
-        if len(piece) <= CACHED_CHARS:
-            if len(self.new) >= CACHE:
-                self.old, self.new = self.new, {}
-            self.new[piece] = ids
-        return ids
-
     def encode(self, text: str) -> list[int]:
-        ids: list[int] = []
-        extend, meet = ids.extend, self._meet
-        for piece in self.pieces(text):
-            extend(self.new.get(piece) or meet(piece))
-        return ids
+        return list(chain.from_iterable(map(self.known.__getitem__, self.pieces(text))))
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
