@@ -85,6 +85,14 @@ def _observed_write(df: DataFrame, path: str, name: str) -> int:
     return int(obs.get["rows"])
 
 
+def _each(frames: dict, job) -> dict:
+    """``job(name, frame)`` of independent tables as concurrent Spark jobs
+    (one driver thread each); the first failure is raised."""
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        futures = {n: pool.submit(job, n, df) for n, df in frames.items()}
+        return {n: f.result() for n, f in futures.items()}
+
+
 def _dated(name: str, df: DataFrame) -> DataFrame:
     spec = SILVER[name]
     return df.withColumn(spec.partition_col, F.to_date(spec.order_col)) if spec.partition_col else df
@@ -149,25 +157,24 @@ def merge_load(spark: SparkSession, paths: dict, events: DataFrame | None = None
     given = {n: _dated(n, df) for n, df in zip(SILVER, (events, transactions, users), strict=True) if df is not None}
     scratch = {n: new_path(spark, n) for n in (*given, "touched", "sessions")}
     try:
-        with ThreadPoolExecutor(max_workers=3) as pool:
-            jobs = {n: pool.submit(_observed_write, df, scratch[n], n) for n, df in given.items()}
-            res.counts = {n: j.result() for n, j in jobs.items()}
+        res.counts = _each(given, lambda n, df: _observed_write(df, scratch[n], n))
         rows = {n: spark.read.schema(df.schema).parquet(scratch[n]) for n, df in given.items()}
-        for n, df in rows.items():
-            dq.fail_fast(dq.run_rules(df, silver_rules(n, allowed_event_types)))
+        _each(rows, lambda n, df: dq.fail_fast(dq.run_rules(df, silver_rules(n, allowed_event_types))))
 
         _touched_sessions(spark, paths, rows).write.parquet(scratch["touched"])
         touched = spark.read.parquet(scratch["touched"])
         dates = _event_dates(spark, paths, rows, touched)
 
-        for n, df in rows.items():
+        def merge(n: str, df: DataFrame) -> None:
             spec = SILVER[n]
             if spec.partition_col:
                 writes.upsert_partitions(spark, paths[n], df, list(spec.keys), spec.partition_col,
-                                         order_col=spec.order_col, ignore_changes_in=[AUDIT])
+                                         order_col=spec.order_col, ignore_changes_in=[AUDIT], written=True)
             else:
                 writes.upsert_table(spark, paths[n], df, list(spec.keys), spec.order_col)
 
+        _each(rows, merge)
+
         e, t, u = ((sources or {})[n]() if n in (sources or {}) else _read(spark, paths, n) for n in SILVER)
         if e is None:
             return res                       # purchases or users before the first event
@@ -186,7 +193,7 @@ def merge_load(spark: SparkSession, paths: dict, events: DataFrame | None = None
             dq.fail_fast(dq.run_rules(sessions, gold_rules(u)))
         gone = touched.join(sessions, SESSION_KEYS, "left_anti") if _read(spark, paths, GOLD) is not None else None
         res.touched_dates = writes.upsert_partitions(spark, paths[GOLD], sessions, SESSION_KEYS, "session_date",
-                                                     remove=gone, ignore_changes_in=[AUDIT])
+                                                     remove=gone, ignore_changes_in=[AUDIT], written=True)
         return res
     finally:
         for p in scratch.values():
@@ -211,9 +218,7 @@ def run_medallion(spark: SparkSession, event_lines: DataFrame, transaction_lines
         }
         # parsed once and landed: quarantine and silver read it with a pushed
         # filter on the corrupt column instead of parsing again
-        with ThreadPoolExecutor(max_workers=3) as pool:
-            jobs = {n: pool.submit(_observed_write, df, scratch[n], n) for n, df in parsed.items()}
-            read = {n: j.result() for n, j in jobs.items()}
+        read = _each(parsed, lambda n, df: _observed_write(df, scratch[n], n))
         valid, bad = {}, None
         for n in SILVER:
             valid[n], rejected = split_corrupt(spark.read.parquet(scratch[n]), CORRUPT_COL)

@@ -108,7 +108,7 @@ def _values(df: DataFrame, partition_col: str) -> set:
 
 def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, keys, partition_col: str,
                       order_col: str | None = None, check_cardinality: bool = True,
-                      remove: DataFrame | None = None, ignore_changes_in=None) -> list:
+                      remove: DataFrame | None = None, ignore_changes_in=None, written: bool = False) -> list:
     """Partition-scoped ``merge_upsert`` into a live partitioned table.
 
     Touched partitions are those of the updates plus those where a matched
@@ -121,7 +121,9 @@ def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, keys,
     ``remove``: keys whose rows are deleted. ``ignore_changes_in``: columns
     (an audit time) that alone make no change; when given, updates equal to
     their target row in all other columns are dropped first, so a re-run with
-    nothing new rewrites nothing. Returns the touched partition values (text).
+    nothing new rewrites nothing. ``written``: ``updates`` reads a written
+    table and needs no copy of its own. Returns the touched partition values
+    (text).
     """
     from strata.sources.readers import table_exists
 
@@ -134,7 +136,8 @@ def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, keys,
         return spark.read.schema(df.schema).parquet(scratch[-1])
 
     try:
-        updates = staged(updates, "updates")
+        if not written:
+            updates = staged(updates, "updates")
         if not table_exists(spark, path) or not list_partitions(spark, path, partition_col):
             write_partitioned(updates, path, partition_col)
             return list_partitions(spark, path, partition_col)
