@@ -48,7 +48,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents that the weak-label classifier takes for good."""
     model = weak_quality.fit(docs.select("doc_id", "text"))
     return _where(docs, {"quality": weak_quality.score(spark, F.col("text"), model)},
-                  lambda n: F.col(n["quality"])["score"] >= weak_quality.KEEP_FROM)
+                  lambda n: F.col(n["quality"]) >= weak_quality.KEEP_FROM)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

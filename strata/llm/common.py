@@ -45,6 +45,23 @@ def drop(spark: SparkSession, *paths: str) -> None:
         delete_path(spark, p)
 
 
+class Scratch:
+    """Tables of one operator's run that its result does not need: staged
+    like others, deleted together when the result has been written."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        out, path = stage(df, name)
+        self.paths.append(path)
+        return out
+
+    def drop(self, spark: SparkSession) -> None:
+        drop(spark, *self.paths)
+        self.paths.clear()
+
+
 def hint_if_small(df: DataFrame, n_rows: int) -> DataFrame:
     """Broadcast a table whose counted rows are within the bound; beyond it
     the join stays a shuffle join, whose skewed partitions AQE splits."""

@@ -17,9 +17,8 @@ def op2_weak_quality(spark, sf_dir):
     """Quality score of every document, and whether the filter keeps it."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = weak_quality.fit(docs)
-    scored = docs.select("doc_id", weak_quality.score(spark, F.col("text"), model).alias("s"))
-    return scored.select("doc_id", F.col("s.score").alias("score"),
-                         (F.col("s.score") >= weak_quality.KEEP_FROM).cast("int").alias("kept"), F.col("s.weak").alias("weak"))
+    scored = docs.select("doc_id", weak_quality.score(spark, F.col("text"), model).alias("score"))
+    return scored.withColumn("kept", (F.col("score") >= weak_quality.KEEP_FROM).cast("int"))
 
 
 def op3_bpe_round_trip(spark, sf_dir):

@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import FUNCTION_WORDS, stage
+from strata.llm.common import FUNCTION_WORDS, drop, stage
 
 SAMPLE = 2500              # training documents of each side
 HASH_BITS = 15
@@ -87,10 +87,8 @@ class Document:
         self.shape = (packed >> 8) & 0xFFFF
         self.known = (packed >> 7) & 1
         self.length = packed & 63
-        self.bytes = np.bincount(_CLASS[np.frombuffer(text.encode(), np.uint8)], minlength=4)
         self.repeat = self.word[1:] == self.word[:-1]
-        self.lines = [x for x in text.split("\n") if x.strip()]
-        self.stops = text.count(".") + text.count("?")
+        self.text = text
 
 
 def _vote(good: bool, bad: bool) -> int:
@@ -103,17 +101,18 @@ def votes(d: Document) -> list[int]:
     n = d.n
     if not n:
         return [1] * len(LABELLERS)
-    _, lower, upper, symbol = (int(x) for x in d.bytes)
+    _, lower, upper, symbol = (int(x) for x in np.bincount(_CLASS[np.frombuffer(d.text.encode(), np.uint8)], minlength=4))
     letters, repeats = lower + upper, float(d.repeat.mean()) if n > 1 else 0.0
     distinct = len(np.unique(d.word))
-    repeated_lines = 1 - len(set(d.lines)) / len(d.lines)
-    mean, known, stops = float(d.length.mean()), float(d.known.mean()), d.stops / n
+    lines = [x for x in d.text.split("\n") if x.strip()]
+    repeated_lines = 1 - len(set(lines)) / len(lines)
+    mean, known, stops = float(d.length.mean()), float(d.known.mean()), (d.text.count(".") + d.text.count("?")) / n
     return [
         _vote(n >= 5 and repeats < 0.05, repeats > 0.25),
         _vote(symbol / (letters + symbol + 1) < 0.005, symbol / (letters + symbol + 1) > 0.04),
         _vote(letters >= 10 and upper / letters < 0.15, letters >= 10 and upper / letters > 0.4),
         _vote(n >= 20 and distinct > 2.5 * math.sqrt(n), n >= 20 and distinct < 1.5 * math.sqrt(n)),
-        _vote(len(d.lines) >= 3 and repeated_lines < 0.1, len(d.lines) >= 3 and repeated_lines > 0.5),
+        _vote(len(lines) >= 3 and repeated_lines < 0.1, len(lines) >= 3 and repeated_lines > 0.5),
         _vote(n >= 8 and 0.02 <= stops <= 0.4, n >= 30 and (stops < 0.004 or stops > 0.8)),
         _vote(n >= 5 and 3.0 <= mean <= 9.5, n >= 5 and (mean < 2.0 or mean > 14.0)),
         _vote(n >= 10 and known >= 0.08, n >= 20 and known < 0.01),
@@ -219,10 +218,11 @@ def _features(text: Column) -> Column:
 
 def fit(docs: DataFrame, *, id_col="doc_id", text_col="text", sample=SAMPLE) -> Model:
     """Votes of all documents, EM, and the scorer's fit on the sample."""
-    voted, _ = stage(docs.select(F.col(id_col).alias("doc_id"), _patterns(F.col(text_col)).alias("pattern")), "quality-votes")
+    voted, voted_path = stage(docs.select(F.col(id_col).alias("doc_id"), _patterns(F.col(text_col)).alias("pattern")), "quality-votes")
     model = estimate({r["pattern"]: r["n"] for r in voted.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).collect()} or {0: 0})
     bad = [p for p, good in model.posterior.items() if good < 0.5]
     if not bad or len(bad) == len(model.posterior):
+        drop(docs.sparkSession, voted_path)
         return model
     is_bad = F.col("pattern").isin(bad)
     known = voted.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("pattern").alias("pattern"))
@@ -232,6 +232,7 @@ def fit(docs: DataFrame, *, id_col="doc_id", text_col="text", sample=SAMPLE) ->
     rows = (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
             .join(F.broadcast(picked), "doc_id")          # at most 2 * sample rows
             .select("doc_id", "pattern", _features(F.col("text")).alias("f")).select("doc_id", "pattern", "f.*").collect())
+    drop(docs.sparkSession, voted_path)
     rows.sort(key=lambda r: (r["doc_id"], len(r["i"])))
     model.weights, model.bias = train(
         [(np.array(r["i"], np.int64), np.array(r["v"], float), model.posterior[r["pattern"]]) for r in rows], model.good)
@@ -239,24 +240,21 @@ def fit(docs: DataFrame, *, id_col="doc_id", text_col="text", sample=SAMPLE) ->
 
 
 def score(spark: SparkSession, text: Column, model: Model) -> Column:
-    """struct(score, weak): the scorer's probability of good, and the
-    posterior of the labellers' votes."""
+    """The scorer's probability that a text is good."""
     shared = spark.sparkContext.broadcast(model)          # 2 ** 15 weights and the patterns
 
-    @F.pandas_udf("score double, weak double")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("double")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         m = shared.value
+
+        def one(text: str) -> float:
+            d = Document(text, _WORDS)
+            if m.weights is None:
+                return m.posterior.get(pattern_of(d), m.good)
+            index, value = features(d)
+            return 1 / (1 + math.exp(-max(-500.0, min(500.0, float(value @ m.weights[index]) + m.bias))))
+
         for batch in batches:
-            rows = []
-            for t in batch:
-                d = Document(t, _WORDS)
-                weak = m.posterior.get(pattern_of(d), m.good)
-                if m.weights is None:
-                    rows.append((weak, weak))
-                    continue
-                index, value = features(d)
-                z = float(value @ m.weights[index]) + m.bias
-                rows.append((1 / (1 + math.exp(-max(-500.0, min(500.0, z)))), weak))
-            yield pd.DataFrame(rows, columns=["score", "weak"])
+            yield pd.Series([one(t) for t in batch], dtype="float64")
 
     return run(F.coalesce(text, F.lit("")))
