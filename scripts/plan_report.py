@@ -19,7 +19,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 WRITES = {"write_replace", "write_partitioned", "dedup_by_merge", "snapshot_history", "time_travel_read",
           "rollback_to", "evolve_schema", "quarantine_write", "upsert_partitions", "read_table",
-          "medallion_run", "stream_ingest", "stream_to_parquet_by_date", "stream_corrupt_split",
+          "medallion_run", "medallion_incremental", "incremental_loads", "scan_json_files", "scan_csv_files",
+          "fail_fast", "stream_session_window", "stream_ingest", "stream_to_parquet_by_date", "stream_corrupt_split",
           "stream_dedup", "stream_session_agg", "stream_upsert_gold", "stream_read"}
 
 PATTERNS = {

@@ -32,16 +32,17 @@ DAY = 86_400
 HOUR = 3_600
 _US = 1_000_000
 _NEVER = 2**62  # later than any timestamp in microseconds
+_NO_ORDER = -2**62  # below any bucket
 
 
 def _micros(ts: str) -> Column:
     return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
-def _join_null_safe(left: DataFrame, right: DataFrame, keys: list) -> DataFrame:
-    """Inner join on ``keys`` in which NULL equals NULL."""
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: list, how: str = "inner") -> DataFrame:
+    """Join on ``keys`` in which NULL equals NULL."""
     named = right.withColumnsRenamed({k: f"_j_{k}" for k in keys})
-    return left.join(named, [left[k].eqNullSafe(named[f"_j_{k}"]) for k in keys]).drop(*[f"_j_{k}" for k in keys])
+    return left.join(named, [left[k].eqNullSafe(named[f"_j_{k}"]) for k in keys], how).drop(*[f"_j_{k}" for k in keys])
 
 
 def _next_occurrence(occ: DataFrame, keys: list, bucket_us: int) -> DataFrame:
@@ -87,8 +88,8 @@ def trailing(df: DataFrame, key: str, ts: str, frames: dict, bucket_seconds: int
     occurrence of the value or at time + width + 1 us.
     """
     tgt = F.lit(True) if target is None else F.coalesce(target, F.lit(False))
-    timeless = df.filter(F.col(ts).isNull() & tgt)
-    rows = df.filter(F.col(ts).isNotNull()).withColumn("_t_us", _micros(ts))
+    rows = df.withColumn("_t_us", _micros(ts))
+    timed = rows.filter(F.col("_t_us").isNotNull())
     types = {n: rows.select(c.alias("_v")).schema["_v"].dataType for n, (_, _, c) in frames.items()}
     zero = {}
     for name, (_, kind, _) in frames.items():
@@ -133,7 +134,7 @@ def trailing(df: DataFrame, key: str, ts: str, frames: dict, bucket_seconds: int
         any_value = F.lit(False)
         for _, _, col in simple.values():
             any_value = any_value | col.isNotNull()
-        changes.append(rows.filter(any_value).select(key, F.explode(F.array(*entries)).alias("_c"))
+        changes.append(timed.filter(any_value).select(key, F.explode(F.array(*entries)).alias("_c"))
                        .select(key, "_c.*"))
 
     distinct = {n: f for n, f in frames.items() if f[1] == "distinct"}
@@ -142,7 +143,7 @@ def trailing(df: DataFrame, key: str, ts: str, frames: dict, bucket_seconds: int
         options = [F.struct(F.lit(i).alias("_f"), (c.cast("string") if as_text else c).alias("_v"),
                             F.lit(w * _US + 1).cast("long").alias("_w"))
                    for i, (w, _, c) in enumerate(distinct.values())]
-        src = (rows.select(key, "_t_us", F.explode(F.array(*options)).alias("_o"))
+        src = (timed.select(key, "_t_us", F.explode(F.array(*options)).alias("_o"))
                .select(key, "_t_us", "_o.*").filter(F.col("_v").isNotNull()))
         # no distinct needed: of equal (value, time) copies all but the last
         # in lead order end at their own time, so they add nothing
@@ -170,10 +171,8 @@ def trailing(df: DataFrame, key: str, ts: str, frames: dict, bucket_seconds: int
     result = {name: F.col(f"_r_{name}") for name in running}
     for name, (_, kind, _) in frames.items():
         v = F.col(f"_d_{name}")
-        result[name] = F.when(F.col(f"_n_{name}") > 0, v) if kind == "sum" else v
-    out = out.withColumns(result).drop("_time", "_qt", *zero)
-    empty = {n: F.lit(None if n in running or frames[n][1] == "sum" else 0).cast(out.schema[n].dataType) for n in result}
-    return out.unionByName(timeless.withColumns(empty).select(*out.columns))
+        result[name] = F.when(F.col(f"_n_{name}") > 0, v) if kind == "sum" else F.coalesce(v, F.lit(0).cast("long"))
+    return out.withColumns(result).drop("_time", "_qt", *zero)
 
 
 def running(df: DataFrame, key: str, ts: str, tiebreak: str, sums: dict,
@@ -213,21 +212,20 @@ def prefix(df: DataFrame, key: str, order: Column, tiebreak: str, aggs: dict,
     per (key, bucket), and each bucket adds the combined result of the
     key's earlier buckets (a small per-(key, bucket) table).
     """
-    ordered = df.withColumn("_o", order)
-    unplaced = ordered.filter("_o IS NULL")
-    rows = ordered.filter("_o IS NOT NULL").withColumn("_b", F.floor(F.col("_o") / F.lit(bucket_width)))
+    # rows without an order get buckets of their own, which no total counts
+    rows = (df.withColumn("_o", order)
+            .withColumn("_b", F.coalesce(F.floor(F.col("_o") / F.lit(bucket_width)),
+                                         F.lit(_NO_ORDER) - F.pmod(F.xxhash64(tiebreak), F.lit(1024)))))
     upper = Window.currentRow if include_current else -1
     inside = Window.partitionBy(key, "_b").orderBy("_o", tiebreak).rowsBetween(
         Window.unboundedPreceding, upper)
-    totals = rows.groupBy(key, "_b").agg(
+    totals = rows.filter("_o IS NOT NULL").groupBy(key, "_b").agg(
         *[_INNER[k](c).alias(f"_bt_{n}") for n, (k, c) in aggs.items()])
     before = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select(key, "_b", *[_OUTER[k](f"_bt_{n}").over(before).alias(f"_pre_{n}")
                                         for n, (k, _) in aggs.items()])
     inner = rows.withColumns({f"_in_{n}": _INNER[k](c).over(inside) for n, (k, c) in aggs.items()})
-    out = _join_null_safe(inner, totals, [key, "_b"])
-    out = out.withColumns({n: _combine(k, F.col(f"_pre_{n}"), F.col(f"_in_{n}"))
-                           for n, (k, _) in aggs.items()})
-    out = out.drop("_o", "_b", *[f"_in_{n}" for n in aggs], *[f"_pre_{n}" for n in aggs])
-    empty = {n: F.lit(0 if k == "count" else None).cast(out.schema[n].dataType) for n, (k, _) in aggs.items()}
-    return out.unionByName(unplaced.withColumns(empty).select(*out.columns))
+    out = _join_null_safe(inner, totals, [key, "_b"], "left")
+    out = out.withColumns({n: F.when(F.col("_o").isNotNull(), _combine(k, F.col(f"_pre_{n}"), F.col(f"_in_{n}")))
+                           .otherwise(F.lit(0 if k == "count" else None)) for n, (k, _) in aggs.items()})
+    return out.drop("_o", "_b", *[f"_in_{n}" for n in aggs], *[f"_pre_{n}" for n in aggs])
