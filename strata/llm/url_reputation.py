@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import ascii_lower, hint_if_small, stage
+from strata.llm.common import Scratch, ascii_lower, hint_if_small, stage
 
 Z = 1.645
 BLOCK_ABOVE = 0.4
@@ -76,10 +76,10 @@ def _correlation(units: DataFrame, mean: Column) -> float:
     return min(max(rho, RHO[0]), RHO[1])
 
 
-def reputation(outcomes: DataFrame) -> DataFrame:
+def reputation(outcomes: DataFrame, scratch: Scratch) -> DataFrame:
     """``outcomes`` (host, n, bad), one row per host -> host, n, bad, mean,
     bound (of the posterior bad rate)."""
-    hosts, _ = stage(outcomes.withColumns({"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))}), "url-hosts")
+    hosts = scratch.stage(outcomes.withColumns({"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))}), "url-hosts")
     total = hosts.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
     rate = F.lit((total["bad"] or 0) / total["n"] if total["n"] else 0.0)
     sums = lambda df, *keys: df.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
@@ -90,10 +90,10 @@ def reputation(outcomes: DataFrame) -> DataFrame:
         return units.withColumn(name, (F.col("bad") + weight * prior) / (F.col("n") + weight)), weight
 
     suffixes, _ = shrink(sums(hosts, "suffix"), rate, "suffix_mean")
-    suffixes, _ = stage(suffixes.select("suffix", "suffix_mean"), "url-suffixes")
-    domains, _ = stage(sums(hosts, "suffix", "domain").join(suffixes, "suffix"), "url-domains")
+    suffixes = scratch.stage(suffixes.select("suffix", "suffix_mean"), "url-suffixes")
+    domains = scratch.stage(sums(hosts, "suffix", "domain").join(suffixes, "suffix"), "url-domains")
     domains, _ = shrink(domains, F.col("suffix_mean"), "domain_mean")
-    hosts, _ = stage(hosts.join(domains.select("suffix", "domain", "domain_mean"), ["suffix", "domain"]), "url-hosts")
+    hosts = scratch.stage(hosts.join(domains.select("suffix", "domain", "domain_mean"), ["suffix", "domain"]), "url-hosts")
     rated, weight = shrink(hosts, F.col("domain_mean"), "mean")
     deviation = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("n") + weight + 1))
     return rated.select("host", "n", "bad", "mean", (F.col("mean") - Z * deviation).alias("bound"))
@@ -113,7 +113,9 @@ def judge(pages: DataFrame, labels: DataFrame, *, rules: list[tuple[str, str]],
     outcomes = (seen.join(known, "ref", "left").groupBy("host")
                 .agg(F.sum(F.when(F.col("bad").isNotNull(), F.col("pages")).otherwise(F.lit(0))).alias("n"),
                      F.sum(F.coalesce(F.col("bad") * F.col("pages"), F.lit(0))).alias("bad")))
-    rated, _ = stage(reputation(outcomes), "url-rated")
+    scratch = Scratch()
+    rated, _ = stage(reputation(outcomes, scratch), "url-rated")
+    scratch.drop(pages.sparkSession)
     rule, by_rule = rule_of(F.col("host"), F.col("path"), rules)
     verdict = F.coalesce(by_rule, F.when(F.col("bound") > block_above, F.lit("block")).otherwise(F.lit("allow")))
     return (rows.join(hint_if_small(rated, rated.count()), "host")

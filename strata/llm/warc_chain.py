@@ -34,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import drop, hint_if_small, stage
+from strata.llm.common import Scratch, drop, hint_if_small, stage
 from strata.session import new_path
 
 # Fixed values of the format.
@@ -127,7 +127,7 @@ def _candidates(pieces: DataFrame) -> DataFrame:
     return rows.withColumn("gap", gap).withColumn("run", F.sum("gap").over(ordered)).drop("gap")
 
 
-def reachable(candidates: DataFrame) -> DataFrame:
+def reachable(candidates: DataFrame, scratch: Scratch) -> DataFrame:
     """(file, block, run, entry): runs that the chain from the start of their
     file enters, and where. Pointer jumping: every round doubles the steps a
     pointer takes and marks what the marked runs point to."""
@@ -148,6 +148,7 @@ def reachable(candidates: DataFrame) -> DataFrame:
         drop(spark, jump_path, marked_path)
         jump, jump_path, marked, marked_path = further, further_path, after, after_path
     drop(spark, jump_path)
+    scratch.paths.append(marked_path)
     return marked
 
 
@@ -155,39 +156,42 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """One row per record: file, start, record_type, page_id, url,
     payload_bytes, payload_digest, refers_to. Digest and length of a response
     are those of its payload as read; a revisit's are those it names."""
-    pieces, _ = stage(_pieces(spark, path).drop("value"), "warc-pieces")
-    candidates, _ = stage(_candidates(pieces), "warc-candidates")
-    marked = reachable(candidates)
+    scratch = Scratch()
+    pieces = scratch.stage(_pieces(spark, path).drop("value"), "warc-pieces")
+    candidates = scratch.stage(_candidates(pieces), "warc-candidates")
+    marked = reachable(candidates, scratch)
     is_record = F.coalesce(F.col("start") >= F.col("entry"), F.lit(False))
     chained = candidates.join(marked, ["file", "block", "run"], "left").withColumn("record", is_record)
     # every piece belongs to the last record that starts at or before it (small columns only)
     upto = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    owned, _ = stage(
+    owned = scratch.stage(
         chained.withColumn("owner", F.last(F.when(F.col("record"), F.col("start")), ignorenulls=True).over(upto))
         .filter("owner IS NOT NULL").select("file", "block", "at", "start", "owner"), "warc-owned")
     place = ["file", "block", "at"]
     info = pieces.select(*place, "head", "length", "own_digest", "own_bytes")
-    parted, _ = stage(owned.filter("start != owner").select("file", "owner").distinct(), "warc-parted")
+    parted = scratch.stage(owned.filter("start != owner").select("file", "owner").distinct(), "warc-parted")
     heads = owned.filter("start = owner").join(info, place)
     records = heads.join(parted, ["file", "owner"], "left_anti").select("file", "start", "head", "own_digest", "own_bytes")
     if parted.limit(1).count():
-        records = records.unionByName(_from_parts(spark, path, owned.join(parted, ["file", "owner"]).select("file", "start", "owner")))
+        records = records.unionByName(_from_parts(spark, path, owned.join(parted, ["file", "owner"]).select("file", "start", "owner"), scratch))
     field = lambda name, pattern: F.regexp_extract(F.concat(F.lit("\r\n"), "head", F.lit("\r\n")), rf"(?i)\r\n{name}: *{pattern}\r\n", 1)
     kind = field("WARC-Type", r"(\w+)")
     revisit = kind == "revisit"
-    return records.select(
+    records, _ = stage(records.select(
         "file", "start", kind.alias("record_type"), field("WARC-Record-ID", "<urn:page:(-?[0-9]+)>").try_cast("long").alias("page_id"),
         field("WARC-Target-URI", "([^\r\n]*)").alias("url"),
         F.when(revisit, field("WARC-Payload-Length", "([0-9]+)").try_cast("long")).otherwise(F.col("own_bytes")).alias("payload_bytes"),
         F.when(revisit, field("WARC-Payload-Digest", "sha1:([A-Z2-7]+)")).otherwise(F.col("own_digest")).alias("payload_digest"),
-        F.when(revisit, field("WARC-Refers-To", "<urn:page:(-?[0-9]+)>").try_cast("long")).alias("refers_to"))
+        F.when(revisit, field("WARC-Refers-To", "<urn:page:(-?[0-9]+)>").try_cast("long")).alias("refers_to")), "warc-records")
+    scratch.drop(spark)
+    return records
 
 
-def _from_parts(spark: SparkSession, path: str, parts: DataFrame) -> DataFrame:
+def _from_parts(spark: SparkSession, path: str, parts: DataFrame, scratch: Scratch) -> DataFrame:
     """Records whose payload holds magics, put together from ``parts`` (file,
     start, owner): only the files that have some are read again."""
-    parts, _ = stage(parts, "warc-parts")
-    files, _ = stage(parts.select("file").distinct(), "warc-files")
+    parts = scratch.stage(parts, "warc-parts")
+    files = scratch.stage(parts.select("file").distinct(), "warc-files")
     again = _pieces(spark, path).drop("own_digest", "own_bytes").join(hint_if_small(files, files.count()), "file", "left_semi")
     rows = _offsets(again, ["file", "value", "head", "skip", "length"]).withColumn("start", F.col("body") - len(MAGIC))
     whole = (rows.join(hint_if_small(parts, parts.count()), ["file", "start"]).groupBy("file", "owner")

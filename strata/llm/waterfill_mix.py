@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import hint_if_small, stage
+from strata.llm.common import Scratch, hint_if_small, stage
 
 WORD = r"[^\x20\x09-\x0D]+"
 BUCKET_BITS = 12           # 4096 hash buckets per source
@@ -49,12 +49,12 @@ def document_sizes(docs: DataFrame, *, id_col="doc_id", text_col="text", source_
         seeded_order(id_col, text_col, seed).alias("u"))
 
 
-def rank_sources(sources: DataFrame) -> DataFrame:
+def rank_sources(sources: DataFrame, scratch: Scratch) -> DataFrame:
     """Adds ``rank`` (from 0, by code point, null last) without one global
     window: position in a range-sorted partition plus the rows of the
     partitions before it (one row per partition)."""
     mid = F.monotonically_increasing_id()
-    placed, _ = stage(
+    placed = scratch.stage(
         sources.sort(F.col("source").asc_nulls_last())
         .withColumn("part", F.shiftright(mid, 33)).withColumn("at", mid.bitwiseAND((1 << 33) - 1)),
         "mix-ranked")
@@ -95,9 +95,10 @@ def mix_plan(sized: DataFrame, *, weight_cycle=(1, 2, 3), total: float | None =
     """One row per source of ``sized`` (a written table of document_sizes):
     plan_source, source_size, target, whole, last_u, last_id (the last
     document taken once more); and the number of sources."""
-    sources, _ = stage(sized.groupBy("source").agg(F.sum("size").alias("source_size")), "mix-sources")
+    scratch = Scratch()
+    sources = scratch.stage(sized.groupBy("source").agg(F.sum("size").alias("source_size")), "mix-sources")
     cycle = F.array(*[F.lit(w) for w in weight_cycle])
-    weighted, _ = stage(rank_sources(sources).withColumn(
+    weighted = scratch.stage(rank_sources(sources, scratch).withColumn(
         "weight", F.element_at(cycle, (F.col("rank") % len(weight_cycle) + 1).cast("int"))), "mix-weights")
     targets = fill_targets(weighted, total=total, max_epochs=max_epochs)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
@@ -105,12 +106,12 @@ def mix_plan(sized: DataFrame, *, weight_cycle=(1, 2, 3), total: float | None =
     targets = targets.withColumn("extra", F.col("target") - F.col("whole") * F.col("source_size"))
 
     sized = sized.withColumn("bucket", F.shiftright("u", _HASH_BITS - BUCKET_BITS))
-    sums, _ = stage(sized.groupBy("source", "bucket").agg(F.sum("size").alias("n")), "mix-buckets")
+    sums = scratch.stage(sized.groupBy("source", "bucket").agg(F.sum("size").alias("n")), "mix-buckets")
     upto = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cuts = (sums.withColumn("end", F.sum("n").over(upto)).withColumnRenamed("source", "s")
             .join(targets.select("source", "extra"), F.col("s").eqNullSafe(F.col("source"))).filter(F.col("end") > F.col("extra"))
             .groupBy("source").agg(F.min(F.struct("bucket", (F.col("end") - F.col("n")).alias("base"))).alias("cut"), F.first("extra").alias("extra")))
-    cuts, _ = stage(cuts.select(F.col("source").alias("cut_source"), F.col("cut.bucket").alias("cut"), F.col("cut.base").alias("base"), "extra"), "mix-cuts")
+    cuts = scratch.stage(cuts.select(F.col("source").alias("cut_source"), F.col("cut.bucket").alias("cut"), F.col("cut.base").alias("base"), "extra"), "mix-cuts")
     n_sources = cuts.count()
     inside = sized.join(hint_if_small(cuts, n_sources), F.col("source").eqNullSafe(F.col("cut_source")) & (F.col("bucket") == F.col("cut")))
     order = Window.partitionBy("cut_source").orderBy("u", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -124,6 +125,7 @@ def mix_plan(sized: DataFrame, *, weight_cycle=(1, 2, 3), total: float | None =
         targets.join(ends, F.col("source").eqNullSafe(F.col("cut_source")), "left")
         .select(F.col("source").alias("plan_source"), "source_size", "target", "whole",
                 F.coalesce("last_u", F.lit(-1)).alias("last_u"), F.coalesce("last_id", F.lit(_LEAST)).alias("last_id")), "mix-plan")
+    scratch.drop(sized.sparkSession)
     return plan, plan.count()
 
 
