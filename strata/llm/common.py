@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,3 +70,20 @@ def hint_if_small(df: DataFrame, n_rows: int) -> DataFrame:
     """Broadcast a table whose counted rows are within the bound; beyond it
     the join stays a shuffle join, whose skewed partitions AQE splits."""
     return F.broadcast(df) if n_rows <= BROADCAST_ROWS else df
+
+
+def whole_groups(batches: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
+    """Batches of a partition sorted by ``key``, cut so that no group goes
+    over a cut: the last group of a batch waits for the next batch."""
+    held = None
+    for batch in batches:
+        rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
+        if not len(rows):
+            continue
+        values = rows[key].to_numpy()
+        last = int(np.flatnonzero(values == values[-1])[0])
+        held = rows.iloc[last:]
+        if last:
+            yield rows.iloc[:last]
+    if held is not None and len(held):
+        yield held

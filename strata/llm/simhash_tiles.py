@@ -39,7 +39,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import LOWER, UPPER, drop, stage
+from strata.llm.common import LOWER, UPPER, Scratch, drop, stage, whole_groups
 
 SHINGLE = 3
 RADIUS = 2
@@ -90,14 +90,16 @@ def _cells(prints: DataFrame, radius: int) -> DataFrame:
     return prints.select("fp", F.bit_count("fp").alias("ones"), F.explode(F.array(*pairs)).alias("cell"))
 
 
-def _groups(cells: DataFrame, radius: int, tile: int) -> DataFrame:
-    """(task, fp, ones): cells as they are, or as pairs of their tiles."""
+def tile_groups(cells: DataFrame, radius: int, tile: int, scratch: Scratch) -> DataFrame:
+    """(task, fp, ones) of (cell, fp, ones): cells as they are or, beyond
+    ``tile`` rows, as pairs of tiles whose ``ones`` (0 to 64) differ by at
+    most ``radius``."""
     counts = cells.groupBy("cell", "ones").agg(F.count(F.lit(1)).alias("n"))
     large = (counts.groupBy("cell")
              .agg(F.sum("n").alias("rows"),
                   F.map_from_entries(F.collect_list(F.struct("ones", F.ceil(F.col("n") / tile).cast("int").alias("parts")))).alias("tiles"))
              .filter(F.col("rows") > tile).select("cell", "tiles"))      # one row per large cell, 65 bit counts at most
-    large, _ = stage(large, "simhash-large")     # a table: the join below can split a cell of many rows
+    large = scratch.stage(large, "simhash-large")     # a table: the join below can split a cell of many rows
     rows = cells.join(large, "cell", "left")
     own = F.struct(F.col("ones").alias("o"), F.pmod(F.xxhash64("fp"), F.element_at("tiles", F.col("ones"))).cast("int").alias("p"))
     near = F.sequence(F.greatest(F.lit(0), F.col("ones") - radius), F.least(F.lit(64), F.col("ones") + radius))
@@ -160,31 +162,20 @@ def _links_of(task: np.ndarray, fp: np.ndarray, ones: np.ndarray, radius: int) -
     return out
 
 
-def links(prints: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
+def links(prints: DataFrame, radius: int = RADIUS, tile: int = TILE, scratch: Scratch | None = None) -> DataFrame:
     """(u, v) of distinct fingerprints: spans every pair within the radius."""
-    groups = _groups(_cells(prints, radius), radius, tile)
+    groups = tile_groups(_cells(prints, radius), radius, tile, scratch or Scratch())
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
-        for batch in batches:
-            rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
-            task = rows["task"].to_numpy()
-            last = int(np.flatnonzero(task == task[-1])[0]) if len(task) else 0   # may go on in the next batch
-            held = rows.iloc[last:]
-            if last:
-                yield _frame(rows.iloc[:last])
-        if held is not None and len(held):
-            yield _frame(held)
-
-    def _frame(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(_links_of(rows["task"].to_numpy(np.int64), rows["fp"].to_numpy(np.int64),
-                                      rows["ones"].to_numpy(np.int64), radius), columns=["u", "v"], dtype="int64")
+        for rows in whole_groups(batches, "task"):
+            yield pd.DataFrame(_links_of(rows["task"].to_numpy(np.int64), rows["fp"].to_numpy(np.int64),
+                                         rows["ones"].to_numpy(np.int64), radius), columns=["u", "v"], dtype="int64")
 
     return (groups.repartition("task").sortWithinPartitions("task", "ones", "fp")
             .mapInPandas(compare, "u long, v long").distinct())
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """(node, root) of every node of ``edges`` (u, v): large-star and
     small-star rounds until nothing changes; root is the smallest node."""
     spark = edges.sparkSession
@@ -209,6 +200,8 @@ def components(edges: DataFrame) -> DataFrame:
         new = signature(after)
         now, path = after, after_path
         if new == seen:
+            if scratch is not None:
+                scratch.paths.append(path)
             return now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
         seen = new
 
@@ -219,13 +212,14 @@ def dedup_classes(docs: DataFrame, *, id_col="doc_id", text_col="text", shingle=
     prints, _ = stage(docs.select(
         F.col(id_col).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"),
         fingerprint_column(F.col(text_col), shingle).alias("fp")), "simhash-prints")
-    distinct, _ = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "simhash-distinct")
-    found = components(links(distinct.select("fp"), radius, tile))
-    rooted = distinct.join(found, distinct["fp"] == found["node"], "left").select(
-        "fp", "least_id", F.coalesce("root", "fp").alias("root"))
-    rooted, _ = stage(rooted, "simhash-rooted")
-    smallest, _ = stage(rooted.groupBy("root").agg(F.min("least_id").alias("component_id")), "simhash-least")
+    scratch = Scratch()
+    distinct = scratch.stage(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "simhash-distinct")
+    found = components(links(distinct.select("fp"), radius, tile, scratch), scratch)
+    rooted = scratch.stage(distinct.join(found, distinct["fp"] == found["node"], "left").select(
+        "fp", "least_id", F.coalesce("root", "fp").alias("root")), "simhash-rooted")
+    smallest = scratch.stage(rooted.groupBy("root").agg(F.min("least_id").alias("component_id")), "simhash-least")
     classes, _ = stage(rooted.join(smallest, "root").select("fp", "root", "component_id"), "simhash-classes")
+    scratch.drop(docs.sparkSession)
     return prints.join(classes, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
 
 

@@ -17,6 +17,15 @@ are not compared and count as 0. Those that are compared are pruned by the
 same bound while their sorted hashes are counted out. A floor of 0 (the
 default) compares everything exactly.
 
+``near_duplicates`` finds the classes of documents linked by a likeness of
+``THRESHOLD`` or more. Equal sets are one set. A set's signatures are put in
+order of their frequency over all sets, rarest first; two sets that reach the
+threshold share one of each other's n - ceil(threshold * n) + 1 rarest, so
+each set goes to the cells of those. Cells of one set are dropped; a cell of
+many sets is cut into pairs of tiles of neighbouring length partitions (see
+``simhash_tiles.tile_groups``). Within a group sets are compared in order of
+length until lengths are too far apart; pairs already connected are skipped.
+
 ``with_neighbour`` pairs every document with the next one in descending id
 without a global sort in one task: ids are cut at approximate quantiles into
 chunks (four per shuffle partition), the first document of each chunk is sent
@@ -40,12 +49,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import FUNCTION_WORDS
+from strata.llm.common import FUNCTION_WORDS, Scratch, stage, whole_groups
+from strata.llm.simhash_tiles import TILE, components, tile_groups
 
 CHAIN = 2
+THRESHOLD = 0.8
 REACH = 6
 SHORT = 32
 CHUNKS_PER_PARTITION = 4
@@ -195,3 +206,72 @@ def fingerprint_edits(docs: DataFrame, *, id_col="doc_id", text_col="text") -> D
             kept = following if goes_on else None
 
     return with_neighbour(docs, visit, RESULT, id_col=id_col, text_col=text_col)
+
+
+def signature_column(text: Column) -> Column:
+    """array<long>: a text's signatures, sorted."""
+    @F.pandas_udf("array<long>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([sorted(signatures(t)) for t in batch], dtype=object)
+    return run(F.coalesce(text, F.lit("")))
+
+
+def _group_links(sets: list[frozenset[int]], threshold: float) -> list[tuple[int, int]]:
+    """Spanning links of the pairs that reach the threshold; ``sets`` in order
+    of length."""
+    root = list(range(len(sets)))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    out = []
+    for j, b in enumerate(sets):
+        for i in range(j - 1, -1, -1):
+            if len(sets[i]) < threshold * len(b):
+                break                                     # all before are shorter still
+            p, q = find(i), find(j)
+            if p != q and likeness(sets[i], b, threshold) >= threshold:
+                root[max(p, q)] = min(p, q)
+                out.append((i, j))
+    return out
+
+
+def near_duplicates(docs: DataFrame, *, id_col="doc_id", text_col="text", threshold: float = THRESHOLD, tile: int = TILE) -> DataFrame:
+    """(doc_id, n_signatures, class_id), one row per input row; class_id is
+    the smallest id of the documents linked with it, itself included."""
+    scratch = Scratch()
+    found, _ = stage(docs.select(F.col(id_col).alias("doc_id"), signature_column(F.col(text_col)).alias("sigs")).select(
+        "doc_id", "sigs", F.size("sigs").alias("n_signatures"), F.xxhash64("sigs").alias("fp")), "spotsigs-found")
+    sets = scratch.stage(found.groupBy("fp").agg(F.min("doc_id").alias("least_id"), F.first("sigs").alias("sigs")), "spotsigs-sets")
+    rows = sets.select("fp", F.explode("sigs").alias("cell"))
+    counts = scratch.stage(rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n")), "spotsigs-counts")
+    n = F.size("order")
+    steps = F.floor(-F.log(n.cast("double")) / F.log(F.lit(threshold)) + 1e-12).cast("int")         # length partition
+    cells = (rows.join(counts, "cell").groupBy("fp").agg(F.array_sort(F.collect_list(F.struct("n", "cell"))).alias("order"))
+             .select("fp", F.least(steps, F.lit(64)).alias("ones"),
+                     F.explode(F.slice("order", F.lit(1), (n - F.ceil(threshold * n - 1e-9) + 1).cast("int"))).alias("o"))
+             .filter("o.n > 1").select(F.col("o.cell").alias("cell"), "fp", "ones"))                 # a signature of one set links nothing
+    cells = scratch.stage(cells, "spotsigs-cells")
+    groups = tile_groups(cells, 1, tile, scratch).select("task", "fp").join(sets.select("fp", "sigs"), "fp")
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in whole_groups(batches, "task"):
+            out = []
+            for _, group in part.groupby("task", sort=False):
+                fp, members = group["fp"].tolist(), [frozenset(x) for x in group["sigs"]]
+                out += [(fp[i], fp[j]) for i, j in _group_links(members, threshold)]
+            yield pd.DataFrame(out, columns=["u", "v"], dtype="int64")
+
+    links = (groups.withColumn("n", F.size("sigs")).repartition("task").sortWithinPartitions("task", "n", "fp")
+             .mapInPandas(compare, "u long, v long").distinct())
+    linked = components(links, scratch)
+    rooted = scratch.stage(sets.select("fp", "least_id").join(linked, F.col("fp") == F.col("node"), "left").select(
+        "fp", "least_id", F.coalesce("root", "fp").alias("root")), "spotsigs-rooted")
+    least = scratch.stage(rooted.groupBy("root").agg(F.min("least_id").alias("class_id")), "spotsigs-least")
+    classes, _ = stage(rooted.join(least, "root").select("fp", "class_id"), "spotsigs-classes")
+    scratch.drop(docs.sparkSession)
+    return found.drop("sigs").join(classes, "fp").select("doc_id", "n_signatures", "class_id")

@@ -224,6 +224,43 @@ def test_spotsigs_null_and_repeated_ids(spark):
     assert sorted((r["doc_id"] is None, r["n_chars"]) for r in got) == sorted((i is None, len(t)) for i, t in pairs)
 
 
+@pytest.mark.parametrize("tile", [3, 2048])
+def test_spotsigs_near_duplicates_equal_brute_force(spark, tile):
+    r = random.Random(tile)
+    vocab = [f"word{i}" for i in range(300)] + ["the", "of", "and", "in"] * 25
+    base = [[r.choice(vocab) for _ in range(r.randint(20, 120))] for _ in range(12)]
+    pairs = list(ODD)
+    for i in range(120):
+        w = list(r.choice(base))
+        for _ in range(r.choice([0, 1, 2, 8])):
+            w[r.randrange(len(w))] = r.choice(vocab)
+        pairs.append((1000 - i, " ".join(w + ["the", "same", "end", "of", "all"])))
+    got = spotsigs.near_duplicates(docs_of(spark, pairs), tile=tile).collect()
+    assert len(got) == len(pairs)
+    sets = sorted({spotsigs.signatures(t or "") for _, t in pairs}, key=sorted)
+    root = list(range(len(sets)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(sets)):
+        for b in range(a):
+            if spotsigs.likeness(sets[a], sets[b]) >= 0.8:
+                p, q = find(a), find(b)
+                root[max(p, q)] = min(p, q)
+    where = {x: find(k) for k, x in enumerate(sets)}
+    least = {}
+    for i, t in pairs:
+        if i is not None:
+            k = where[spotsigs.signatures(t or "")]
+            least[k] = min(least.get(k, i), i)
+    want = sorted(((i, len(spotsigs.signatures(t or "")), least.get(where[spotsigs.signatures(t or "")])) for i, t in pairs), key=repr)
+    assert H.rows(spark.createDataFrame(got, "doc_id long, n_signatures int, class_id long")) == want
+    assert spotsigs.near_duplicates(docs_of(spark, [])).collect() == []
+
+
 def test_spotsigs_likeness_bounds():
     r = random.Random(7)
     for _ in range(2000):
