@@ -1,4 +1,4 @@
-"""Queries over pages: op1 (URL filter) with its SQL, op10 (WARC archives)."""
+"""Queries over pages: op1 (URL filter), op10 (WARC archives), and their SQL."""
 
 from __future__ import annotations
 
@@ -83,5 +83,20 @@ def op10_warc_archive(spark, sf_dir):
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
 
 
+SQL_WARC = """
+WITH p AS (
+  SELECT page_id, replace(replace(coalesce(url, ''), chr(13), '%0D'), chr(10), '%0A') AS url, coalesce(html, '') AS payload FROM pages
+), d AS (
+  SELECT *, sha1(payload) AS x, strlen(payload) AS payload_bytes, min(page_id) OVER (PARTITION BY payload) AS first_id FROM p
+), r AS (
+  SELECT *, CASE WHEN page_id IS NULL OR page_id <> first_id THEN first_id END AS refers_to FROM d
+)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(32), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    ((CAST('0x' || substr(x, 5 * (j // 4) + 1, 5) AS BIGINT) >> (15 - 5 * (j % 4))) & 31) + 1, 1)), '') AS payload_digest,
+  CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to, url
+FROM r
+"""
+
 QUERIES = {"op1_url_reputation": op1_url_reputation, "op10_warc_archive": op10_warc_archive}
-ORACLE_SQL = {"op1_url_reputation": SQL_URLS}
+ORACLE_SQL = {"op1_url_reputation": SQL_URLS, "op10_warc_archive": SQL_WARC}
