@@ -161,8 +161,15 @@ def merge_load(spark: SparkSession, paths: dict, events: DataFrame | None = None
         rows = {n: spark.read.schema(df.schema).parquet(scratch[n]) for n, df in given.items()}
         _each(rows, lambda n, df: dq.fail_fast(dq.run_rules(df, silver_rules(n, allowed_event_types))))
 
-        _touched_sessions(spark, paths, rows).write.parquet(scratch["touched"])
+        # kept beside gold until gold is written: a load that dies after silver
+        # changed leaves its sessions to the next load
+        pending = paths[GOLD].rstrip("/") + "_pending"
+        found = _touched_sessions(spark, paths, rows)
+        if table_exists(spark, pending):
+            found = found.unionByName(spark.read.parquet(pending)).distinct()
+        found.write.parquet(scratch["touched"])
         touched = spark.read.parquet(scratch["touched"])
+        writes.write_replace(touched, pending)
         dates = _event_dates(spark, paths, rows, touched)
 
         def merge(n: str, df: DataFrame) -> None:
@@ -176,8 +183,9 @@ def merge_load(spark: SparkSession, paths: dict, events: DataFrame | None = None
         _each(rows, merge)
 
         e, t, u = ((sources or {})[n]() if n in (sources or {}) else _read(spark, paths, n) for n in SILVER)
-        if e is None:
-            return res                       # purchases or users before the first event
+        if e is None:                        # purchases or users before the first event
+            delete_path(spark, pending)
+            return res
         e = e.filter(writes.in_partitions(SILVER["events_clean"].partition_col, dates)).join(touched, SESSION_KEYS, "left_semi")
         t = (t if t is not None else spark.createDataFrame([], silver.TRANSACTION_SCHEMA)).join(touched, SESSION_KEYS, "left_semi")
         u = u if u is not None else spark.createDataFrame([], silver.USER_SCHEMA)
@@ -194,6 +202,7 @@ def merge_load(spark: SparkSession, paths: dict, events: DataFrame | None = None
         gone = touched.join(sessions, SESSION_KEYS, "left_anti") if _read(spark, paths, GOLD) is not None else None
         res.touched_dates = writes.upsert_partitions(spark, paths[GOLD], sessions, SESSION_KEYS, "session_date",
                                                      remove=gone, ignore_changes_in=[AUDIT], written=True)
+        delete_path(spark, pending)
         return res
     finally:
         for p in scratch.values():

@@ -218,6 +218,31 @@ def test_second_load_merges(spark, tmp_path):
     assert [spark.read.parquet(res.paths[n]).count() for n in ("events_clean", "user_session_analysis")] == before
 
 
+def test_load_that_died_before_gold_is_finished_by_the_next(spark, tmp_path, monkeypatch):
+    from strata.plans import medallion
+    from strata.sources.readers import table_exists
+    from strata.streaming.jobs import newest_landed_events
+    paths = medallion.table_paths(str(tmp_path / "lake"))
+    rows = lambda *events: newest_landed_events(spark.createDataFrame([(x,) for x in events], "value string"))
+    event = lambda eid, sid, ts: _event(int(eid), sid, 1, "view", ts)
+    medallion.merge_load(spark, paths, events=rows(event(1, "s1", "2024-01-01 10:00:00"), event(2, "s1", "2024-01-01 11:00:00"),
+                                                   event(3, "s3", "2024-01-02 08:00:00")))
+    real = medallion.gold.user_session_analysis
+
+    def die(*a, **k):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(medallion.gold, "user_session_analysis", die)
+    moved = rows(event(2, "s2", "2024-01-01 12:00:00"), event(3, "s2", "2024-01-02 09:00:00"))
+    with pytest.raises(RuntimeError):
+        medallion.merge_load(spark, paths, events=moved)
+    monkeypatch.setattr(medallion.gold, "user_session_analysis", real)
+    medallion.merge_load(spark, paths, events=moved)
+    got = {r["session_id"]: r["total_events"] for r in spark.read.parquet(paths["user_session_analysis"]).collect()}
+    assert got == {"s1": 1, "s2": 2}                # s1 lost an event, s3 its only one
+    assert not table_exists(spark, paths["user_session_analysis"] + "_pending")
+
+
 def test_session_too_long_for_a_row_stops_the_load(spark, tmp_path):
     from strata.operators.quality import QualityError
     from strata.plans import medallion
