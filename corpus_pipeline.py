@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import bpe_bitmap, simhash_tiles, toxic_segments, waterfill_mix, weak_quality
-from strata.llm.common import stage
+from strata.llm.common import drop, stage
 from strata.llm.q_text import RANKS, TOXIC_FROM, toxicity_model
 
 
@@ -92,7 +92,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each one's result written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, apply in STAGES:
-        docs, _ = stage(apply(spark, docs, sf_dir), f"pipeline-{name}")
+        docs, path = stage(apply(spark, docs, sf_dir), f"pipeline-{name}")
+        if before:
+            drop(spark, before)         # the stage before is written and no longer read
+        before = path
     return docs
