@@ -119,6 +119,31 @@ def test_query_equals_sql_on_odd_rows(spark, small, name):
     assert got == want
 
 
+@pytest.mark.parametrize("texts", [lambda r, i: "alike in every row", lambda r, i: " ".join(["w"] * r.randint(1, 3) + [str(i)])])
+def test_op9_cuts_inside_repeated_ids(spark, tmp_path, texts):
+    """Every id (and null id and text) has many rows, so that each source's
+    prefix ends among rows of one id; SQL counts them one by one."""
+    r = random.Random(9)
+    docs = [(k, texts(r, i), "en", s, 0) for s, n in (("a", 60), ("b", 150), (None, 90)) for k in (5, 6) for i in range(n)]
+    docs += [(None, "n n n", "en", "a", 0)] * 40
+    folder = save(spark, tmp_path, docs, [(0, 1, 0)], [(0, "", "")], [(0, [0.1], 1)])
+    df = QUERIES["op9_source_mix"](spark, folder)
+    got = [tuple(r) for r in df.collect()]
+    assert canon(df.columns, got) == sql_of(folder, "op9_source_mix")
+    table = spark.read.parquet(f"{folder}/documents.parquet")
+    rows = sorted(map(tuple, corpus_pipeline.mix(spark, table, folder).collect()), key=repr)
+    at = {c: df.columns.index(c) for c in df.columns}
+    for i in (5, 6, None):
+        assert sum(d[0] == i for d in rows) == sum(g[at["copies"]] for g in got if g[at["doc_id"]] == i)
+        assert sum(len(H.words(d[1])) for d in rows if d[0] == i) == sum(g[at["taken"]] for g in got if g[at["doc_id"]] == i)
+    assert rows == sorted(map(tuple, corpus_pipeline.mix(spark, table.repartition(7), folder).collect()), key=repr)
+
+
+def test_op9_equals_sql_on_all_odd_rows(spark, small):
+    df = QUERIES["op9_source_mix"](spark, small[0])
+    assert canon(df.columns, [tuple(r) for r in df.collect()]) == sql_of(small[0], "op9_source_mix")
+
+
 def test_op3_equals_tiktoken(spark, small, tik):
     folder, docs, _ = small
     assert H.rows(QUERIES["op3_bpe_round_trip"](spark, folder)) == sorted((digests(tik, d[0], d[1]) for d in docs), key=repr)
