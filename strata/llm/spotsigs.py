@@ -7,8 +7,9 @@ the text's end keeps what it has. The fingerprint is the set of the chains'
 32-bit hashes, written as sorted hex numbers joined by dots. Where no anchor
 stands among the last ``REACH`` words (lists, tables, the start of a text),
 content words are anchors themselves; the rule is local, so an edit changes
-the signatures around it and no others. Texts of fewer than ``SHORT`` words
-have few chains; their single words are signatures, too.
+the signatures around it and no others. No rule looks at a text's length: a
+word appended changes the chains at the end only. Texts of a few words have
+few chains, and their likeness is as coarse.
 
 Likeness is the Jaccard coefficient of two sets. Sets are partitioned by
 length, in steps of 1 / floor: two sets whose likeness reaches the floor have
@@ -58,7 +59,6 @@ from strata.llm.simhash_tiles import TILE, components, tile_groups
 CHAIN = 2
 THRESHOLD = 0.8
 REACH = 6
-SHORT = 32
 CHUNKS_PER_PARTITION = 4
 NULL_CHUNKS = 64
 
@@ -70,8 +70,7 @@ def signatures(text: str, anchors=FUNCTION_WORDS, chain: int = CHAIN) -> frozens
     content: list[str] = []
     starts: list[tuple[str, int]] = []
     since = REACH
-    words = _words(text.lower())
-    for w in words:
+    for w in _words(text.lower()):
         if w in anchors:
             starts.append((w, len(content)))
             since = 0
@@ -81,11 +80,10 @@ def signatures(text: str, anchors=FUNCTION_WORDS, chain: int = CHAIN) -> frozens
             if since > REACH:
                 starts.append((w, len(content)))
     crc = zlib.crc32
-    single = [crc(w.encode()) for w in words] if len(words) < SHORT else []
     if chain == 2:
         content += ("", "")
-        return frozenset(single + [crc(f"{w} {content[k]} {content[k + 1]}".encode()) for w, k in starts])
-    return frozenset(single + [crc(" ".join((w, *content[k:k + chain])).encode()) for w, k in starts])
+        return frozenset([crc(f"{w} {content[k]} {content[k + 1]}".encode()) for w, k in starts])
+    return frozenset([crc(" ".join((w, *content[k:k + chain])).encode()) for w, k in starts])
 
 
 def to_string(found: frozenset[int]) -> str:

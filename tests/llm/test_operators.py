@@ -261,6 +261,19 @@ def test_spotsigs_near_duplicates_equal_brute_force(spark, tile):
     assert spotsigs.near_duplicates(docs_of(spark, [])).collect() == []
 
 
+def test_spotsigs_near_copies_of_31_and_32_words(spark):
+    """Chains counted by hand: "start c0 c1", "the c0 c1", ..., "the c13 c14"
+    and the cut "the c14"; a word appended lengthens the cut one only. So n
+    pairs have n + 1 chains, and n of the n + 2 are shared."""
+    texts = {n: " ".join(["start"] + [w for i in range(n) for w in ("the", f"c{n}x{i}")]) for n in range(5, 30)}
+    assert len(texts[15].split()) == 31
+    for n, t in texts.items():
+        assert spotsigs.likeness(spotsigs.signatures(t), spotsigs.signatures(t + " end")) == pytest.approx(n / (n + 2))
+    pairs = [p for n in (15, 20) for p in ((n, texts[n]), (n + 100, texts[n] + " end"))]
+    got = {r["doc_id"]: r["class_id"] for r in spotsigs.near_duplicates(docs_of(spark, pairs)).collect()}
+    assert got == {15: 15, 115: 15, 20: 20, 120: 20}
+
+
 def test_spotsigs_likeness_bounds():
     r = random.Random(7)
     for _ in range(2000):
