@@ -1,6 +1,6 @@
 """Operators for large-scale training-data preparation.
 
-Ten operators over documents, pages and embeddings (one module each) and
-their registered queries (``queries.py``). Nothing else in the library
+Thirteen operators over documents, pages, embeddings and conversations (one
+module each) and their registered queries (``queries.py``). Nothing else in the library
 imports this subpackage.
 """

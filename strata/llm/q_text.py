@@ -1,12 +1,12 @@
 """Queries over document texts: op2 (quality), op3 (byte-level BPE),
-op4 (toxicity), op5 (SimHash near-dedup), op7 (fingerprints)."""
+op4 (toxicity), op5 (SimHash near-dedup), op7 (fingerprints), op11 (secrets)."""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from strata.llm import bpe_bitmap, simhash_tiles, spotsigs, toxic_segments, weak_quality
+from strata.llm import bpe_bitmap, secret_novelty, simhash_tiles, spotsigs, toxic_segments, weak_quality
 from strata.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -61,6 +61,19 @@ def op7_spotsigs(spark, sf_dir):
     return spotsigs.fingerprint_edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_secret_scan(spark, sf_dir):
+    """Spans of secrets of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    words = secret_novelty.identifiers(docs)
+    found = docs.select("doc_id", secret_novelty.scan(spark, F.col("text"), words).alias("s")).select("doc_id", "s.spans")
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    base = F.filter("spans", lambda s: s["kind"] != "novel")
+    return found.select(
+        "doc_id", *[count(k).alias(f"n_{k}") for k in secret_novelty.KINDS],
+        F.sha2(secret_novelty.joined(base), 256).alias("base_sha256"), secret_novelty.joined(F.col("spans")).alias("spans"))
+
+
 QUERIES = {"op2_weak_quality": op2_weak_quality, "op3_bpe_round_trip": op3_bpe_round_trip, "op4_toxicity": op4_toxicity,
-           "op5_simhash_dedup": op5_simhash_dedup, "op7_spotsigs": op7_spotsigs}
+           "op5_simhash_dedup": op5_simhash_dedup, "op7_spotsigs": op7_spotsigs,
+           "op11_secret_scan": op11_secret_scan}
 ORACLE_SQL: dict[str, str] = {}

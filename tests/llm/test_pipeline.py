@@ -31,14 +31,14 @@ def canon(cols, rows):
 
 def test_registered():
     ops = sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op"))
-    assert ops == list(range(1, 11)) and "pipeline" in QUERIES
+    assert ops == list(range(1, 14)) and "pipeline" in QUERIES
     assert set(QUERIES) <= set(entry.queries())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "quality", "near_dedup", "mix", "bpe"]
 
 
 def sql_of(folder, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages", "labels"):
+    for t in ("documents", "embeddings", "pages", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{folder}/{t}.parquet{'' if os.path.isfile(f'{folder}/{t}.parquet') else '/*.parquet'}')")
     cur = con.execute(ORACLE_SQL[name])
     return canon([d[0] for d in cur.description], cur.fetchall())
@@ -53,12 +53,13 @@ def test_query_equals_sql(spark, name):
 
 # --- a small world with odd rows -------------------------------------------
 
-def save(spark, folder, docs, labels, pages, vectors):
+def save(spark, folder, docs, labels, pages, vectors, conversations=()):
     for name, rows, schema in (
             ("documents", docs, "doc_id long, text string, lang string, source string, n_chars long"),
             ("labels", labels, "doc_id long, quality int, toxic int"),
             ("pages", pages, "page_id long, url string, html string"),
-            ("embeddings", vectors, "vec_id long, embedding array<float>, label int")):
+            ("embeddings", vectors, "vec_id long, embedding array<float>, label int"),
+            ("conversations", list(conversations), "conv_id long, turn long, role string, text string")):
         spark.createDataFrame(rows, schema).repartition(3).write.parquet(f"{folder}/{name}.parquet")
     return str(folder)
 
