@@ -34,6 +34,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm.common import Scratch
+
 KINDS = ("assign", "access", "hex", "novel")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -66,9 +68,20 @@ def identifiers(docs: DataFrame, *, text_col="text", words: int = DICTIONARY_WOR
                     counts.clear()
         yield table()
 
+    scratch = Scratch()
     counted = (docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("t")).mapInPandas(count, "w string, n long")
                .groupBy("w").agg(F.sum("n").alias("n")))
-    return [r["w"] for r in counted.orderBy(F.desc("n"), "w").limit(words).collect()][::-1]
+    counted = scratch.stage(counted, "identifier-counts")
+    # how many words have which power of two of documents: the words that can
+    # be among the first are few, so no task sends its own first ``words`` rows
+    left, least = words, 0
+    for r in sorted(counted.groupBy(F.log2("n").cast("int").alias("power")).agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True):
+        least, left = 2 ** r["power"], left - r["n"]
+        if left <= 0:
+            break
+    first = counted.filter(F.col("n") >= least).orderBy(F.desc("n"), "w").limit(words).collect()
+    scratch.drop(docs.sparkSession)
+    return [r["w"] for r in first][::-1]
 
 
 # What can match at all, for a whole batch in one linear pass of Arrow's
