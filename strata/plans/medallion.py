@@ -10,8 +10,9 @@ A load may come again, hold corrections, or be late:
   the recomputed sessions before gold changes;
 * gold is recomputed only for the sessions that the load touches: those of
   its events, purchases and users, and those that older copies of its events
-  and purchases belong to. Silver is read at the dates that can hold them;
-  purchases and users are semi-joined to them first. A touched session that
+  and purchases belong to. Key indexes of silver and gold name the dates that
+  can hold them, and only those are read; purchases and users are
+  semi-joined to them first. A touched session that
   has no event left is deleted from gold.
 
 A plain function, no scheduler: the three cleaned inputs are written as
@@ -107,15 +108,22 @@ def _read(spark: SparkSession, paths: dict, name: str) -> DataFrame | None:
     return spark.read.parquet(path)
 
 
-def _touched_sessions(spark: SparkSession, paths: dict, rows: dict) -> DataFrame:
+def _found_in(spark: SparkSession, paths: dict, rows: dict) -> dict:
+    """Name -> partitions of a silver table that can hold older copies of
+    the load's rows, by its key index (None before its first row)."""
+    return {n: writes.may_hold(spark, paths[n], rows[n], SILVER[n].keys) if _read(spark, paths, n) is not None else None
+            for n in ("events_clean", "transactions_clean") if n in rows}
+
+
+def _touched_sessions(spark: SparkSession, paths: dict, rows: dict, found_in: dict) -> DataFrame:
     """Session keys whose gold row may change; see the module's text."""
     found = []
     for name in ("events_clean", "transactions_clean"):
         if name in rows:
             found.append(rows[name].select(*SESSION_KEYS))
-            old = _read(spark, paths, name)
-            if old is not None:
+            if found_in[name]:
                 key = list(SILVER[name].keys)
+                old = _read(spark, paths, name).filter(writes.in_partitions(SILVER[name].partition_col, found_in[name]))
                 found.append(old.select(*key, *SESSION_KEYS).join(rows[name].select(*key), key, "left_semi").select(*SESSION_KEYS))
     sessions = _read(spark, paths, GOLD)
     if "users_dim" in rows and sessions is not None:
@@ -125,7 +133,7 @@ def _touched_sessions(spark: SparkSession, paths: dict, rows: dict) -> DataFrame
     return reduce(DataFrame.unionByName, found).distinct()
 
 
-def _event_dates(spark: SparkSession, paths: dict, rows: dict, touched: DataFrame) -> list:
+def _event_dates(spark: SparkSession, paths: dict, rows: dict, touched: DataFrame, gold_in: set | None) -> list:
     """Silver's event dates that can hold events of the touched sessions: the
     load's own, and those inside the spans of the sessions' current gold rows
     (after a completed load a gold row spans all its session's events that
@@ -135,7 +143,8 @@ def _event_dates(spark: SparkSession, paths: dict, rows: dict, touched: DataFram
     own = rows["events_clean"].select(part) if "events_clean" in rows else None
     dates = {str(r[0]) for r in own.filter(F.col(part).isNotNull()).distinct().collect()} if own is not None else set()
     sessions = _read(spark, paths, GOLD)
-    if sessions is not None:
+    if gold_in:
+        sessions = sessions.filter(writes.in_partitions("session_date", gold_in))
         spans = (sessions.select(*SESSION_KEYS, F.to_date("session_start_time").alias("a"), F.to_date("session_end_time").alias("z"))
                  .join(touched, SESSION_KEYS, "left_semi").groupBy("a").agg(F.max("z").alias("z"))
                  .filter("a IS NOT NULL").collect())                     # a row per date
@@ -164,19 +173,23 @@ def merge_load(spark: SparkSession, paths: dict, events: DataFrame | None = None
         # kept beside gold until gold is written: a load that dies after silver
         # changed leaves its sessions to the next load
         pending = paths[GOLD].rstrip("/") + "_pending"
-        found = _touched_sessions(spark, paths, rows)
+        found_in = _found_in(spark, paths, rows)
+        found = _touched_sessions(spark, paths, rows, found_in)
         if table_exists(spark, pending):
             found = found.unionByName(spark.read.parquet(pending)).distinct()
         found.write.parquet(scratch["touched"])
         touched = spark.read.parquet(scratch["touched"])
         writes.write_replace(touched, pending)
-        dates = _event_dates(spark, paths, rows, touched)
+        published = _read(spark, paths, GOLD) is not None
+        gold_in = writes.may_hold(spark, paths[GOLD], touched, SESSION_KEYS) if published else None
+        dates = _event_dates(spark, paths, rows, touched, gold_in)
 
         def merge(n: str, df: DataFrame) -> None:
             spec = SILVER[n]
             if spec.partition_col:
                 writes.upsert_partitions(spark, paths[n], df, list(spec.keys), spec.partition_col,
-                                         order_col=spec.order_col, ignore_changes_in=[AUDIT], written=True)
+                                         order_col=spec.order_col, ignore_changes_in=[AUDIT], written=True,
+                                         indexed=True, found_in=found_in[n])
             else:
                 writes.upsert_table(spark, paths[n], df, list(spec.keys), spec.order_col)
 
@@ -199,9 +212,10 @@ def merge_load(spark: SparkSession, paths: dict, events: DataFrame | None = None
         sessions = spark.read.parquet(scratch["sessions"])
         if gold_rules is not None:
             dq.fail_fast(dq.run_rules(sessions, gold_rules(u)))
-        gone = touched.join(sessions, SESSION_KEYS, "left_anti") if _read(spark, paths, GOLD) is not None else None
+        gone = touched.join(sessions, SESSION_KEYS, "left_anti") if published else None
         res.touched_dates = writes.upsert_partitions(spark, paths[GOLD], sessions, SESSION_KEYS, "session_date",
-                                                     remove=gone, ignore_changes_in=[AUDIT], written=True)
+                                                     remove=gone, ignore_changes_in=[AUDIT], written=True,
+                                                     indexed=True, found_in=gold_in)
         delete_path(spark, pending)
         return res
     finally:

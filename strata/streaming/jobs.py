@@ -123,24 +123,53 @@ def session_stream(events: DataFrame, user: str = "user_id", ts: str = "event_ti
 
 
 def load_stream(lines: DataFrame, name: str, paths: dict, checkpoint: str, clean, sources: dict | None = None,
-                available_now: bool = True):
+                available_now: bool = True, rejected=None):
     """Each micro-batch of ``lines`` is one load of silver table ``name``
     (``plans.medallion.merge_load``): merged by key, then the sessions it
     touches are recomputed from silver and upserted into gold. ``clean``
     turns the batch's lines into rows, one per key. Streams of events,
     purchases and users can keep the same tables one after the other; a
-    replayed batch changes nothing."""
+    replayed batch changes nothing.
+
+    ``rejected`` (by default ``clean.rejected``, if it has one) gives the lines
+    that ``clean`` leaves out, (value, reason); they are written to
+    ``<quarantine>/stream=<name>/batch=<id>`` before the load, so every line
+    read is in silver, an older copy of a row there, or in quarantine."""
     from strata.plans import medallion
+    rejected = rejected or getattr(clean, "rejected", None)
+    quarantine = paths.get("quarantine") or paths[name].rstrip("/") + "_quarantine"
     argument = {"events_clean": "events", "transactions_clean": "transactions", "users_dim": "users"}[name]
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        medallion.merge_load(batch.sparkSession, paths, **{argument: clean(batch)}, sources=sources)
+        if rejected is None:
+            medallion.merge_load(batch.sparkSession, paths, **{argument: clean(batch)}, sources=sources)
+            return
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            (rejected(batch).select("value", "reason").write.mode("overwrite").option("partitionOverwriteMode", "static")
+             .partitionBy("reason").text(f"{quarantine}/stream={name}/batch={batch_id}"))
+            medallion.merge_load(batch.sparkSession, paths, **{argument: clean(batch)}, sources=sources)
+        finally:
+            batch.unpersist()
 
     w = lines.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
 
+def _left_out(parsed: DataFrame, rules: dict) -> DataFrame:
+    """(value, reason) of parsed lines: malformed ones as they came, others
+    that break a rule (the first is the reason) as JSON."""
+    valid, bad = split_corrupt(parsed)
+    reason = F.coalesce(*[F.when(broken, F.lit(name)) for name, broken in rules.items()])
+    valid = valid.select(F.to_json(F.struct("*")).alias("value"), reason.alias("reason")).filter(F.col("reason").isNotNull())
+    return bad.select(F.col(CORRUPT_COL).alias("value"), F.lit("malformed").alias("reason")).unionByName(valid)
+
+
+def _any_null(cols) -> F.Column:
+    return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
+
+
 def newest_landed_events(batch: DataFrame) -> DataFrame:
     """Rows of landed event lines: no corrupt or null-key lines, the newest
     copy per event id."""
@@ -148,11 +177,25 @@ def newest_landed_events(batch: DataFrame) -> DataFrame:
     return latest_per_key(clean_events(valid), "event_id", "event_timestamp")
 
 
+def rejected_landed_events(batch: DataFrame) -> DataFrame:
+    """Lines that ``newest_landed_events`` leaves out: (value, reason)."""
+    return _left_out(parse_json_lines(batch, "value", LANDED_EVENT, CORRUPT_COL), {"null_key": _any_null(EVENT_KEYS)})
+
+
+newest_landed_events.rejected = rejected_landed_events
+
+
 def newest_purchases(schema) -> Callable[[DataFrame], DataFrame]:
     """Rows of purchase CSV lines of ``schema``, newest copy per id."""
     def clean(batch: DataFrame) -> DataFrame:
         valid, _ = split_corrupt(parse_csv_lines(batch, "value", schema, CORRUPT_COL))
         return silver.transactions_clean(valid)
+
+    def rejected(batch: DataFrame) -> DataFrame:
+        return _left_out(parse_csv_lines(batch, "value", schema, CORRUPT_COL),
+                         {"null_key": _any_null(silver.TRANSACTION_KEYS), "amount": ~(F.col("amount") > 0)})
+
+    clean.rejected = rejected
     return clean
 
 

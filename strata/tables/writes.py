@@ -1,26 +1,37 @@
 """Table writes on path-based parquet: replace, partitioned, upsert.
 
-Parquet has no row-level MERGE, and a path must never be overwritten by a
-plan that reads it. An upsert therefore computes the merged rows of the
-touched partitions, writes them to a staging table in the shared folder, and
-writes that table into the live one with Spark's dynamic partition overwrite.
-
-Catalogs with row-level operations (Delta, Iceberg) can take the same
-upsert natively through ``merge_into_catalog``.
+Parquet has no row-level MERGE, and a table must not be lost when a job
+fails. A replacement is therefore written beside the table and takes its
+place by renames (``tables.files``): the whole table, or in an upsert the
+folders of the touched partitions, written once. A stored index of keys
+(``tables.key_index``) names the partitions that can hold older copies of a
+load's rows, so that a small load doesn't read the keys of the whole table.
 """
 
 from __future__ import annotations
 
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.session import delete_path, new_path
+from strata.tables import files, key_index
 
 
-def write_replace(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).parquet(path)
+def write_replace(df: DataFrame, path: str) -> None:
+    """Replace a table by ``df`` (which may read it). It is written beside
+    the table and published when it is complete: a job that fails changes
+    nothing."""
+    spark = df.sparkSession
+    files.recover(spark, path)
+    fresh = files.beside(path, files.NEW)
+    try:
+        df.write.parquet(fresh)
+        files.publish(spark, fresh, path)
+    finally:
+        files.remove(spark, fresh)
 
 
 def write_partitioned(df: DataFrame, path: str, partition_col: str, mode: str = "overwrite") -> None:
@@ -106,27 +117,34 @@ def _values(df: DataFrame, partition_col: str) -> set:
     return {r["p"] if r["p"] is not None else _NULL_PARTITION for r in rows}
 
 
+def may_hold(spark: SparkSession, path: str, loaded: DataFrame, keys) -> set:
+    """Partition values (text) of an indexed table that can hold a key of ``loaded``."""
+    return key_index.candidates(spark, path, loaded, list(keys))
+
+
 def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, keys, partition_col: str,
                       order_col: str | None = None, check_cardinality: bool = True,
-                      remove: DataFrame | None = None, ignore_changes_in=None, written: bool = False) -> list:
+                      remove: DataFrame | None = None, ignore_changes_in=None, written: bool = False,
+                      indexed: bool = False, found_in: set | None = None) -> list:
     """Partition-scoped ``merge_upsert`` into a live partitioned table.
 
     Touched partitions are those of the updates plus those where a matched
     target row lives now (a late event can move a session to another date,
     leaving its old partition to be rewritten or emptied). Only touched
-    partitions are read (partition pruning), merged, staged, and written by
-    dynamic partition overwrite; partitions left empty are deleted. Re-running
-    an upsert whose keys are all set gives the same table.
+    partitions are read (partition pruning), merged, written once beside the
+    table, and published by renaming their folders; partitions left empty go.
+    A failure before that changes nothing. Re-running an upsert whose keys are
+    all set gives the same table.
 
     ``remove``: keys whose rows are deleted. ``ignore_changes_in``: columns
     (an audit time) that alone make no change; when given, updates equal to
     their target row in all other columns are dropped first, so a re-run with
     nothing new rewrites nothing. ``written``: ``updates`` reads a written
-    table and needs no copy of its own. Returns the touched partition values
-    (text).
+    table and needs no copy of its own. ``indexed``: keep a key index, and
+    look for older copies only where it says they can be; ``found_in``: its
+    answer for the keys of ``updates`` and ``remove``, if it was asked before.
+    Returns the touched partition values (text).
     """
-    from strata.sources.readers import table_exists
-
     keys = list(keys)
     scratch = []
 
@@ -135,91 +153,79 @@ def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, keys,
         df.write.parquet(scratch[-1])
         return spark.read.schema(df.schema).parquet(scratch[-1])
 
+    fresh = files.beside(path, files.NEW)
+
+    def publish(rows: DataFrame, touched) -> None:
+        write_partitioned(rows, fresh, partition_col)
+        if indexed:
+            new = spark.read.schema(rows.schema).parquet(fresh)
+            key_index.write(spark, path, new, keys, partition_col, key_index.file_digests(new, fresh), _NULL_PARTITION)
+        folder = {v: p.rpartition("/")[2] for where in (fresh, path) for v, p in _partition_dirs(spark, where, partition_col).items()}
+        files.publish_partitions(spark, fresh, path, [folder[v] for v in touched if v in folder])
+
     try:
+        files.recover(spark, path)
         if not written:
             updates = staged(updates, "updates")
-        if not table_exists(spark, path) or not list_partitions(spark, path, partition_col):
-            write_partitioned(updates, path, partition_col)
+        if not files.exists(spark, path) or not list_partitions(spark, path, partition_col):
+            publish(updates, _values(updates, partition_col))
             return list_partitions(spark, path, partition_col)
         target = spark.read.parquet(path)
+        own = _values(updates, partition_col)
+        if remove is not None:
+            remove = staged(remove.select(*keys).distinct(), "remove")
+        if indexed and found_in is None:
+            sought = updates.select(*keys)
+            found_in = may_hold(spark, path, sought if remove is None else sought.unionByName(remove), keys)
         if ignore_changes_in is not None:
             same = [c for c in updates.columns if c not in ignore_changes_in]
             if set(same) <= set(target.columns):
                 row = F.struct(*[F.col(c).cast(updates.schema[c].dataType) for c in same])
-                held = target.filter(in_partitions(partition_col, _values(updates, partition_col))).select(
+                held = target.filter(in_partitions(partition_col, own)).select(
                     *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], row.alias("_held"))
                 match = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)]
                 updates = staged(updates.withColumn("_row", F.struct(*same)).join(
                     held, [*match, F.col("_row").eqNullSafe(F.col("_held"))], "left_anti").drop("_row"), "updates")
+                own = _values(updates, partition_col)
 
+        sought = target if found_in is None else target.filter(in_partitions(partition_col, found_in | own))
         per_key = updates.filter(_all_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        stats = (target.select(*keys, partition_col).join(per_key, keys)
+        stats = (sought.select(*keys, partition_col).join(per_key, keys)
                  .groupBy(F.col(partition_col).cast("string").alias("p")).agg(F.max("_n").alias("n")).collect())
         if check_cardinality and any(r["n"] > 1 for r in stats):
             raise MergeCardinalityError("update keys match a target row more than once")
-        touched = {r["p"] if r["p"] is not None else _NULL_PARTITION for r in stats} | _values(updates, partition_col)
+        touched = {r["p"] if r["p"] is not None else _NULL_PARTITION for r in stats} | own
         if remove is not None:
-            remove = staged(remove.select(*keys).distinct(), "remove")
-            touched |= _values(target.select(*keys, partition_col).join(remove, keys, "left_semi"), partition_col)
+            touched |= _values(sought.select(*keys, partition_col).join(remove, keys, "left_semi"), partition_col)
         if not touched:
             return []
 
         old = target.filter(in_partitions(partition_col, touched))
         if remove is not None:
             old = old.join(remove, keys, "left_anti")
-        merged = merge_upsert(old, updates, keys, order_col)
-        scratch.append(new_path(spark, "merged"))
-        write_partitioned(merged, scratch[-1], partition_col)
-        left = set(list_partitions(spark, scratch[-1], partition_col))
-        if left:
-            write_partitioned(spark.read.schema(merged.schema).parquet(scratch[-1]), path, partition_col)
-        for value in touched - left:
-            _delete_partition(spark, path, partition_col, value)
+        publish(merge_upsert(old, updates, keys, order_col), touched)
         return sorted(touched)
     finally:
+        files.remove(spark, fresh)
         for p in scratch:
             delete_path(spark, p)
 
 
 def upsert_table(spark: SparkSession, path: str, updates: DataFrame, keys, order_col: str | None = None) -> None:
-    """``merge_upsert`` into an unpartitioned table (a dimension): the merged
-    rows are staged, then written over the table."""
-    from strata.sources.readers import table_exists
-
-    scratch = new_path(spark, "merged")
+    """``merge_upsert`` into an unpartitioned table (a dimension)."""
+    files.recover(spark, path)
     merged = updates
-    if table_exists(spark, path):
+    if files.exists(spark, path):
         target = spark.read.parquet(path)
         check_merge_cardinality(target, updates, keys)
         merged = merge_upsert(target, updates, keys, order_col)
-    try:
-        merged.write.parquet(scratch)
-        write_replace(spark.read.schema(merged.schema).parquet(scratch), path)
-    finally:
-        delete_path(spark, scratch)
+    write_replace(merged, path)
 
 
 def _partition_dirs(spark: SparkSession, path: str, partition_col: str) -> dict:
     """Partition value (text) -> folder, from the folder listing."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return {}
     prefix = f"{partition_col}="
-    out = {}
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(prefix):
-            out[jvm.java.net.URLDecoder.decode(name[len(prefix):], "UTF-8")] = st.getPath().toString()
-    return out
-
-
-def _delete_partition(spark: SparkSession, path: str, partition_col: str, value: str) -> None:
-    folder = _partition_dirs(spark, path, partition_col).get(value)
-    if folder:
-        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    return {unquote(name[len(prefix):]): where for name, where in files.folders(spark, path).items() if name.startswith(prefix)}
 
 
 def list_partitions(spark: SparkSession, path: str, partition_col: str) -> list:
@@ -227,17 +233,6 @@ def list_partitions(spark: SparkSession, path: str, partition_col: str) -> list:
     return sorted(_partition_dirs(spark, path, partition_col))
 
 
-def merge_into_catalog(updates: DataFrame, table: str, keys) -> None:
-    """Native MERGE for catalogs with row-level operations (Delta, Iceberg):
-    matched rows updated, others inserted."""
-    cond = None
-    for k in keys:
-        c = F.col(f"{table}.{k}") == updates[k]
-        cond = c if cond is None else cond & c
-    (updates.mergeInto(table, cond).whenMatched().updateAll()
-     .whenNotMatched().insertAll().merge())
-
-
 def evolve_schema(old: DataFrame, new: DataFrame) -> DataFrame:
     """Rows of both frames under the union of their columns (added columns
     are NULL for old rows)."""
