@@ -111,8 +111,8 @@ def _read(spark: SparkSession, paths: dict, name: str) -> DataFrame | None:
 def _found_in(spark: SparkSession, paths: dict, rows: dict) -> dict:
     """Name -> partitions of a silver table that can hold older copies of
     the load's rows, by its key index (None before its first row)."""
-    return {n: writes.may_hold(spark, paths[n], rows[n], SILVER[n].keys) if _read(spark, paths, n) is not None else None
-            for n in ("events_clean", "transactions_clean") if n in rows}
+    return _each({n: df for n, df in rows.items() if SILVER[n].partition_col},
+                 lambda n, df: writes.may_hold(spark, paths[n], df, SILVER[n].keys) if _read(spark, paths, n) is not None else None)
 
 
 def _touched_sessions(spark: SparkSession, paths: dict, rows: dict, found_in: dict) -> DataFrame:
@@ -165,6 +165,8 @@ def merge_load(spark: SparkSession, paths: dict, events: DataFrame | None = None
     res = LoadResult(paths)
     given = {n: _dated(n, df) for n, df in zip(SILVER, (events, transactions, users), strict=True) if df is not None}
     scratch = {n: new_path(spark, n) for n in (*given, "touched", "sessions")}
+    pool, indexing = ThreadPoolExecutor(max_workers=2), []
+    later = lambda job: indexing.append(pool.submit(job))  # noqa: E731  silver's key indexes are written while gold is recomputed
     try:
         res.counts = _each(given, lambda n, df: _observed_write(df, scratch[n], n))
         rows = {n: spark.read.schema(df.schema).parquet(scratch[n]) for n, df in given.items()}
@@ -189,7 +191,7 @@ def merge_load(spark: SparkSession, paths: dict, events: DataFrame | None = None
             if spec.partition_col:
                 writes.upsert_partitions(spark, paths[n], df, list(spec.keys), spec.partition_col,
                                          order_col=spec.order_col, ignore_changes_in=[AUDIT], written=True,
-                                         indexed=True, found_in=found_in[n])
+                                         indexed=True, found_in=found_in[n], later=later)
             else:
                 writes.upsert_table(spark, paths[n], df, list(spec.keys), spec.order_col)
 
@@ -215,10 +217,13 @@ def merge_load(spark: SparkSession, paths: dict, events: DataFrame | None = None
         gone = touched.join(sessions, SESSION_KEYS, "left_anti") if published else None
         res.touched_dates = writes.upsert_partitions(spark, paths[GOLD], sessions, SESSION_KEYS, "session_date",
                                                      remove=gone, ignore_changes_in=[AUDIT], written=True,
-                                                     indexed=True, found_in=gold_in)
+                                                     indexed=True, found_in=gold_in, later=later)
         delete_path(spark, pending)
+        for job in indexing:
+            job.result()
         return res
     finally:
+        pool.shutdown()
         for p in scratch.values():
             delete_path(spark, p)
 

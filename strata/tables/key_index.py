@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote
 
@@ -29,7 +30,7 @@ BITMAP = 32_768
 BITS_PER_KEY = 16
 PROBES = 3
 POINTED = 2_000                 # bitmaps looked up by a pushed list of numbers
-_PREFIX = "p:"
+SCHEMA = "part string, level int, files string, number long, bits binary"
 
 
 def index_path(path: str) -> str:
@@ -64,22 +65,36 @@ def file_digests(table: DataFrame, path: str) -> dict[str, str]:
     return {v: hashlib.md5("/".join(sorted(n)).encode()).hexdigest() for v, n in names.items()}
 
 
-def write(spark: SparkSession, path: str, table: DataFrame, keys, partition_col: str, digests: dict, null_value: str) -> None:
-    """Write the filters of the partitions of ``table`` (their new rows);
-    ``digests`` names the files that they describe."""
+def write(spark: SparkSession, path: str, keys, partition_col: str, values, null_value: str) -> None:
+    """Append the filters of the partitions ``values`` (text) of a table, as
+    they are now."""
+    from strata.tables.writes import in_partitions
+
+    table = spark.read.parquet(path)
+    digests = file_digests(table, path)
     part = F.coalesce(F.col(partition_col).cast("string"), F.lit(null_value))
-    rows = table.filter(_present(keys)).select(part.alias("_part"), _hash(keys).alias("_h"))
-    counts = {r["_part"]: r["n"] for r in rows.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect()}    # a row per partition
+    rows = table.filter(in_partitions(partition_col, values)).filter(_present(keys)).select(part.alias("part"), _hash(keys).alias("_h"))
+    counts = {r["part"]: r["n"] for r in rows.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}    # a row per partition
     described = [(v, max(0, math.ceil(math.log2(max(1, n) * BITS_PER_KEY / BITMAP))), digests[v]) for v, n in counts.items() if v in digests]
     if not described:
         return
-    levels = spark.createDataFrame(described, "_part string, level int, files string")
-    rows = rows.join(F.broadcast(levels), "_part").select(
-        F.concat(F.lit(_PREFIX), "_part").alias("part"), "level", "files", _bitmap_number(F.col("_h"), F.col("level")).alias("number"),
+    levels = spark.createDataFrame(described, "part string, level int, files string")
+    rows = rows.join(F.broadcast(levels), "part").select(
+        "part", "level", "files", _bitmap_number(F.col("_h"), F.col("level")).alias("number"),
         F.explode(F.array(*_bits(F.col("_h")))).alias("bit"))
     maps = rows.groupBy("part", "level", "files", "number").agg(F.bitmap_construct_agg(F.col("bit")).alias("bits"))
-    (maps.sortWithinPartitions("part", "number").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("part").parquet(index_path(path)))
+    maps.sortWithinPartitions("number").write.mode("append").parquet(index_path(path))
+
+
+def _compacted(spark: SparkSession, index: DataFrame, path: str, usable: dict) -> DataFrame:
+    from strata.tables.writes import write_replace
+
+    write_replace(_of(index, usable), index_path(path))
+    return spark.read.schema(SCHEMA).parquet(index_path(path))
+
+
+def _of(index: DataFrame, usable: dict) -> DataFrame:
+    return index.filter(F.col("part").isin(list(usable)) & F.col("files").isin([f for _, f in usable.values()]))
 
 
 def candidates(spark: SparkSession, path: str, loaded: DataFrame, keys, table: DataFrame | None = None) -> set:
@@ -87,23 +102,28 @@ def candidates(spark: SparkSession, path: str, loaded: DataFrame, keys, table: D
     without a filter that fits are among them."""
     table = spark.read.parquet(path) if table is None else table
     held = file_digests(table, path)
+    files.recover(spark, index_path(path))
     if not files.exists(spark, index_path(path)):
         return set(held)
-    index = spark.read.schema("level int, files string, number long, bits binary, part string").parquet(index_path(path))
-    known = index.select("part", "files", "level").distinct().collect()             # a row per partition
-    usable = {r["part"]: r["level"] for r in known if held.get(r["part"][len(_PREFIX):]) == r["files"]}
+    index = spark.read.schema(SCHEMA).parquet(index_path(path))
+    hashes = loaded.filter(_present(keys)).select(_hash(keys).alias("_h")).distinct()
+    with ThreadPoolExecutor(2) as pool:            # two small jobs
+        known = pool.submit(lambda: index.select("part", "files", "level").distinct().collect())        # a row per version of a partition
+        few = pool.submit(lambda: hashes.limit(POINTED + 1).collect())
+        known, few = known.result(), few.result()
+    usable = {r["part"]: (r["level"], r["files"]) for r in known if held.get(r["part"]) == r["files"]}
     if not usable:
         return set(held)
-    levels = F.array(*[F.lit(x) for x in sorted(set(usable.values()))])
-    probes = (loaded.filter(_present(keys)).select(_hash(keys).alias("_h")).distinct()
-              .select("_h", F.explode(levels).alias("level"))
-              .select("level", _bitmap_number(F.col("_h"), F.col("level")).alias("number"), F.array(*_bits(F.col("_h"))).alias("_bits")))
-    index = index.filter(F.col("part").isin(list(usable)))
-    pointed = probes.select("number").distinct().limit(POINTED + 1).collect()
-    if len(pointed) <= POINTED:
-        index = index.filter(F.col("number").isin([r["number"] for r in pointed]))
+    if len(known) > 3 * len(held) + 16:
+        index = _compacted(spark, index, path, usable)
+    index = _of(index, usable)
+    levels = sorted({level for level, _ in usable.values()})
+    if len(few) <= POINTED:                        # a pushed filter: only bitmaps that the keys point to are read
+        hashes = spark.createDataFrame([(r["_h"],) for r in few], "_h long")
+        index = index.filter(F.col("number").isin(sorted({r["_h"] % 2 ** level for r in few for level in levels})))
+    probes = hashes.select("_h", F.explode(F.array(*map(F.lit, levels))).alias("level"))
+    probes = probes.select("level", _bitmap_number(F.col("_h"), F.col("level")).alias("number"), F.array(*_bits(F.col("_h"))).alias("_bits"))
     byte = lambda b: F.conv(F.hex(F.substring("bits", (F.shiftright(b, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
     is_set = lambda b: byte(b).bitwiseAND(F.pow(F.lit(2), b.bitwiseAND(F.lit(7))).cast("int")) != 0
     found = index.join(probes, ["level", "number"]).filter(F.forall("_bits", is_set)).select("part").distinct().collect()
-    without = {v for v in held if _PREFIX + v not in usable}
-    return {r["part"][len(_PREFIX):] for r in found} | without
+    return {r["part"] for r in found} | (set(held) - set(usable))

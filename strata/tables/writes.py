@@ -125,7 +125,7 @@ def may_hold(spark: SparkSession, path: str, loaded: DataFrame, keys) -> set:
 def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, keys, partition_col: str,
                       order_col: str | None = None, check_cardinality: bool = True,
                       remove: DataFrame | None = None, ignore_changes_in=None, written: bool = False,
-                      indexed: bool = False, found_in: set | None = None) -> list:
+                      indexed: bool = False, found_in: set | None = None, later=None) -> list:
     """Partition-scoped ``merge_upsert`` into a live partitioned table.
 
     Touched partitions are those of the updates plus those where a matched
@@ -142,8 +142,10 @@ def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, keys,
     nothing new rewrites nothing. ``written``: ``updates`` reads a written
     table and needs no copy of its own. ``indexed``: keep a key index, and
     look for older copies only where it says they can be; ``found_in``: its
-    answer for the keys of ``updates`` and ``remove``, if it was asked before.
-    Returns the touched partition values (text).
+    answer for the keys of ``updates`` and ``remove``, if it was asked before;
+    ``later``: takes the function that writes the index of the published
+    partitions, to run beside other jobs (until then these partitions count as
+    ones that can hold any key). Returns the touched partition values (text).
     """
     keys = list(keys)
     scratch = []
@@ -157,11 +159,10 @@ def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, keys,
 
     def publish(rows: DataFrame, touched) -> None:
         write_partitioned(rows, fresh, partition_col)
-        if indexed:
-            new = spark.read.schema(rows.schema).parquet(fresh)
-            key_index.write(spark, path, new, keys, partition_col, key_index.file_digests(new, fresh), _NULL_PARTITION)
         folder = {v: p.rpartition("/")[2] for where in (fresh, path) for v, p in _partition_dirs(spark, where, partition_col).items()}
         files.publish_partitions(spark, fresh, path, [folder[v] for v in touched if v in folder])
+        if indexed and folder:
+            (later or (lambda job: job()))(lambda: key_index.write(spark, path, keys, partition_col, touched, _NULL_PARTITION))
 
     try:
         files.recover(spark, path)

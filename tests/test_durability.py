@@ -223,3 +223,48 @@ def test_rejected_purchases(spark):
     clean = jobs.newest_purchases(RAW_TRANSACTION)
     reasons = sorted(r["reason"] for r in clean.rejected(lines).collect())
     assert clean(lines).count() == 1 and reasons == ["amount", "malformed", "malformed", "null_key"]
+
+
+# --- history ---------------------------------------------------------------
+
+def test_states_of_random_loads(spark, tmp_table):
+    """Sets, removals, returns and re-runs against dictionaries."""
+    import random
+
+    from strata.tables import loads
+    r = random.Random(6)
+    states, state, keyless, old = {0: ({}, [])}, {}, [], []
+    for load in range(1, 9):
+        if load in (4, 7):
+            to = load - 2
+            loads.go_back(spark, tmp_table, ["id"], to, load)
+            state, keyless = dict(states[to][0]), list(states[to][1])
+        else:
+            put = {k: f"v{load}.{k}" for k in r.sample(range(12), 4)}
+            drop = [k for k in r.sample(range(14), 3) if k not in put]
+            rows = [(k, v, DAYS[0]) for k, v in put.items()] + [(None, f"n{load}", DAYS[1])]
+            if load == 5:                       # a run that is repeated with other rows
+                loads.append_load(spark.createDataFrame([(99, "wrong", DAYS[0])], S), tmp_table, load)
+            loads.append_load(spark.createDataFrame(rows, S), tmp_table, load,
+                              removed=spark.createDataFrame([(k,) for k in drop], "id long"), keys=["id"])
+            state = {k: v for k, v in {**state, **put}.items() if k not in drop}
+            keyless = [*keyless, f"n{load}"]
+        states[load] = (dict(state), list(keyless))
+        old.append(load)
+    for load in old:
+        want = sorted([*states[load][0].items(), *((None, v) for v in states[load][1])], key=repr)
+        assert sorted(map(tuple, loads.as_of(spark, tmp_table, ["id"], load).select("id", "v").collect()), key=repr) == want
+    history = dict(map(tuple, loads.load_history(spark, tmp_table, ["id"]).collect()))
+    assert history == {k: len(states[k][0]) + len(states[k][1]) for k in old}
+    versions = loads.intervals(spark, tmp_table, ["id"]).collect()
+    for load in old:
+        valid = [(v["id"], v["v"]) for v in versions if v["valid_from"] <= load and (v["valid_to"] is None or load < v["valid_to"])]
+        assert {k: v for k, v in valid if k is not None} == states[load][0]
+
+
+def test_failed_load_keeps_history(spark, tmp_table):
+    from strata.tables import loads
+    loads.append_load(spark.createDataFrame([(1, "a", DAYS[0])], S), tmp_table, 1)
+    with pytest.raises(Exception, match="lost executor"):
+        loads.append_load(_failing(spark), tmp_table, 1)
+    assert [r["v"] for r in loads.as_of(spark, tmp_table, ["id"]).collect()] == ["a"]
