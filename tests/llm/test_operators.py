@@ -202,6 +202,38 @@ def test_top_k_equals_brute_force(spark):
     assert H.rows(pivot_topk.top_k(df.repartition(4))) == H.top_k(vec32)
 
 
+@pytest.mark.parametrize("size", [1e6, 1e11, 1e16])
+def test_top_k_of_large_components_is_exact(spark, size):
+    """Beyond 2^53 in a product, beyond 2^63 in a score, and components at
+    the limit of 64 bits."""
+    r = random.Random(7)
+    vec = [(i, [float(r.choice([-1, 1]) * r.uniform(0.5, 1) * size) for _ in range(6)]) for i in range(130)]
+    vec += [(i, [v + d for v in vec[50][1]]) for i, d in ((200, 0.0), (201, 2 ** -8), (202, -(2 ** -8)))] + [(2**60 + 50, vec[3][1]), (None, vec[4][1])]
+    got = pivot_topk.top_k(spark.createDataFrame(vec, "vec_id long, embedding array<double>").repartition(3), group_rows=40, query_block=2)
+    clip = lambda n: max(-2**63, min(2**63 - 1, n))
+    ints = [(i, [clip(int(np.floor(256 * x))) / 256 for x in v]) for i, v in vec] if size < 1e16 else vec
+    assert H.rows(got) == sorted(((q, k, i, clip(s)) for q, k, i, s in H.top_k(ints)), key=repr)
+
+
+def test_top_k_in_groups_and_blocks_eliminates(spark):
+    """Groups and blocks change nothing; bounds leave most products unevaluated."""
+    r = np.random.default_rng(8)
+    v = [[int(x) for x in row] for row in np.floor(256 * r.normal(size=(1500, 64)) / 8)]
+    df = spark.createDataFrame([(i, [x / 256 for x in row]) for i, row in enumerate(v)], "vec_id long, embedding array<float>")
+    assert H.rows(pivot_topk.top_k(df.repartition(4), group_rows=100, query_block=7)) == H.rows(pivot_topk.top_k(df))
+    basis = pivot_topk.choose_pivots(v[:1024])
+    assert basis.shape == (48, 64) and np.allclose(basis @ basis.T, np.eye(48))
+    x = np.array(v, float)
+    c = x @ basis.T
+    rest = np.sqrt(np.maximum((x ** 2).sum(1) - (c ** 2).sum(1), 0))
+    table = {"id": np.arange(1500), "known": np.ones(1500, bool), "v": v, "c": list(c), "rest": rest, "norm": np.sqrt((x ** 2).sum(1))}
+    at = np.arange(0, 1500, 50)
+    asked = {n: [a[i] for i in at] if isinstance(a, list) else a[at] for n, a in table.items()}
+    asked["floor"] = pivot_topk._floor(asked, np.arange(1024), np.array(v[:1024]), 5)
+    found, evaluated = pivot_topk.search(table, asked, 5)
+    assert len(found) == 5 * len(at) and evaluated < 0.4 * len(at) * 1500
+
+
 def test_top_k_few_and_none(spark):
     schema = "vec_id long, embedding array<float>"
     assert pivot_topk.top_k(spark.createDataFrame([], schema)).collect() == []
