@@ -6,17 +6,21 @@ Texts of fewer words are one shingle; texts without words have fingerprint
 zero and are linked like any other.
 
 Links are found among distinct fingerprints, never among documents, so a
-group of exact copies costs one row. Two fingerprints at distance 2 or less
-agree on at least two of four 16-bit blocks (radius r: on two of r + 2
-blocks), so each one is sent to the cells of its block pairs: a cell holds
-fingerprints with the same two blocks. A cell of at most ``TILE`` rows is one
-tile. A larger one (near copies of one text, a third of all rows perhaps) is
-cut into tiles by bit count and by hash, and each pair of tiles becomes a
-task group of its own; pairs of tiles whose bit counts differ by more than
-the radius are never formed. A group is compared with numpy: exclusive-or of
-rows against rows, bit counts, again skipping blocks whose bit counts are too
-far apart. Each group returns a spanning forest of its links (every row with
-the smallest row it reaches), not all pairs; that loses no connection.
+group of exact copies costs one row. Two fingerprints at distance ``radius``
+or less agree on at least one of ``radius + 1`` blocks of their bits, so each
+one is sent to a cell per block: the cell of the lowest ``w`` bits of that
+block. ``w`` follows from the counted fingerprints, so that a cell holds about
+``CELL`` rows whatever their number (one cell for all, if they are fewer).
+
+A cell's rows are ordered by bit count and cut into tiles of ``SIDE`` rows;
+pairs of tiles are compared with numpy (exclusive-or of rows against rows, bit
+counts), and pairs whose bit counts differ by more than the radius are
+skipped: most of them are (``tile_counts`` counts both). A cell of more than
+``TILE`` rows (near copies of one text, a third of all rows perhaps) is cut
+into parts by bit count and by hash, and each pair of parts becomes a task
+group of its own; pairs of parts that are too far apart are never formed. Each
+group returns a spanning forest of its links (every row with the smallest row
+it reaches), not all pairs; that loses no connection.
 
 Connected components: alternating large-star and small-star rounds on the
 links, each round a written table; labels are the smallest ids of a
@@ -44,9 +48,9 @@ from strata.llm.common import LOWER, UPPER, Scratch, drop, stage, whole_groups
 SHINGLE = 3
 RADIUS = 2
 SEED = 42
-TILE = 2048                # rows of a tile
-_BLOCK_ROWS = 512          # rows compared at once in a task
-_SMALL = 24                # cells compared by shifted rows instead of blocks
+CELL = 2048                # rows that a cell is meant to hold
+TILE = 4096                # rows beyond which a cell is dealt to many groups
+SIDE = 128                 # rows of a tile
 
 _words = re.compile(r"[^\x20\x09-\x0D]+").findall
 _LOWER = str.maketrans(UPPER, LOWER)
@@ -81,13 +85,18 @@ def fingerprint_column(text: Column, shingle: int = SHINGLE, seed: int = SEED) -
     return run(F.coalesce(text, F.lit("")))
 
 
-def _cells(prints: DataFrame, radius: int) -> DataFrame:
-    """(cell, fp, ones): a row per fingerprint and pair of its blocks."""
-    n = radius + 2
-    edges = [64 * k // n for k in range(n + 1)]
-    block = [F.shiftrightunsigned("fp", edges[k]).bitwiseAND((1 << (edges[k + 1] - edges[k])) - 1) for k in range(n)]
-    pairs = [F.xxhash64(F.lit(i), block[a], block[b]) for i, (a, b) in enumerate(combinations(range(n), 2))]
-    return prints.select("fp", F.bit_count("fp").alias("ones"), F.explode(F.array(*pairs)).alias("cell"))
+def cell_bits(n: int, radius: int = RADIUS, cell: int = CELL) -> int:
+    """Bits of a block that name a cell, so that ``n`` fingerprints fill
+    cells of about ``cell`` rows."""
+    return min(64 // (radius + 1), max(0, (max(n, 1) - 1) // cell).bit_length())
+
+
+def _cells(prints: DataFrame, radius: int, bits: int) -> DataFrame:
+    """(cell, fp, ones): a row per fingerprint and block."""
+    blocks = radius + 1 if bits else 1
+    low = [F.shiftrightunsigned("fp", 64 * k // (radius + 1)).bitwiseAND((1 << bits) - 1) for k in range(blocks)]
+    cells = [F.xxhash64(F.lit(k), x) for k, x in enumerate(low)]
+    return prints.select("fp", F.bit_count("fp").alias("ones"), F.explode(F.array(*cells)).alias("cell"))
 
 
 def tile_groups(cells: DataFrame, radius: int, tile: int, scratch: Scratch) -> DataFrame:
@@ -129,50 +138,68 @@ def _forest(fp: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int
     return list(zip(fp[moved].tolist(), fp[root[moved]].tolist(), strict=True))
 
 
-def compare_rows(fp: np.ndarray, ones: np.ndarray, radius: int, side: int = _BLOCK_ROWS) -> tuple[np.ndarray, np.ndarray]:
-    """Links (i, j) among rows ordered by bit count, block against block."""
-    bits = fp.view(np.uint64)
-    ia, ib = [], []
-    for s in range(0, len(fp), side):
-        top = ones[min(s + side, len(fp)) - 1] + radius
-        for t in range(s, len(fp), side):
+def tile_pairs(ones: np.ndarray, radius: int, side: int = SIDE) -> Iterator[tuple[int, int]]:
+    """Starts of the pairs of tiles, among rows ordered by bit count, whose
+    bit counts come within the radius."""
+    for s in range(0, len(ones), side):
+        top = ones[min(s + side, len(ones)) - 1] + radius
+        for t in range(s, len(ones), side):
             if ones[t] > top:
-                break                                    # all later blocks are too far apart
-            x, y = np.nonzero(np.bitwise_count(bits[s:s + side, None] ^ bits[None, t:t + side]) <= radius)
-            keep = x + s < y + t
-            ia.append(x[keep] + s)
-            ib.append(y[keep] + t)
-    return np.concatenate(ia), np.concatenate(ib)
+                break                                    # all later tiles are too far apart
+            yield s, t
 
 
-def _links_of(task: np.ndarray, fp: np.ndarray, ones: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """Spanning links of all complete groups in rows sorted by (task, ones)."""
-    starts = np.flatnonzero(np.r_[True, task[1:] != task[:-1]])
-    sizes = np.diff(np.r_[starts, len(task)])
+def compare_rows(fp: np.ndarray, ones: np.ndarray, radius: int, side: int = SIDE) -> tuple[np.ndarray, np.ndarray]:
+    """Links (i, j) among rows ordered by bit count, tile against tile."""
     bits = fp.view(np.uint64)
-    out: list[tuple[int, int]] = []
-    small = np.repeat(sizes <= _SMALL, sizes)
-    for k in range(1, min(_SMALL, int(sizes.max(initial=1)))):
-        hit = np.flatnonzero((task[k:] == task[:-k]) & small[k:] & small[:-k] & (np.bitwise_count(bits[k:] ^ bits[:-k]) <= radius))
-        out.extend(zip(fp[hit + k].tolist(), fp[hit].tolist(), strict=True))
-    for s, n in zip(starts[sizes > _SMALL].tolist(), sizes[sizes > _SMALL].tolist(), strict=True):
-        a, b = compare_rows(fp[s:s + n], ones[s:s + n], radius)
-        if len(a):
-            out.extend(_forest(fp[s:s + n], a, b))
-    return out
+    ia, ib = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for s, t in tile_pairs(ones, radius, side):
+        near = np.bitwise_count(bits[s:s + side, None] ^ bits[None, t:t + side]) <= radius
+        if s == t:
+            near = np.triu(near, 1)
+        if near.any():
+            x, y = np.nonzero(near)
+            ia.append(x + s)
+            ib.append(y + t)
+    return np.concatenate(ia), np.concatenate(ib)
 
 
-def links(prints: DataFrame, radius: int = RADIUS, tile: int = TILE, scratch: Scratch | None = None) -> DataFrame:
-    """(u, v) of distinct fingerprints: spans every pair within the radius."""
-    groups = tile_groups(_cells(prints, radius), radius, tile, scratch or Scratch())
+def _per_group(groups: DataFrame, found, schema: str) -> DataFrame:
+    """``found(fp, ones)`` of every task group, as rows."""
+    names = [c.split()[0] for c in schema.split(", ")]
 
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in whole_groups(batches, "task"):
-            yield pd.DataFrame(_links_of(rows["task"].to_numpy(np.int64), rows["fp"].to_numpy(np.int64),
-                                         rows["ones"].to_numpy(np.int64), radius), columns=["u", "v"], dtype="int64")
+            task, fp, ones = (rows[c].to_numpy(np.int64) for c in ("task", "fp", "ones"))
+            cuts = np.flatnonzero(np.r_[True, task[1:] != task[:-1], True])
+            out = [r for s, e in zip(cuts[:-1], cuts[1:], strict=True) for r in found(fp[s:e], ones[s:e])]
+            yield pd.DataFrame(out, columns=names, dtype="int64")
+
+    return groups.repartition("task").sortWithinPartitions("task", "ones", "fp").mapInPandas(run, schema)
 
-    return (groups.repartition("task").sortWithinPartitions("task", "ones", "fp")
-            .mapInPandas(compare, "u long, v long").distinct())
+
+def _groups(prints: DataFrame, radius: int, tile: int, cell: int, scratch: Scratch | None) -> DataFrame:
+    return tile_groups(_cells(prints, radius, cell_bits(prints.count(), radius, cell)), radius, tile, scratch or Scratch())
+
+
+def links(prints: DataFrame, radius: int = RADIUS, tile: int = TILE, scratch: Scratch | None = None, cell: int = CELL) -> DataFrame:
+    """(u, v) of distinct fingerprints: spans every pair within the radius."""
+    def found(fp, ones):
+        a, b = compare_rows(fp, ones, radius)
+        return _forest(fp, a, b) if len(a) else []
+
+    return _per_group(_groups(prints, radius, tile, cell, scratch), found, "u long, v long").distinct()
+
+
+def tile_counts(prints: DataFrame, radius: int = RADIUS, tile: int = TILE, cell: int = CELL) -> DataFrame:
+    """(compared, skipped): pairs of tiles of all groups that ``links``
+    compares, and that their bit counts rule out."""
+    def found(fp, ones):
+        n, compared = -(-len(fp) // SIDE), sum(1 for _ in tile_pairs(ones, radius))
+        return [(compared, n * (n + 1) // 2 - compared)]
+
+    counts = _per_group(_groups(prints, radius, tile, cell, None), found, "compared long, skipped long")
+    return counts.agg(F.sum("compared").alias("compared"), F.sum("skipped").alias("skipped"))
 
 
 def components(edges: DataFrame, scratch: Scratch | None = None) -> DataFrame:
@@ -206,21 +233,24 @@ def components(edges: DataFrame, scratch: Scratch | None = None) -> DataFrame:
         seen = new
 
 
-def dedup_classes(docs: DataFrame, *, id_col="doc_id", text_col="text", shingle=SHINGLE, radius=RADIUS, tile=TILE) -> DataFrame:
+def dedup_classes(docs: DataFrame, *, id_col="doc_id", text_col="text", shingle=SHINGLE, radius=RADIUS, tile=TILE, cell=CELL,
+                  kept: Scratch | None = None) -> DataFrame:
     """(doc_id, text_hash, fp, root, component_id), one row per input row;
-    root is a fingerprint that names the component."""
-    prints, _ = stage(docs.select(
+    root is a fingerprint that names the component. The result is a written
+    table; ``kept`` learns its path, to drop it when it is no longer read."""
+    scratch = Scratch()
+    prints = scratch.stage(docs.select(
         F.col(id_col).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"),
         fingerprint_column(F.col(text_col), shingle).alias("fp")), "simhash-prints")
-    scratch = Scratch()
     distinct = scratch.stage(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "simhash-distinct")
-    found = components(links(distinct.select("fp"), radius, tile, scratch), scratch)
+    found = components(links(distinct.select("fp"), radius, tile, scratch, cell), scratch)
     rooted = scratch.stage(distinct.join(found, distinct["fp"] == found["node"], "left").select(
         "fp", "least_id", F.coalesce("root", "fp").alias("root")), "simhash-rooted")
     smallest = scratch.stage(rooted.groupBy("root").agg(F.min("least_id").alias("component_id")), "simhash-least")
-    classes, _ = stage(rooted.join(smallest, "root").select("fp", "root", "component_id"), "simhash-classes")
+    classes = scratch.stage(rooted.join(smallest, "root").select("fp", "root", "component_id"), "simhash-classes")
+    out = (kept or Scratch()).stage(prints.join(classes, "fp").select("doc_id", "text_hash", "fp", "root", "component_id"), "simhash")
     scratch.drop(docs.sparkSession)
-    return prints.join(classes, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
+    return out
 
 
 def hex_of(fp: Column) -> Column:

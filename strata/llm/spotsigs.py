@@ -54,11 +54,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import FUNCTION_WORDS, Scratch, stage, whole_groups
-from strata.llm.simhash_tiles import TILE, components, tile_groups
+from strata.llm.simhash_tiles import components, tile_groups
 
 CHAIN = 2
 THRESHOLD = 0.8
 REACH = 6
+TILE = 2048                # sets of a group
 CHUNKS_PER_PARTITION = 4
 NULL_CHUNKS = 64
 
