@@ -210,7 +210,11 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col="doc_id", text_col="text",
     sample = sample.select(F.col("doc_id").alias("_id"), (F.col("y") > 0).cast("int").alias("_y"),
                            (F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(3)) == 0).alias("_last"))
     texts = (docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-             .join(F.broadcast(sample), "_id"))     # at most 2 * train_per_class rows
+             .join(F.broadcast(sample), "_id")
+             # one row per picked id (of several texts the one of the smallest hash),
+             # however many rows repeat it: 2 * train_per_class rows at most
+             .groupBy("_id", "_y", "_last").agg(F.min(F.struct(F.xxhash64("_text").alias("h"), "_text")).alias("t"))
+             .select("_id", "_y", "_last", "t._text"))
 
     def count(batches):
         counts: dict[str, list[int]] = {}

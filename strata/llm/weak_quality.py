@@ -18,7 +18,11 @@
    words, hashed to 2 ** 15 weights.
 4. Every whole document is scored; those at ``KEEP_FROM`` or more are kept.
 
-No given label is read. Defined cases: null and empty texts have no words:
+No given label is read. Letters are those of any script; the labeller of
+function words, which knows four languages, abstains on text that is mostly in
+other scripts. Word shapes are cut at 8 characters, word lengths at 63.
+Defined cases: an id of several texts trains with the text of the smallest
+hash, once; null and empty texts have no words:
 every labeller that needs words abstains, the score is the scorer's on no
 features; a null id is never a training row; repeated rows are scored row by
 row; when all documents fall on one side (or there are none) the score is
@@ -49,11 +53,13 @@ MEMO = 400_000             # words a worker remembers
 
 LABELLERS = ("repeats", "symbols", "capitals", "variety", "lines", "sentences", "word_length", "function_words")
 
-_CLASS = np.zeros(256, np.uint8)            # byte classes: 1 lower, 2 upper, 3 symbol
+_CLASS = np.zeros(256, np.uint8)            # byte classes: 1 lower, 2 upper, 3 symbol, 4 other letter
 _CLASS[97:123] = 1
 _CLASS[65:91] = 2
 for _c in b"#$%&*+/<=>@[\\]^_`{|}~!":
     _CLASS[_c] = 3
+_CLASS[0xC3:0xF5] = 4                       # first byte of a letter beyond ASCII ...
+_CLASS[0xE2] = 0                            # ... but for punctuation and signs
 _RUNS = re.compile(r"(.)\1+")
 
 
@@ -101,8 +107,8 @@ def votes(d: Document) -> list[int]:
     n = d.n
     if not n:
         return [1] * len(LABELLERS)
-    _, lower, upper, symbol = (int(x) for x in np.bincount(_CLASS[np.frombuffer(d.text.encode(), np.uint8)], minlength=4))
-    letters, repeats = lower + upper, float(d.repeat.mean()) if n > 1 else 0.0
+    _, lower, upper, symbol, other = (int(x) for x in np.bincount(_CLASS[np.frombuffer(d.text.encode(), np.uint8)], minlength=5))
+    letters, latin, repeats = lower + upper + other, lower + upper >= other, float(d.repeat.mean()) if n > 1 else 0.0
     distinct = len(np.unique(d.word))
     lines = [x for x in d.text.split("\n") if x.strip()]
     repeated_lines = 1 - len(set(lines)) / len(lines)
@@ -115,7 +121,7 @@ def votes(d: Document) -> list[int]:
         _vote(len(lines) >= 3 and repeated_lines < 0.1, len(lines) >= 3 and repeated_lines > 0.5),
         _vote(n >= 8 and 0.02 <= stops <= 0.4, n >= 30 and (stops < 0.004 or stops > 0.8)),
         _vote(n >= 5 and 3.0 <= mean <= 9.5, n >= 5 and (mean < 2.0 or mean > 14.0)),
-        _vote(n >= 10 and known >= 0.08, n >= 20 and known < 0.01),
+        _vote(latin and n >= 10 and known >= 0.08, latin and n >= 20 and known < 0.01),
     ]
 
 
@@ -218,21 +224,25 @@ def _features(text: Column) -> Column:
 
 def fit(docs: DataFrame, *, id_col="doc_id", text_col="text", sample=SAMPLE) -> Model:
     """Votes of all documents, EM, and the scorer's fit on the sample."""
-    voted, voted_path = stage(docs.select(F.col(id_col).alias("doc_id"), _patterns(F.col(text_col)).alias("pattern")), "quality-votes")
+    spark, text = docs.sparkSession, F.coalesce(F.col(text_col), F.lit(""))
+    voted, voted_path = stage(docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("h"),
+                                          _patterns(F.col(text_col)).alias("pattern")), "quality-votes")
     model = estimate({r["pattern"]: r["n"] for r in voted.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).collect()} or {0: 0})
     bad = [p for p, good in model.posterior.items() if good < 0.5]
     if not bad or len(bad) == len(model.posterior):
-        drop(docs.sparkSession, voted_path)
+        drop(spark, voted_path)
         return model
     is_bad = F.col("pattern").isin(bad)
-    known = voted.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("pattern").alias("pattern"))
+    known = (voted.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.struct("h", "pattern")).alias("k"))
+             .select("doc_id", "k.h", "k.pattern"))
     order = F.xxhash64("doc_id", F.lit(5))
     picked = (known.filter(is_bad).orderBy(order, "doc_id").limit(sample)
               .unionByName(known.filter(~is_bad).orderBy(order, "doc_id").limit(sample)))
-    rows = (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-            .join(F.broadcast(picked), "doc_id")          # at most 2 * sample rows
-            .select("doc_id", "pattern", _features(F.col("text")).alias("f")).select("doc_id", "pattern", "f.*").collect())
-    drop(docs.sparkSession, voted_path)
+    # one row per picked id, however many rows repeat it: 2 * sample rows at most
+    texts = (docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"))
+             .join(F.broadcast(picked), ["doc_id", "h"]).groupBy("doc_id", "pattern").agg(F.min("text").alias("text")))
+    rows = texts.select("doc_id", "pattern", _features(F.col("text")).alias("f")).select("doc_id", "pattern", "f.*").collect()
+    drop(spark, voted_path)
     rows.sort(key=lambda r: (r["doc_id"], len(r["i"])))
     model.weights, model.bias = train(
         [(np.array(r["i"], np.int64), np.array(r["v"], float), model.posterior[r["pattern"]]) for r in rows], model.good)
