@@ -41,8 +41,7 @@ BLOCK_WORDS = 64
 # Base phrases and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-# License statements (label, words). Each has at most
-# BLOCK_WORDS / 2 words.
+# License statements (label, words).
 TEMPLATES = [
     ("all-rights-reserved", "all rights reserved"),
     ("apache", "licensed under the apache license version 2 0"),
@@ -57,6 +56,16 @@ TEMPLATES = [
     ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license"),
     ("mit", "released under the mit license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the "
+            "software to deal in the software without restriction including without limitation the rights to use copy modify merge publish "
+            "distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject "
+            "to the following conditions the above copyright notice and this permission notice shall be included in all copies or substantial "
+            "portions of the software the software is provided as is without warranty of any kind express or implied including but not limited "
+            "to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the authors or "
+            "copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising "
+            "from out of or in connection with the software or the use or other dealings in the software"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the "
+            "above copyright notice and this permission notice appear in all copies"),
     ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0"),
     ("public-domain", "this is free and unencumbered software released into the public domain"),
 ]
@@ -78,7 +87,18 @@ def _strings(values) -> Column:
     return F.array(*[F.lit(v) for v in values]) if values else F.array().cast("array<string>")
 
 
-def template_index(templates=TEMPLATES, threshold=THRESHOLD, frequency: dict[str, int] | None = None) -> list[dict]:
+def window_of(n_words: int, least: int = BLOCK_WORDS) -> int:
+    """Words of the blocks a template of ``n_words`` is held against: the
+    least power-of-two multiple of ``least`` that is twice as long, so that the
+    template stands whole in one of the blocks, which overlap by half."""
+    window = least
+    while window < 2 * n_words:
+        window *= 2
+    return window
+
+
+def template_index(templates=TEMPLATES, threshold=THRESHOLD, frequency: dict[str, int] | None = None,
+                   block_words: int = BLOCK_WORDS) -> list[dict]:
     """Each template's distinct words, rarest first, with its overlap bound
     and prefix length."""
     frequency = frequency or {}
@@ -86,7 +106,8 @@ def template_index(templates=TEMPLATES, threshold=THRESHOLD, frequency: dict[str
     for n, (label, text) in enumerate(templates):
         words = sorted(set(text.split()), key=lambda w: (frequency.get(w, 0), w))
         need = math.ceil(threshold * len(words) - 1e-9)
-        out.append({"template": n, "label": label, "words": words, "need": need, "prefix": len(words) - need + 1})
+        out.append({"template": n, "label": label, "words": words, "need": need, "prefix": len(words) - need + 1,
+                    "window": window_of(len(text.split()), block_words)})
     return out
 
 
@@ -104,6 +125,10 @@ def _places(words_text: Column, n_words: Column, phrase: str) -> tuple[Column, C
     parts = F.split(words_text, f" {phrase}(?= )", -1)
     spaces = lambda c: F.length(c) - F.length(F.replace(c, F.lit(" "), F.lit("")))
     count = F.size(parts) - 1
+    if any(phrase.split()[k:] == phrase.split()[:-k] for k in range(1, n)):        # places can overlap
+        words, own = F.split(F.trim(words_text), " "), _strings(phrase.split())
+        at = F.filter(F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(words) - n)), lambda i: F.slice(words, i + 1, n) == own)
+        return F.size(at), F.array_min(at), F.array_max(at)
     first = F.when(count > 0, spaces(F.element_at(parts, 1)))
     last = F.when(count > 0, n_words - (spaces(F.element_at(parts, -1)) - 1) - n)
     return count, first, last
@@ -114,11 +139,12 @@ def scan(docs: DataFrame, *, id_col="doc_id", text_col="text", templates=TEMPLAT
     """One row per document: doc_id, n_words, n_base, first_word, last_word,
     base_labels, labels (arrays), score (largest containment, 1 for a base
     phrase, 0 without any), ``matches``: (block, template, label,
-    containment) of every block that meets a template."""
+    containment) of every block that meets a template; blocks are counted
+    from 0 among those of the template's window (``window_of``)."""
     words = docs.select(F.col(id_col).alias("doc_id"), words_of(F.col(text_col)).alias("words"))
     vocabulary = sorted({w for _, t in templates for w in t.split()})
     frequency = word_frequency(words, vocabulary)
-    index = template_index(templates, threshold, frequency)
+    index = template_index(templates, threshold, frequency, block_words)
     by_rank = sorted(vocabulary, key=lambda w: (frequency.get(w, 0), w))
     prefix_words = sorted({w for t in index for w in t["words"][:t["prefix"]]})
 
@@ -131,10 +157,17 @@ def scan(docs: DataFrame, *, id_col="doc_id", text_col="text", templates=TEMPLAT
     each = lambda k: [F.col(f"_{k}{i}") for i in range(len(phrases))]
     one_or = lambda f, cs: f(*cs) if len(cs) > 1 else cs[0]
     base_labels = F.array_compact(F.array(*[F.when(F.col(f"_n{i}") > 0, F.lit(x)) for i, x in enumerate(phrases.values())]))
-    step = block_words // 2
-    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("words") - 1), F.lit(step))
-    blocks = F.when(F.arrays_overlap("words", _strings(prefix_words)),
-                    F.transform(starts, lambda s: F.struct((s / step).cast("int").alias("block"), F.slice("words", s + 1, block_words).alias("w"))))
+    def blocks_of(window: int) -> Column:
+        step = window // 2
+        prefix = sorted({w for t in index if t["window"] == window for w in t["words"][:t["prefix"]]})
+        starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("words") - 1), F.lit(step))
+        blocks = F.transform(starts, lambda s: F.struct((s / step).cast("int").alias("block"), F.lit(window).alias("window"),
+                                                        F.slice("words", s + 1, window).alias("w")))
+        return F.when(F.arrays_overlap("words", _strings(prefix)), blocks).otherwise(
+            F.array().cast("array<struct<block:int,window:int,w:array<string>>>"))
+
+    windows = sorted({t["window"] for t in index})
+    blocks = F.concat(*[blocks_of(w) for w in windows]) if windows else F.array().cast("array<struct<block:int,window:int,w:array<string>>>")
     doc = base.select(
         "key", "doc_id", "n_words",
         sum(each("n"), F.lit(0)).cast("long").alias("n_base"),
@@ -145,7 +178,7 @@ def scan(docs: DataFrame, *, id_col="doc_id", text_col="text", templates=TEMPLAT
     vocab = _strings(by_rank)
     doc = doc.withColumn("own", F.array_intersect(vocab, F.col("b.w"))).withColumn("size", F.size(F.array_distinct("b.w")))
     hits = doc.withColumn("hit", F.explode_outer(F.array_intersect(F.col("own"), _strings(prefix_words))))
-    pairs = hits.join(F.broadcast(_index_table(docs.sparkSession, index)), F.col("hit") == F.col("word"), "left")
+    pairs = hits.join(F.broadcast(_index_table(docs.sparkSession, index)), (F.col("hit") == F.col("word")) & (F.col("b.window") == F.col("t_window")), "left")
     j = F.array_position("own", F.col("hit"))                       # from 1
     first_shared = ~F.arrays_overlap(F.slice("own", F.lit(1), (j - 1).cast("int")), F.slice("t_words", F.lit(1), F.col("at")))
     could_share = 1 + F.least(F.size("t_words") - F.col("at") - 1, F.size("own") - j)
@@ -166,8 +199,9 @@ def scan(docs: DataFrame, *, id_col="doc_id", text_col="text", templates=TEMPLAT
 
 
 def _index_table(spark: SparkSession, index: list[dict]) -> DataFrame:
-    """(word, template, label, at, t_words, need): a row per prefix word."""
+    """(word, template, label, at, t_words, need, t_window): a row per prefix word."""
     rows = [F.struct(F.lit(w).alias("word"), F.lit(t["template"]).alias("template"), F.lit(t["label"]).alias("label"),
-                     F.lit(i).alias("at"), _strings(t["words"]).alias("t_words"), F.lit(t["need"]).alias("need"))
+                     F.lit(i).alias("at"), _strings(t["words"]).alias("t_words"), F.lit(t["need"]).alias("need"),
+                     F.lit(t["window"]).alias("t_window"))
             for t in index for i, w in enumerate(t["words"][:t["prefix"]])]
     return spark.range(1).select(F.inline(F.array(*rows)))

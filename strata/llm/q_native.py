@@ -22,7 +22,8 @@ _TEMPLATE_ROWS = ",\n  ".join(f"('{label}', '{text}')" for label, text in licens
 
 SQL_LICENSE = rf"""
 WITH templates AS (
-  SELECT row_number() OVER () - 1 AS template, label, list_distinct(string_split(t, ' ')) AS tw
+  SELECT row_number() OVER () - 1 AS template, label, list_distinct(string_split(t, ' ')) AS tw,
+    CAST({license_join.BLOCK_WORDS} * pow(2, greatest(0, ceil(log2(2 * len(string_split(t, ' ')) / {license_join.BLOCK_WORDS}.0)))) AS BIGINT) AS win
   FROM (VALUES
   {_TEMPLATE_ROWS}) AS v(label, t)
 ), w AS (
@@ -42,11 +43,12 @@ WITH templates AS (
   SELECT k, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, list_distinct(list(label)) AS base_labels
   FROM base GROUP BY k
 ), blocks AS (
-  SELECT k, s // {license_join.BLOCK_WORDS // 2} AS block, list_distinct(words[s + 1 : s + {license_join.BLOCK_WORDS}]) AS bw
-  FROM (SELECT k, words, unnest(range(0, greatest(1, len(words)), {license_join.BLOCK_WORDS // 2})) AS s FROM w WHERE len(words) > 0)
+  SELECT k, win, s // (win // 2) AS block, list_distinct(words[s + 1 : s + win]) AS bw
+  FROM (SELECT k, words, win, unnest(range(0, greatest(1, len(words)), win // 2)) AS s
+        FROM w, (SELECT DISTINCT win FROM templates) WHERE len(words) > 0)
 ), matches AS (
   SELECT k, block, label, len(list_intersect(bw, tw)) / len(tw) AS containment
-  FROM blocks, templates
+  FROM blocks JOIN templates USING (win)
   WHERE len(list_intersect(bw, tw)) >= ceil({license_join.THRESHOLD} * len(tw) - 1e-9)
 ), per_match AS (
   SELECT k, count(*) AS n_matches, list_distinct(list(label)) AS found, max(containment) AS best FROM matches GROUP BY k
