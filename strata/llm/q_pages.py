@@ -44,12 +44,15 @@ WITH p AS (
 ), k AS (
   SELECT doc_id AS ref, max(1 - quality) AS bad FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id
 ), h AS (
-  SELECT host, count(k.bad) AS n, CAST(coalesce(sum(k.bad), 0) AS BIGINT) AS bad, string_split(host, '.') AS l,
+  SELECT host, count(k.bad) AS n, CAST(coalesce(sum(k.bad), 0) AS BIGINT) AS bad,
+    regexp_replace(string_split(host, '@')[-1], ':[0-9]*$', '') AS site, string_split(site, '.') AS l,
+    regexp_matches(site, '^([0-9]{{1,3}}\.){{3}}[0-9]{{1,3}}$') OR starts_with(site, '[') AS address,
     CASE WHEN array_to_string(l[-2:], '.') IN ({_DOUBLE}) THEN 2 ELSE 1 END AS s
   FROM p LEFT JOIN k ON k.ref = TRY_CAST(regexp_extract(path, '{REFERENCE}', 1) AS BIGINT)
   GROUP BY host
 ), hosts AS (
-  SELECT host, n, bad, array_to_string(l[-s:], '.') AS suffix, array_to_string(l[-(s + 1):], '.') AS domain FROM h
+  SELECT host, n, bad, CASE WHEN address THEN site ELSE array_to_string(l[-s:], '.') END AS suffix,
+    CASE WHEN address THEN site ELSE array_to_string(l[-(s + 1):], '.') END AS domain FROM h
 ), g AS (
   SELECT coalesce(sum(bad) / nullif(sum(n), 0), 0) AS rate FROM hosts
 ), su AS (

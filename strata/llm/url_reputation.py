@@ -16,6 +16,11 @@ Pages are reduced to (host, reference) counts before any join; the host table
 has one row per host and is broadcast only when its count is within the
 bound, else the join is a shuffle join whose skewed partitions AQE splits.
 
+Suffix and domain are those of the host's name, without user info and port;
+an IP address is a suffix of its own. Suffixes of two labels are a list
+(``double_suffixes``); any other host is taken to be registered under its last
+label. Hosts that differ in port are judged as hosts of one domain.
+
 Defined cases: a null url, or one without ``://``, has an empty host and path
 and belongs to the host ''; a host without labels has its domain's posterior;
 several labels of one id count as bad when one does; without any label the
@@ -34,8 +39,15 @@ Z = 1.645
 BLOCK_ABOVE = 0.4
 RHO = (0.001, 0.5)         # bounds of the estimated correlation
 
-# Suffixes of two labels under which domains are registered.
-DOUBLE_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "org.au", "co.jp", "co.nz", "com.br", "co.in", "co.za")
+# Suffixes of two labels under which domains are registered, by
+# country; ``judge`` takes any other list.
+_SECOND_LEVEL = {
+    "ar": "com edu gob net org", "au": "com edu gov net org", "br": "com edu gov net org", "cn": "ac com edu gov net org",
+    "hk": "com edu gov net org", "id": "ac co go or", "il": "ac co gov org", "in": "ac co gov net org", "jp": "ac co go ne or",
+    "kr": "ac co go or", "mx": "com edu gob org", "my": "com edu gov net org", "nz": "ac co govt net org", "ph": "com edu gov net org",
+    "pk": "com edu gov net org", "pl": "com edu gov net org", "sg": "com edu gov net org", "th": "ac co go or", "tr": "com edu gov net org",
+    "tw": "com edu gov net org", "ua": "com edu gov net org", "uk": "ac co gov ltd me net org plc", "za": "ac co gov net org"}
+DOUBLE_SUFFIXES = tuple(f"{second}.{country}" for country, seconds in _SECOND_LEVEL.items() for second in seconds.split())
 
 
 def host_of(url: Column) -> Column:
@@ -46,14 +58,24 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def suffix_of(host: Column) -> Column:
-    return F.when(F.substring_index(host, ".", -2).isin(*DOUBLE_SUFFIXES), F.substring_index(host, ".", -2)).otherwise(
-        F.substring_index(host, ".", -1))
+def site_of(host: Column) -> Column:
+    """The host's name: without user info (up to the last ``@``) and port."""
+    return F.regexp_replace(F.substring_index(host, "@", -1), r":[0-9]*$", "")
+
+
+def _is_address(site: Column) -> Column:
+    return site.rlike(r"^([0-9]{1,3}\.){3}[0-9]{1,3}$") | site.startswith("[")
+
+
+def suffix_of(site: Column, double=DOUBLE_SUFFIXES) -> Column:
+    """The suffix under which a name is registered; an address is its own."""
+    return (F.when(_is_address(site), site).when(F.substring_index(site, ".", -2).isin(*double), F.substring_index(site, ".", -2))
+            .otherwise(F.substring_index(site, ".", -1)))
 
 
-def domain_of(host: Column) -> Column:
-    return F.when(F.substring_index(host, ".", -2).isin(*DOUBLE_SUFFIXES), F.substring_index(host, ".", -3)).otherwise(
-        F.substring_index(host, ".", -2))
+def domain_of(site: Column, double=DOUBLE_SUFFIXES) -> Column:
+    return (F.when(_is_address(site), site).when(F.substring_index(site, ".", -2).isin(*double), F.substring_index(site, ".", -3))
+            .otherwise(F.substring_index(site, ".", -2)))
 
 
 def rule_of(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[Column, Column]:
@@ -76,10 +98,11 @@ def _correlation(units: DataFrame, mean: Column) -> float:
     return min(max(rho, RHO[0]), RHO[1])
 
 
-def reputation(outcomes: DataFrame, scratch: Scratch) -> DataFrame:
+def reputation(outcomes: DataFrame, scratch: Scratch, double_suffixes=DOUBLE_SUFFIXES) -> DataFrame:
     """``outcomes`` (host, n, bad), one row per host -> host, n, bad, mean,
     bound (of the posterior bad rate)."""
-    hosts = scratch.stage(outcomes.withColumns({"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))}), "url-hosts")
+    site = site_of(F.col("host"))
+    hosts = scratch.stage(outcomes.withColumns({"domain": domain_of(site, double_suffixes), "suffix": suffix_of(site, double_suffixes)}), "url-hosts")
     total = hosts.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
     rate = F.lit((total["bad"] or 0) / total["n"] if total["n"] else 0.0)
     sums = lambda df, *keys: df.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
@@ -100,7 +123,7 @@ def reputation(outcomes: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def judge(pages: DataFrame, labels: DataFrame, *, rules: list[tuple[str, str]], reference: Column, id_col="page_id",
-          url_col="url", label_id="doc_id", bad: Column, block_above: float = BLOCK_ABOVE) -> DataFrame:
+          url_col="url", label_id="doc_id", bad: Column, block_above: float = BLOCK_ABOVE, double_suffixes=DOUBLE_SUFFIXES) -> DataFrame:
     """page_id, host, path, rule, verdict, n, bad, bound of every page.
 
     ``reference`` reads the labelled id from a page's path; ``bad`` (0 / 1,
@@ -114,7 +137,7 @@ def judge(pages: DataFrame, labels: DataFrame, *, rules: list[tuple[str, str]],
                 .agg(F.sum(F.when(F.col("bad").isNotNull(), F.col("pages")).otherwise(F.lit(0))).alias("n"),
                      F.sum(F.coalesce(F.col("bad") * F.col("pages"), F.lit(0))).alias("bad")))
     scratch = Scratch()
-    rated, _ = stage(reputation(outcomes, scratch), "url-rated")
+    rated, _ = stage(reputation(outcomes, scratch, double_suffixes), "url-rated")
     scratch.drop(pages.sparkSession)
     rule, by_rule = rule_of(F.col("host"), F.col("path"), rules)
     verdict = F.coalesce(by_rule, F.when(F.col("bound") > block_above, F.lit("block")).otherwise(F.lit("allow")))
