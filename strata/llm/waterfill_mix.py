@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import Scratch, hint_if_small, stage
+from strata.llm.common import Scratch, drop, hint_if_small, stage
 
 WORD = r"[^\x20\x09-\x0D]+"
 BUCKET_BITS = 12           # 4096 hash buckets per source
@@ -231,8 +231,9 @@ def mix_copies(docs: DataFrame, *, id_col="doc_id", text_col="text", source_col=
 def repeat_by_mix(docs: DataFrame, *, id_col="doc_id", text_col="text", source_col="source",
                   weight_cycle=(1, 2, 3), total: float | None = None, max_epochs: int = 3, seed: str = "mix") -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it."""
-    sized, _ = stage(document_sizes(docs, id_col=id_col, text_col=text_col, source_col=source_col, seed=seed), "mix-sizes")
+    sized, sizes = stage(document_sizes(docs, id_col=id_col, text_col=text_col, source_col=source_col, seed=seed), "mix-sizes")
     plan, n = mix_plan(sized, weight_cycle=weight_cycle, total=total, max_epochs=max_epochs)
+    drop(docs.sparkSession, sizes)
     row = F.struct(*[docs[c] for c in docs.columns]).alias("row")       # one column: nothing of docs can clash
     rows = docs.select(row, seeded_order(id_col, text_col, seed).alias("u"), docs[id_col].alias("id"), docs[source_col].alias("src"))
     text = F.col("row").getField(text_col)

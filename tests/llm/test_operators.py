@@ -91,10 +91,12 @@ def test_license_blocks_equal_brute_force(spark):
     for i, t in pairs:
         w = re.findall(license_join.WORD, (t or "").translate(H.LOWER))
         want = set()
-        for b, s in enumerate(range(0, len(w), license_join.BLOCK_WORDS // 2)):
-            block = set(w[s:s + license_join.BLOCK_WORDS])
-            for n, (_, text) in enumerate(license_join.TEMPLATES):
-                words = set(text.split())
+        for n, (_, text) in enumerate(license_join.TEMPLATES):
+            words, window = set(text.split()), 64
+            while window < 2 * len(text.split()):
+                window *= 2
+            for b, s in enumerate(range(0, len(w), window // 2)):
+                block = set(w[s:s + window])
                 if len(block & words) >= license_join.THRESHOLD * len(words) - 1e-9:
                     want.add((b, n, len(block & words) / len(words)))
         places = [(p, k) for p in license_join.PHRASES for k in range(len(w)) if w[k:k + len(p.split())] == p.split()]
@@ -105,6 +107,22 @@ def test_license_blocks_equal_brute_force(spark):
                    and set(x["base_labels"]) == {license_join.PHRASES[p] for p, _ in places} for x in got[i])
 
 
+@pytest.mark.parametrize("n", [33, 80, 300])
+def test_license_templates_of_any_length(spark, n):
+    """A template that stands whole in a text is found, wherever it stands."""
+    text = " ".join(f"legal{k}" for k in range(n))
+    pairs = [(at, " ".join(["x"] * at) + " " + text + " y z") for at in (0, 1, 9, 31, 32, 63, 64, 100, 511, 700)]
+    pairs += [(1000, " ".join(text.split()[: n * 8 // 10])), (1001, None)]
+    got = license_join.scan(docs_of(spark, pairs), templates=[*license_join.TEMPLATES, ("long", text)]).collect()
+    assert {x["doc_id"]: x["labels"] for x in got} == {i: ["long"] if i < 1000 else [] for i, _ in pairs}
+
+
+def test_license_phrases_that_overlap_themselves(spark):
+    got = license_join.scan(docs_of(spark, [(1, "a a a a b a a"), (2, "a"), (3, "b a b a b"), (4, "")]), phrases={"a a": "x", "b a b": "y"})
+    assert {x["doc_id"]: (x["n_base"], x["first_word"], x["last_word"]) for x in got.collect()} == {
+        1: (4, 0, 5), 2: (0, None, None), 3: (2, 0, 2), 4: (0, None, None)}
+
+
 def test_license_empty(spark):
     assert license_join.scan(docs_of(spark, [])).collect() == []
 
@@ -154,8 +172,8 @@ def test_simhash_fingerprints(spark):
         assert fp & (2**64 - 1) == H.simhash(t)
 
 
-@pytest.mark.parametrize("tile", [4, 2048])
-def test_simhash_components(spark, tile):
+@pytest.mark.parametrize("tile,cell", [(4, 2), (4096, 2048), (30, 40)])
+def test_simhash_components(spark, tile, cell):
     r = random.Random(tile)
     base = ["alpha beta gamma delta " * 30, "one two three four five six " * 25]
     pairs = list(ODD)
@@ -164,7 +182,7 @@ def test_simhash_components(spark, tile):
         for _ in range(r.randint(0, 2)):
             w[r.randrange(len(w))] = r.choice(["x", "y", "z"])
         pairs.append((1000 - i, " ".join(w)))
-    got = simhash_tiles.dedup_classes(docs_of(spark, pairs), tile=tile).collect()
+    got = simhash_tiles.dedup_classes(docs_of(spark, pairs), tile=tile, cell=cell).collect()
     assert len(got) == len(pairs)
     prints = sorted({x["fp"] & (2**64 - 1) for x in got})
     root = dict(zip(prints, H.components(prints), strict=True))
@@ -190,6 +208,26 @@ def test_simhash_chain_in_large_tiles(spark):
     assert [found.get(p, p) for p in prints] == [prints[w] for w in want]
 
 
+def test_simhash_cells_fill_and_tiles_are_skipped(spark):
+    """Random fingerprints and planted neighbours: every link is found whatever
+    the width of the cells, and bit counts rule out tiles."""
+    r = random.Random(12)
+    prints = [r.getrandbits(64) for _ in range(3000)]
+    prints += [p ^ (1 << r.randrange(64)) ^ (1 << r.randrange(64)) for p in prints[:300]]
+    signed = sorted({p - 2**64 if p >= 2**63 else p for p in prints})
+    df = spark.createDataFrame([(p,) for p in signed], "fp long")
+    bits = np.array(signed, np.int64).view(np.uint64)
+    a, b = np.nonzero(np.triu(np.bitwise_count(bits[:, None] ^ bits[None]) <= 2, 1))
+    want = {(signed[x], signed[y]) for x, y in zip(a, b, strict=True)}
+    assert [simhash_tiles.cell_bits(n, 2, 2048) for n in (0, 1, 2048, 2049, 9296, 10**12)] == [0, 0, 0, 1, 3, 21]
+    for cell in (10, 500, 100_000):
+        root = {x["node"]: x["root"] for x in simhash_tiles.components(simhash_tiles.links(df, cell=cell)).collect()}
+        assert all(root.get(u, u) == root.get(v, v) for u, v in want)
+        assert set(root) | set(root.values()) == {n for pair in want for n in pair}
+    c = simhash_tiles.tile_counts(df, cell=1500).first()
+    assert c["compared"] > 0 and c["skipped"] > c["compared"] * 0.3
+
+
 # --- op6 -------------------------------------------------------------------
 
 def test_top_k_equals_brute_force(spark):
@@ -517,3 +555,47 @@ def test_quality_of_one_side_and_no_rows(spark):
         model = weak_quality.fit(df)
         got = df.select(weak_quality.score(spark, F.col("text"), model).alias("s")).collect()
         assert len(got) == len(pairs) and all(0 <= x["s"] <= 1 for x in got)
+
+
+# --- bounded samples, scripts, ports ----------------------------------------
+
+def test_fits_take_one_row_of_a_hot_id(spark, monkeypatch):
+    """An id that holds most rows reaches the driver once, and the model is
+    that of the table without its repetitions."""
+    r = random.Random(5)
+    vocab = [f"word{i}" for i in range(200)] + ["the", "of", "and", "in"] * 20
+    good = lambda: ". ".join("The " + " ".join(r.choice(vocab) for _ in range(9)) for _ in range(5)) + "."
+    once = [(i, good() if i % 3 else " ".join(["bad"] * 40)) for i in range(60)]
+    many = once + [once[1]] * 3000 + [once[3]] * 3000
+    seen = []
+    real = weak_quality.train
+    monkeypatch.setattr(weak_quality, "train", lambda rows, good: seen.append(len(rows)) or real(rows, good))
+    models = [weak_quality.fit(docs_of(spark, x), sample=10) for x in (once, many)]
+    assert seen == [20, 20]
+    assert (models[0].weights != 0).sum() == (models[1].weights != 0).sum()
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)], "doc_id long, toxic int")
+    rows = toxic_segments.training_rows(labels)
+    a, b = (toxic_segments.fit(docs_of(spark, x), rows) for x in (once, many))
+    assert a.scores == b.scores and a.weights == b.weights
+
+
+def test_letters_of_other_scripts_are_letters():
+    words = weak_quality.Words()
+    names = weak_quality.LABELLERS
+    for text in ("Это простое предложение о погоде, и в нём очень мало знаков, около 5 % шума, и больше ничего! " * 4,
+                 "Αυτή είναι μια απλή πρόταση για τον καιρό, και έχει πολύ λίγα σημεία, 5 % θόρυβο, και τίποτε άλλο! " * 4):
+        votes = dict(zip(names, weak_quality.votes(weak_quality.Document(text, words)), strict=True))
+        assert votes["symbols"] != 0 and votes["function_words"] == 1
+    assert dict(zip(names, weak_quality.votes(weak_quality.Document("zzz qqq xxx " * 10, words)), strict=True))["function_words"] == 0
+
+
+def test_sites_without_ports_and_users(spark):
+    hosts = ["a.example.com", "a.example.com:8080", "user:pw@a.example.com:1", "x.foo.co.uk:", "10.0.0.1:80", "[::1]:80", "localhost", "", "a@b@c.org"]
+    df = spark.createDataFrame([(h,) for h in hosts], "h string").select("h", url_reputation.site_of(F.col("h")).alias("s")).select(
+        "h", url_reputation.suffix_of(F.col("s")).alias("suffix"), url_reputation.domain_of(F.col("s")).alias("domain"),
+        url_reputation.domain_of(F.col("s"), ["example.com"]).alias("other"))
+    got = {r["h"]: (r["suffix"], r["domain"]) for r in df.collect()}
+    assert got == {"a.example.com": ("com", "example.com"), "a.example.com:8080": ("com", "example.com"),
+                   "user:pw@a.example.com:1": ("com", "example.com"), "x.foo.co.uk:": ("co.uk", "foo.co.uk"), "10.0.0.1:80": ("10.0.0.1", "10.0.0.1"),
+                   "[::1]:80": ("[::1]", "[::1]"), "localhost": ("localhost", "localhost"), "": ("", ""), "a@b@c.org": ("org", "c.org")}
+    assert df.filter("h = 'a.example.com:8080'").first()["other"] == "a.example.com"
