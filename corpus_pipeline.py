@@ -19,10 +19,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import bpe_bitmap, simhash_tiles, toxic_segments, waterfill_mix, weak_quality
-from strata.llm.common import drop, stage
+from strata.llm.common import Scratch, drop, stage
 from strata.llm.q_text import RANKS, TOXIC_FROM, toxicity_model
 
 
+# tables that the rows of the stage last called still read; ``run`` drops them
+# when those rows are written
+_read = Scratch()
+
+
 def _free_name(docs: DataFrame, name: str) -> str:
     """A column name that the input does not have."""
     taken = {c.lower() for c in docs.columns}
@@ -55,11 +60,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of the smallest id of each component (null ids
     last; of several texts with that id, the one of the smallest hash); rows
     that repeat its id and text are cut to one."""
-    classes, _ = stage(simhash_tiles.dedup_classes(docs.select("doc_id", "text"), shingle=3, radius=2), "pipeline-classes")
+    mine = Scratch()
+    classes = simhash_tiles.dedup_classes(docs.select("doc_id", "text"), shingle=3, radius=2, kept=mine)
     order = F.struct(F.col("doc_id").isNull().alias("null"), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
-    kept, _ = stage(classes.groupBy("root").agg(F.min(order).alias("k")).select(F.col("k.id").alias("id"), F.col("k.hash").alias("hash")), "pipeline-kept")
+    kept = _read.stage(classes.groupBy("root").agg(F.min(order).alias("k")).select(F.col("k.id").alias("id"), F.col("k.hash").alias("hash")), "pipeline-kept")
     again = classes.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    again, _ = stage(again.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")), "pipeline-repeated")
+    again = _read.stage(again.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")), "pipeline-repeated")
+    mine.drop(spark)
     # rows in one column, so that none of their names can clash
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["doc_id"].alias("own_id"),
                        F.xxhash64(F.coalesce(docs["text"], F.lit(""))).alias("own_hash"))
@@ -95,6 +102,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, apply in STAGES:
         docs, path = stage(apply(spark, docs, sf_dir), f"pipeline-{name}")
+        _read.drop(spark)
         if before:
             drop(spark, before)         # the stage before is written and no longer read
         before = path
