@@ -132,6 +132,25 @@ _single("lifetime_value", ["lifetime_value"], "velocity")
 _single("days_since_signup", ["days_since_signup"], "account")
 
 
+def _of_users(name, column):
+    """Distinct values of a user attribute over the user's events of the last
+    24 hours (the given events carry none of their own)."""
+    def q(spark, sf_dir):
+        e, t, u, _, _ = _inputs(spark, sf_dir)
+        e = e.join(u.select("user_id", column), "user_id", "left").withColumn("event_type", F.col(column))
+        df = features.behaviour(e, t, only=["distinct_event_types_24h"])
+        return df.select("transaction_id", F.col("distinct_event_types_24h").alias(name))
+    q.__name__ = f"q_{name}"
+    register(name, f"""{SQL_FEATURES}
+SELECT t.transaction_id, (SELECT count(DISTINCT u.{column}) FROM ev e JOIN users u ON e.user_id = u.user_id
+  WHERE e.user_id IS NOT DISTINCT FROM t.user_id AND e.ts >= t.ts - INTERVAL 24 HOURS AND e.ts <= t.ts) AS {name}
+FROM txc t""")(q)
+
+
+_of_users("distinct_devices_24h", "device_type")
+_of_users("distinct_countries_24h", "country")
+
+
 @register("chargeback_rate", f"{SQL_FEATURES}\nSELECT user_id, orders, flagged_orders, chargeback_rate FROM cb")
 def q_chargeback_rate(spark, sf_dir):
     return features.chargeback_rate(landing.table(spark, sf_dir, "orders"),

@@ -153,15 +153,30 @@ def _event_dates(spark: SparkSession, paths: dict, rows: dict, touched: DataFram
     return sorted(dates | {writes._NULL_PARTITION})
 
 
+def _set_aside(spark: SparkSession, paths: dict, longest: DataFrame, touched: DataFrame, res: LoadResult) -> DataFrame:
+    """Sessions of more than MAX_SESSION_EVENTS events, kept in
+    ``<gold>_too_long`` until a load makes them shorter; they have no gold row."""
+    path = paths[GOLD].rstrip("/") + "_too_long"
+    long = longest.filter(F.col("total_events") > MAX_SESSION_EVENTS)
+    held = spark.read.parquet(path) if table_exists(spark, path) else None
+    res.counts["sessions_too_long"] = long.count()
+    if res.counts["sessions_too_long"] or held is not None:
+        others = held.join(touched, SESSION_KEYS, "left_anti") if held is not None else long.limit(0)
+        writes.write_replace(others.unionByName(long), path)
+        return spark.read.parquet(path).select(*SESSION_KEYS)
+    return long.select(*SESSION_KEYS).limit(0)
+
+
 def merge_load(spark: SparkSession, paths: dict, events: DataFrame | None = None, transactions: DataFrame | None = None,
                users: DataFrame | None = None, gold_rules=None, allowed_event_types=None,
-               sources: dict | None = None, max_session_events: int = MAX_SESSION_EVENTS) -> LoadResult:
+               sources: dict | None = None, max_session_events: int | None = None) -> LoadResult:
     """Merge one load of cleaned rows (one row per key; see ``plans.silver``)
     into the tables under ``paths``. Any of the three may be missing.
 
     ``sources``: name -> function returning a frame, for silver tables that
     are kept elsewhere; called once per load, so rows that arrived since the
-    last one are seen."""
+    last one are seen. ``max_session_events``: a rule of the caller; a longer
+    session stops the load before gold changes."""
     res = LoadResult(paths)
     given = {n: _dated(n, df) for n, df in zip(SILVER, (events, transactions, users), strict=True) if df is not None}
     scratch = {n: new_path(spark, n) for n in (*given, "touched", "sessions")}
@@ -204,10 +219,13 @@ def merge_load(spark: SparkSession, paths: dict, events: DataFrame | None = None
         e = e.filter(writes.in_partitions(SILVER["events_clean"].partition_col, dates)).join(touched, SESSION_KEYS, "left_semi")
         t = (t if t is not None else spark.createDataFrame([], silver.TRANSACTION_SCHEMA)).join(touched, SESSION_KEYS, "left_semi")
         u = u if u is not None else spark.createDataFrame([], silver.USER_SCHEMA)
-        # the path is one array per session: a session too long for a row stops
-        # the load here, before gold changes; nothing is cut
+        # the path is one array per session: a session too long for a row is set
+        # aside, with its number of events, and the load goes on; nothing is cut
         longest = e.groupBy(*SESSION_KEYS).agg(F.count(F.lit(1)).alias("total_events"))
-        dq.fail_fast(dq.run_rules(longest, [dq.max_value("total_events", max_session_events)]))
+        if max_session_events is not None:
+            dq.fail_fast(dq.run_rules(longest, [dq.max_value("total_events", max_session_events)]))
+        else:
+            e = e.join(_set_aside(spark, paths, longest, touched, res), SESSION_KEYS, "left_anti")
         res.counts["gold_staged"] = _observed_write(
             gold.user_session_analysis(e, t, u.join(touched.select("user_id").distinct(), "user_id", "left_semi"), users_bound=u),
             scratch["sessions"], "sessions")

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 CORRUPT_COL = "_corrupt_record"
 
-# Payload of an app event; the union of the per-type detail fields.
+# Payload of an app event, the union of the per-type detail fields.
 EVENT_DETAILS = T.StructType([
     T.StructField("action", T.StringType()),
     T.StructField("element_id", T.StringType()),
@@ -60,11 +60,11 @@ RAW_USER = T.StructType([
     T.StructField("country", T.StringType()),
 ])
 
-# Columns the cleaned tables must carry (validated before any write).
+# Columns the cleaned tables must carry (validated before any write).
 EVENTS_CLEAN_COLUMNS = ["event_id", "session_id", "user_id", "event_type",
                         "event_timestamp", "event_details"]
 
-# Gold table columns in order, as in the published table definition.
+# Gold table columns in order, as in the published table definition.
 GOLD_COLUMNS = [
     "user_id", "session_id", "signup_date", "device_type", "country",
     "session_start_time", "session_end_time", "session_duration_seconds", "session_date",
