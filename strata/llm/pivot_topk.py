@@ -90,7 +90,7 @@ def products(x: np.ndarray, q: np.ndarray, largest: float) -> np.ndarray:
     return x @ q if largest < 2.0 ** 62 else x.astype(object) @ q.astype(object)
 
 
-def pivot_table(vectors: DataFrame, basis: np.ndarray, others=()) -> DataFrame:
+def pivot_table(vectors: DataFrame, basis: np.ndarray) -> DataFrame:
     """``vectors`` with c (coordinates), rest and norm."""
     shared = vectors.sparkSession.sparkContext.broadcast(basis)
 
