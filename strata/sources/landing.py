@@ -142,14 +142,37 @@ def land_event_files(spark: SparkSession, sf_dir: str, dest: str, files: int = 6
     arrival = F.coalesce(F.get_json_object("value", "$.event_id").cast("bigint"), F.lit(0))
     (lines.repartitionByRange(max(files, -(-n // ARRIVAL_ROWS)), arrival)
      .write.mode("append").text(dest))
-    # a file stream takes files by modification time: theirs follow the ids
+    _order_files(spark, dest)
+    return dest
+
+
+def _order_files(spark: SparkSession, dest: str) -> None:
+    """A file stream takes files by modification time: give the files below a
+    folder times that follow their names."""
     jvm = spark.sparkContext._jvm
     folder = jvm.org.apache.hadoop.fs.Path(dest)
     fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    parts = sorted(st.getPath().toString() for st in fs.listStatus(folder) if st.getPath().getName().startswith("part-"))
-    start = fs.getFileStatus(folder).getModificationTime() - 1000 * len(parts)
-    for i, part in enumerate(parts):
-        fs.setTimes(jvm.org.apache.hadoop.fs.Path(part), start + 1000 * i, -1)
+    files, found = fs.listFiles(folder, True), []
+    while files.hasNext():
+        path = files.next().getPath()
+        if path.getName().startswith("part-"):
+            found.append((path.getParent().getName().rjust(64), path.getName(), path))
+    start = fs.getFileStatus(folder).getModificationTime() - 1000 * len(found)
+    for i, (_, _, path) in enumerate(sorted(found, key=lambda f: f[:2])):
+        fs.setTimes(path, start + 1000 * i, -1)
+
+
+def land_event_arrivals(spark: SparkSession, sf_dir: str, dest: str, ts: F.Column, arrivals: int = 8) -> str:
+    """Write the events (event_id, user_id, event_type, event_timestamp = ``ts``)
+    as arrivals, one Parquet file each: equal ranges of event ids, at least
+    ``arrivals`` and as many more as their rows ask for."""
+    e = table(spark, sf_dir, "events")
+    b = e.agg(F.count(F.lit(1)).alias("n"), F.max("event_id").alias("top")).first()
+    k = max(arrivals, -(-b["n"] // ARRIVAL_ROWS))
+    arrival = F.expr(f"event_id * {k} div {(b['top'] or 0) + 1}")
+    (e.select("event_id", "user_id", "event_type", ts.cast("timestamp").alias("event_timestamp"), arrival.alias("arrival"))
+     .repartition(k, "arrival").write.partitionBy("arrival").parquet(dest))
+    _order_files(spark, dest)
     return dest
 
 
