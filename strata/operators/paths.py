@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from strata.operators import metrics
 from strata.operators.sessions import SESSION_KEYS
 from strata.session import delete_path, new_path
 from strata.tables import files, writes
@@ -35,10 +36,10 @@ _ROW_BITS = 33              # monotonically_increasing_id: partition above, row
 
 
 def path_chunks(events: DataFrame, keys=SESSION_KEYS, ts: str = "event_timestamp", event_id: str = "event_id",
-                event_type: str = "event_type", chunk: int = CHUNK) -> DataFrame:
+                event_type: str = "event_type", chunk: int | None = None) -> DataFrame:
     """(keys..., chunk_at, events, start_time, end_time, event_types,
-    event_times): chunks of at most ``chunk`` events, ordered within a
-    session by ``chunk_at``.
+    event_times): chunks of at most ``chunk`` (``CHUNK``) events, ordered
+    within a session by ``chunk_at``.
 
     The second shuffle (to pack chunks) is combined on the map side, where
     all rows of a chunk are, so it only moves finished chunks."""
@@ -50,7 +51,7 @@ def path_chunks(events: DataFrame, keys=SESSION_KEYS, ts: str = "event_timestamp
     number = at.bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     placed = (rows.repartitionByRange(*order).sortWithinPartitions(*order)
               .withColumn("_at", F.monotonically_increasing_id())
-              .withColumn("_block", at - number + F.floor(number / chunk)))
+              .withColumn("_block", at - number + F.floor(number / (chunk or CHUNK))))
     packed = placed.groupBy(*keys, "_block").agg(
         F.min("_at").alias("chunk_at"), F.min("_t").alias("start_time"), F.max("_t").alias("end_time"),
         F.array_sort(F.collect_list(F.struct("_at", "_t", "_v"))).alias("_rows"))
@@ -152,6 +153,12 @@ def funnel_by_chunks(chunks: DataFrame, steps, keys=SESSION_KEYS) -> DataFrame:
     return row.select(F.explode(F.array(*items)).alias("_r")).select("_r.*")
 
 
+def funnel_of_gold(gold: DataFrame, chunks: DataFrame, steps) -> DataFrame:
+    """The funnel over gold's paths and those that are kept in chunks."""
+    both = metrics.funnel_from_paths(gold, steps).unionByName(funnel_by_chunks(chunks, steps))
+    return both.groupBy("step", "event_type").agg(F.sum("sessions").alias("sessions"))
+
+
 def write_step_times(chunks: DataFrame, steps, path: str, keys=SESSION_KEYS) -> DataFrame:
     """(keys..., step, event_type, position, reached_at) written to ``path``:
     when and at which event of its path a session reached each step."""
@@ -201,7 +208,8 @@ def _join_null_safe(left: DataFrame, right: DataFrame, keys) -> DataFrame:
 def replace_paths(spark: SparkSession, path: str, chunks: DataFrame, touched: DataFrame, keys=SESSION_KEYS) -> None:
     """In the path table at ``path``, the sessions ``touched`` get the
     chunks in ``chunks`` (or none). Only the folders that hold one of them
-    are read and written, beside the table, and published by renames."""
+    are read and written, beside the table, and published by renames. Its
+    sessions' keys are not null (as in silver)."""
     keys = list(keys)
     files.recover(spark, path)
     part = F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(PARTS)).cast("int")
@@ -210,7 +218,7 @@ def replace_paths(spark: SparkSession, path: str, chunks: DataFrame, touched: Da
         chunks.withColumn("part", part).write.parquet(staged)
         rows = spark.read.schema(chunks.withColumn("part", part).schema).parquet(staged)
         parts = {str(r[0]) for r in rows.select("part").distinct().collect()}                     # PARTS values at most
-        if files.exists(spark, path):
+        if files.exists(spark, path) and writes.list_partitions(spark, path, "part"):
             held = spark.read.parquet(path)
             parts |= {str(r[0]) for r in held.select(*keys, "part").join(touched, keys, "left_semi").select("part").distinct().collect()}
             rows = rows.unionByName(held.filter(writes.in_partitions("part", parts)).join(touched, keys, "left_anti"))

@@ -57,10 +57,14 @@ def _finish(df: DataFrame, stamp: bool) -> DataFrame:
 
 
 def user_session_analysis(events: DataFrame, transactions: DataFrame, users: DataFrame,
-                          users_bound: DataFrame | None = None, stamp: bool = True) -> DataFrame:
+                          users_bound: DataFrame | None = None, stamp: bool = True,
+                          with_path: bool = True) -> DataFrame:
     """One row per (session_id, user_id); the earliest purchase of the
-    session by (timestamp, id) fills the transaction columns."""
-    sessions = session_aggregate(events)
+    session by (timestamp, id) fills the transaction columns. Without the
+    path (NULL), a session's row does not grow with the session."""
+    sessions = session_aggregate(events, with_path=with_path)
+    if not with_path:
+        sessions = sessions.withColumn("event_types", F.lit(None).cast("array<string>"))
     first = first_per_key(_purchases(transactions), SESSION_KEYS,
                           ["transaction_timestamp", "transaction_id"])
     joined = sessions.join(first, SESSION_KEYS, "left")

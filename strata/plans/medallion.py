@@ -23,11 +23,12 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators import paths as session_paths
 from strata.operators import quality as dq
 from strata.operators.cleaning import split_corrupt
 from strata.operators.sessions import SESSION_KEYS
@@ -153,18 +154,16 @@ def _event_dates(spark: SparkSession, paths: dict, rows: dict, touched: DataFram
     return sorted(dates | {writes._NULL_PARTITION})
 
 
-def _set_aside(spark: SparkSession, paths: dict, longest: DataFrame, touched: DataFrame, res: LoadResult) -> DataFrame:
-    """Sessions of more than MAX_SESSION_EVENTS events, kept in
-    ``<gold>_too_long`` until a load makes them shorter; they have no gold row."""
-    path = paths[GOLD].rstrip("/") + "_too_long"
-    long = longest.filter(F.col("total_events") > MAX_SESSION_EVENTS)
-    held = spark.read.parquet(path) if table_exists(spark, path) else None
-    res.counts["sessions_too_long"] = long.count()
-    if res.counts["sessions_too_long"] or held is not None:
-        others = held.join(touched, SESSION_KEYS, "left_anti") if held is not None else long.limit(0)
-        writes.write_replace(others.unionByName(long), path)
-        return spark.read.parquet(path).select(*SESSION_KEYS)
-    return long.select(*SESSION_KEYS).limit(0)
+def _long_sessions(spark: SparkSession, paths: dict, events: DataFrame, longest: DataFrame, touched: DataFrame, res: LoadResult) -> DataFrame | None:
+    """Touched sessions of more than MAX_SESSION_EVENTS events (None if there
+    are none): their gold rows have no path; it is kept in chunks in
+    ``<gold>_paths``, until a load makes the session short enough."""
+    path = paths[GOLD].rstrip("/") + "_paths"
+    long = longest.filter(F.col("total_events") > MAX_SESSION_EVENTS).select(*SESSION_KEYS)
+    res.counts["sessions_in_chunks"] = long.count()
+    if res.counts["sessions_in_chunks"] or table_exists(spark, path):
+        session_paths.replace_paths(spark, path, session_paths.path_chunks(events.join(long, SESSION_KEYS, "left_semi")), touched)
+    return long if res.counts["sessions_in_chunks"] else None
 
 
 def merge_load(spark: SparkSession, paths: dict, events: DataFrame | None = None, transactions: DataFrame | None = None,
@@ -219,16 +218,20 @@ def merge_load(spark: SparkSession, paths: dict, events: DataFrame | None = None
         e = e.filter(writes.in_partitions(SILVER["events_clean"].partition_col, dates)).join(touched, SESSION_KEYS, "left_semi")
         t = (t if t is not None else spark.createDataFrame([], silver.TRANSACTION_SCHEMA)).join(touched, SESSION_KEYS, "left_semi")
         u = u if u is not None else spark.createDataFrame([], silver.USER_SCHEMA)
-        # the path is one array per session: a session too long for a row is set
-        # aside, with its number of events, and the load goes on; nothing is cut
+        # the path is one array per session: that of a session too long for a row
+        # is kept in chunks beside gold; nothing is cut
         longest = e.groupBy(*SESSION_KEYS).agg(F.count(F.lit(1)).alias("total_events"))
         if max_session_events is not None:
             dq.fail_fast(dq.run_rules(longest, [dq.max_value("total_events", max_session_events)]))
+            long = None
         else:
-            e = e.join(_set_aside(spark, paths, longest, touched, res), SESSION_KEYS, "left_anti")
-        res.counts["gold_staged"] = _observed_write(
-            gold.user_session_analysis(e, t, u.join(touched.select("user_id").distinct(), "user_id", "left_semi"), users_bound=u),
-            scratch["sessions"], "sessions")
+            long = _long_sessions(spark, paths, e, longest, touched, res)
+        recompute = partial(gold.user_session_analysis, transactions=t, users_bound=u,
+                            users=u.join(touched.select("user_id").distinct(), "user_id", "left_semi"))
+        fresh = recompute(e if long is None else e.join(long, SESSION_KEYS, "left_anti"))
+        if long is not None:
+            fresh = fresh.unionByName(recompute(e.join(long, SESSION_KEYS, "left_semi"), with_path=False))
+        res.counts["gold_staged"] = _observed_write(fresh, scratch["sessions"], "sessions")
         sessions = spark.read.parquet(scratch["sessions"])
         if gold_rules is not None:
             dq.fail_fast(dq.run_rules(sessions, gold_rules(u)))

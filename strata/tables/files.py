@@ -109,7 +109,8 @@ def publish_partitions(spark: SparkSession, fresh: str, path: str, names) -> Non
             remove(spark, f"{root}/{n}")
         for n in aside:
             rename(spark, f"{old}/{n}", f"{root}/{n}")
+        remove(spark, old)                     # only when every partition is back; else ``recover`` needs it
         raise
     finally:
         remove(spark, fresh)
-        remove(spark, old)
+    remove(spark, old)

@@ -260,26 +260,36 @@ def test_session_too_long_for_a_row_stops_the_load(spark, tmp_path):
     assert spark.read.parquet(paths["user_session_analysis"]).first()["total_events"] == 5
 
 
-def test_session_too_long_is_set_aside_and_loads_go_on(spark, tmp_path, monkeypatch):
+def test_session_too_long_for_a_row_keeps_its_path_in_chunks(spark, tmp_path, monkeypatch):
+    from strata.operators import paths as session_paths
     from strata.plans import medallion
     from strata.sources.readers import table_exists
     from strata.streaming.jobs import newest_landed_events
     monkeypatch.setattr(medallion, "MAX_SESSION_EVENTS", 4)
+    monkeypatch.setattr(session_paths, "CHUNK", 2)
     events = lambda *ids, sid="long": newest_landed_events(spark.createDataFrame(
-        [(_event(i, sid, 1, "view", f"2024-01-01 10:00:{i:02d}"),) for i in ids], "value string"))
+        [(_event(i, sid, 1, "click" if i % 2 else "view", f"2024-01-01 10:00:{i:02d}"),) for i in ids], "value string"))
     paths = medallion.table_paths(str(tmp_path / "lake"))
-    gold = lambda: {r["session_id"]: r["total_events"] for r in spark.read.parquet(paths["user_session_analysis"]).collect()}
-    aside = paths["user_session_analysis"] + "_too_long"
+    table = lambda: spark.read.parquet(paths["user_session_analysis"])
+    gold = lambda: {r["session_id"]: (r["total_events"], r["event_types"] is not None) for r in table().collect()}
+    aside = paths["user_session_analysis"] + "_paths"
+    chunks = lambda: spark.read.parquet(aside)
     medallion.merge_load(spark, paths, events=events(1, 2, 3).unionByName(events(30, sid="other")))
-    assert gold() == {"long": 3, "other": 1}
-    assert medallion.merge_load(spark, paths, events=events(4, 5)).counts["sessions_too_long"] == 1
-    assert gold() == {"other": 1} and [tuple(r) for r in spark.read.parquet(aside).collect()] == [("long", 1, 5)]
+    assert gold() == {"long": (3, True), "other": (1, True)} and not table_exists(spark, aside)
+    assert medallion.merge_load(spark, paths, events=events(4, 5)).counts["sessions_in_chunks"] == 1
+    assert gold() == {"long": (5, False), "other": (1, True)}
+    assert [(r["position"], r["event_type"]) for r in session_paths.path_positions(chunks()).orderBy("position").collect()] == [
+        (1, "click"), (2, "view"), (3, "click"), (4, "view"), (5, "click")]
+    funnel = session_paths.funnel_of_gold(table(), chunks(), ["view", "click"])
+    assert {r["step"]: r["sessions"] for r in funnel.collect()} == {1: 2, 2: 1}
     assert spark.read.parquet(paths["events_clean"]).count() == 6
     medallion.merge_load(spark, paths, events=events(31, sid="other"))             # later loads go on
-    assert gold() == {"other": 2} and spark.read.parquet(aside).count() == 1
+    assert gold() == {"long": (5, False), "other": (2, True)} and chunks().agg({"events": "sum"}).first()[0] == 5
     moved = newest_landed_events(spark.createDataFrame([(_event(5, "other", 1, "view", "2024-01-01 11:00:00"),)], "value string"))
     medallion.merge_load(spark, paths, events=moved)                              # short enough again
-    assert gold() == {"long": 4, "other": 3} and spark.read.parquet(aside).count() == 0
+    assert gold() == {"long": (4, True), "other": (3, True)} and not writes.list_partitions(spark, aside, "part")
+    medallion.merge_load(spark, paths, events=events(6))                           # and too long once more
+    assert gold()["long"] == (5, False) and chunks().count() > 0
     assert not table_exists(spark, paths["user_session_analysis"] + "_pending")
 
 
