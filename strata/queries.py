@@ -7,7 +7,7 @@ DECIMAL or as a quotient of exact integers, paths as joined text.
 """
 
 from strata.plans import (  # noqa: F401
-    catalog_accounting, catalog_drift, catalog_features, catalog_gold, catalog_history, catalog_paths, catalog_quality, catalog_scalar, catalog_silver, catalog_stateful, catalog_streaming,
+    catalog_accounting, catalog_drift, catalog_features, catalog_gold, catalog_history, catalog_layout, catalog_paths, catalog_quality, catalog_scalar, catalog_silver, catalog_stateful, catalog_streaming,
     catalog_tables,
 )
 from strata.registry import ORACLE_SQL, QUERIES  # noqa: F401

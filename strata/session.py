@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -25,12 +26,26 @@ _DEFAULTS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",     # INT96 has no minimum and maximum to skip by
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
 
 
+@contextmanager
+def indexed_timestamps(spark: SparkSession):
+    """Within it, timestamps are written with Parquet's statistics (in a
+    session that doesn't say so already)."""
+    name = "spark.sql.parquet.outputTimestampType"
+    was = spark.conf.get(name)
+    spark.conf.set(name, _DEFAULTS[name])
+    try:
+        yield
+    finally:
+        spark.conf.set(name, was)
+
+
 def get_session(master: str | None = None, app: str = "strata",
                 shuffle_partitions: int | None = None,
                 extra: dict | None = None) -> SparkSession:
