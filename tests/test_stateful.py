@@ -61,3 +61,43 @@ def test_late_event_joins_sessions_and_timer_closes_them(spark, tmp_path):
     assert last[9, _at(9)]["total_events"] == 2
     gone = {(r["user_id"], r["session_start_time"]) for r in emitted.filter("retracted").collect()}
     assert gone == {(7, _at(1, 10)), (7, _at(1, 12))}
+
+
+def _calls(spark, tmp_path, processor, make, monkeypatch):
+    """Emissions, and the number of calls of the processor."""
+    log = str(tmp_path / "calls")
+
+    class Counted(processor):
+        def handleInputRows(self, key, rows, timerValues):
+            with open(log, "a") as f:
+                f.write("x")
+            yield from super().handleInputRows(key, rows, timerValues)
+
+    monkeypatch.setattr(stateful, processor.__name__, Counted)
+    emitted = _run(spark, tmp_path, make)
+    return emitted, os.path.getsize(log)
+
+
+def test_a_call_takes_many_keys(spark, tmp_path, monkeypatch):
+    """A micro-batch calls the processor once per bucket, not once per key."""
+    rows = [(i, i, "v", _at(1, 10, i % 60), float(i)) for i in range(300)]
+    _arrive(spark, str(tmp_path / "in"), 0, [*rows, *((i, 0, "w", _at(1, 11), 0.0) for i in range(0, 300, 50))])
+    got, calls = _calls(spark, tmp_path, stateful._Newest, lambda s: stateful.dedup_newest(s, "event_id", "event_timestamp", "1 hour", 3_600_000, 4), monkeypatch)
+    assert calls == 4
+    assert {r["event_id"]: r["event_type"] for r in got.collect()} == {i: "w" if i % 50 == 0 else "v" for i in range(300)}
+
+
+def test_users_of_a_bucket_keep_their_sessions_apart(spark, tmp_path, monkeypatch):
+    """Every user in one bucket: late events extend, join and retract sessions
+    of their own user only; a user without an id is a user, a large id stays."""
+    big = 2 ** 53 + 1
+    _arrive(spark, str(tmp_path / "in"), 0, [(1, 7, "a", _at(1, 10), 0.0), (2, 7, "b", _at(1, 12), 0.0), (3, 8, "q", _at(1, 10, 30), 0.0),
+                                             (4, None, "n", _at(1, 10), 0.0), (5, big, "g", _at(1, 10), 0.0), (6, 0, "o", _at(1, 10), 0.0)])
+    _arrive(spark, str(tmp_path / "in"), 1, [(7, 7, "m", _at(1, 11), 0.0), (8, 8, None, _at(1, 10, 30), 0.0), (9, None, "m", _at(1, 10, 10), 0.0)])
+    emitted, calls = _calls(spark, tmp_path, stateful._OpenSessions, lambda s: stateful.open_sessions(s, 3601, "1 day", 1), monkeypatch)
+    assert calls <= 4                                                              # ids are in one bucket, whatever the batch
+    got = {(r["user_id"], r["session_start_time"]): (r["session_end_time"], r["total_events"], r["first_event_type"], r["last_event_type"])
+           for r in stateful.current_rows(emitted, ["user_id", "session_start_time"]).collect()}
+    assert got == {(7, _at(1, 10)): (_at(1, 12), 3, "a", "b"), (8, _at(1, 10, 30)): (_at(1, 10, 30), 2, "q", None),
+                   (None, _at(1, 10)): (_at(1, 10, 10), 2, "n", "m"), (big, _at(1, 10)): (_at(1, 10), 1, "g", "g"), (0, _at(1, 10)): (_at(1, 10), 1, "o", "o")}
+    assert [(r["user_id"], r["session_start_time"]) for r in emitted.filter("retracted").collect()] == [(7, _at(1, 12))]
