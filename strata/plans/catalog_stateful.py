@@ -51,13 +51,12 @@ def q_stream_session_update(spark, sf_dir):
     session equals the batch sessions, open ones included."""
     e = landing.table(spark, sf_dir, "events")
     src, out = new_path(spark, "arrivals"), new_path(spark, "sessions")
-    bounds = e.agg(F.min("event_id").alias("a"), F.max("event_id").alias("z")).first()
+    bounds = e.agg(F.min("event_id").alias("a"), F.max("event_id").alias("z"), F.count(F.lit(1)).alias("n")).first()
     width = (bounds["z"] - bounds["a"]) // LANDED_FILES + 1
     number = ((F.col("event_id") - bounds["a"]) / width).cast("int") + (F.col("event_id") % LATE_FILE_EVERY == 0).cast("int")
     rows = e.select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("event_timestamp"), number.alias("file"))
-    for k in range(LANDED_FILES + 1):               # arrival order is the order in which the files are written
-        rows.filter(F.col("file") == k).drop("file").coalesce(1).write.mode("append").parquet(src)
-    stream = spark.readStream.schema(rows.drop("file").schema).option("maxFilesPerTrigger", FILES_A_BATCH).parquet(src)
+    parts = landing.land_in_order(rows.filter(F.col("file").isNotNull()), src, "file", LANDED_FILES + 1, bounds["n"])
+    stream = spark.readStream.schema(rows.drop("file").schema).option("maxFilesPerTrigger", FILES_A_BATCH * parts).parquet(src)
     sessions = stateful.open_sessions(stream, GAP_HOURS * 3600, SESSION_WATERMARK)
     with stateful.state_store(spark):
         _run(stateful.run_to_parquet(sessions, out, new_path(spark, "ck")))

@@ -176,6 +176,18 @@ def land_event_arrivals(spark: SparkSession, sf_dir: str, dest: str, ts: F.Colum
     return dest
 
 
+def land_in_order(rows: DataFrame, dest: str, number: str, arrivals: int, n: int) -> int:
+    """Write rows as ``arrivals`` arrivals, those numbered 0, 1, ... in column
+    ``number``, in one pass; one of ``n`` rows in all has as many files as its
+    share asks for. Returns the files of an arrival."""
+    parts = max(1, -(-n // (arrivals * ARRIVAL_ROWS)))
+    piece = F.pmod(F.xxhash64(*[c for c in rows.columns if c != number]), F.lit(parts))
+    (rows.withColumn("arrival", F.col(number).cast("long") * parts + piece).drop(number).repartition(arrivals * parts, "arrival")
+     .write.partitionBy("arrival").parquet(dest))
+    _order_files(rows.sparkSession, dest)
+    return parts
+
+
 def transaction_csv_lines(spark: SparkSession, sf_dir: str, faults: bool = True) -> DataFrame:
     """Purchases rendered as CSV text lines (no header), column ``value``;
     timestamps to the second, currency padded with blanks. With ``faults``

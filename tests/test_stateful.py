@@ -101,3 +101,16 @@ def test_users_of_a_bucket_keep_their_sessions_apart(spark, tmp_path, monkeypatc
     assert got == {(7, _at(1, 10)): (_at(1, 12), 3, "a", "b"), (8, _at(1, 10, 30)): (_at(1, 10, 30), 2, "q", None),
                    (None, _at(1, 10)): (_at(1, 10, 10), 2, "n", "m"), (big, _at(1, 10)): (_at(1, 10), 1, "g", "g"), (0, _at(1, 10)): (_at(1, 10), 1, "o", "o")}
     assert [(r["user_id"], r["session_start_time"]) for r in emitted.filter("retracted").collect()] == [(7, _at(1, 12))]
+
+
+def test_arrivals_in_order_of_their_number(spark, tmp_path, monkeypatch):
+    from strata.sources import landing
+    monkeypatch.setattr(landing, "ARRIVAL_ROWS", 40)
+    rows = spark.range(300).selectExpr("id AS event_id", "cast(id % 3 AS int) AS file")
+    dest = str(tmp_path / "landed")
+    assert landing.land_in_order(rows, dest, "file", 3, 300) == 3                  # 100 rows of an arrival are 3 files
+    files = sorted((f for f in (os.path.join(d, n) for d, _, names in os.walk(dest) for n in names) if f.endswith(".parquet")), key=os.path.getmtime)
+    assert len(files) == 9
+    of = [{r["event_id"] % 3 for r in spark.read.parquet(f).collect()} for f in files]
+    assert of == [{0}] * 3 + [{1}] * 3 + [{2}] * 3
+    assert spark.read.parquet(dest).select("event_id").distinct().count() == 300
