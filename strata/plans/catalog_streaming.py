@@ -215,10 +215,13 @@ LEFT JOIN users u ON s.user_id = u.user_id""")
 def q_stream_upsert_gold(spark, sf_dir):
     """Gold kept current by a stream of six arrival batches: sessions that
     continue in a later batch, re-deliveries and corrections update rows
-    already published."""
+    already published. There are six batches whatever the size (an arrival is
+    as many files as its lines ask for): each is merged into the dates that it
+    touches, so that more batches would write these dates more often."""
     src = _landed(spark, sf_dir)
     silver_path, gold_path, ck = new_path(spark, "silver"), new_path(spark, "gold"), new_path(spark, "ck")
-    _run(jobs.gold_upsert(jobs.json_line_stream(spark, src, max_files_per_trigger=1),
+    arrival = -(-landing.landed_files(spark, src) // LANDED_FILES)
+    _run(jobs.gold_upsert(jobs.json_line_stream(spark, src, max_files_per_trigger=arrival),
                           silver_path, gold_path, ck,
                           lambda: silver_inputs(spark, sf_dir)[1], lambda: silver_inputs(spark, sf_dir)[2]))
     return gold.comparable(spark.read.parquet(gold_path))

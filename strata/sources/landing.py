@@ -162,6 +162,14 @@ def _order_files(spark: SparkSession, dest: str) -> None:
         fs.setTimes(path, start + 1000 * i, -1)
 
 
+def landed_files(spark: SparkSession, dest: str) -> int:
+    """Number of files that were landed in a folder."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(dest)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sum(st.getPath().getName().startswith("part-") for st in fs.listStatus(folder))
+
+
 def land_event_arrivals(spark: SparkSession, sf_dir: str, dest: str, ts: F.Column, arrivals: int = 8) -> str:
     """Write the events (event_id, user_id, event_type, event_timestamp = ``ts``)
     as arrivals, one Parquet file each: equal ranges of event ids, at least

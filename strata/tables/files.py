@@ -88,9 +88,16 @@ def publish(spark: SparkSession, fresh: str, path: str) -> None:
         remove(spark, old)
 
 
-def publish_partitions(spark: SparkSession, fresh: str, path: str, names) -> None:
+def data_files(spark: SparkSession, path: str) -> dict[str, int]:
+    """Name -> bytes of the data files in a folder."""
+    fs, p = _fs(spark, path)
+    return {st.getPath().getName(): st.getLen() for st in fs.listStatus(p) if st.isFile() and not st.getPath().getName().startswith(("_", "."))}
+
+
+def publish_partitions(spark: SparkSession, fresh: str, path: str, names, grown=()) -> None:
     """The partition folders ``names`` of ``path`` become those of the
-    written folder ``fresh``; one that ``fresh`` doesn't have goes."""
+    written folder ``fresh``; one that ``fresh`` doesn't have goes. The folders
+    ``grown`` keep their files and get those of ``fresh``."""
     old, new, held = beside(path, OLD), folders(spark, fresh), folders(spark, path)
     root = path.rstrip("/")
     fs, p = _fs(spark, f"{old}/_partitions")
@@ -104,6 +111,10 @@ def publish_partitions(spark: SparkSession, fresh: str, path: str, names) -> Non
             if n in new:
                 rename(spark, new[n], f"{root}/{n}")
                 placed.append(n)
+        for n in (n for n in grown if n in new):
+            for each in [f"{n}/{f}" for f in data_files(spark, new[n])] if n in held else [n]:
+                rename(spark, f"{fresh}/{each}", f"{root}/{each}")
+                placed.append(each)
     except BaseException:
         for n in placed:
             remove(spark, f"{root}/{n}")

@@ -3,7 +3,8 @@
 Parquet has no row-level MERGE, and a table must not be lost when a job
 fails. A replacement is therefore written beside the table and takes its
 place by renames (``tables.files``): the whole table, or in an upsert the
-folders of the touched partitions, written once. A stored index of keys
+folders of the touched partitions, written once; a partition that only gets
+new rows keeps its files and gets more of them. A stored index of keys
 (``tables.key_index``) names the partitions that can hold older copies of a
 load's rows, so that a small load doesn't read the keys of the whole table.
 """
@@ -102,6 +103,7 @@ def check_merge_cardinality(target: DataFrame, updates: DataFrame, keys) -> None
 
 
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+CROWD, CROWD_BYTES = 16, 32_000_000
 
 
 def in_partitions(partition_col: str, values) -> F.Column:
@@ -117,6 +119,12 @@ def _values(df: DataFrame, partition_col: str) -> set:
     return {r["p"] if r["p"] is not None else _NULL_PARTITION for r in rows}
 
 
+def _crowded(spark: SparkSession, folder: str) -> bool:
+    """Many small files, which are better written anew than added to."""
+    sizes = files.data_files(spark, folder).values()
+    return len(sizes) >= CROWD and sum(sizes) < CROWD_BYTES * len(sizes)
+
+
 def may_hold(spark: SparkSession, path: str, loaded: DataFrame, keys) -> set:
     """Partition values (text) of an indexed table that can hold a key of ``loaded``."""
     return key_index.candidates(spark, path, loaded, list(keys))
@@ -130,11 +138,13 @@ def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, keys,
 
     Touched partitions are those of the updates plus those where a matched
     target row lives now (a late event can move a session to another date,
-    leaving its old partition to be rewritten or emptied). Only touched
-    partitions are read (partition pruning), merged, written once beside the
-    table, and published by renaming their folders; partitions left empty go.
-    A failure before that changes nothing. Re-running an upsert whose keys are
-    all set gives the same table.
+    leaving its old partition to be rewritten or emptied). Of these, the ones
+    with a matched or removed row are read (partition pruning), merged, written
+    once beside the table, and published by renaming their folders; partitions
+    left empty go. The others get their new rows as more files (until there are
+    many small ones; not if their columns are others), so such a load costs its
+    own rows and not the table's. A failure before that changes nothing.
+    Re-running an upsert whose keys are all set gives the same table.
 
     ``remove``: keys whose rows are deleted. ``ignore_changes_in``: columns
     (an audit time) that alone make no change; when given, updates equal to
@@ -157,10 +167,11 @@ def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, keys,
 
     fresh = files.beside(path, files.NEW)
 
-    def publish(rows: DataFrame, touched) -> None:
+    def publish(rows: DataFrame, touched, grown=frozenset()) -> None:
         write_partitioned(rows, fresh, partition_col)
         folder = {v: p.rpartition("/")[2] for where in (fresh, path) for v, p in _partition_dirs(spark, where, partition_col).items()}
-        files.publish_partitions(spark, fresh, path, [folder[v] for v in touched if v in folder])
+        files.publish_partitions(spark, fresh, path, [folder[v] for v in touched if v in folder and v not in grown],
+                                 [folder[v] for v in touched if v in folder and v in grown])
         if indexed and folder:
             (later or (lambda job: job()))(lambda: key_index.write(spark, path, keys, partition_col, touched, _NULL_PARTITION))
 
@@ -195,16 +206,24 @@ def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, keys,
                  .groupBy(F.col(partition_col).cast("string").alias("p")).agg(F.max("_n").alias("n")).collect())
         if check_cardinality and any(r["n"] > 1 for r in stats):
             raise MergeCardinalityError("update keys match a target row more than once")
-        touched = {r["p"] if r["p"] is not None else _NULL_PARTITION for r in stats} | own
+        changed = {r["p"] if r["p"] is not None else _NULL_PARTITION for r in stats}
         if remove is not None:
-            touched |= _values(sought.select(*keys, partition_col).join(remove, keys, "left_semi"), partition_col)
+            changed |= _values(sought.select(*keys, partition_col).join(remove, keys, "left_semi"), partition_col)
+        touched = changed | own
         if not touched:
             return []
 
-        old = target.filter(in_partitions(partition_col, touched))
-        if remove is not None:
-            old = old.join(remove, keys, "left_anti")
-        publish(merge_upsert(old, updates, keys, order_col), touched)
+        dirs = _partition_dirs(spark, path, partition_col)
+        kinds = lambda df: {(f.name, f.dataType) for f in df.schema.fields}
+        alike = kinds(updates) == kinds(target)
+        changed |= {v for v in own - changed if v in dirs and (not alike or _crowded(spark, dirs[v]))}
+        merged = updates
+        if changed:
+            old = target.filter(in_partitions(partition_col, changed))
+            if remove is not None:
+                old = old.join(remove, keys, "left_anti")
+            merged = merge_upsert(old, updates, keys, order_col)
+        publish(merged, touched, touched - changed)
         return sorted(touched)
     finally:
         files.remove(spark, fresh)

@@ -268,3 +268,43 @@ def test_failed_load_keeps_history(spark, tmp_table):
     with pytest.raises(Exception, match="lost executor"):
         loads.append_load(_failing(spark), tmp_table, 1)
     assert [r["v"] for r in loads.as_of(spark, tmp_table, ["id"]).collect()] == ["a"]
+
+
+def _files(path):
+    return {f"{d.rpartition('/')[2]}/{n}" for d, _, names in os.walk(path) for n in names if n.endswith(".parquet")}
+
+
+def test_new_rows_are_added_to_a_partition_and_matched_rows_rewrite_theirs(spark, tmp_table, monkeypatch):
+    schema = "id long, at long, v string, d string"
+    up = lambda rows, **kw: writes.upsert_partitions(spark, tmp_table, spark.createDataFrame(rows, schema), ["id"], "d", "at", indexed=True, **kw)
+    read = lambda: sorted(tuple(r[c] for c in ("id", "at", "v", "d")) for r in spark.read.parquet(tmp_table).collect() if r["id"] is not None)
+    up([(1, 1, "a", "x"), (2, 5, "b", "x"), (3, 1, "c", "y"), (None, 1, "n", "x")])
+    first = _files(tmp_table)
+    # new rows for x and z; 3 moves from y to x; 2 is older than what is held
+    assert up([(4, 1, "d", "x"), (5, 1, "e", "z")]) == ["x", "z"]
+    assert first < _files(tmp_table)                               # nothing was written anew
+    second = _files(tmp_table)
+    assert up([(3, 2, "C", "z"), (6, 1, "f", "x")]) == ["x", "y", "z"]
+    assert {f for f in second if f[:3] != "d=y"} < _files(tmp_table) and not [f for f in _files(tmp_table) if f[:3] == "d=y"]
+    third = _files(tmp_table)
+    up([(2, 4, "old", "z")])                                        # lost: its own partition gets nothing and keeps all
+    assert {f for f in third if f[:3] == "d=z"} == {f for f in _files(tmp_table) if f[:3] == "d=z"}
+    want = [(1, 1, "a", "x"), (2, 5, "b", "x"), (3, 2, "C", "z"), (4, 1, "d", "x"), (5, 1, "e", "z"), (6, 1, "f", "x")]
+    assert read() == want
+    assert spark.read.parquet(tmp_table).filter("id IS NULL").count() == 1
+
+    before, rename, done = _files(tmp_table), files.rename, []
+    def fails(spark, source, target):                               # the second file doesn't get to its place
+        if target.endswith(".parquet"):
+            if done:
+                raise OSError("full")
+            done.append(target)
+        rename(spark, source, target)
+    monkeypatch.setattr(files, "rename", fails)
+    with pytest.raises(OSError):
+        up([(7, 1, "g", "x"), (8, 1, "h", "z")])
+    monkeypatch.undo()
+    assert done and _files(tmp_table) == before and read() == want
+    monkeypatch.setattr(writes, "CROWD", 1)                         # many small files are written as one
+    up([(7, 1, "g", "x")])
+    assert len([f for f in _files(tmp_table) if f[:3] == "d=x"]) == 1 and read() == [*want, (7, 1, "g", "x")]

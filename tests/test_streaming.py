@@ -2,6 +2,7 @@
 a session spanning midnight; the stream's gold equals the batch gold over
 all lines."""
 
+import collections
 import datetime as dt
 import json
 import os
@@ -94,3 +95,25 @@ def test_streams_of_events_and_purchases_match_batch(spark, tmp_path):
     got = gold.comparable(spark.read.parquet(paths["user_session_analysis"]))
     assert sorted(got.collect()) == sorted(want.collect())
     assert {r["session_id"] for r in got.collect()} == {"s1", "s2"}           # s9 lost its only event
+
+
+def test_gold_stream_has_six_batches_whatever_the_size(spark, tmp_path, monkeypatch):
+    """More lines make larger arrivals, not more merges into the same dates."""
+    from strata.plans import catalog_streaming, medallion
+    from strata.sources import landing
+    at = dt.datetime(2024, 1, 1)
+    rows = [(i, at + dt.timedelta(minutes=10 * i), i % 3, "purchase" if i % 7 == 0 else "view", float(i), "{}") for i in range(120)]
+    tables = {"events": (rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"),
+              "customer": ([(i, 1, "AUTO") for i in range(3)], "c_custkey long, c_nationkey int, c_mktsegment string"),
+              "nation": ([(1, "PERU")], "n_nationkey int, n_name string"),
+              "orders": ([(1, dt.date(2023, 1, 1))], "o_custkey long, o_orderdate date")}
+    for name, (data, schema) in tables.items():
+        spark.createDataFrame(data, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    merged, merge = [], medallion.merge_load
+    monkeypatch.setattr(medallion, "merge_load", lambda *a, **kw: merged.append(1) or merge(*a, **kw))
+    monkeypatch.setattr(landing, "ARRIVAL_ROWS", 10)                # twelve files
+    got = catalog_streaming.q_stream_upsert_gold(spark, str(tmp_path))
+    assert len(merged) == 6
+    kept = [r for r in rows if r[0] % 97 and r[0] % 89]             # neither truncated nor without a session
+    assert {r["session_id"]: r["total_events"] for r in got.collect()} == {
+        s: n for s, n in collections.Counter(f"{r[2]}_{r[1].date()}" for r in kept).items()}
