@@ -5,6 +5,8 @@ For every partition, the keys' hashes set bits in bitmaps of 32,768 bits
 ``BITS_PER_KEY`` bits a key, ``PROBES`` bits of one bitmap for each key. A
 load looks up its keys and learns which partitions can hold older copies;
 their keys are then compared exactly, so a wrong "can hold" only costs a read.
+A lookup takes (keys x partitions) probes; of more than ``MANY`` keys some hit
+every partition by chance, so these are not looked up at all.
 
 A filter is used only while it describes its partition's files: the digest of
 the file names is stored with it, and a partition that was written by other
@@ -30,6 +32,7 @@ BITMAP = 32_768
 BITS_PER_KEY = 16
 PROBES = 3
 POINTED = 2_000                 # bitmaps looked up by a pushed list of numbers
+MANY = 20_000                   # keys of a load that aren't looked up: wrong hits (about 1 in 1,400) name every partition of any size
 SCHEMA = "part string, level int, files string, number long, bits binary"
 
 
@@ -105,6 +108,8 @@ def candidates(spark: SparkSession, path: str, loaded: DataFrame, keys, table: D
     files.recover(spark, index_path(path))
     if not files.exists(spark, index_path(path)):
         return set(held)
+    if loaded.filter(_present(keys)).agg(F.approx_count_distinct(_hash(keys))).first()[0] > MANY:
+        return set(held)
     index = spark.read.schema(SCHEMA).parquet(index_path(path))
     hashes = loaded.filter(_present(keys)).select(_hash(keys).alias("_h")).distinct()
     with ThreadPoolExecutor(2) as pool:            # two small jobs

@@ -308,3 +308,12 @@ def test_new_rows_are_added_to_a_partition_and_matched_rows_rewrite_theirs(spark
     monkeypatch.setattr(writes, "CROWD", 1)                         # many small files are written as one
     up([(7, 1, "g", "x")])
     assert len([f for f in _files(tmp_table) if f[:3] == "d=x"]) == 1 and read() == [*want, (7, 1, "g", "x")]
+
+
+def test_a_load_of_many_keys_is_not_looked_up(spark, tmp_table, monkeypatch):
+    rows = spark.range(200).selectExpr("id", "cast(id % 4 AS string) AS d")
+    writes.upsert_partitions(spark, tmp_table, rows, ["id"], "d", indexed=True)
+    absent = spark.range(1000, 1040).select("id")
+    assert len(writes.may_hold(spark, tmp_table, absent, ["id"])) < 4
+    monkeypatch.setattr(key_index, "MANY", 10)
+    assert writes.may_hold(spark, tmp_table, absent, ["id"]) == {"0", "1", "2", "3"}
