@@ -97,7 +97,8 @@ def fill_targets(sources: DataFrame, *, total: float | None = None, max_epochs:
             break
         n_clamped = row["n"] or 0
         clamped = clamped | (F.col("weight") * F.lit(left).cast("double") > cap.cast("double") * F.lit(open_weight))
-    share = (F.col("weight") * F.lit(left)).cast("double") / F.lit(float(open_weight or 1))
+    # as doubles, like the clamping above: an int weight times an int total overflows from 2**31 / weight words on
+    share = F.col("weight") * F.lit(left).cast("double") / F.lit(float(open_weight or 1))
     return sources.withColumn("target", F.when(clamped, cap.cast("double")).otherwise(share))
 
 

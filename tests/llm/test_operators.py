@@ -157,6 +157,18 @@ def test_mix_targets_and_taken(spark, names):
     assert rows.count() == sum(x["copies"] for x in got)
 
 
+@pytest.mark.parametrize("total", [10**9, 2**31 - 1, 2**31, 10**13])
+def test_mix_targets_of_many_words(spark, total):
+    """Weight times words is above what an int holds, also where the words are not."""
+    sizes = {"a": total // 100, "b": total // 5, "c": total - total // 100 - total // 5}
+    weights = {"a": 1, "b": 2, "c": 3}
+    df = spark.createDataFrame([(s, n, weights[s]) for s, n in sizes.items()], "source string, source_size long, weight int")
+    want = H.water_fill(sizes, weights)
+    for given in (None, total, float(total)):
+        got = {x["source"]: x["target"] for x in waterfill_mix.fill_targets(df, total=given).collect()}
+        assert got == pytest.approx(want, rel=1e-12)
+
+
 def test_mix_empty_and_wordless(spark):
     assert waterfill_mix.mix_copies(docs_of(spark, [])).collect() == []
     got = waterfill_mix.mix_copies(docs_of(spark, [(1, None), (2, "")])).collect()

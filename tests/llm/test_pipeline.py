@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from strata.llm import q_text, spotsigs
+from strata.llm import q_text, spotsigs, waterfill_mix
 from strata.llm.queries import ORACLE_SQL, QUERIES
 from tests.llm import helpers as H
 
@@ -140,6 +140,32 @@ def test_op9_cuts_inside_repeated_ids(spark, tmp_path, texts):
     assert rows == sorted(map(tuple, corpus_pipeline.mix(spark, table.repartition(7), folder).collect()), key=repr)
 
 
+@pytest.fixture
+def many_words(spark, tmp_path, monkeypatch):
+    """Documents of three even sources, and a function after which each of
+    their words counts as 2 ** k words, over 2 ** 30 in all."""
+    r = random.Random(12)
+    docs = [(i, " ".join(["w"] * r.randint(1, 30)), "en", "abc"[i % 3], 0) for i in range(300)]
+    n = sum(len(H.words(d[1])) for d in docs)
+    times = 1 << ((2**31 - 1) // n).bit_length() - 1
+    assert 2**30 < n * times < 2**31
+    words = waterfill_mix.words
+
+    def grow():
+        monkeypatch.setattr(waterfill_mix, "words", lambda text: words(text) * F.lit(times).cast("long"))
+        return times
+    return save(spark, tmp_path, docs, [(0, 1, 0)], [(0, "", "")], [(0, [0.1], 1)]), grow
+
+
+def test_pipeline_mix_of_many_words(spark, many_words):
+    folder, grow = many_words
+    table = spark.read.parquet(f"{folder}/documents.parquet")
+    mixed = lambda: sorted(map(tuple, corpus_pipeline.mix(spark, table, folder).collect()))
+    want = mixed()
+    grow()
+    assert mixed() == want and len(want) > 0
+
+
 def test_op9_equals_sql_on_all_odd_rows(spark, small):
     df = QUERIES["op9_source_mix"](spark, small[0])
     assert canon(df.columns, [tuple(r) for r in df.collect()]) == sql_of(small[0], "op9_source_mix")
