@@ -166,6 +166,14 @@ def test_pipeline_mix_of_many_words(spark, many_words):
     assert mixed() == want and len(want) > 0
 
 
+def test_op9_of_many_words(spark, many_words):
+    folder, grow = many_words
+    mixed = lambda: sorted(map(tuple, QUERIES["op9_source_mix"](spark, folder).collect()))
+    want, times = mixed(), grow()
+    assert mixed() == [(i, size * times, source_size * times, target * times, taken * times, copies)
+                       for i, size, source_size, target, taken, copies in want]
+
+
 def test_op9_equals_sql_on_all_odd_rows(spark, small):
     df = QUERIES["op9_source_mix"](spark, small[0])
     assert canon(df.columns, [tuple(r) for r in df.collect()]) == sql_of(small[0], "op9_source_mix")
